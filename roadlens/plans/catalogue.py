@@ -1,0 +1,6 @@
+"""All queries over the driver's tables, with the SQL that must give the same rows."""
+
+from __future__ import annotations
+
+QUERIES: dict = {}
+ORACLES: dict[str, str] = {}
