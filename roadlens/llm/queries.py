@@ -21,6 +21,19 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def tokenizer_path(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from roadlens.llm.packing import pack_documents
+
+    packed = pack_documents(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
+    return packed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from roadlens.llm.mixing import mix_sources
 
@@ -69,7 +82,7 @@ SELECT doc_id, size, source_size, target, (least(2, floor((rank + 1) * rate + u)
 
 
 def llm_queries() -> dict:
-    return {f.__name__: f for f in (op2_exact_dedup, op6_sharding, op9_mixing)}
+    return {f.__name__: f for f in (op2_exact_dedup, op6_sharding, op7_packing, op9_mixing)}
 
 
 def llm_oracles() -> dict[str, str]:
