@@ -14,6 +14,19 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from roadlens.llm.token_scan import document_token_counts
+
+    counts = document_token_counts(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.tiktoken"), eod_id=50256)
+    return counts.select("doc_id", "n_tokens")
+
+
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from roadlens.llm.langid import identify
+
+    return identify(table(spark, sf_dir, "documents")).select("doc_id", "held_out", "lang_pred", "score", "ambiguous", "lang_second")
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     from roadlens.llm.sharding import shard_by_size
 
@@ -82,7 +95,7 @@ SELECT doc_id, size, source_size, target, (least(2, floor((rank + 1) * rate + u)
 
 
 def llm_queries() -> dict:
-    return {f.__name__: f for f in (op2_exact_dedup, op6_sharding, op7_packing, op9_mixing)}
+    return {f.__name__: f for f in (op2_exact_dedup, op4_token_counts, op5_language_id, op6_sharding, op7_packing, op9_mixing)}
 
 
 def llm_oracles() -> dict[str, str]:
