@@ -53,6 +53,12 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from roadlens.llm.minhash import near_groups
+
+    return near_groups(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "kept")
+
+
 OP2_SQL = r"""
 WITH n AS (
   SELECT doc_id, length(coalesce(text, '')) AS points, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS body FROM documents
@@ -95,7 +101,7 @@ SELECT doc_id, size, source_size, target, (least(2, floor((rank + 1) * rate + u)
 
 
 def llm_queries() -> dict:
-    return {f.__name__: f for f in (op2_exact_dedup, op4_token_counts, op5_language_id, op6_sharding, op7_packing, op9_mixing)}
+    return {f.__name__: f for f in (op2_exact_dedup, op4_token_counts, op5_language_id, op6_sharding, op7_packing, op9_mixing, op10_near_dedup)}
 
 
 def llm_oracles() -> dict[str, str]:

@@ -12,6 +12,8 @@ from __future__ import annotations
 
 import heapq
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,8 +21,8 @@ from roadlens.llm.ranking import rank_in_groups, salt_digits
 from roadlens.session import materialize
 
 #: Ranges for each shard, and sampled keys for each range: the driver holds at most their product times the shards.
-RANGES_PER_SHARD = 32
-SAMPLES_PER_RANGE = 32
+RANGES_PER_SHARD = 128
+SAMPLES_PER_RANGE = 16
 
 
 def text_sizes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -39,7 +41,7 @@ def shard_by_size(
     n_shards: int = 16,
     id_col: str = "doc_id",
     text_col: str = "text",
-    split_share: float = 0.5,
+    split_share: float = 1.0,
 ) -> DataFrame:
     """Range-partitions every document into ``n_shards`` shards of near equal bytes.
 
@@ -72,9 +74,7 @@ def shard_by_size(
     heavy = [r["key"] for r in sample if r["w"] >= step]
     cuts = sorted({*bounds, *(k - 1 for k in heavy if k > -(1 << 63))})
 
-    # Both lists have at most n_ranges entries, a parameter: the search is an expression, not a join.
-    edges = F.array(*[F.lit(c) for c in cuts]) if cuts else F.array().cast("array<bigint>")
-    ranged = _search(slim, edges, len(cuts))
+    ranged = materialize(_search(slim, cuts))
     per = ranged.groupBy("range").agg(F.sum("size").alias("bytes"), F.min("key").alias("lo"), F.max("key").alias("hi")).collect()
 
     ideal = total / n_shards
@@ -101,18 +101,12 @@ def shard_by_size(
     return ranked.select("doc_id", "size", "text_crc32", "shard", "slot")
 
 
-def _search(df: DataFrame, edges, n: int) -> DataFrame:
-    """Adds ``range``: how many edges lie below the key, by bisection over a literal array."""
-    if not n:
-        return df.withColumn("range", F.lit(0))
-    steps = max(1, n.bit_length())
-    out = df.withColumn("__lo", F.lit(0)).withColumn("__hi", F.lit(n)).withColumn("__edges", edges)
-    body = F.aggregate(
-        F.sequence(F.lit(1), F.lit(steps)),
-        F.struct(F.lit(0).alias("lo"), F.lit(n).alias("hi")),
-        lambda s, _: F.struct(
-            F.when((s.lo < s.hi) & (F.get("__edges", F.floor((s.lo + s.hi) / 2).cast("int")) < F.col("key")), F.floor((s.lo + s.hi) / 2).cast("int") + 1).otherwise(s.lo).alias("lo"),
-            F.when((s.lo < s.hi) & ~(F.get("__edges", F.floor((s.lo + s.hi) / 2).cast("int")) < F.col("key")), F.floor((s.lo + s.hi) / 2).cast("int")).otherwise(s.hi).alias("hi"),
-        ),
-    )
-    return out.withColumn("range", body.lo).drop("__lo", "__hi", "__edges")
+def _search(df: DataFrame, cuts: list[int]) -> DataFrame:
+    """Adds ``range``: how many cuts lie below the key. There are at most 2 * n_ranges cuts, a parameter."""
+    edges = np.array(cuts, dtype=np.int64)
+
+    @F.pandas_udf("int")
+    def below(key: pd.Series) -> pd.Series:
+        return pd.Series(np.searchsorted(edges, key.to_numpy(), side="left").astype(np.int32))
+
+    return df.withColumn("range", below("key"))
