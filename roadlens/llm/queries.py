@@ -8,6 +8,12 @@ from pyspark.sql import functions as F
 from roadlens.session import table
 
 
+def op1_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from roadlens.llm.embed_dedup import near_vectors
+
+    return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from roadlens.llm.exact_dedup import exact_groups
 
@@ -101,7 +107,7 @@ SELECT doc_id, size, source_size, target, (least(2, floor((rank + 1) * rate + u)
 
 
 def llm_queries() -> dict:
-    return {f.__name__: f for f in (op2_exact_dedup, op4_token_counts, op5_language_id, op6_sharding, op7_packing, op9_mixing, op10_near_dedup)}
+    return {f.__name__: f for f in (op1_embedding_dedup, op2_exact_dedup, op4_token_counts, op5_language_id, op6_sharding, op7_packing, op9_mixing, op10_near_dedup)}
 
 
 def llm_oracles() -> dict[str, str]:
