@@ -53,6 +53,12 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
+def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from roadlens.llm.html_blocks import extract
+
+    return extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from roadlens.llm.mixing import mix_sources
 
@@ -107,7 +113,7 @@ SELECT doc_id, size, source_size, target, (least(2, floor((rank + 1) * rate + u)
 
 
 def llm_queries() -> dict:
-    return {f.__name__: f for f in (op1_embedding_dedup, op2_exact_dedup, op4_token_counts, op5_language_id, op6_sharding, op7_packing, op9_mixing, op10_near_dedup)}
+    return {f.__name__: f for f in (op1_embedding_dedup, op2_exact_dedup, op4_token_counts, op5_language_id, op6_sharding, op7_packing, op8_html_extraction, op9_mixing, op10_near_dedup)}
 
 
 def llm_oracles() -> dict[str, str]:
