@@ -20,6 +20,12 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from roadlens.llm.quotes import format_chats
+
+    return format_chats(table(spark, sf_dir, "conversations"))
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from roadlens.llm.token_scan import document_token_counts
 
@@ -113,7 +119,7 @@ SELECT doc_id, size, source_size, target, (least(2, floor((rank + 1) * rate + u)
 
 
 def llm_queries() -> dict:
-    return {f.__name__: f for f in (op1_embedding_dedup, op2_exact_dedup, op4_token_counts, op5_language_id, op6_sharding, op7_packing, op8_html_extraction, op9_mixing, op10_near_dedup)}
+    return {f.__name__: f for f in (op1_embedding_dedup, op2_exact_dedup, op3_chat_formatting, op4_token_counts, op5_language_id, op6_sharding, op7_packing, op8_html_extraction, op9_mixing, op10_near_dedup)}
 
 
 def llm_oracles() -> dict[str, str]:
