@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,6 +26,20 @@ def get_spark(cpus: int = 8, partitions: int | None = None, app: str = "roadlens
     )
 
 
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the workers, once a context, unless their path holds it already."""
+    sc, root = spark.sparkContext, Path(__file__).resolve().parent.parent
+    known = [os.getcwd(), *os.environ.get("PYTHONPATH", "").split(os.pathsep)]
+    if getattr(sc, "_roadlens_shipped", False) or any(p and os.path.realpath(p) == str(root) for p in known):
+        return
+    target = os.path.join(os.path.realpath(tempfile.mkdtemp(prefix="roadlens-")), "roadlens.zip")
+    with zipfile.ZipFile(target, "w") as z:
+        for f in sorted((root / "roadlens").rglob("*.py")):
+            z.write(f, f.relative_to(root))
+    sc.addPyFile(target)
+    sc._roadlens_shipped = True
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the driver's tables."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
