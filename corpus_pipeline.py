@@ -19,11 +19,18 @@ from roadlens.llm.queries import tokenizer_path
 from roadlens.session import materialize, table
 
 
+def _apart(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """``found`` with column names that ``docs`` has not, whatever else that carries."""
+    mark = "_"
+    while any(f"{mark}{c}" in docs.columns for c in found.columns):
+        mark += "_"
+    return found.toDF(*[f"{mark}{c}" for c in found.columns])
+
+
 def _keep(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """The documents whose id is in the one column of ``ids``; repeated rows of an id become one."""
-    key = ids.columns[0]
-    chosen = ids.select(F.col(key).alias("__id")).distinct()
-    kept = docs.join(chosen, docs["doc_id"].eqNullSafe(chosen["__id"]), "left_semi")
+    chosen = _apart(docs, ids.distinct())
+    kept = docs.join(chosen, docs["doc_id"].eqNullSafe(chosen[0]), "left_semi")
     repeated = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     return kept.dropDuplicates(["doc_id"]) if not repeated.isEmpty() else kept
 
@@ -33,9 +40,9 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     A null lang is filled with the prediction.
     """
-    found = identify(docs).select(F.col("doc_id").alias("__id"), "lang_pred").dropDuplicates(["__id"])
-    joined = docs.join(found, docs["doc_id"].eqNullSafe(found["__id"]))
-    return joined.where(F.col("lang_pred") != UNKNOWN).withColumn("lang", F.coalesce("lang", "lang_pred")).select(*docs.columns)
+    found = _apart(docs, identify(docs).select("doc_id", "lang_pred").dropDuplicates(["doc_id"]))
+    joined = docs.join(found, docs["doc_id"].eqNullSafe(found[0])).where(found[1] != UNKNOWN)
+    return joined.select(*[F.coalesce(docs[c], found[1]).alias(c) if c == "lang" else docs[c] for c in docs.columns])
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,9 +55,9 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as the mix takes it."""
-    copies = mix_sources(docs).where("copies > 0").select(F.col("doc_id").alias("__id"), "copies")
-    joined = docs.join(copies, docs["doc_id"].eqNullSafe(copies["__id"]))
-    return joined.select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("__copy")).drop("__copy")
+    copies = _apart(docs, mix_sources(docs).where("copies > 0").select("doc_id", F.sequence(F.lit(1), F.col("copies").cast("int")).alias("copies")))
+    joined = docs.join(copies, docs["doc_id"].eqNullSafe(copies[0]))
+    return joined.select(*[docs[c] for c in docs.columns], F.explode(copies[1]).alias(f"{copies.columns[1]}_")).select(*docs.columns)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
