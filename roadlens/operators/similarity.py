@@ -15,6 +15,10 @@ def bands(threshold: int, bits: int = 64) -> list[tuple[int, int]]:
     return [(sum(widths[:i]), w) for i, w in enumerate(widths)]
 
 
+def _value(x, shift: int, width: int):
+    return x if width == 64 else F.shiftrightunsigned(x, shift).bitwiseAND((1 << width) - 1)
+
+
 def near_pairs(items: DataFrame, threshold: int = 6, across: str | None = None) -> DataFrame:
     """(id_a, id_b, distance) with id_a < id_b of all pairs within the threshold.
 
@@ -25,10 +29,10 @@ def near_pairs(items: DataFrame, threshold: int = 6, across: str | None = None)
     """
     known = items.where("fp IS NOT NULL")
     distinct = known.select("fp").distinct()
-    keyed = distinct.select("fp", F.explode(F.array(*[F.struct(F.lit(i).alias("band"), F.shiftrightunsigned("fp", s).bitwiseAND((1 << w) - 1).alias("value")) for i, (s, w) in enumerate(bands(threshold))])).alias("k")).select("fp", "k.band", "k.value")
+    keyed = distinct.select("fp", F.explode(F.array(*[F.struct(F.lit(i).alias("band"), _value(F.col("fp"), s, w).alias("value")) for i, (s, w) in enumerate(bands(threshold))])).alias("k")).select("fp", "k.band", "k.value")
     left, right = keyed.withColumnRenamed("fp", "fa"), keyed.withColumnRenamed("fp", "fb")
     pairs = left.join(right, ["band", "value"]).where("fa < fb").where(hamming(F.col("fa"), F.col("fb")) <= threshold)
-    earlier = [F.when(F.shiftrightunsigned(F.col("fa").bitwiseXOR(F.col("fb")), s).bitwiseAND((1 << w) - 1) == 0, F.lit(i)) for i, (s, w) in enumerate(bands(threshold))]
+    earlier = [F.when(_value(F.col("fa").bitwiseXOR(F.col("fb")), s, w) == 0, F.lit(i)) for i, (s, w) in enumerate(bands(threshold))]
     pairs = pairs.where(F.col("band") == F.coalesce(*earlier)).select("fa", "fb", hamming(F.col("fa"), F.col("fb")).alias("distance"))
     every = pairs.unionByName(distinct.select(F.col("fp").alias("fa"), F.col("fp").alias("fb"), F.lit(0).alias("distance")))
     cols = ["id"] + ([across] if across else [])

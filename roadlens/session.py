@@ -49,11 +49,10 @@ def scratch_dir(spark: SparkSession) -> str:
     """The shared folder of ``spark.checkpoint.dir``; a local one is set only where that is unset."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
-        kept = spark.sparkContext.getCheckpointDir()
-        path = kept or "file://" + tempfile.mkdtemp(prefix="roadlens-", dir=os.environ.get("TMPDIR", "/tmp"))
-        spark.conf.set("spark.checkpoint.dir", path)
-        if not kept:
-            spark.sparkContext.setCheckpointDir(path)
+        sc = spark.sparkContext
+        if not sc.getCheckpointDir():
+            sc.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="roadlens-"))
+        path = sc.getCheckpointDir()
     return path.rstrip("/")
 
 

@@ -59,5 +59,5 @@ def mined_negatives(os_v1: DataFrame | None = None, ws_v1: DataFrame | None = No
 
 def read_texts(spark: SparkSession, root: str, suffix: str, column: str) -> DataFrame:
     """(path, stem, column) of whole text files with a suffix below a folder."""
-    raw = spark.read.option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", f"*{suffix}").text(root)
+    raw = spark.read.text(root, wholetext=True, recursiveFileLookup=True, pathGlobFilter=f"*{suffix}")
     return raw.select(F.input_file_name().alias("path"), stem(F.input_file_name()).alias("stem"), F.col("value").alias(column))

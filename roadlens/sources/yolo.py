@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadlens.functions.text import file_name, sequence_of, stem, stripped_lines, tokens
+from roadlens.functions.text import sequence_of, stem, stripped_lines, tokens
 
 
 def read_labels(spark: SparkSession, root: str) -> DataFrame:
     """(path, split, stem, body) of root/labels/<split>/*.txt."""
-    raw = spark.read.option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", "*.txt").text(root).select(F.input_file_name().alias("path"), F.col("value").alias("body"))
+    raw = spark.read.text(root, wholetext=True, recursiveFileLookup=True, pathGlobFilter="*.txt").select(F.input_file_name().alias("path"), F.col("value").alias("body"))
     return raw.select("path", F.regexp_extract("path", r"/labels/([^/]+)/", 1).alias("split"), stem(F.col("path")).alias("stem"), "body")
 
 

@@ -1,0 +1,22 @@
+import pytest
+
+from roadlens.plans import catalogue
+from tests.conftest import same_rows
+
+
+@pytest.mark.parametrize("name", sorted(catalogue.ORACLES))
+def test_query_equals_its_sql(name, spark, sf, duck):
+    same_rows(catalogue.QUERIES[name](spark, sf), duck.sql(catalogue.ORACLES[name]))
+
+
+@pytest.mark.parametrize("name", sorted(set(catalogue.QUERIES) - set(catalogue.ORACLES)))
+def test_query_without_sql_runs(name, spark, sf):
+    assert catalogue.QUERIES[name](spark, sf).count() > 0
+
+
+def test_entry(spark):
+    import __spark_entry__ as entry
+
+    rows = {r["severity"]: r["n"] for r in entry.entry(spark).collect()}
+    assert set(rows) <= {"minor", "moderate", "severe"} and sum(rows.values()) > 0
+    assert set(entry.oracle_sql()) <= set(entry.queries())
