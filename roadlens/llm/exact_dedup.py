@@ -122,5 +122,5 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     groups = verified.groupBy("recipe_id").agg(F.count(F.lit(1)).alias("group_size"), F.max(F.struct("points", (-F.col("doc_id")).alias("neg"))).alias("best"))
     groups = groups.select("recipe_id", "group_size", (-F.col("best.neg")).alias("keep_id"))
     return verified.join(groups, "recipe_id").select(
-        "doc_id", "keep_id", F.col("group_size").cast("long").alias("group_size"), (F.col("doc_id") == F.col("keep_id")).alias("kept"), "text_sha256"
+        "doc_id", "keep_id", F.col("group_size").cast("long").alias("group_size"), F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256"
     )
