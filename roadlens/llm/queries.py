@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from roadlens.llm import sql
 from roadlens.session import table
 
 
@@ -77,50 +78,9 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_groups(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "kept")
 
 
-OP2_SQL = r"""
-WITH n AS (
-  SELECT doc_id, length(coalesce(text, '')) AS points, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS body FROM documents
-), k AS (
-  SELECT doc_id, sha256(body) AS text_sha256,
-    first_value(doc_id) OVER (PARTITION BY body ORDER BY points DESC, doc_id) AS keep_id,
-    count(*) OVER (PARTITION BY body) AS group_size
-  FROM n
-)
-SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM k
-"""
-
-OP9_SQL = r"""
-WITH z AS (
-  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::bigint AS size, md5(coalesce(doc_id::varchar, '')) AS digest FROM documents
-), s AS (
-  SELECT source, sum(size)::bigint AS source_size FROM z GROUP BY source
-), w AS (
-  SELECT *, [3, 1, 2][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3]::bigint AS w, (sum(source_size) OVER ())::bigint AS total FROM s
-), o AS (
-  SELECT *, (source_size * 2)::double / w AS stop FROM w
-), l AS (
-  SELECT *, (total * 1.5::double
-      - coalesce(sum(source_size * 2) OVER (ORDER BY stop, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::double)
-    / (sum(w) OVER () - coalesce(sum(w) OVER (ORDER BY stop, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::double AS level
-  FROM o
-), f AS (
-  SELECT (SELECT level FROM l WHERE level <= stop ORDER BY stop, source NULLS LAST LIMIT 1) AS final
-), t AS (
-  SELECT source, source_size, least((source_size * 2)::double, coalesce(w * final, (source_size * 2)::double)) AS target,
-    ('0x' || substr(md5('mix:' || coalesce(source, '')), 1, 8))::bigint / 4294967296::double AS u
-  FROM l, f
-), r AS (
-  SELECT z.*, t.source_size, t.target, t.u, CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0::double END AS rate,
-    (row_number() OVER (PARTITION BY z.source ORDER BY size, digest, doc_id NULLS LAST) - 1)::double AS rank
-  FROM z JOIN t ON z.source IS NOT DISTINCT FROM t.source
-)
-SELECT doc_id, size, source_size, target, (least(2, floor((rank + 1) * rate + u) - floor(rank * rate + u)) * size)::bigint AS taken FROM r
-"""
-
-
 def llm_queries() -> dict:
     return {f.__name__: f for f in (op1_embedding_dedup, op2_exact_dedup, op3_chat_formatting, op4_token_counts, op5_language_id, op6_sharding, op7_packing, op8_html_extraction, op9_mixing, op10_near_dedup)}
 
 
 def llm_oracles() -> dict[str, str]:
-    return {"op2_exact_dedup": OP2_SQL, "op9_mixing": OP9_SQL}
+    return {"op1_embedding_dedup": sql.OP1, "op2_exact_dedup": sql.OP2, "op3_chat_formatting": sql.OP3, "op8_html_extraction": sql.OP8, "op9_mixing": sql.OP9}

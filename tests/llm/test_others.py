@@ -157,6 +157,33 @@ def test_quotes_are_linked_and_removed(spark):
     assert quotes.format_chats(df.limit(0)).count() == 0
 
 
+def test_quotes_equal_sql(spark):
+    import duckdb
+    import pandas as pd
+
+    from roadlens.llm import sql
+    from tests.conftest import same_rows
+
+    rng = random.Random(21)
+    rows = []
+    for conv in range(30):
+        said: list[str] = []
+        for turn in range(rng.randrange(1, 9)):
+            own = [" ".join(rng.choice(["one", "Two,", "three", "FOUR!", "five"]) for _ in range(rng.randrange(1, 6))) for _ in range(rng.randrange(0, 4))]
+            lines = list(own)
+            if said and rng.random() < 0.6:
+                quoted = rng.choice(said).split("\n")
+                lines = ["Le 3 mai, A a écrit :"] * (rng.random() < 0.3) + [rng.choice(["> ", ">", ">> ", "> > "]) + q for q in quoted] + ["", *own]
+            said.append("\n".join(own) or "nothing")
+            rows.append((conv, turn + (turn > 3), rng.choice(["user", "assistant"]), "\n".join(lines)))
+    conversations = pd.DataFrame(rows, columns=["conv_id", "turn", "role", "text"])
+    con = duckdb.connect()
+    con.register("conversations", conversations)
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    assert quotes.link_messages(df).where("n_linked > 0").count() > 20
+    same_rows(quotes.format_chats(df), con.sql(sql.OP3))
+
+
 def test_long_conversation_spans_rows(spark):
     rng = random.Random(3)
     rows = [(9, i, "user", f"message {i}") for i in range(700)] + [(9, 700, "assistant", f"same turn {rng.random()}") for _ in range(40)]
