@@ -8,10 +8,11 @@ the chance of their probability Jaccard similarity J_P. Registers are banded; pa
 that share a band are verified by their exact J_P.
 
 Buckets are never expanded to all their pairs. Documents with the same shingles are
-one; each bucket's members are first tested against its smallest member; buckets that
-are then within one component are done. In the rest, members outside the smallest
-member's component are compared with all others in blocks by their registers, and
-pairs of different components that can still reach the threshold are verified.
+one; each bucket's members are first tested against its smallest member, then, where a
+bucket holds several components, against a member drawn by hash; buckets within one
+component are done. In the rest, members outside the drawn member's component are
+compared with all others in blocks by their registers, and pairs of different
+components that can still reach the threshold are verified.
 """
 
 from __future__ import annotations
@@ -35,6 +36,9 @@ REGISTERS = BANDS * ROWS
 ESTIMATE = THRESHOLD - 0.18
 #: Members of a block when a bucket is compared block by block.
 BLOCK = 256
+#: Rounds of tests against one member of each bucket, and bits of the bitmap of candidates at most.
+PIVOT_ROUNDS, MOST_BITS = 2, 1 << 27
+PAIR = "a long, b long, ca long, cb long"
 #: Bytes of text handled at once; a longer text is handled alone.
 STRETCH = 1 << 21
 
@@ -207,44 +211,79 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             one = tuple(np.frombuffer(x.as_buffer(), t) for x, t in ((ah, np.uint64), (at, "<i4")))
             two = tuple(np.frombuffer(x.as_buffer(), t) for x, t in ((bh, np.uint64), (bt, "<i4")))
             sims.append(similarity(one, two))
-        yield pa.record_batch([a, b, pa.array(sims, pa.float64())], names=["a", "b", "sim"])
+        yield pa.record_batch([a, b, batch.column("ca"), batch.column("cb"), pa.array(sims, pa.float64())], names=["a", "b", "ca", "cb", "sim"])
 
 
 def _agreement(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u2").reshape(-1, REGISTERS) for c in ("ar", "br"))
         keep = pa.array(np.flatnonzero((x == y).mean(axis=1) >= ESTIMATE))
-        yield pa.record_batch([batch.column("a").take(keep), batch.column("b").take(keep)], names=["a", "b"])
+        yield batch.select(["a", "b", "ca", "cb"]).take(keep)
 
 
-def _compare_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows come sorted by (task, side): pairs of the two sides, of different components, that agree enough."""
+def _tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[dict], list[dict]]]:
+    """(task, left rows, right rows) of rows that come sorted by (task, side)."""
     task, left, right = None, [], []
+    for batch in batches:
+        for row in batch.to_pylist():
+            if row["task"] != task:
+                if left and right:
+                    yield task, left, right
+                task, left, right = row["task"], [], []
+            (left if row["side"] == 0 else right).append(row)
+    if left and right:
+        yield task, left, right
+
+
+def _plausible(left: list[dict], right: list[dict]) -> Iterator[tuple[int, np.ndarray]]:
+    """For each left row: the right rows of other components whose registers agree enough, each pair in its first common band only."""
+    keys = [np.array([r["keys"] for r in side], dtype=np.int64) for side in (left, right)]
+    held = [np.frombuffer(b"".join(r["registers"] for r in side), "<u2").reshape(-1, REGISTERS) for side in (left, right)]
+    comps, reps = (np.array([r[c] for r in right], dtype=np.int64) for c in ("comp", "rep"))
+    for i, row in enumerate(left):
+        at = np.flatnonzero(comps != row["comp"])
+        at = at[(held[1][at] == held[0][i]).mean(axis=1) >= ESTIMATE]
+        common = keys[1][at] == keys[0][i]
+        at = at[keys[0][i][common.argmax(axis=1)] == row["key"]]
+        yield i, at[reps[at] != row["rep"]]
+
+
+def _survivors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The members of each block that have a plausible partner in it: rows grow with the members, not with the pairs."""
+    for task, left, right in _tasks(batches):
+        ls, rs = set(), set()
+        for i, at in _plausible(left, right):
+            if len(at):
+                ls.add(i)
+                rs.update(at.tolist())
+        rows = [(0, left[i]) for i in sorted(ls)] + [(1, right[j]) for j in sorted(rs)]
+        if rows:
+            yield pa.record_batch(
+                [pa.array([task] * len(rows), pa.int64()), pa.array([s for s, _ in rows], pa.int32()), *(pa.array([r[c] for _, r in rows], pa.int64()) for c in ("key", "rep", "comp"))],
+                names=["task", "side", "key", "rep", "comp"],
+            )
 
-    def pairs() -> pa.RecordBatch:
-        if left and right:
-            x = np.frombuffer(b"".join(r[2] for r in left), "<u2").reshape(-1, REGISTERS)
-            y = np.frombuffer(b"".join(r[2] for r in right), "<u2").reshape(-1, REGISTERS)
-            lc, rc = np.array([r[1] for r in left]), np.array([r[1] for r in right])
-            li, ri = np.array([r[0] for r in left]), np.array([r[0] for r in right])
-            found = []
-            for i in range(len(x)):
-                at = np.flatnonzero(rc != lc[i])
-                at = at[(y[at] == x[i]).mean(axis=1) >= ESTIMATE]
-                found.append(np.stack([np.minimum(ri[at], li[i]), np.maximum(ri[at], li[i])]))
-            got = np.unique(np.concatenate(found, axis=1), axis=1)
-            return pa.record_batch([pa.array(got[0], pa.int64()), pa.array(got[1], pa.int64())], names=["a", "b"])
-        return pa.record_batch([pa.array([], pa.int64()), pa.array([], pa.int64())], names=["a", "b"])
 
-    for batch in batches:
-        for t, side, rep, comp, reg in zip(*(batch.column(c).to_pylist() for c in ("task", "side", "rep", "comp", "registers")), strict=True):
-            if t != task:
-                if task is not None:
-                    yield pairs()
-                task, left, right = t, [], []
-            (left if side == 0 else right).append((rep, comp, reg))
-    if task is not None:
-        yield pairs()
+def _verify_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links of components by exact similarity within each block; pairs of components linked already aren't tested again."""
+    for _, left, right in _tasks(batches):
+        parent: dict[int, int] = {}
+
+        def find(c: int) -> int:
+            while parent.setdefault(c, c) != c:
+                c = parent[c]
+            return c
+
+        sets = [[(np.frombuffer(r["hashes"], np.uint64), np.frombuffer(r["times"], "<i4")) for r in side] for side in (left, right)]
+        links = []
+        for i, at in _plausible(left, right):
+            for j in at.tolist():
+                x, y = find(left[i]["comp"]), find(right[j]["comp"])
+                if x != y and similarity(sets[0][i], sets[1][j]) >= THRESHOLD:
+                    parent[max(x, y)] = min(x, y)
+                    links.append((left[i]["comp"], right[j]["comp"]))
+        if links:
+            yield pa.record_batch([pa.array(c, pa.int64()) for c in zip(*links, strict=True)], names=["ca", "cb"])
 
 
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -264,42 +303,90 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     members = reps.select(F.col("doc_id").alias("rep"), F.explode("keys").alias("key"))
     buckets = members.groupBy("key").agg(F.min("rep").alias("pivot"), F.max("rep").alias("top")).where("pivot < top").select("key", "pivot")
     members = materialize(members.join(buckets, "key"))
-
-    registers = materialize(reps.join(members.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi").select("doc_id", "registers"))
-    tested = members.where("rep <> pivot").select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct()
-    side = lambda name: registers.select(F.col("doc_id").alias(name), F.col("registers").alias(f"{name}r"))
-    likely = materialize(tested.join(side("b"), "b").join(side("a"), "a").select("a", "b", "ar", "br").mapInArrow(_agreement, "a long, b long"))
-    texts = slim.join(registers.select("doc_id"), "doc_id", "left_semi")
-    sets = materialize(texts.mapInArrow(_sets, "doc_id long, hashes binary, times binary").dropDuplicates(["doc_id"]))
-
-    links = materialize(_linked(likely, sets))
-    groups = materialize(connected_components(links, "a", "b"))
-    more = _linked(_rest(members, registers, groups).join(likely, ["a", "b"], "left_anti"), sets)
-    more = materialize(more)
-    if not more.isEmpty():
-        groups = materialize(connected_components(links.unionByName(more), "a", "b"))
-
-    classes = first.join(groups, first["rep"] == groups["node"], "left").select("same", F.coalesce("component", "rep").alias("class_id"))
+    candidates = materialize(members.select(F.col("rep").alias("doc_id")).distinct())
+    registers = materialize(reps.join(candidates, "doc_id", "left_semi").select("doc_id", "registers", "keys"))
+    sets = materialize(_sets_of(slim, candidates))
+
+    # First every member against the smallest of its bucket, then against one drawn anew in each bucket that holds several components.
+    tested = members.where("rep <> pivot").select(F.col("pivot").alias("a"), F.col("rep").alias("b"), F.col("pivot").alias("ca"), F.col("rep").alias("cb")).distinct()
+    comps = _joined(candidates.select(F.col("doc_id").alias("rep"), F.col("doc_id").alias("comp")), _linked(_likely(tested, registers), sets))
+    for k in range(1, PIVOT_ROUNDS):
+        own = _open(members, comps, k)
+        tested = own.where("comp <> pc").select(F.col("pivot").alias("a"), F.col("rep").alias("b"), F.col("pc").alias("ca"), F.col("comp").alias("cb")).distinct()
+        comps = _joined(comps, _linked(_likely(tested, registers), sets))
+    comps = _joined(comps, _rest(_open(members, comps, PIVOT_ROUNDS), registers, sets))
+
+    classes = first.join(comps, "rep", "left").select("same", F.coalesce("comp", "rep").alias("class_id"))
     every = sketch.select("doc_id", "same")
     return every.join(classes, "same", "left").select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(True)))
 
 
+def _sets_of(slim: DataFrame, candidates: DataFrame) -> DataFrame:
+    """(doc_id, hashes, times) of the candidates' texts.
+
+    A bitmap of the candidates' ids, of MOST_BITS at most however many there are,
+    spares other texts the shuffle; what it lets through by chance goes in the join.
+    """
+    bits = 1 << 20
+    n = candidates.count()
+    while bits < 16 * n and bits < MOST_BITS:
+        bits *= 2
+    place = F.pmod(F.xxhash64("doc_id", F.lit("bitmap")), F.lit(bits)) + 1
+    blocks = candidates.select(place.alias("p")).groupBy(F.bitmap_bucket_number("p").alias("block")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("bits")).collect()  # 4 KB for each 32768 bits
+    size = 32768
+    held = np.zeros((max(1, bits // size), size // 8), dtype=np.uint8)
+    for r in blocks:
+        held[r["block"] - 1] = np.frombuffer(r["bits"], np.uint8)
+    shared = slim.sparkSession.sparkContext.broadcast(held.ravel())
+
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        marks = shared.value
+        for batch in batches:
+            at = np.asarray(batch.column(2)) - 1
+            kept = batch.filter(pa.array((marks[at // size * (size // 8) + at % size // 8] >> (at % size % 8)).astype(np.uint8) & 1 == 1))
+            yield from _sets(iter([kept.select(["doc_id", "text"])]))
+
+    found = slim.where("doc_id IS NOT NULL").select("doc_id", "text", place.alias("p")).mapInArrow(pick, "doc_id long, hashes binary, times binary")
+    return found.join(candidates, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+
+
+def _likely(pairs: DataFrame, registers: DataFrame) -> DataFrame:
+    """The pairs whose registers agree enough to reach the threshold."""
+    side = lambda name: registers.select(F.col("doc_id").alias(name), F.col("registers").alias(f"{name}r"))
+    both = pairs.join(side("b"), "b").join(side("a"), "a").select("a", "b", "ca", "cb", "ar", "br")
+    return both.mapInArrow(_agreement, PAIR)
+
+
 def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs whose exact similarity reaches the threshold."""
+    """(ca, cb): components that a pair of exact similarity at the threshold or above links."""
     one = sets.select(F.col("doc_id").alias("a"), F.col("hashes").alias("ah"), F.col("times").alias("at"))
     two = sets.select(F.col("doc_id").alias("b"), F.col("hashes").alias("bh"), F.col("times").alias("bt"))
-    both = pairs.join(two, "b").join(one, "a").select("a", "b", "ah", "at", "bh", "bt")
-    return both.mapInArrow(_verify, "a long, b long, sim double").where(F.col("sim") >= THRESHOLD).select("a", "b")
-
-
-def _rest(members: DataFrame, registers: DataFrame, groups: DataFrame) -> DataFrame:
-    """Likely pairs of different components within buckets that still hold several."""
-    comp = groups.select(F.col("node").alias("rep"), "component")
-    own = members.join(comp, "rep", "left").select("key", "pivot", "rep", F.coalesce("component", "rep").alias("comp"))
-    root = groups.select(F.col("node").alias("pivot"), F.col("component").alias("pc"))
-    own = own.join(root, "pivot", "left").withColumn("inside", F.col("comp") == F.coalesce("pc", "pivot")).drop("pc").where("rep <> pivot")
-    # All members have been tested against the pivot: what is left are pairs with a member outside its component.
-    counts = own.groupBy("key").agg(F.count_if(~F.col("inside")).alias("outs"), F.count_if("inside").alias("ins")).where("outs > 0 AND outs + ins > 1")
+    both = pairs.join(two, "b").join(one, "a").select("a", "b", "ca", "cb", "ah", "at", "bh", "bt")
+    return both.mapInArrow(_verify, f"{PAIR}, sim double").where(F.col("sim") >= THRESHOLD).select("ca", "cb")
+
+
+def _joined(comps: DataFrame, links: DataFrame) -> DataFrame:
+    """(rep, comp) after components are linked."""
+    groups = connected_components(links, "ca", "cb").select(F.col("node").alias("comp"), "component")
+    return materialize(comps.join(groups, "comp", "left").select("rep", F.coalesce("component", "comp").alias("comp")))
+
+
+def _open(members: DataFrame, comps: DataFrame, turn: int) -> DataFrame:
+    """(key, rep, comp, pivot, pc) of the buckets that hold several components, with a member drawn by hash as pivot."""
+    own = members.select("key", "rep").join(comps, "rep")
+    draw = F.min(F.struct(F.xxhash64("rep", "key", F.lit(turn)).alias("h"), "rep", "comp")).alias("p")
+    several = own.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), draw).where("lo < hi").select("key", F.col("p.rep").alias("pivot"), F.col("p.comp").alias("pc"))
+    return materialize(own.join(several, "key"))
+
+
+def _rest(own: DataFrame, registers: DataFrame, sets: DataFrame) -> DataFrame:
+    """(ca, cb): links within open buckets, where members outside the pivot's component meet all others, block by block.
+
+    The first pass compares registers and returns the members of each block that have
+    a plausible partner there; only these fetch their shingles for the second.
+    """
+    own = own.withColumn("inside", F.col("comp") == F.col("pc"))
+    counts = own.groupBy("key").agg(F.count_if(~F.col("inside")).alias("outs"), F.count_if("inside").alias("ins"))
     own = materialize(own.join(counts, "key"))
     pick = lambda n: F.pmod(F.xxhash64("rep"), F.greatest(F.lit(1), F.ceil(n / BLOCK))).cast("int")
     blocks = lambda n: F.greatest(F.lit(0), F.ceil(n / BLOCK)).cast("int")
@@ -309,7 +396,7 @@ def _rest(members: DataFrame, registers: DataFrame, groups: DataFrame) -> DataFr
     upto = F.sequence(F.lit(0), F.col("block"))
     beyond = F.sequence(F.col("block"), blocks(F.col("outs")) - 1)
     task = lambda kind, x, y: F.xxhash64(F.col("key"), F.lit(kind), x, y)
-    base = ["rep", "comp"]
+    base = ["key", "rep", "comp"]
     parts = [
         outs.withColumn("o", F.explode(beyond)).select(task("oo", F.col("block"), F.col("o")).alias("task"), F.lit(0).alias("side"), *base),
         outs.withColumn("o", F.explode(upto)).select(task("oo", F.col("o"), F.col("block")).alias("task"), F.lit(1).alias("side"), *base),
@@ -317,6 +404,8 @@ def _rest(members: DataFrame, registers: DataFrame, groups: DataFrame) -> DataFr
         ins.withColumn("o", F.explode(span(F.col("outs")))).select(task("oi", F.col("o"), F.col("block")).alias("task"), F.lit(1).alias("side"), *base),
     ]
     every = parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
-    every = every.join(registers.withColumnRenamed("doc_id", "rep"), "rep")
-    dealt = every.repartition("task").sortWithinPartitions("task", "side")
-    return dealt.select("task", "side", "rep", "comp", "registers").mapInArrow(_compare_blocks, "a long, b long").distinct()
+    held = registers.withColumnRenamed("doc_id", "rep")
+    fields = ["task", "side", "key", "rep", "comp", "registers", "keys"]
+    found = every.join(held, "rep").select(*fields).repartition("task").sortWithinPartitions("task", "side").mapInArrow(_survivors, "task long, side int, key long, rep long, comp long")
+    found = materialize(found).join(held, "rep").join(sets.withColumnRenamed("doc_id", "rep"), "rep")
+    return found.select(*fields, "hashes", "times").repartition("task").sortWithinPartitions("task", "side").mapInArrow(_verify_blocks, "ca long, cb long")
