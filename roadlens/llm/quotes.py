@@ -91,8 +91,10 @@ def replies(msgs: DataFrame, found: DataFrame) -> DataFrame:
     for _ in range(MAX_ROUNDS):  # pointer jumping: the distance to the first turn in as many rounds as its logarithm
         if state.where("up IS NOT NULL").isEmpty():
             break
+        # Only turns that haven't reached the first one yet are joined again: one long conversation costs its own rows.
         above = state.select("key", F.col("turn").alias("up"), F.col("up").alias("next"), F.col("depth").alias("more"))
-        state = materialize(state.join(above, ["key", "up"], "left").select("key", "turn", "parent", F.col("next").alias("up"), (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth")))
+        moved = state.where("up IS NOT NULL").join(above, ["key", "up"], "left").select("key", "turn", "parent", F.col("next").alias("up"), (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth"))
+        state = materialize(state.where("up IS NULL").unionByName(moved))
     return state.select("key", "turn", "parent", "depth")
 
 
