@@ -42,8 +42,12 @@ class SeverityScorer:
         )
 
 
-#: Fixed value: what every estimate carries.
-CAVEAT = "Estimated from 2D image features only; not a measurement of depth."
+#: Fixed value: the caveat that every estimate carries.
+CAVEAT = (
+    "Severity is a heuristic estimate from bounding-box geometry and frame context only. It is not a physical measurement of depth, "
+    "diameter, or volume — this system has no camera calibration or depth sensing. Do not use this as the sole basis for prioritizing "
+    "repairs; use it to help triage for human review."
+)
 
 
 def score_frames(detections: DataFrame, frame: str = "image_id", scorer: SeverityScorer | None = None) -> DataFrame:

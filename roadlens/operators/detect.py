@@ -127,8 +127,3 @@ def responses(scored: DataFrame, model_version: Column | None = None, frame: str
     grouped = scored.groupBy(frame).agg(F.transform(F.array_sort(F.collect_list(one)), lambda s: s["d"]).alias("detections"))
     version = model_version if model_version is not None else F.lit(None).cast("string")
     return grouped.select(frame, F.to_json(F.struct(F.lit(True).alias("success"), "detections", version.alias("model_version"))).alias("response"))
-
-
-def decode_wide(detections: DataFrame) -> DataFrame:
-    """Class name by id of detections, null beyond the list."""
-    return detections.withColumn("class_name", F.when(F.col("class_id") == 0, "pothole"))
