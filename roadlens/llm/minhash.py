@@ -22,6 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -157,23 +158,23 @@ def _general(x: np.ndarray, y: np.ndarray, xi: np.ndarray, yi: np.ndarray) -> fl
     return float((1 / inner).sum())
 
 
-def _stretches(texts: list[str | None]) -> Iterator[tuple[int, int]]:
+def _stretches(column: pa.Array) -> Iterator[tuple[int, list[str | None]]]:
+    """(first row, texts) of runs of rows of about STRETCH bytes: a batch never stands in Python as a whole."""
+    size = np.asarray(pc.fill_null(pc.binary_length(column), 0))
     begin, room = 0, 0
-    for i, t in enumerate(texts):
-        n = len(t or "")
+    for i, n in enumerate(size.tolist()):
         if i > begin and room + n > STRETCH:
-            yield begin, i
+            yield begin, column.slice(begin, i - begin).to_pylist()
             begin, room = i, 0
         room += n
-    if len(texts) > begin:
-        yield begin, len(texts)
+    if len(size) > begin:
+        yield begin, column.slice(begin).to_pylist()
 
 
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        texts = batch.column(1).to_pylist()
-        for b, e in _stretches(texts):
-            sets = shingles(texts[b:e])
+        for b, texts in _stretches(batch.column(1)):
+            sets, e = shingles(texts), b + len(texts)
             held = signatures(sets)
             some = np.array([len(h) > 0 for h, _ in sets])
             rows = held.reshape(len(sets), BANDS, ROWS)
@@ -194,9 +195,8 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        texts = batch.column(1).to_pylist()
-        for b, e in _stretches(texts):
-            sets = shingles(texts[b:e])
+        for b, texts in _stretches(batch.column(1)):
+            sets, e = shingles(texts), b + len(texts)
             yield pa.record_batch(
                 [batch.column(0).slice(b, e - b), pa.array([h.tobytes() for h, _ in sets], pa.binary()), pa.array([n.astype("<i4").tobytes() for _, n in sets], pa.binary())],
                 names=["doc_id", "hashes", "times"],
