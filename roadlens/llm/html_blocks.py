@@ -11,7 +11,7 @@ from __future__ import annotations
 import html
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from pathlib import Path
 
@@ -28,15 +28,22 @@ FIT_PAGES, FIT_ROUNDS = 2400, 5
 #: Blocks labelled at once.
 STRETCH = 4096
 
-_SKIP = "script|style|noscript|template|svg|iframe|object|canvas|math"
+#: Script and style hold raw text, up to their close tag or the end of the page; self-closed without a close tag they are empty.
 _TOKEN = re.compile(
-    rf"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<({_SKIP})\b(?:[^>"']|"[^"]*"|'[^']*')*>.*?(?:</\1\s*>|\Z)|<[!?][^>]*(?:>|\Z)"""
+    r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<(script|style)(?=[\s/>])(?:[^>"']|"[^"]*"|'[^']*')*>(?:.*?</\1(?=[\s/>])[^>]*>|(?<!/>).*\Z|)|<[!?][^>]*(?:>|\Z)"""
     r"""|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|([^<]+|<)""",
     re.S | re.I,
 )
 _MARKS = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|\d+")
 _INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark nobr q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
+#: Formulas stand in the line; a space goes before each of their parts.
+_MATH = frozenset("annotation maction math menclose merror mfenced mfrac mi mmultiscripts mn mo mover mpadded mphantom mroot mrow ms mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover semantics".split())
+_INLINE |= _MATH
+#: Drawings and their parts have no content where they are self-closed.
+_DRAWN = frozenset("animate circle ellipse g image line path polygon polyline rect stop svg symbol text tspan use".split())
+#: Elements with a close tag whose content isn't shown as text.
+_UNSHOWN = re.compile(r"<(?:svg|template)[\s/>]", re.I)
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements that a new one of the kind closes, up to the element that holds them.
 _CLOSES = {"p": ("p",), "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
@@ -44,6 +51,40 @@ _HOLDS = frozenset("article aside blockquote body div dl fieldset footer form he
 _ENDS_P = _HOLDS | frozenset("h1 h2 h3 h4 h5 h6 hr pre address figure details tr".split())
 
 
+#: Tags that leave a drawing that is still open.
+_LEAVES = _ENDS_P | frozenset("b big br center code dd dt em embed h1 i img li p span strong sub sup tr u".split())
+
+
+def _unshown(tokens: list[re.Match]) -> dict[int, int]:
+    """For each open tag of a closed drawing or template: the token to go on with. One without a close tag hides nothing."""
+    past: dict[int, int] = {}
+    opened: dict[str, list[int]] = {"svg": [], "template": []}
+    left: dict[int, int] = {}
+    for i, m in enumerate(tokens):
+        tag = (m[3] or m[6] or "").lower()
+        if tag in opened:
+            if m[2] or m[5]:
+                if opened[tag]:
+                    k = opened[tag].pop()
+                    past[k] = left.pop(k, i + 1)
+            elif tag != "svg" or not _self_closed(m):
+                opened[tag].append(i)
+        elif opened["svg"] and tag in _LEAVES:
+            for k in reversed(opened["svg"]):
+                if k in left:
+                    break
+                left[k] = i
+    return past
+
+
+def _attrs(m: re.Match) -> str:
+    return m[4] if m[4] is not None else m[7] or ""
+
+
+def _self_closed(m: re.Match) -> bool:
+    return _attrs(m).endswith("/")
+
+
 def _marks(attrs: str) -> tuple[str, ...]:
     found = []
     for kind, *values in _MARKS.findall(attrs):
@@ -70,7 +111,19 @@ def blocks(page: str) -> list[tuple[str, tuple[str, ...], float]]:
                 out.append((joined, tuple(tokens), min(1.0, linked / len(joined))))
         text, path, linked = [], None, 0
 
-    for m in _TOKEN.finditer(page):
+    tokens: Iterable[re.Match] = _TOKEN.finditer(page)
+    past: dict[int, int] = {}
+    if _UNSHOWN.search(page):
+        tokens = list(tokens)
+        past = _unshown(tokens)
+    resume = 0
+    for at, m in enumerate(tokens):
+        if at < resume:
+            continue
+        if at in past:
+            resume = past[at]
+            text.append(" ")
+            continue
         run = m[8]
         if run is not None:
             if path is None and not run.isspace():
@@ -88,8 +141,13 @@ def blocks(page: str) -> list[tuple[str, tuple[str, ...], float]]:
         if tag == "br" or tag in _VOID and tag not in _INLINE and tag != "hr":
             text.append(" ")
             continue
+        if tag == "svg":
+            text.append(" ")
+            continue
         if tag not in _INLINE:
             flush()
+        elif tag in _MATH and not close:
+            text.append(" ")
         if tag in _VOID:
             continue
         if close:
@@ -108,8 +166,8 @@ def blocks(page: str) -> list[tuple[str, tuple[str, ...], float]]:
                         break
                     if stack[k][0] in _HOLDS:
                         break
-            attrs = m[4] if m[4] is not None else m[7] or ""
-            if not attrs.rstrip().endswith("/") or tag not in ("path",):
+            attrs = _attrs(m)
+            if not _self_closed(m) or tag not in _DRAWN and tag not in _MATH:
                 stack.append((tag, _marks(attrs) if "=" in attrs else ()))
         links = sum(1 for t, _ in stack if t == "a") if tag == "a" else links and sum(1 for t, _ in stack if t == "a")
     flush()

@@ -72,6 +72,15 @@ def test_blocks_of_broken_markup():
     assert html_blocks.blocks("") == [] and html_blocks.blocks("<<>< p") != []
 
 
+def test_blocks_after_elements_without_close_tag():
+    odd = ['<svg-icon name="x"></svg-icon>', '<svg class="i"/>', '<svg class="i">', "<style-guide></style-guide>", "<template>", '<math class="m"/>', "<object>", "<style/>", "<svg><title>no</title><svg>no</svg>no</svg>", "<template>no<template>no</template>no</template>"]
+    for x in odd:
+        page = f"<article><p>one</p>{x}<p>two</p><p>three</p></article>"
+        assert [t for t, _, _ in html_blocks.blocks(page)] == ["one", "two", "three"], x
+    kept = "<article><noscript>ns</noscript><object><p>ob</p></object><p>Let <math><mi>x</mi><mo>=</mo><mn>2</mn></math>, so</p><svg><title>no</title><foreignObject><p>fo</p></foreignObject></svg><p>end</p></article>"
+    assert [t for t, _, _ in html_blocks.blocks(kept)] == ["ns", "ob", "Let x = 2, so", "fo", "end"]
+
+
 def test_gradients_against_differences():
     model = html_blocks.BlockModel(5)
     rng = np.random.default_rng(5)
