@@ -88,7 +88,7 @@ def _self_closed(m: re.Match) -> bool:
 def _marks(attrs: str) -> tuple[str, ...]:
     found = []
     for kind, *values in _MARKS.findall(attrs):
-        found += [p.lower() for v in values if v for p in _PARTS.findall(v)[:8]]
+        found += [p.lower() for v in values if v for p in _PARTS.findall(v)]
     return tuple(found)
 
 
@@ -315,7 +315,7 @@ def fit_block_model(n_pages: int = FIT_PAGES, rounds: int = FIT_ROUNDS, seed: in
     model, sets = BlockModel(seed), []
     for _ in range(n_pages):
         page, wanted = made_page(rng)
-        own = blocks(page)[:120]
+        own = blocks(page)
         if own:
             sets.append((features(own), np.array([wanted(t) for t, _, _ in own], dtype=np.float32)))
     m = {k: np.zeros_like(w) for k, w in model.p.items()}

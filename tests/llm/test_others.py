@@ -81,6 +81,11 @@ def test_blocks_after_elements_without_close_tag():
     assert [t for t, _, _ in html_blocks.blocks(kept)] == ["ns", "ob", "Let x = 2, so", "fo", "end"]
 
 
+def test_every_part_of_a_class_is_read():
+    ((_, path, _),) = html_blocks.blocks('<div class="col-12 col-md-8 col-lg-6 mt-4 sidebar">x</div>')
+    assert "sidebar" in path and "last sidebar" in path
+
+
 def test_gradients_against_differences():
     model = html_blocks.BlockModel(5)
     rng = np.random.default_rng(5)
