@@ -1,11 +1,13 @@
 """Near-duplicate embeddings: spherical k-means cells and blocked cosine products.
 
 Equal vectors are collapsed first. Cells, about ``CELL`` vectors each, come from
-spherical k-means on a bounded sample; every vector has a home cell and is a guest in
-the next nearest ones, so that a close pair split by a cell's border still meets.
-Within a cell, home vectors are multiplied block by block with its home vectors and
-guests, in double precision. A block returns sums of links and a spanning forest, not
-pairs. One representative of each linked group is kept: its smallest id.
+spherical k-means on a bounded sample; every vector has the nearest centre's cell for
+its home and is a guest in every later cell that can hold a partner of it, by the
+cell's border and radius. So no link is missed, and each is met once: in a common home
+or in the later home of the two. Within a cell, home vectors are multiplied block by
+block with its home vectors and guests, in double precision. A block returns sums of
+links and a spanning forest, not pairs. One representative of each linked group is
+kept: its smallest id.
 """
 
 from __future__ import annotations
@@ -22,8 +24,10 @@ from roadlens.operators.components import connected_components
 from roadlens.session import materialize
 
 THRESHOLD = 0.9
-#: Vectors aimed at for a cell, cells that a vector is put in, vectors of a block.
-CELL, PROBES, BLOCK = 1024, 10, 1024
+#: Vectors aimed at for a cell, home vectors of a block, guests of a block.
+CELL, BLOCK, GUESTS = 1024, 1024, 4096
+#: Slack of the bounds, above the rounding of double-precision products.
+SLACK = 1e-6
 #: Bounds of the fit: cells, sampled vectors for each, and bytes of the sample.
 MOST_CELLS, SAMPLE_PER_CELL, SAMPLE_BYTES = 8192, 24, 64 << 20
 
@@ -87,14 +91,6 @@ def _products(threshold: float):
             linked = x @ y.T >= threshold if len(left) and len(right) else np.zeros((len(left), len(right)), dtype=bool)
             if same:
                 np.fill_diagonal(linked, False)
-            elif right and right[0][0] == 2:
-                # A pair whose homes both know both vectors is counted in the smaller home cell only.
-                own = left[0][4][0]
-                guest_home = np.array([r[4][0] for r in right])
-                for j in np.flatnonzero(linked.any(axis=0) & (guest_home < own)):
-                    for i in np.flatnonzero(linked[:, j]):
-                        if guest_home[j] in left[i][4]:
-                            linked[i, j] = False
             ln, rn = (np.array([r[2] for r in side], dtype=np.int64) for side in (left, right))
             la, rb = _forest(linked, lid, rid)
             ids, sums, tos = [lid], [linked @ rn], [la]
@@ -105,7 +101,7 @@ def _products(threshold: float):
             return pa.record_batch([pa.array(c[keep], pa.int64()) for c in got], names=["rep", "links", "to"])
 
         for batch in batches:
-            for t, *row in zip(*(batch.column(c).to_pylist() for c in ("task", "side", "rep", "n", "unit", "cells")), strict=True):
+            for t, *row in zip(*(batch.column(c).to_pylist() for c in ("task", "side", "rep", "n", "unit")), strict=True):
                 if t != task:
                     if rows:
                         yield block()
@@ -117,11 +113,12 @@ def _products(threshold: float):
     return run
 
 
-def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, id_col: str = "vec_id", vec_col: str = "embedding", cell: int = CELL, probes: int = PROBES) -> DataFrame:
+def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, id_col: str = "vec_id", vec_col: str = "embedding", cell: int = CELL, probes: int | None = None) -> DataFrame:
     """One row per vector: vec_id, n_links, component_id, kept.
 
-    n_links counts the other vectors found with cosine >= ``threshold``, equal ones
-    included. Vectors that are null, empty, zero or hold null or non-finite components
+    n_links counts all other vectors with cosine >= ``threshold``, equal ones included.
+    ``probes`` is kept for callers and has no effect: which cells are visited depends on
+    the vectors. Vectors that are null, empty, zero or hold null or non-finite components
     link with nothing, nor do vectors of different lengths with each other. Repeated
     rows count each. An empty table gives no rows; other columns are ignored.
     """
@@ -130,7 +127,7 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, id_col: str =
     clean = materialize(slim.mapInArrow(_clean, "vec_id long, dim int, same binary, unit binary"))
     valid = clean.where("same IS NOT NULL AND vec_id IS NOT NULL")
     reps = materialize(valid.groupBy("dim", "same").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("n"), F.first("unit").alias("unit")))
-    found = [_in_cells(reps.where(F.col("dim") == r["dim"]), r["dim"], r["count"], threshold, cell, probes) for r in reps.groupBy("dim").count().collect()]
+    found = [_in_cells(reps.where(F.col("dim") == r["dim"]), r["dim"], r["count"], threshold, cell) for r in reps.groupBy("dim").count().collect()]
     if found:
         sums = found[0]
         for more in found[1:]:
@@ -146,7 +143,7 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, id_col: str =
     return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(F.col("vec_id") == component, F.lit(True)).alias("kept"))
 
 
-def _in_cells(reps: DataFrame, dim: int, n: int, threshold: float, cell: int, probes: int) -> DataFrame:
+def _in_cells(reps: DataFrame, dim: int, n: int, threshold: float, cell: int) -> DataFrame:
     """(rep, links, to) found among the vectors of one length."""
     spark = reps.sparkSession
     k = max(1, min(MOST_CELLS, -(-n // cell)))
@@ -158,27 +155,48 @@ def _in_cells(reps: DataFrame, dim: int, n: int, threshold: float, cell: int, pr
         k = min(k, len(drawn))
     sample = np.frombuffer(b"".join(r["unit"] for r in drawn), np.float64).reshape(-1, dim) if k > 1 else np.ones((1, dim))
     centres = spark.sparkContext.broadcast(spherical_kmeans(sample, k) if k > 1 else sample)
-    p = min(probes, k)
 
-    def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = centres.value
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            x = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.float64).reshape(-1, dim)
-            near = np.argsort(-(x @ c.T), axis=1, kind="stable")[:, :p].astype(np.int32)
-            yield pa.record_batch([batch.column(0), batch.column(1), batch.column(2), pa.array(list(near), pa.list_(pa.int32()))], names=["rep", "n", "unit", "cells"])
-
-    placed = materialize(reps.select("rep", "n", "unit").mapInArrow(assign, "rep long, n long, unit binary, cells array<int>"))
-    home = placed.withColumn("cell", F.col("cells")[0])
-    guests = placed.withColumn("cell", F.explode(F.slice("cells", 2, p))) if p > 1 else None
+            if batch.num_rows:
+                x = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.float64).reshape(-1, dim)
+                p = x @ c.T
+                home = p.argmax(axis=1)
+                yield pa.record_batch([*batch.columns, pa.array(home, pa.int32()), pa.array(p[np.arange(len(p)), home])], names=["rep", "n", "unit", "cell", "near"])
+
+    home = materialize(reps.select("rep", "n", "unit").mapInArrow(settle, "rep long, n long, unit binary, cell int, near double"))
+    radius = np.full(k, -np.inf)  # of each cell, as an angle
+    for r in home.groupBy("cell").agg(F.min("near").alias("least")).collect() if k > 1 else ():
+        radius[r["cell"]] = np.arccos(np.clip(r["least"], -1, 1))
+    bounds = spark.sparkContext.broadcast(radius)
+    reach = float(np.arccos(np.clip(threshold, -1, 1)))
+
+    def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The later cells that may hold a vector within ``reach``: their radius comes near enough, and so does the border to them, where both centres are equally far."""
+        c, rad = centres.value, bounds.value
+        for batch in batches:
+            for at in range(0, batch.num_rows, 512):
+                part = batch.slice(at, 512)
+                x = np.frombuffer(b"".join(part.column(2).to_pylist()), np.float64).reshape(-1, dim)
+                own = np.asarray(part.column(3))
+                p = x @ c.T
+                near = p[np.arange(len(p)), own][:, None]
+                apart = np.sqrt(np.maximum(2 - 2 * (c[own] @ c.T), 0))  # of the centres; beyond a right angle every border is in reach
+                border = near - p <= np.sin(min(reach, np.pi / 2)) * apart + SLACK
+                meets = border & (np.arccos(np.clip(p, -1, 1)) <= rad + reach + np.sqrt(SLACK)) & (np.arange(k) > own[:, None])
+                rows, cells = np.nonzero(meets)
+                starts = np.concatenate([[0], np.cumsum(meets.sum(axis=1))])
+                yield pa.record_batch([*part.columns[:3], pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(cells, pa.int32()))], names=["rep", "n", "unit", "cells"])
+
+    guests = materialize(home.mapInArrow(visit, "rep long, n long, unit binary, cells array<int>")).withColumn("cell", F.explode("cells")).drop("cells") if k > 1 else None
     homes = home.groupBy("cell").agg(F.count(F.lit(1)).alias("h"))
     counts = homes if guests is None else homes.join(guests.groupBy("cell").agg(F.count(F.lit(1)).alias("g")), "cell", "left")
-    counts = counts.select("cell", F.ceil(F.col("h") / BLOCK).cast("int").alias("hb"), (F.lit(0) if guests is None else F.ceil(F.coalesce("g", F.lit(0)) / BLOCK).cast("int")).alias("gb"))
+    counts = counts.select("cell", F.ceil(F.col("h") / BLOCK).cast("int").alias("hb"), (F.lit(0) if guests is None else F.ceil(F.coalesce("g", F.lit(0)) / GUESTS).cast("int")).alias("gb"))
     counts = F.broadcast(materialize(counts))  # a row for each cell: MOST_CELLS at most
     block = lambda n: F.pmod(F.xxhash64("rep", F.lit("block")), n).cast("int")
     task = lambda kind, x, y: F.xxhash64(F.col("cell"), F.lit(kind), x, y).alias("task")
-    rest = ["rep", "n", "unit", "cells"]
+    rest = ["rep", "n", "unit"]
     h = home.join(counts, "cell").withColumn("b", block(F.col("hb")))
     parts = [
         h.withColumn("o", F.explode(F.sequence(F.col("b"), F.col("hb") - 1))).select(task("hh", F.col("b"), F.col("o")), F.when(F.col("b") == F.col("o"), -1).otherwise(0).alias("side"), *rest),

@@ -55,6 +55,20 @@ def test_recall_over_many_cells(spark):
     assert total > 300 and sum(got.values()) >= 0.98 * total and all(got[i] <= want[i][0] for i in got)
 
 
+def test_no_link_is_lost_among_many_cells(spark):
+    x = np.random.default_rng(6).normal(size=(1500, 64))
+    x[:, 0] += 2.2 * 8  # a common direction: hundreds of cells are about equally near
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    linked = x @ x.T >= 0.9
+    label = np.arange(len(x))
+    for _ in range(len(x)):
+        label, before = np.where(linked, label, len(x)).min(axis=1), label
+        if (label == before).all():
+            break
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in embed_dedup.near_vectors(spark.createDataFrame(list(enumerate(x.tolist())), "vec_id long, embedding array<double>"), cell=5).collect()}
+    assert got == {i: (int(linked[i].sum()) - 1, int(label[i])) for i in range(len(x))} and linked.sum() > 8000
+
+
 def test_hot_vector(spark):
     rng = np.random.default_rng(3)
     hot = rng.normal(size=16)
