@@ -245,6 +245,37 @@ def cluster_montage(spark, sf):
     return dedupe.montage(dedupe.clusters(fx.fingerprinted(spark, sf)))
 
 
+#: Clusters over equal content and near fingerprints together, the reference's default; KEEP_SQL is its exact-only option.
+COMBINED_SQL = f"""{fx.FILES_SQL}, {PAIRS_SQL},
+f AS (SELECT path, CASE WHEN md5 IS NULL THEN path ELSE min(path) OVER (PARTITION BY md5) END AS first FROM fx_files),
+e AS (SELECT a.path AS x, b.path AS y FROM p JOIN fx_files a ON a.doc_id = id_a JOIN fx_files b ON b.doc_id = id_b UNION ALL SELECT first, path FROM f WHERE first <> path),
+b AS (SELECT x, y FROM e UNION ALL SELECT y, x FROM e),
+reach(path, r) AS (SELECT path, path FROM fx_files UNION SELECT reach.path, b.y FROM reach JOIN b ON b.x = reach.r),
+m AS (SELECT path, min(r) AS cluster FROM reach GROUP BY path),
+k AS (SELECT *, row_number() OVER (PARTITION BY cluster ORDER BY {_PRIO}, name, path) AS rank FROM fx_files JOIN m USING (path))"""
+
+
+def _clustered_combined(spark, sf):
+    files = fx.hashed_prints(spark, sf)
+    return files.join(dedupe.clusters(files, "path"), "path")
+
+
+@query(f"WITH RECURSIVE {COMBINED_SQL} SELECT cluster, path, split, rank FROM k")
+def dedupe_keepers_combined(spark, sf):
+    return dedupe.keepers(_clustered_combined(spark, sf)).select("cluster", "path", "split", "rank")
+
+
+@query(f"WITH RECURSIVE {COMBINED_SQL} SELECT cluster, path FROM (SELECT *, row_number() OVER (PARTITION BY cluster ORDER BY name, source, path) AS r2 FROM k) WHERE r2 = 1")
+def merge_keepers_combined(spark, sf):
+    return dedupe.merge_keepers(_clustered_combined(spark, sf)).where("rank = 1").select("cluster", "path")
+
+
+@query(f"WITH RECURSIVE {COMBINED_SQL} SELECT split, count(*) AS before, count(*) FILTER (WHERE rank > 1) AS removed, count(*) FILTER (WHERE rank = 1) AS after FROM k GROUP BY split")
+def dedupe_removals_combined(spark, sf):
+    files = fx.hashed_prints(spark, sf)
+    return dedupe.removal_summary(files, dedupe.removals(dedupe.keepers(_clustered_combined(spark, sf))))
+
+
 # Splits, backgrounds and samples --------------------------------------------------------------------------------------
 
 

@@ -116,6 +116,11 @@ FP_SQL = """fx_fp AS (
   FROM documents)"""
 
 
+def hashed_prints(spark: SparkSession, sf: str) -> DataFrame:
+    """``hashed_files`` with the fingerprint of each file next to its md5."""
+    return hashed_files(spark, sf).join(fingerprinted(spark, sf).select(F.col("id").alias("doc_id"), "fp"), "doc_id")
+
+
 def class_sets(spark: SparkSession, sf: str) -> DataFrame:
     """(image_id, class_ids): up to three of 16 classes."""
     return table(spark, sf, "part").selectExpr(

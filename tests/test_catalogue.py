@@ -20,3 +20,12 @@ def test_entry(spark):
     rows = {r["severity"]: r["n"] for r in entry.entry(spark).collect()}
     assert set(rows) <= {"minor", "moderate", "severe"} and sum(rows.values()) > 0
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_near_copies_are_removed_with_exact_ones(spark, sf):
+    gone = {name: sum(r["removed"] for r in catalogue.QUERIES[name](spark, sf).collect()) for name in ("dedupe_removals", "dedupe_removals_combined")}
+    ranked = {r["path"]: r for r in catalogue.QUERIES["dedupe_keepers_combined"](spark, sf).collect()}
+    pairs = catalogue.QUERIES["near_duplicate_pairs"](spark, sf).collect()
+    path = {r["doc_id"]: r["path"] for r in catalogue.fx.hashed_files(spark, sf).collect()}
+    assert pairs and all(ranked[path[p["id_a"]]]["cluster"] == ranked[path[p["id_b"]]]["cluster"] for p in pairs)
+    assert gone["dedupe_removals_combined"] > gone["dedupe_removals"]
