@@ -117,23 +117,43 @@ def link_messages(conversations: DataFrame) -> DataFrame:
     )
 
 
+def _pieces(many: DataFrame, row_messages: int) -> DataFrame:
+    """Adds piece: the rank of a message in its part, in reply order, by ``row_messages``.
+
+    Ranges of the order are cells, whatever conversation they are of; cells are ranked
+    each on its own, and prefix sums run over their counts alone.
+    """
+    n = int(many.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = many.withColumn("head", F.substring("line", 1, 256)).repartitionByRange(n, "key", "part", "depth", "turn", "r", "head").drop("head")
+    dealt = materialize(dealt.withColumn("cell", F.spark_partition_id()))
+    upto = Window.partitionBy("key", "part").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
+    starts = dealt.groupBy("key", "part", "cell").agg(F.count(F.lit(1)).alias("held")).select("key", "part", "cell", F.coalesce(F.sum("held").over(upto), F.lit(0)).alias("start"))
+    own = Window.partitionBy("key", "part", "cell").orderBy("depth", "turn", "r", "line")
+    ranked = dealt.withColumn("nth", F.row_number().over(own) - 1).join(starts, ["key", "part", "cell"])
+    return ranked.select(*many.columns, F.floor((F.col("start") + F.col("nth")) / row_messages).alias("piece"))
+
+
 def chat_rows(linked: DataFrame, row_messages: int = ROW_MESSAGES) -> DataFrame:
     """Conversations in reply order: conv_id, part, piece, n_messages, n_quotes, n_linked, chat.
 
     Messages are ordered by depth, then turn, role and content: each stands after the
-    one it answers. A long conversation spans several parts, and a depth that very
-    many messages share several pieces, so that no row grows without bound.
+    one it answers. A long conversation spans several parts of ``row_messages`` depths,
+    and a part of very many messages several pieces, consecutive in that order, so that
+    no row grows without bound: joined by part and piece, chats give the whole order.
     """
-    parted = linked.withColumn("part", F.coalesce(F.floor(F.col("depth") / row_messages), F.lit(-1)))
-    sizes = parted.groupBy("key", "part").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 4 * row_messages)
-    cut = parted.join(sizes, ["key", "part"], "left").withColumn("piece", F.pmod(F.xxhash64("turn", "role", "content"), F.coalesce(F.ceil(F.col("n") / row_messages), F.lit(1))))
     line = F.concat(F.lit("<|"), F.coalesce("role", F.lit("unknown")), F.lit("|>\n"), F.col("content"), F.lit("<|end|>\n"))
+    parted = linked.withColumn("part", F.coalesce(F.floor(F.col("depth") / row_messages), F.lit(-1)))
+    parted = materialize(parted.select("key", "part", "conv_id", "depth", "turn", F.coalesce("role", F.lit("")).alias("r"), line.alias("line"), "n_quotes", "n_linked"))
+    sizes = materialize(parted.groupBy("key", "part").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 4 * row_messages).drop("n"))
+    cut = parted.withColumn("piece", F.lit(0).cast("long"))
+    if not sizes.isEmpty():
+        cut = parted.join(sizes, ["key", "part"], "left_anti").withColumn("piece", F.lit(0).cast("long")).unionByName(_pieces(parted.join(sizes, ["key", "part"], "left_semi"), row_messages))
     rows = cut.groupBy("key", "part", "piece").agg(
         F.first("conv_id").alias("conv_id"),
         F.count(F.lit(1)).alias("n_messages"),
         F.sum("n_quotes").alias("n_quotes"),
         F.sum("n_linked").alias("n_linked"),
-        F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("depth", "turn", F.coalesce("role", F.lit("")).alias("r"), line.alias("line")))), lambda s: s["line"]), "").alias("chat"),
+        F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("depth", "turn", "r", "line"))), lambda s: s["line"]), "").alias("chat"),
     )
     return rows.select("conv_id", "part", "piece", "n_messages", "n_quotes", "n_linked", "chat")
 

@@ -219,3 +219,11 @@ def test_long_conversation_spans_rows(spark):
     got = rows_of(quotes.chat_rows(quotes.link_messages(df), row_messages=4))
     assert sum(r["n_messages"] for r in got) == 740 and max(r["n_messages"] for r in got) < 40
     assert max(r["part"] for r in got) == 700 // 4
+
+
+def test_pieces_keep_the_reply_order(spark):
+    rows = [(9, 0, "user", "root")] + [(9, i, "assistant", f"> root\nanswer {i % 7} {i}") for i in range(1, 300)] + [(8, 0, "user", "short")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = sorted((r for r in rows_of(quotes.chat_rows(quotes.link_messages(df), row_messages=4)) if r["conv_id"] == 9), key=lambda r: (r["part"], r["piece"]))
+    assert "".join(r["chat"] for r in got) == "<|user|>\nroot<|end|>\n" + "".join(f"<|assistant|>\nanswer {i % 7} {i}<|end|>\n" for i in range(1, 300))
+    assert [r["n_messages"] for r in got] == [4] * 75 and [r["piece"] for r in got] == list(range(75))
