@@ -2,7 +2,8 @@
 
 Each stage takes (spark, docs, sf_dir), works on all that its predecessor kept and
 returns a DataFrame, written as Parquet and reread as the next one's docs. All but
-the last return the columns of documents.
+the last return the columns of documents. Rows without a doc_id, or that share one,
+are documents of their own.
 """
 
 from __future__ import annotations
@@ -27,12 +28,38 @@ def _apart(docs: DataFrame, found: DataFrame) -> DataFrame:
     return found.toDF(*[f"{mark}{c}" for c in found.columns])
 
 
-def _keep(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The documents whose id is in the one column of ``ids``; repeated rows of an id become one."""
-    chosen = _apart(docs, ids.distinct())
-    kept = docs.join(chosen, docs["doc_id"].eqNullSafe(chosen[0]), "left_semi")
-    repeated = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    return kept.dropDuplicates(["doc_id"]) if not repeated.isEmpty() else kept
+def _numbered(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` and the name of a new column that tells its rows apart.
+
+    That is doc_id where every row has its own. Otherwise one row of an id has it for
+    its number, and other rows, and those without an id, have numbers above all ids.
+    """
+    row = "_row"
+    while row in {c.lower() for c in docs.columns}:
+        row += "_"
+    odd = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1 OR doc_id IS NULL")
+    if odd.isEmpty():
+        return docs.withColumn(row, F.col("doc_id")), row
+    placed = materialize(docs.withColumn(row, F.monotonically_increasing_id()))
+    top = max(placed.agg(F.max("doc_id")).head()[0] or 0, 0)
+    if top >= 1 << 62:  # no room above the ids
+        return placed, row
+    first = _apart(placed, placed.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min(row).alias("first")))
+    joined = placed.join(first, (placed["doc_id"] == first[0]) & (placed[row] == first[1]), "left")
+    number = F.when(first[0].isNotNull(), placed["doc_id"]).otherwise(placed[row] + F.lit(top + 1))
+    return materialize(joined.select(*[placed[c] for c in docs.columns], number.alias(row))), row
+
+
+def _by_row(rows: DataFrame, row: str) -> DataFrame:
+    """``rows`` as operators get them, with the rows' numbers for doc_id."""
+    return rows.select(*[rows[row].alias(c) if c == "doc_id" else rows[c] for c in rows.columns if c != row])
+
+
+def _keep(docs: DataFrame, groups) -> DataFrame:
+    """The rows of ``docs`` that ``groups`` keeps, each by its own decision."""
+    rows, row = _numbered(docs)
+    chosen = _apart(rows, groups(_by_row(rows, row)).where("kept").select("doc_id"))
+    return rows.join(chosen, rows[row] == chosen[0], "left_semi").select(*docs.columns)
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,24 +67,26 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     A null lang is filled with the prediction.
     """
-    found = _apart(docs, identify(docs).select("doc_id", "lang_pred").dropDuplicates(["doc_id"]))
-    joined = docs.join(found, docs["doc_id"].eqNullSafe(found[0])).where(found[1] != UNKNOWN)
-    return joined.select(*[F.coalesce(docs[c], found[1]).alias(c) if c == "lang" else docs[c] for c in docs.columns])
+    rows, row = _numbered(docs)
+    found = _apart(rows, identify(_by_row(rows, row)).select("doc_id", "lang_pred"))
+    joined = rows.join(found, rows[row] == found[0]).where(found[1] != UNKNOWN)
+    return joined.select(*[F.coalesce(rows[c], found[1]).alias(c) if c == "lang" else rows[c] for c in docs.columns])
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _keep(docs, exact_groups(docs).where("kept").select("keep_id"))
+    return _keep(docs, exact_groups)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _keep(docs, near_groups(docs).where("kept").select("doc_id"))
+    return _keep(docs, near_groups)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as the mix takes it."""
-    copies = _apart(docs, mix_sources(docs).where("copies > 0").select("doc_id", F.sequence(F.lit(1), F.col("copies").cast("int")).alias("copies")))
-    joined = docs.join(copies, docs["doc_id"].eqNullSafe(copies[0]))
-    return joined.select(*[docs[c] for c in docs.columns], F.explode(copies[1]).alias(f"{copies.columns[1]}_")).select(*docs.columns)
+    rows, row = _numbered(docs)
+    copies = _apart(rows, mix_sources(_by_row(rows, row)).where("copies > 0").select("doc_id", F.sequence(F.lit(1), F.col("copies").cast("int")).alias("copies")))
+    joined = rows.join(copies, rows[row] == copies[0])
+    return joined.select(*[rows[c] for c in docs.columns], F.explode(copies[1]).alias(f"{copies.columns[1]}_")).select(*docs.columns)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

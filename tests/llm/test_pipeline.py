@@ -64,3 +64,18 @@ def test_stages_meet_messy_and_empty_documents(spark, sf, messy, empty):
             if name != "packing":
                 assert docs.columns == start.columns
         assert (docs.count() == 0) == (start is empty)
+
+
+def test_rows_without_an_id_of_their_own_have_their_own_decisions(spark, sf):
+    rows = [(None, None), (None, "12345 67890"), *[(None, f"orphan number{i} speaks of thing{i} and place{i}") for i in range(6)], (None, "orphan number3 speaks of thing3 and place3")]
+    rows += [(5, "five says one thing"), (5, "five says quite another story"), (6, "five says one thing"), (7, "7 7 7"), (7, "seven has letters here")]
+    docs = spark.createDataFrame([(i, t, "en", "a", len(t or "")) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    lettered = sorted((repr(i), t) for i, t in rows if any(c.isalpha() for c in t or ""))
+    want = sorted({(i, t) for i, t in lettered if i != "6"})
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        docs = materialize(stage(spark, docs, sf))
+        got = sorted((repr(r["doc_id"]), r["text"]) for r in docs.collect())
+        if name == "mixing":
+            assert set(got) <= set(want) and max(got.count(x) for x in got) <= 2
+        else:
+            assert got == (lettered if name == "language_id" else want), name
