@@ -26,10 +26,12 @@ def extension_histogram(images: DataFrame) -> DataFrame:
     return images.groupBy("ext").agg(F.count(F.lit(1)).alias("n"))
 
 
-def resolution_histogram(images: DataFrame, first: int = 100) -> DataFrame:
-    """Sizes among the first images of each split by name, and whether a split has several."""
-    w = Window.partitionBy("split").orderBy("file_name", "image_id")
-    head = images.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= first)
+def resolution_histogram(images: DataFrame, first: int | None = 100) -> DataFrame:
+    """Sizes among the first images of each split by name, or among all where ``first`` is None, and whether a split has several."""
+    head = images
+    if first is not None:
+        w = Window.partitionBy("split").orderBy("file_name", "image_id")
+        head = images.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= first)
     sizes = head.groupBy("split", "width", "height").agg(F.count(F.lit(1)).alias("n"))
     return sizes.withColumn("mixed", F.count(F.lit(1)).over(Window.partitionBy("split")) > 1)
 

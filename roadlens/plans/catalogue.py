@@ -95,6 +95,11 @@ def resolution_histogram(spark, sf):
     return stats.resolution_histogram(fx.images(spark, sf))
 
 
+@query(f"WITH {fx.IMAGES_SQL}, g AS (SELECT split, width, height, count(*) AS n FROM fx_images GROUP BY ALL) SELECT *, count(*) OVER (PARTITION BY split) > 1 AS mixed FROM g")
+def resolution_histogram_all(spark, sf):
+    return stats.resolution_histogram(fx.images(spark, sf), first=None)
+
+
 @query(f"WITH {fx.IMAGES_SQL}, g AS (SELECT split, count(*) AS n FROM fx_images GROUP BY split) SELECT split, n, n::double / (sum(n) OVER ())::bigint AS ratio FROM g")
 def split_ratio(spark, sf):
     return stats.split_ratio(fx.images(spark, sf))

@@ -29,3 +29,8 @@ def test_near_copies_are_removed_with_exact_ones(spark, sf):
     path = {r["doc_id"]: r["path"] for r in catalogue.fx.hashed_files(spark, sf).collect()}
     assert pairs and all(ranked[path[p["id_a"]]]["cluster"] == ranked[path[p["id_b"]]]["cluster"] for p in pairs)
     assert gone["dedupe_removals_combined"] > gone["dedupe_removals"]
+
+
+def test_every_image_is_in_the_histogram(spark, sf):
+    counted = sum(r["n"] for r in catalogue.QUERIES["resolution_histogram_all"](spark, sf).collect())
+    assert counted == catalogue.fx.images(spark, sf).count() > 300
