@@ -42,7 +42,11 @@ def lines_of(text: Column) -> Column:
 
 
 def unquoted(text: Column) -> Column:
-    """The message without quoted and announcing lines, trimmed, with at most one blank line in a row."""
+    """The message without quoted and announcing lines, trimmed, with at most one blank line in a row.
+
+    Quoted lines go whether or not their passage was linked to a message: outside text,
+    Markdown quotes and ``>>>`` code stand nowhere in the result.
+    """
     own = F.filter(lines_of(text), lambda x: (level(x) == 0) & ~x.rlike(_ANNOUNCE))
     return F.regexp_replace(F.regexp_replace(F.array_join(own, "\n"), r"\n\s*\n(\s*\n)*", "\n\n"), r"^\s+|\s+$", "")
 
