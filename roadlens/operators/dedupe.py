@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from roadlens.operators.components import connected_components
-from roadlens.operators.similarity import near_pairs
+from roadlens.operators.similarity import near_edges
 
 #: Which split's member a cluster keeps: the evaluation splits stay whole.
 SPLIT_PRIORITY = {"test": 0, "val": 1, "train": 2}
@@ -31,12 +31,16 @@ def clusters(items: DataFrame, key: str = "id", threshold: int = 6, exact_only:
     """(key, cluster): transitive clusters over equal content and near fingerprints; singletons included.
 
     Needs md5 and, unless ``exact_only``, fp. Clusters chain: their ends may be far apart.
+    Equal content alone is a cluster of its own: its smallest key is found by one aggregate.
     """
+    if exact_only:
+        first = items.where("md5 IS NOT NULL").groupBy("md5").agg(F.min(key).alias("first"))
+        return items.join(first, "md5", "left").select(key, F.coalesce("first", key).alias("cluster")).distinct()
     edges = None
     if "md5" in items.columns:
         edges = exact_edges(items, key)
-    if not exact_only and "fp" in items.columns:
-        near = near_pairs(items.withColumnRenamed(key, "id") if key != "id" else items, threshold).select("id_a", "id_b")
+    if "fp" in items.columns:
+        near = near_edges(items.select(F.col(key).alias("id"), "fp"), threshold)
         edges = near if edges is None else edges.unionByName(near)
     found = connected_components(edges, "id_a", "id_b").select(F.col("node").alias(key), "component")
     return items.select(key).distinct().join(found, key, "left").select(key, F.coalesce("component", key).alias("cluster"))

@@ -2,43 +2,86 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from itertools import combinations
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from roadlens.functions.fingerprint import hamming
+from roadlens.session import materialize
+
+#: Distinct fingerprints up to which 1, 2, 3 bands make a key; beyond the last, 4.
+KEYED_UP_TO = (1 << 14, 1 << 22, 1 << 28)
 
 
-def bands(threshold: int, bits: int = 64) -> list[tuple[int, int]]:
-    """(shift, width) of threshold + 1 bands that cover all bits."""
-    n = threshold + 1
+def bands(n: int, bits: int = 64) -> list[tuple[int, int]]:
+    """(shift, width) of n bands that cover all bits."""
     widths = [bits // n + (i < bits % n) for i in range(n)]
     return [(sum(widths[:i]), w) for i, w in enumerate(widths)]
 
 
-def _value(x, shift: int, width: int):
-    return x if width == 64 else F.shiftrightunsigned(x, shift).bitwiseAND((1 << width) - 1)
+def _mask(shift: int, width: int) -> int:
+    """The band's bits as a signed 64-bit number."""
+    m = ((1 << width) - 1) << shift
+    return m - (1 << 64) if m >= 1 << 63 else m
+
+
+def _equal_bands(x: Column, y: Column, own: list[tuple[int, int]]) -> Column:
+    """Bit i is set where band i of both is equal."""
+    out = F.lit(0)
+    for i, b in enumerate(own):
+        out = out + F.when(x.bitwiseXOR(y).bitwiseAND(F.lit(_mask(*b))) == 0, 1 << i).otherwise(0)
+    return out
+
 
+def near_prints(distinct: DataFrame, threshold: int, together: int | None = None) -> DataFrame:
+    """(fa, fb, distance) with fa < fb of distinct fingerprints ``fp`` within the threshold.
 
-def near_pairs(items: DataFrame, threshold: int = 6, across: str | None = None) -> DataFrame:
+    Exact: of threshold + k bands, two fingerprints within the threshold agree in k at
+    least, so an equi-join on all choices of k bands finds them. k, ``together``, only
+    trades rows for selectivity; by default it grows with the number of fingerprints:
+    keys of 9, 16, 21 and 25 bits at a threshold of 6. A pair counts for its first k
+    common bands alone.
+    """
+    k = together or 1 + sum(distinct.count() > most for most in KEYED_UP_TO)
+    own = bands(threshold + k)
+    keys = []
+    for chosen in combinations(range(len(own)), k):
+        bits = sum(1 << i for i in chosen)
+        below = ((1 << chosen[-1]) - 1) & ~bits  # bands that would make an earlier choice
+        value = F.col("fp").bitwiseAND(F.lit(sum(_mask(*own[i]) for i in chosen)))
+        keys.append(F.struct(F.lit(bits).alias("bands"), value.alias("value"), F.lit(below).alias("below")))
+    keyed = distinct.select("fp", F.explode(F.array(*keys)).alias("k")).select("fp", "k.bands", "k.value", "k.below")
+    left, right = keyed.withColumnRenamed("fp", "fa"), keyed.withColumnRenamed("fp", "fb").drop("below")
+    a, b = F.col("fa"), F.col("fb")
+    pairs = left.join(right, ["bands", "value"]).where((a < b) & (hamming(a, b) <= threshold))
+    return pairs.where(_equal_bands(a, b, own).bitwiseAND(F.col("below")) == 0).select("fa", "fb", hamming(a, b).alias("distance"))
+
+
+def near_pairs(items: DataFrame, threshold: int = 6, across: str | None = None, together: int | None = None) -> DataFrame:
     """(id_a, id_b, distance) with id_a < id_b of all pairs within the threshold.
 
-    Exact: two fingerprints that differ in at most t bits agree in one of t + 1 bands,
-    so an equi-join on bands finds all. Equal fingerprints are joined as one; a pair
-    is kept from its first common band only. ``across`` names a column in which the
-    two must differ. Null fingerprints have no pairs.
+    ``across`` names a column in which the two must differ; it is returned for both.
+    Null fingerprints have no pairs. Equal fingerprints give all their pairs, as asked:
+    ``near_edges`` is for grouping.
     """
     known = items.where("fp IS NOT NULL")
-    distinct = known.select("fp").distinct()
-    keyed = distinct.select("fp", F.explode(F.array(*[F.struct(F.lit(i).alias("band"), _value(F.col("fp"), s, w).alias("value")) for i, (s, w) in enumerate(bands(threshold))])).alias("k")).select("fp", "k.band", "k.value")
-    left, right = keyed.withColumnRenamed("fp", "fa"), keyed.withColumnRenamed("fp", "fb")
-    pairs = left.join(right, ["band", "value"]).where("fa < fb").where(hamming(F.col("fa"), F.col("fb")) <= threshold)
-    earlier = [F.when(_value(F.col("fa").bitwiseXOR(F.col("fb")), s, w) == 0, F.lit(i)) for i, (s, w) in enumerate(bands(threshold))]
-    pairs = pairs.where(F.col("band") == F.coalesce(*earlier)).select("fa", "fb", hamming(F.col("fa"), F.col("fb")).alias("distance"))
-    every = pairs.unionByName(distinct.select(F.col("fp").alias("fa"), F.col("fp").alias("fb"), F.lit(0).alias("distance")))
-    cols = ["id"] + ([across] if across else [])
-    a = known.select(F.col("fp").alias("fa"), *[F.col(c).alias(f"{c}_a") for c in cols])
-    b = known.select(F.col("fp").alias("fb"), *[F.col(c).alias(f"{c}_b") for c in cols])
-    joined = every.join(a, "fa").join(b, "fb").where((F.col("fa") != F.col("fb")) | (F.col("id_a") < F.col("id_b")))
+    distinct = materialize(known.select("fp").distinct())
+    every = near_prints(distinct, threshold, together).unionByName(distinct.select(F.col("fp").alias("fa"), F.col("fp").alias("fb"), F.lit(0).alias("distance")))
+    item = F.struct("id", *[F.col(across)] if across else [])
+    a, b = known.select(F.col("fp").alias("fa"), item.alias("a")), known.select(F.col("fp").alias("fb"), item.alias("b"))
+    joined = every.join(a, "fa").join(b, "fb").where((F.col("fa") != F.col("fb")) | (F.col("a.id") < F.col("b.id")))
+    ordered = joined.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "distance")
+    out = ["id"] if not across else ["id", across]
     if across:
-        joined = joined.where(F.col(f"{across}_a") != F.col(f"{across}_b"))
-    return joined.select(F.least("id_a", "id_b").alias("id_a"), F.greatest("id_a", "id_b").alias("id_b"), "distance")
+        ordered = ordered.where(F.col(f"a.{across}") != F.col(f"b.{across}"))
+    return ordered.select(*[F.col(f"{side}.{c}").alias(f"{c}_{side}") for c in out for side in "ab"], "distance")
+
+
+def near_edges(items: DataFrame, threshold: int = 6, together: int | None = None) -> DataFrame:
+    """(id_a, id_b): edges that link what ``near_pairs`` links, each item of a fingerprint to its smallest: linear in equal ones."""
+    known = items.where("fp IS NOT NULL").select("id", "fp")
+    first = materialize(known.groupBy("fp").agg(F.min("id").alias("first")))
+    one, two = first.select(F.col("fp").alias("fa"), F.col("first").alias("id_a")), first.select(F.col("fp").alias("fb"), F.col("first").alias("id_b"))
+    between = near_prints(first.select("fp"), threshold, together).join(one, "fa").join(two, "fb").select("id_a", "id_b")
+    return between.unionByName(known.join(first, "fp").where("id <> first").select(F.col("first").alias("id_a"), F.col("id").alias("id_b")))

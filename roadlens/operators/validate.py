@@ -6,13 +6,30 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from roadlens.functions.text import is_float, is_integer, stripped_lines, to_float, tokens
+from roadlens.operators.similarity import near_pairs
+from roadlens.session import materialize
 
 FINDING = ["level", "rule", "split", "file", "line_no", "message"]
+SPLITS = ("train", "val", "test")
 EPSILON = 1e-6
-
-
-def _finding(level: str, rule: str, message: Column) -> Column:
-    return F.struct(F.lit(level).alias("level"), F.lit(rule).alias("rule"), message.alias("message"))
+#: Paths that one finding of equal content names; more copies give further findings.
+NAMED_PATHS = 1000
+#: The messages of the rules.
+MISSING_PART = "missing images/ or labels/ directory"
+UNREADABLE = "corrupted/unreadable image"
+NO_LABEL = "missing label for image"
+EMPTY = "empty annotation file (background image?)"
+NOT_FIVE = "expected 5 tokens, got "
+NOT_NUMERIC = "non-numeric value"
+SMALL = "very small bbox"
+BEYOND = "bbox extends outside image"
+ORPHAN = "orphan label with no matching image"
+DUPLICATE = "exact duplicate images (md5 "
+LEAKAGE = "possible cross-split leakage: "
+
+
+def _finding(level: str, rule: str, message: Column | str) -> Column:
+    return F.struct(F.lit(level).alias("level"), F.lit(rule).alias("rule"), (F.lit(message) if isinstance(message, str) else message).alias("message"))
 
 
 def missing_split_parts(splits: list[str], found: DataFrame) -> DataFrame:
@@ -20,46 +37,62 @@ def missing_split_parts(splits: list[str], found: DataFrame) -> DataFrame:
     spark = found.sparkSession
     wanted = spark.createDataFrame([(s, p) for s in splits for p in ("images", "labels")], "split string, part string")
     gone = wanted.join(found.select("split", "part").distinct(), ["split", "part"], "left_anti").select("split").distinct()
-    return gone.select(F.lit("E").alias("level"), F.lit("V1").alias("rule"), "split", F.lit(None).cast("string").alias("file"), F.lit(None).cast("int").alias("line_no"), F.lit("missing images/ or labels/ directory").alias("message"))
+    return _pairless(gone, F.lit(None).cast("string"), "E", "V1", MISSING_PART)
 
 
-def check_lines(labels: DataFrame, min_box_frac: float = 0.0005) -> DataFrame:
-    """V4 to V10 over (split, stem, body).
+def _line_rules(line: Column, number: Column, min_box_frac: float) -> list[Column]:
+    """V5 to V10 of one line; null where a rule holds.
 
-    An empty body is V4. A line that has not five tokens (V5) or holds a non-number
-    (V6) is not checked further; the other rules are independent. NaN lies outside
-    [0, 1] and violates no other rule.
+    A line that has not five tokens (V5) or holds a non-number (V6) is not checked
+    further; the other rules are independent. NaN lies outside [0, 1] and violates no
+    other rule.
     """
-    lines = labels.select("split", "stem", stripped_lines(F.col("body")).alias("lines"))
-    file = F.concat("stem", F.lit(".txt"))
-    empty = lines.where(F.size("lines") == 0).select(
-        F.lit("W").alias("level"), F.lit("V4").alias("rule"), "split", file.alias("file"), F.lit(None).cast("int").alias("line_no"), F.lit("empty annotation file (background image?)").alias("message")
-    )
-    each = lines.select("split", "stem", F.posexplode("lines").alias("pos", "line")).withColumn("tok", tokens(F.col("line")))
+    tok = tokens(line)
+    five = F.size(tok) == 5
     # get() gives null beyond the end: lines of fewer tokens are caught by V5 before their numbers matter.
-    each = each.withColumn("five", F.size("tok") == 5).withColumn("numeric", F.col("five") & is_integer(F.get("tok", F.lit(0))) & F.forall(F.slice("tok", 2, 4), is_float))
-    value = lambda i: F.when(F.col("numeric"), to_float(F.get("tok", F.lit(i))))
-    each = each.select("*", F.when(F.col("numeric"), F.get("tok", F.lit(0)).try_cast("bigint")).alias("cls"), *[value(i + 1).alias(n) for i, n in enumerate(("xc", "yc", "bw", "bh"))])
-    c = F.col
-    outside = [F.when(c("numeric") & ~((c(n) >= 0.0) & (c(n) <= 1.0) & ~F.isnan(n)), _finding("E", "V8", F.lit(f"{name} outside [0,1]"))) for n, name in (("xc", "x_center"), ("yc", "y_center"), ("bw", "width"), ("bh", "height"))]
-    small = (c("bw") * c("bh") < min_box_frac) & ~F.isnan(c("bw") * c("bh"))
-    lows = [c("xc") - c("bw") / 2, c("yc") - c("bh") / 2]
-    highs = [c("xc") + c("bw") / 2, c("yc") + c("bh") / 2]
-    beyond = F.lit(False)
-    for x in lows:
-        beyond = beyond | ((x < -EPSILON) & ~F.isnan(x))
-    for x in highs:
-        beyond = beyond | ((x > 1 + EPSILON) & ~F.isnan(x))
-    rules = [
-        F.when(~c("five"), _finding("E", "V5", F.concat(F.lit("expected 5 tokens, got "), F.size("tok")))),
-        F.when(c("five") & ~c("numeric"), _finding("E", "V6", F.lit("non-numeric value"))),
-        F.when(c("numeric") & ((c("cls") != 0) | c("cls").isNull()), _finding("E", "V7", F.concat(F.lit("invalid class_id "), F.get("tok", F.lit(0)), F.lit(" (expected 0)")))),
-        *outside,
-        F.when(c("numeric") & small, _finding("W", "V9", F.lit("very small bbox"))),
-        F.when(c("numeric") & beyond, _finding("E", "V10", F.lit("bbox extends outside image"))),
+    numeric = five & is_integer(F.get(tok, F.lit(0))) & F.forall(F.slice(tok, 2, 4), is_float)
+    xc, yc, bw, bh = (F.when(numeric, to_float(F.get(tok, F.lit(i)))) for i in range(1, 5))
+    cls = F.when(numeric, F.get(tok, F.lit(0)).try_cast("bigint"))
+    within = lambda x: (x >= 0.0) & (x <= 1.0) & ~F.isnan(x)
+    less = lambda x, y: (x < y) & ~F.isnan(x)
+    more = lambda x, y: (x > y) & ~F.isnan(x)
+    beyond = less(xc - bw / 2, -EPSILON) | less(yc - bh / 2, -EPSILON) | more(xc + bw / 2, 1 + EPSILON) | more(yc + bh / 2, 1 + EPSILON)
+    return [
+        F.when(~five, _finding("E", "V5", F.concat(F.lit(NOT_FIVE), F.size(tok)))),
+        F.when(five & ~numeric, _finding("E", "V6", NOT_NUMERIC)),
+        F.when(numeric & ((cls != 0) | cls.isNull()), _finding("E", "V7", F.concat(F.lit("invalid class_id "), F.get(tok, F.lit(0)), F.lit(" (expected 0)")))),
+        *(F.when(numeric & ~within(x), _finding("E", "V8", f"{name} outside [0,1]")) for x, name in ((xc, "x_center"), (yc, "y_center"), (bw, "width"), (bh, "height"))),
+        F.when(numeric & less(bw * bh, F.lit(float(min_box_frac))), _finding("W", "V9", SMALL)),
+        F.when(numeric & beyond, _finding("E", "V10", BEYOND)),
     ]
-    found = each.select("split", "stem", (c("pos") + 1).alias("line_no"), F.explode(F.array_compact(F.array(*rules))).alias("f"))
-    return empty.unionByName(found.select("f.level", "f.rule", "split", file.alias("file"), c("line_no").cast("int").alias("line_no"), "f.message"))
+
+
+def _units(kind: str, files: Column) -> Column:
+    """An array of what is to be looked at: (kind, line_no, file, line)."""
+    return F.transform(files, lambda f: F.struct(F.lit(kind).alias("kind"), F.lit(None).cast("int").alias("line_no"), f.alias("file"), F.lit("").alias("line")))
+
+
+def _looked_at(lines: Column, file: Column) -> Column:
+    """The lines of a label, or the label itself where it has none."""
+    each = F.transform(lines, lambda x, i: F.struct(F.lit("line").alias("kind"), (i + 1).cast("int").alias("line_no"), file.alias("file"), x.alias("line")))
+    return F.when(F.size(lines) == 0, _units("empty", F.array(file))).otherwise(each)
+
+
+def _told(units: DataFrame, min_box_frac: float) -> DataFrame:
+    """Findings of (split, unit): all rules of a unit are evaluated where it stands, in one pass."""
+    c = F.col
+    u = units.select("split", c("unit.kind").alias("kind"), c("unit.line_no").alias("line_no"), c("unit.file").alias("file"), c("unit.line").alias("line"))
+    whole = {"empty": ("W", "V4", EMPTY), "missing": ("E", "V3", NO_LABEL), "orphan": ("E", "V11", ORPHAN), "unreadable": ("E", "V2", UNREADABLE)}
+    rules = [F.when(c("kind") == kind, _finding(*what)) for kind, what in whole.items()]
+    lines = F.when(c("kind") == "line", F.array_compact(F.array(*_line_rules(c("line"), c("line_no"), min_box_frac)))).otherwise(F.array_compact(F.array(*rules)))
+    found = u.select("split", "file", "line_no", F.explode(lines).alias("f"))
+    return found.select("f.level", "f.rule", "split", "file", "line_no", "f.message")
+
+
+def check_lines(labels: DataFrame, min_box_frac: float = 0.0005) -> DataFrame:
+    """V4 to V10 over (split, stem, body); an empty body is V4."""
+    units = _looked_at(stripped_lines(F.col("body")), F.concat("stem", F.lit(".txt")))
+    return _told(labels.select("split", F.explode(units).alias("unit")), min_box_frac)
 
 
 def _pairless(df: DataFrame, file: Column, level: str, rule: str, message: str) -> DataFrame:
@@ -68,34 +101,75 @@ def _pairless(df: DataFrame, file: Column, level: str, rule: str, message: str)
 
 def unreadable_images(images: DataFrame) -> DataFrame:
     """V2: images that can't be decoded; ``images`` has a boolean ``readable``."""
-    return _pairless(images.where(~F.col("readable")), F.col("file_name"), "E", "V2", "corrupted/unreadable image")
+    return _pairless(images.where(~F.col("readable")), F.col("file_name"), "E", "V2", UNREADABLE)
 
 
 def missing_labels(images: DataFrame, labels: DataFrame) -> DataFrame:
     """V3: readable images without a label."""
     readable = images.where("readable") if "readable" in images.columns else images
-    return _pairless(readable.join(labels, ["split", "stem"], "left_anti"), F.col("file_name"), "E", "V3", "missing label for image")
+    return _pairless(readable.join(labels, ["split", "stem"], "left_anti"), F.col("file_name"), "E", "V3", NO_LABEL)
 
 
 def orphan_labels(images: DataFrame, labels: DataFrame) -> DataFrame:
     """V11: labels without an image, readable or not."""
-    return _pairless(labels.join(images, ["split", "stem"], "left_anti"), F.concat("stem", F.lit(".txt")), "E", "V11", "orphan label with no matching image")
+    return _pairless(labels.join(images, ["split", "stem"], "left_anti"), F.concat("stem", F.lit(".txt")), "E", "V11", ORPHAN)
 
 
 def duplicate_images(files: DataFrame, scope: str = "split") -> DataFrame:
-    """V12: equal content within a split; ``scope`` "dataset" also tells of copies across splits."""
+    """V12: equal content within a split; ``scope`` "dataset" also tells of copies across splits.
+
+    A finding names NAMED_PATHS paths on average at most: more copies are told in
+    several findings, so that no row grows without bound.
+    """
     keys = ["split", "md5"] if scope == "split" else ["md5"]
-    groups = files.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.array_sort(F.collect_set("path")).alias("paths")).where("n > 1")
+    held = materialize(files.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
+    own = files.join(held, keys).withColumn("part", F.pmod(F.xxhash64("path"), F.ceil(F.col("n") / NAMED_PATHS)))
+    groups = own.groupBy(*keys, "part").agg(F.array_sort(F.collect_set("path")).alias("paths"))
     split = F.col("split") if scope == "split" else F.lit(None).cast("string").alias("split")
-    message = F.concat(F.lit("exact duplicate images (md5 "), F.substring("md5", 1, 8), F.lit("): "), F.array_join("paths", ", "))
+    message = F.concat(F.lit(DUPLICATE), F.substring("md5", 1, 8), F.lit("): "), F.array_join("paths", ", "))
     return groups.select(F.lit("E").alias("level"), F.lit("V12").alias("rule"), split, F.lit(None).cast("string").alias("file"), F.lit(None).cast("int").alias("line_no"), message.alias("message"))
 
 
-def validate(images: DataFrame, labels: DataFrame, min_box_frac: float = 0.0005) -> DataFrame:
-    """V2 to V11. Labels of unreadable images are not looked into, but aren't orphans."""
-    checked = labels.join(images.where("readable") if "readable" in images.columns else images, ["split", "stem"], "left_semi")
-    out = check_lines(checked, min_box_frac).unionByName(missing_labels(images, labels)).unionByName(orphan_labels(images, labels))
-    return out.unionByName(unreadable_images(images)) if "readable" in images.columns else out
+def leaked_images(files: DataFrame, threshold: int = 6) -> DataFrame:
+    """V13: images of different splits with near fingerprints; ``files`` has split, path and fp."""
+    pairs = near_pairs(files.select(F.col("path").alias("id"), "fp", "split"), threshold, across="split")
+    part = lambda side: F.concat(F.col(f"id_{side}"), F.lit(" ("), F.col(f"split_{side}"), F.lit(")"))
+    message = F.concat(F.lit(LEAKAGE), part("a"), F.lit(" ~= "), part("b"), F.lit(" (phash distance "), F.col("distance"), F.lit(")"))
+    none = F.lit(None).cast("string")
+    return pairs.select(F.lit("W").alias("level"), F.lit("V13").alias("rule"), none.alias("split"), none.alias("file"), F.lit(None).cast("int").alias("line_no"), message.alias("message"))
+
+
+def validate(images: DataFrame, labels: DataFrame, min_box_frac: float = 0.0005, files: DataFrame | None = None, splits: tuple | None = None, threshold: int = 6) -> DataFrame:
+    """V2 to V11 in one pass over images and labels, with V1 where ``splits`` names those wanted.
+
+    ``files`` (split, path, md5 and, where near copies count, fp) adds V12 and V13.
+    Labels of unreadable images are not looked into, but aren't orphans. A split that
+    lacks its images or labels is told once, and its files are not looked into.
+    """
+    c = F.col
+    readable = c("readable") if "readable" in images.columns else F.lit(True)
+    own = images.groupBy("split", "stem").agg(F.collect_list(F.struct("file_name", readable.alias("readable"))).alias("__files"))  # the few suffixes of a stem
+    both = own.join(labels.select("split", "stem", F.coalesce("body", F.lit("")).alias("body")), ["split", "stem"], "full")
+    names = lambda want: F.transform(F.filter("__files", lambda f: f["readable"] == want), lambda f: f["file_name"])
+    file = F.concat("stem", F.lit(".txt"))
+    some = F.size(names(True)) > 0
+    units = F.concat(
+        F.when(c("__files").isNull(), _units("orphan", F.array(file))).otherwise(_units("unreadable", names(False))),
+        F.when(c("__files").isNull() | ~some, _units("missing", F.array().cast("array<string>"))).when(c("body").isNull(), _units("missing", names(True))).otherwise(_looked_at(stripped_lines(c("body")), file)),
+    )
+    out = None
+    if splits is not None:
+        found = both.groupBy("split").agg(F.count("__files").alias("images"), F.count("body").alias("labels"))
+        parts = found.select("split", F.explode(F.array_compact(F.array(F.when(c("images") > 0, "images"), F.when(c("labels") > 0, "labels")))).alias("part"))
+        out = missing_split_parts(list(splits), parts)
+        both = both.join(F.broadcast(out.select("split")), "split", "left_anti")  # a row for each of ``splits`` at most
+    told = _told(both.select("split", F.explode(units).alias("unit")), min_box_frac)
+    out = told if out is None else told.unionByName(out)
+    if files is not None:
+        out = out.unionByName(duplicate_images(files))
+        if "fp" in files.columns:
+            out = out.unionByName(leaked_images(files, threshold))
+    return out
 
 
 def summary(findings: DataFrame) -> DataFrame:

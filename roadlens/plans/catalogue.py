@@ -112,8 +112,9 @@ def files_per_split(spark, sf):
 
 # Validation -----------------------------------------------------------------------------------------------------------
 
+PAIRS_SQL = f"{fx.FP_SQL}, p AS (SELECT a.id AS id_a, b.id AS id_b, bit_count(xor(a.fp, b.fp))::int AS distance, a.split AS sa, b.split AS sb FROM fx_fp a JOIN fx_fp b ON a.id < b.id WHERE bit_count(xor(a.fp, b.fp)) <= 6)"
 _NUM = r"^[+-]?((\d+(\.\d*)?|\.\d+)(e[+-]?\d+)?|nan|inf|infinity)$"
-FINDINGS_SQL = rf"""{fx.IMAGES_SQL}, {fx.LABELS_SQL},
+FINDINGS_SQL = rf"""{fx.IMAGES_SQL}, {fx.LABELS_SQL}, {fx.FILES_SQL}, {PAIRS_SQL},
 s AS (SELECT split, stem, {_STRIPPED} AS b FROM fx_labels WHERE (split, stem) IN (SELECT (split, stem) FROM fx_images)),
 l AS (SELECT split, stem, unnest(string_split(b, chr(10))) AS line, generate_subscripts(string_split(b, chr(10)), 1) AS line_no FROM s WHERE b <> ''),
 t AS (SELECT *, CASE WHEN trim(line) = '' THEN [] ELSE regexp_split_to_array(regexp_replace(line, '^\s+|\s+$', '', 'g'), '\s+') END AS tok FROM l),
@@ -123,34 +124,43 @@ u AS (SELECT *, len(tok) = 5 AS five, len(tok) = 5 AND regexp_full_match(coalesc
 v AS (SELECT *, CASE WHEN num THEN try_cast(tok[1] AS bigint) END AS cls, CASE WHEN num THEN try_cast(tok[2] AS double) END AS xc, CASE WHEN num THEN try_cast(tok[3] AS double) END AS yc,
     CASE WHEN num THEN try_cast(tok[4] AS double) END AS bw, CASE WHEN num THEN try_cast(tok[5] AS double) END AS bh FROM u),
 f AS (
-  SELECT 'W' AS level, 'V4' AS rule, split, stem || '.txt' AS file, NULL::int AS line_no, 'empty annotation file (background image?)' AS message FROM s WHERE b = ''
-  UNION ALL SELECT 'E', 'V5', split, stem || '.txt', line_no, 'expected 5 tokens, got ' || len(tok) FROM v WHERE NOT five
-  UNION ALL SELECT 'E', 'V6', split, stem || '.txt', line_no, 'non-numeric value' FROM v WHERE five AND NOT num
+  SELECT 'W' AS level, 'V4' AS rule, split, stem || '.txt' AS file, NULL::int AS line_no, '{validate.EMPTY}' AS message FROM s WHERE b = ''
+  UNION ALL SELECT 'E', 'V5', split, stem || '.txt', line_no, '{validate.NOT_FIVE}' || len(tok) FROM v WHERE NOT five
+  UNION ALL SELECT 'E', 'V6', split, stem || '.txt', line_no, '{validate.NOT_NUMERIC}' FROM v WHERE five AND NOT num
   UNION ALL SELECT 'E', 'V7', split, stem || '.txt', line_no, 'invalid class_id ' || tok[1] || ' (expected 0)' FROM v WHERE num AND cls <> 0
   UNION ALL SELECT 'E', 'V8', split, stem || '.txt', line_no, 'x_center outside [0,1]' FROM v WHERE num AND NOT (xc >= 0 AND xc <= 1)
   UNION ALL SELECT 'E', 'V8', split, stem || '.txt', line_no, 'y_center outside [0,1]' FROM v WHERE num AND NOT (yc >= 0 AND yc <= 1)
   UNION ALL SELECT 'E', 'V8', split, stem || '.txt', line_no, 'width outside [0,1]' FROM v WHERE num AND NOT (bw >= 0 AND bw <= 1)
   UNION ALL SELECT 'E', 'V8', split, stem || '.txt', line_no, 'height outside [0,1]' FROM v WHERE num AND NOT (bh >= 0 AND bh <= 1)
-  UNION ALL SELECT 'W', 'V9', split, stem || '.txt', line_no, 'very small bbox' FROM v WHERE num AND bw * bh < 0.0005::double
-  UNION ALL SELECT 'E', 'V10', split, stem || '.txt', line_no, 'bbox extends outside image' FROM v WHERE num AND
+  UNION ALL SELECT 'W', 'V9', split, stem || '.txt', line_no, '{validate.SMALL}' FROM v WHERE num AND bw * bh < 0.0005::double
+  UNION ALL SELECT 'E', 'V10', split, stem || '.txt', line_no, '{validate.BEYOND}' FROM v WHERE num AND
     (xc - bw / 2 < -1e-6::double OR yc - bh / 2 < -1e-6::double OR (xc + bw / 2 > 1 + 1e-6::double AND NOT isnan(xc + bw / 2)) OR (yc + bh / 2 > 1 + 1e-6::double AND NOT isnan(yc + bh / 2)))
-  UNION ALL SELECT 'E', 'V3', i.split, i.file_name, NULL, 'missing label for image' FROM fx_images i ANTI JOIN fx_labels l USING (split, stem)
-  UNION ALL SELECT 'E', 'V11', l.split, l.stem || '.txt', NULL, 'orphan label with no matching image' FROM fx_labels l ANTI JOIN fx_images i USING (split, stem))"""
+  UNION ALL SELECT 'E', 'V3', i.split, i.file_name, NULL, '{validate.NO_LABEL}' FROM fx_images i ANTI JOIN fx_labels l USING (split, stem)
+  UNION ALL SELECT 'E', 'V11', l.split, l.stem || '.txt', NULL, '{validate.ORPHAN}' FROM fx_labels l ANTI JOIN fx_images i USING (split, stem)
+  UNION ALL SELECT 'E', 'V1', 'holdout', NULL, NULL, '{validate.MISSING_PART}'
+  UNION ALL SELECT 'E', 'V12', split, NULL, NULL, '{validate.DUPLICATE}' || substr(md5, 1, 8) || '): ' || string_agg(path, ', ' ORDER BY path) FROM fx_files GROUP BY split, md5 HAVING count(*) > 1
+  UNION ALL SELECT 'W', 'V13', NULL, NULL, NULL, '{validate.LEAKAGE}' || least(a.path, b.path) || ' (' || CASE WHEN a.path < b.path THEN sa ELSE sb END || ') ~= '
+    || greatest(a.path, b.path) || ' (' || CASE WHEN a.path < b.path THEN sb ELSE sa END || ') (phash distance ' || distance || ')'
+    FROM p JOIN fx_files a ON a.doc_id = id_a JOIN fx_files b ON b.doc_id = id_b WHERE sa <> sb)"""
+
+
+def _findings(spark, sf):
+    return validate.validate(fx.images(spark, sf), fx.labels(spark, sf), files=fx.hashed_prints(spark, sf), splits=(*validate.SPLITS, "holdout"))
 
 
 @query(f"WITH {FINDINGS_SQL} SELECT level, rule, split, file, line_no::int AS line_no, message FROM f")
 def validate_findings(spark, sf):
-    return validate.validate(fx.images(spark, sf), fx.labels(spark, sf))
+    return _findings(spark, sf)
 
 
 @query(f"WITH {FINDINGS_SQL} SELECT level, rule, split, count(*) AS n FROM f GROUP BY level, rule, split")
 def validate_summary(spark, sf):
-    return validate.summary(validate.validate(fx.images(spark, sf), fx.labels(spark, sf)))
+    return validate.summary(_findings(spark, sf))
 
 
 @query(f"WITH {FINDINGS_SQL} SELECT count(*) FILTER (WHERE level = 'E') AS errors, count(*) FILTER (WHERE level = 'W') AS warnings, count(*) FILTER (WHERE level = 'E') = 0 AS passed FROM f")
 def validate_verdict(spark, sf):
-    return validate.verdict(validate.validate(fx.images(spark, sf), fx.labels(spark, sf)))
+    return validate.verdict(_findings(spark, sf))
 
 
 @query(f"WITH {fx.IMAGES_SQL}, {fx.LABELS_SQL} SELECT split, file_name AS file FROM fx_images ANTI JOIN fx_labels USING (split, stem)")
@@ -164,7 +174,7 @@ def orphan_labels(spark, sf):
 
 
 @query(
-    f"""WITH {fx.FILES_SQL} SELECT split, 'exact duplicate images (md5 ' || substr(md5, 1, 8) || '): ' || string_agg(path, ', ' ORDER BY path) AS message
+    f"""WITH {fx.FILES_SQL} SELECT split, '{validate.DUPLICATE}' || substr(md5, 1, 8) || '): ' || string_agg(path, ', ' ORDER BY path) AS message
 FROM fx_files GROUP BY split, md5 HAVING count(*) > 1"""
 )
 def duplicate_findings(spark, sf):
@@ -205,9 +215,6 @@ def dedupe_removals(spark, sf):
     return dedupe.removal_summary(files, dedupe.removals(dedupe.keepers(_clustered(spark, sf))))
 
 
-PAIRS_SQL = f"{fx.FP_SQL}, p AS (SELECT a.id AS id_a, b.id AS id_b, bit_count(xor(a.fp, b.fp))::int AS distance, a.split AS sa, b.split AS sb FROM fx_fp a JOIN fx_fp b ON a.id < b.id WHERE bit_count(xor(a.fp, b.fp)) <= 6)"
-
-
 @query(f"WITH {PAIRS_SQL} SELECT id_a, id_b, distance FROM p")
 def near_duplicate_pairs(spark, sf):
     return similarity.near_pairs(fx.fingerprinted(spark, sf))
@@ -215,7 +222,7 @@ def near_duplicate_pairs(spark, sf):
 
 @query(f"WITH {PAIRS_SQL} SELECT id_a, id_b, distance FROM p WHERE sa <> sb")
 def cross_split_leakage(spark, sf):
-    return similarity.near_pairs(fx.fingerprinted(spark, sf), across="split")
+    return similarity.near_pairs(fx.fingerprinted(spark, sf), across="split").select("id_a", "id_b", "distance")
 
 
 CLUSTERS_SQL = (

@@ -102,16 +102,21 @@ FILES_SQL = """fx_files AS (
   FROM documents)"""
 
 
+#: Bits that differ from the first of eight documents' fingerprint: equal ones, and distances of 5, 6 and 7, spread and far ones.
+PRINT_MASKS = [0, 31, 63, 127, 0, 31 << 20, 1023, 2147483647]
+
+
 def fingerprinted(spark: SparkSession, sf: str) -> DataFrame:
+    masks = ", ".join(f"{m}L" for m in PRINT_MASKS)
     return table(spark, sf, "documents").selectExpr(
         "doc_id AS id",
-        "conv(substr(md5(cast(doc_id div 4 as string)), 1, 15), 16, 10)::bigint ^ element_at(array(0L, 31L, 1023L, 2147483647L), cast(doc_id % 4 as int) + 1) AS fp",
+        f"conv(substr(md5(cast(doc_id div 8 as string)), 1, 15), 16, 10)::bigint ^ element_at(array({masks}), cast(doc_id % 8 as int) + 1) AS fp",
         "CASE WHEN doc_id % 10 = 0 THEN 'test' WHEN doc_id % 10 <= 2 THEN 'val' ELSE 'train' END AS split",
     )
 
 
-FP_SQL = """fx_fp AS (
-  SELECT doc_id AS id, xor(('0x' || substr(md5((doc_id // 4)::varchar), 1, 15))::bigint, [0, 31, 1023, 2147483647][doc_id % 4 + 1]::bigint) AS fp,
+FP_SQL = f"""fx_fp AS (
+  SELECT doc_id AS id, xor(('0x' || substr(md5((doc_id // 8)::varchar), 1, 15))::bigint, {PRINT_MASKS}[doc_id % 8 + 1]::bigint) AS fp,
     CASE WHEN doc_id % 10 = 0 THEN 'test' WHEN doc_id % 10 <= 2 THEN 'val' ELSE 'train' END AS split
   FROM documents)"""
 
