@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadlens.session import materialize
+from roadlens.session import discard, materialize
 
 
 def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", max_rounds: int = 200) -> DataFrame:
@@ -35,7 +35,8 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
         left = pointer.select(F.col("node").alias("u"), F.col("to").alias("p"))
         right = pointer.select(F.col("node").alias("v"), F.col("to").alias("q"))
         moved = current.join(left, "u").join(right, "v").where("p <> q")
-        current = materialize(moved.select(F.least("p", "q").alias("u"), F.greatest("p", "q").alias("v")).distinct())
+        done, current = current, materialize(moved.select(F.least("p", "q").alias("u"), F.greatest("p", "q").alias("v")).distinct())
+        discard(done)
     else:
         raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     if not pointers:
@@ -45,5 +46,6 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
         nxt = pointer.select(F.col("node").alias("to"), F.col("to").alias("__next"))
         roots = roots.join(nxt, "to", "left").select("node", F.coalesce("__next", "to").alias("to"))
     roots = materialize(roots)
+    discard(current, *pointers)
     smallest = roots.groupBy("to").agg(F.min("node").alias("component"))
     return roots.join(smallest, "to").select("node", "component")
