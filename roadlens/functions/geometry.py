@@ -17,8 +17,8 @@ def centre_to_corners(xc: Column, yc: Column, w: Column, h: Column) -> list[Colu
 
 
 def pixel(x: Column, extent: Column) -> Column:
-    """Pixel position, truncated toward zero."""
-    return (x * extent).cast("int")
+    """Pixel position, truncated toward zero; null where it isn't finite."""
+    return (x * extent).try_cast("int")
 
 
 def area_fraction(x1: Column, y1: Column, x2: Column, y2: Column, width: Column, height: Column) -> Column:

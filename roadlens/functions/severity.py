@@ -32,6 +32,7 @@ class SeverityScorer:
         )
 
     def reasons(self, area: Column, vpos: Column, n: Column) -> Column:
+        """The wording of the reasons."""
         bonus, low = F.lit(self.extra_bonus) * (n - 1), F.lit(self.low_bonus) * vpos
         return F.array_compact(
             F.array(

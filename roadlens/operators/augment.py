@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: Ranges of the brightness and warmth added, and variants of an image.
 BRIGHTNESS, WARMTH, VARIANTS = (25, 55), (3, 10), 3
 
 
@@ -15,12 +19,12 @@ def seeded_int(seed: int, name: str, parts: list[Column], low: int, high: int) -
     return (F.lit(low) + h % (high - low + 1)).cast("int")
 
 
-def plan(images: DataFrame, variants: int = VARIANTS, seed: int = 42) -> DataFrame:
-    """(file_name, variant, target_name, brightness, warmth): each image ``variants`` times."""
-    each = images.select("file_name", F.explode(F.sequence(F.lit(0), F.lit(variants - 1))).alias("variant"))
+def plan(images: DataFrame, variants: int = VARIANTS, seed: int = 42, keep: list[str] | None = None) -> DataFrame:
+    """(file_name, variant, target_name, brightness, warmth) and the columns to ``keep``: each image ``variants`` times."""
+    each = images.select("file_name", *(keep or []), F.explode(F.sequence(F.lit(0), F.lit(variants - 1))).alias("variant"))
     parts = [F.col("file_name"), F.col("variant").cast("string")]
     return each.select(
-        "file_name", "variant", F.concat(F.lit("aug"), "variant", F.lit("_"), "file_name").alias("target_name"),
+        "file_name", *(keep or []), "variant", F.concat(F.lit("aug"), "variant", F.lit("_"), "file_name").alias("target_name"),
         seeded_int(seed, "brightness", parts, *BRIGHTNESS).alias("brightness"), seeded_int(seed, "warmth", parts, *WARMTH).alias("warmth"),
     )
 
@@ -40,3 +44,23 @@ def lighten_and_warm(image: np.ndarray, brightness: int, warmth: int, fade: int
     out[..., 2] = np.clip(out[..., 2] + warmth, 0, 255)
     out[..., 0] = np.clip(out[..., 0] - warmth // 2, 0, 255)
     return np.clip(out, 0, 255).astype(np.uint8)
+
+
+def augmented(images: DataFrame, variants: int = VARIANTS, seed: int = 42) -> DataFrame:
+    """(file_name, variant, target_name, height, width, nChannels, data) of rows of the image source that can be decoded.
+
+    Pixels are read once for all variants: the plan is worked out beside them, not joined.
+    """
+    fields = ["file_name", "height", "width", "nChannels", "data"]
+    drawn = plan(images.where("height > 0").select(*fields), variants, seed, fields[1:])
+
+    def change(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            out = []
+            for h, w, c, data, brightness, warmth in f[["height", "width", "nChannels", "data", "brightness", "warmth"]].itertuples(index=False):
+                pixels = np.frombuffer(data, np.uint8).reshape(h, w, c)
+                colours = pixels[..., :3] if c >= 3 else np.repeat(pixels, 3, axis=2)
+                out.append(lighten_and_warm(colours, int(brightness), int(warmth)).tobytes())
+            yield f[["file_name", "variant", "target_name", "height", "width"]].assign(nChannels=3, data=out)
+
+    return drawn.mapInPandas(change, "file_name string, variant int, target_name string, height int, width int, nChannels int, data binary")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -11,7 +12,10 @@ from pyspark.sql import functions as F
 
 from roadlens.functions.geometry import iou, letterbox, unletterbox
 
+#: The service's thresholds of confidence and overlap, and the side of the detector's square.
 CONFIDENCE, IOU, SIZE = 0.35, 0.45, 640
+#: Images whose output a worker holds before it is sent on.
+OUTPUTS = 16
 
 
 def confident(detections: DataFrame, threshold: float = CONFIDENCE) -> DataFrame:
@@ -23,7 +27,8 @@ def suppress(detections: DataFrame, iou_threshold: float, conf: float = CONFIDEN
 
     Boxes of a frame are taken by falling confidence (then corners, then ``ties``); one
     is kept if no kept box overlaps it by more than ``iou_threshold``. With ``strict``
-    a box at exactly ``conf`` is dropped. One shuffle on the frame, folded on the JVM.
+    a box at exactly ``conf`` is dropped. One shuffle on the frame, folded on the JVM: the
+    boxes of a single frame, some thousands at most as detectors give them, are one row.
     """
     ties = ties or []
     passing = detections.where(F.col("confidence") > conf if strict else F.col("confidence") >= conf)
@@ -83,7 +88,7 @@ def preprocess(square: np.ndarray) -> np.ndarray:
 
 
 def run_detector(images: DataFrame, load: Callable[[], Callable[[np.ndarray], np.ndarray]], size: int = SIZE, key: str = "path") -> DataFrame:
-    """(key, output, scale, pad_left, pad_top, width, height) of decodable images.
+    """(key, output, scale, pad_left, pad_top, width, height, elapsed_ms) of decodable images.
 
     ``load`` runs once for each worker and returns the model: a function from a batch
     of one to an array of [1, 5, anchors].
@@ -94,14 +99,17 @@ def run_detector(images: DataFrame, load: Callable[[], Callable[[np.ndarray], np
         if "model" not in held:
             held["model"] = load()
         for f in frames:
-            rows = []
-            for p, h, w, c, data in zip(f[key], f["height"], f["width"], f["nChannels"], f["data"], strict=True):
-                if h > 0:
-                    square, scale, left, top = letterbox_pixels(np.frombuffer(data, np.uint8).reshape(int(h), int(w), int(c))[..., :3], size)
-                    rows.append((p, [r.tolist() for r in np.asarray(held["model"](preprocess(square)))[0].astype(float)], scale, left, top, float(w), float(h)))
-            yield pd.DataFrame(rows, columns=[key, "output", "scale", "pad_left", "pad_top", "width", "height"])
+            for k in range(0, len(f), OUTPUTS):
+                rows = []
+                for p, h, w, c, data in f[k : k + OUTPUTS][[key, "height", "width", "nChannels", "data"]].itertuples(index=False):
+                    if h > 0:
+                        began = time.perf_counter()
+                        square, scale, left, top = letterbox_pixels(np.frombuffer(data, np.uint8).reshape(int(h), int(w), int(c))[..., :3], size)
+                        output = [r.tolist() for r in np.asarray(held["model"](preprocess(square)))[0].astype(float)]
+                        rows.append((p, output, scale, left, top, float(w), float(h), (time.perf_counter() - began) * 1000))
+                yield pd.DataFrame(rows, columns=[key, "output", "scale", "pad_left", "pad_top", "width", "height", "elapsed_ms"])
 
-    return images.mapInPandas(run, f"{key} string, output array<array<double>>, scale double, pad_left int, pad_top int, width double, height double")
+    return images.mapInPandas(run, f"{key} string, output array<array<double>>, scale double, pad_left int, pad_top int, width double, height double, elapsed_ms double")
 
 
 def gates(requests: DataFrame, max_mb: float = 10.0, timeout_ms: float = 30000.0, types: tuple = ("image/jpeg", "image/png")) -> DataFrame:
@@ -111,8 +119,18 @@ def gates(requests: DataFrame, max_mb: float = 10.0, timeout_ms: float = 30000.0
     return requests.withColumn("status_code", status).withColumn("slow", (c("status_code") == 200) & (c("elapsed_ms") > timeout_ms))
 
 
-def responses(scored: DataFrame, model_version: Column | None = None, frame: str = "image_id", class_name: str = "pothole") -> DataFrame:
-    """(frame, response): the JSON of every frame's detections with their severity, rounded as shown to users."""
+def with_request_id(requests: DataFrame, key: str) -> DataFrame:
+    """Adds request_id: eight hex digits of the key's hash, the same on every run."""
+    return requests.withColumn("request_id", F.substring(F.md5(F.col(key).cast("string")), 1, 8))
+
+
+def responses(scored: DataFrame, model_version: Column | None = None, frame: str = "image_id", class_name: str = "pothole", frames: DataFrame | None = None) -> DataFrame:
+    """(frame, response): the JSON of every frame's detections with their severity, rounded as shown to users.
+
+    ``frames`` names all frames asked for, with elapsed_ms where that is known: those
+    without a detection are answered too, with an empty list. The detections of one
+    frame are gathered in one row, as the answer is.
+    """
     from roadlens.functions.severity import CAVEAT, SeverityScorer
 
     c, r = F.col, F.round
@@ -125,5 +143,25 @@ def responses(scored: DataFrame, model_version: Column | None = None, frame: str
         ).alias("d"),
     )
     grouped = scored.groupBy(frame).agg(F.transform(F.array_sort(F.collect_list(one)), lambda s: s["d"]).alias("detections"))
+    timed = frames is not None and "elapsed_ms" in frames.columns
+    if frames is not None:
+        grouped = frames.select(frame, *["elapsed_ms"] * timed).join(grouped, frame, "left")
     version = model_version if model_version is not None else F.lit(None).cast("string")
-    return grouped.select(frame, F.to_json(F.struct(F.lit(True).alias("success"), "detections", version.alias("model_version"))).alias("response"))
+    answer = [F.lit(True).alias("success"), F.coalesce("detections", F.slice("detections", 1, 0), F.from_json(F.lit("[]"), grouped.schema["detections"].dataType)).alias("detections")]
+    answer += [r("elapsed_ms", 2).alias("inference_time_ms")] * timed
+    return grouped.select(frame, F.to_json(F.struct(*answer, version.alias("model_version"))).alias("response"))
+
+
+def score_images(images: DataFrame, load: Callable[[], Callable[[np.ndarray], np.ndarray]], model_version: str | None = None, conf: float = CONFIDENCE, iou_threshold: float = IOU, size: int = SIZE) -> DataFrame:
+    """(path, response) of rows of the image source: decoding, detector, suppression, boxes in the image's pixels, severity and answer.
+
+    Images that can't be decoded have no row here; ``gates`` refuses them.
+    """
+    from roadlens.functions.severity import score_frames
+    from roadlens.session import materialize
+
+    run = materialize(run_detector(images, load, size))  # the detector runs once, whatever reads its output
+    found = decode_tensor(run.withColumnRenamed("path", "image_id"), conf)
+    kept = suppress(found, iou_threshold, conf, ties=["anchor_id"], strict=False).withColumnRenamed("image_id", "path")
+    placed = to_image_pixels(kept.join(run.drop("output", "elapsed_ms"), "path"))
+    return responses(score_frames(placed, "path"), F.lit(model_version).cast("string"), "path", frames=run.select("path", "elapsed_ms"))

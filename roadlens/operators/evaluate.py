@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from roadlens.functions.geometry import iou
+from roadlens.functions.geometry import centre_to_corners, iou, pixel
+from roadlens.functions.text import is_float, stripped_lines, to_float, tokens
 
 #: IoU thresholds of the averaged metric.
 IOU_GRID = [0.5 + 0.05 * i for i in range(10)]
@@ -21,9 +22,57 @@ def count_tags(images: DataFrame, truth: DataFrame, predicted: DataFrame) -> Dat
 
 
 def tag_summary(tagged: DataFrame) -> DataFrame:
+    """Images of each tag."""
     return tagged.groupBy("tag").agg(F.count(F.lit(1)).alias("images"))
 
 
+def flagged(tagged: DataFrame, images: DataFrame) -> DataFrame:
+    """(tag, file_name, drawn_name): images to look at, with the name of their comparison picture."""
+    drawn = F.concat("stem", "tag", F.lit(".jpg"))
+    return tagged.where("tag <> ''").join(images.select("image_id", "file_name", "stem"), "image_id").select("tag", "file_name", drawn.alias("drawn_name"))
+
+
+def truth_boxes(images: DataFrame, labels: DataFrame) -> DataFrame:
+    """(image_id, kind, x1, y1, x2, y2, caption): whole pixels of the label lines of five tokens with finite numbers, to be drawn."""
+    own = labels.join(images.select("split", "stem", "image_id", "width", "height"), ["split", "stem"])
+    lines = own.select("image_id", "width", "height", F.explode(stripped_lines(F.col("body"))).alias("line")).withColumn("tok", tokens(F.col("line")))
+    whole = lines.where((F.size("tok") == 5) & F.forall(F.slice("tok", 2, 4), is_float))
+    boxes = whole.select("image_id", "width", "height", *centre_to_corners(*[to_float(F.get("tok", F.lit(i))) for i in range(1, 5)]))
+    corners = [pixel(F.col(c), F.col("width" if c[0] == "x" else "height")).alias(c) for c in ("x1", "y1", "x2", "y2")]
+    return boxes.select("image_id", F.lit("truth").alias("kind"), *corners, F.lit("").alias("caption")).dropna(subset=["x1", "y1", "x2", "y2"])
+
+
+def predicted_boxes(detections: DataFrame) -> DataFrame:
+    """The same of detections in pixels, captioned with their confidence."""
+    corners = [F.col(c).cast("int").alias(c) for c in ("x1", "y1", "x2", "y2")]
+    return detections.select("image_id", F.lit("predicted").alias("kind"), *corners, F.format_string("%.2f", F.col("confidence")).alias("caption"))
+
+
+def draw_list(images: DataFrame, truth: DataFrame, predicted: DataFrame | None = None, n: int = 25, seed: int = 42) -> DataFrame:
+    """What to draw on a seeded sample of n images: truth alone is an overlay, with predictions a comparison."""
+    from roadlens.operators.sampling import seeded_sample
+
+    chosen = seeded_sample(images, n, "file_name", seed).select("image_id", "file_name")
+    boxes = truth if predicted is None else truth.unionByName(predicted)
+    return boxes.join(F.broadcast(chosen), "image_id")  # n images, a parameter
+
+
+def report(matched: DataFrame, n_truth: int, runs: DataFrame, confidence: float = 0.35) -> DataFrame:
+    """One row: confidence_threshold, precision and recall at 0.5, map50, map50_95, avg_ms, fps and latency_sample.
+
+    ``matched`` is over IOU_GRID; average precision reads all predictions, the others
+    those of the confidence threshold or above.
+    """
+    ap = average_precision(matched, n_truth)
+    means = ap.agg(F.max(F.when(F.col("threshold") == IOU_GRID[0], F.col("ap"))).alias("map50"), F.avg("ap").alias("map50_95"))
+    confident = matched.where((F.col("threshold") == IOU_GRID[0]) & (F.col("confidence") >= confidence))
+    rates = confident.agg(F.try_divide(F.sum("tp").cast("double"), F.count(F.lit(1))).alias("precision"), F.try_divide(F.sum("tp").cast("double"), F.lit(n_truth)).alias("recall"))
+    held = latency(runs).withColumnRenamed("n", "latency_sample")
+    one = lambda df: df.withColumn("__one", F.lit(1))
+    whole = one(rates).join(one(means), "__one").join(one(held), "__one").drop("__one")  # a row each
+    return whole.withColumn("confidence_threshold", F.lit(float(confidence)))
+
+
 def parity(one: DataFrame, two: DataFrame, ties: list[str], conf_tol: float = 0.05, box_tol: float = 0.03) -> DataFrame:
     """By image: counts, greatest confidence, box and relative box difference of boxes paired by rank, and the verdict.
 

@@ -59,7 +59,7 @@ def severity_reasons(spark, sf):
 def scoring_responses(spark, sf):
     """The service's JSON answer of every frame after suppression; its texts hold formatted numbers."""
     kept = detect.suppress(fx.detections(spark, sf, nms=True), detect.IOU, ties=fx.LK)
-    return detect.responses(score_frames(kept), F.lit("stub"))
+    return detect.responses(score_frames(kept), F.lit("stub"), frames=fx.images(spark, sf).select("image_id"))
 
 
 # Statistics -----------------------------------------------------------------------------------------------------------
@@ -428,19 +428,39 @@ def iou_sql(a: str, b: str) -> str:
 _BOX = "{'x1': x1, 'y1': y1, 'x2': x2, 'y2': y2, 'rn': rn}"
 
 
-@query(
-    f"""WITH RECURSIVE {fx.NMS_SQL}, q AS (SELECT *, row_number() OVER (PARTITION BY image_id ORDER BY confidence DESC, x1, y1, x2, y2, {fx.LK_SQL}) AS rn FROM fx_nms WHERE confidence > 0.35::double),
+NMS_KEPT_SQL = f"""{fx.NMS_SQL}, q AS (SELECT *, row_number() OVER (PARTITION BY image_id ORDER BY confidence DESC, x1, y1, x2, y2, {fx.LK_SQL}) AS rn FROM fx_nms WHERE confidence > 0.35::double),
 b AS (SELECT image_id, rn, {_BOX} AS box FROM q),
 st AS (SELECT image_id, rn, [box] AS kept FROM b WHERE rn = 1
   UNION ALL SELECT b.image_id, b.rn, CASE WHEN len(list_filter(st.kept, lambda k: {iou_sql("k", "b.box")} > 0.45::double)) > 0 THEN st.kept ELSE list_append(st.kept, b.box) END
   FROM st JOIN b ON b.image_id = st.image_id AND b.rn = st.rn + 1),
-fin AS (SELECT image_id, unnest(list_transform(kept, lambda k: k.rn)) AS rn FROM st QUALIFY row_number() OVER (PARTITION BY image_id ORDER BY st.rn DESC) = 1)
-SELECT image_id, {fx.LK_SQL}, confidence FROM fin JOIN q USING (image_id, rn)"""
-)
+fin AS (SELECT image_id, unnest(list_transform(kept, lambda k: k.rn)) AS rn FROM st QUALIFY row_number() OVER (PARTITION BY image_id ORDER BY st.rn DESC) = 1),
+kept AS (SELECT q.* FROM fin JOIN q USING (image_id, rn))"""
+
+
+@query(f"WITH RECURSIVE {NMS_KEPT_SQL} SELECT image_id, {fx.LK_SQL}, confidence FROM kept")
 def nms_kept(spark, sf):
     return detect.suppress(fx.detections(spark, sf, nms=True), detect.IOU, ties=fx.LK).select("image_id", *fx.LK, "confidence")
 
 
+ANSWER_SQL = f"""{fx.IMAGES_SQL}, {NMS_KEPT_SQL},
+ka AS (SELECT *, count(*) OVER (PARTITION BY image_id) AS n_in_frame, {_AREA} AS area_frac, {_VPOS} AS vpos FROM kept),
+ks AS (SELECT *, least(1::double, area_frac * 10 + 0.08::double * (n_in_frame - 1) + 0.15::double * vpos) AS severity_score FROM ka),
+kl AS (SELECT *, CASE WHEN area_frac < 0.01::double AND severity_score < 0.3::double THEN 'minor' WHEN area_frac < 0.04::double AND severity_score < 0.6::double THEN 'moderate' ELSE 'severe' END AS severity FROM ks),
+kg AS (SELECT image_id, count(*) AS n, string_agg(severity, ',' ORDER BY confidence DESC, x1, y1, x2, y2, {fx.LK_SQL}) AS severities, round(sum(round(x1, 1) + round(y2, 1)), 1) AS corners FROM kl GROUP BY image_id)"""
+
+
+@query(f"WITH RECURSIVE {ANSWER_SQL} SELECT i.image_id, true AS success, coalesce(n, 0)::int AS n_detections, coalesce(severities, '') AS severities, coalesce(corners, 0) AS corners, 'stub' AS model_version FROM fx_images i LEFT JOIN kg USING (image_id)")
+def scoring_response_fields(spark, sf):
+    """The fields of every frame's answer that hold no formatted text, read back from its JSON."""
+    found = "success boolean, detections array<struct<confidence:double,bbox:struct<x1:double,y1:double,x2:double,y2:double>,severity:struct<label:string,score:double>>>, model_version string"
+    read = scoring_responses(spark, sf).select("image_id", F.from_json("response", found).alias("r"))
+    corners = F.aggregate("r.detections", F.lit(0.0), lambda s, d: s + d["bbox"]["x1"] + d["bbox"]["y2"])
+    return read.select(
+        "image_id", "r.success", F.size("r.detections").alias("n_detections"), F.array_join(F.transform("r.detections", lambda d: d["severity"]["label"]), ",").alias("severities"),
+        F.round(corners, 1).alias("corners"), "r.model_version",
+    )
+
+
 def backend_two(spark, sf) -> DataFrame:
     d, shift = fx.detections(spark, sf), F.lit(0.25) * (F.col("l_linenumber") % 5)
     return d.withColumns({c: F.col(c) + shift for c in ("x1", "y1", "x2", "y2")}).withColumn("confidence", F.col("confidence") + F.lit(0.001) * (F.col("l_linenumber") % 3))
@@ -478,21 +498,72 @@ def gt_pred_tags(spark, sf):
     return evaluate.count_tags(images, truth, detect.confident(fx.detections(spark, sf)))
 
 
+_TAGS = f"""{fx.IMAGES_SQL}, {fx.LABELS_SQL}, {fx.DETECTIONS_SQL}, g AS (SELECT i.image_id, {_BOXES} AS n_gt FROM fx_labels l JOIN fx_images i USING (split, stem)),
+p AS (SELECT image_id, count(*) AS n_pred FROM fx_detections WHERE confidence >= 0.35::double GROUP BY image_id),
+k AS (SELECT i.*, CASE WHEN coalesce(n_pred, 0) < coalesce(n_gt, 0) THEN '_LIKELY_FN' WHEN coalesce(n_pred, 0) > coalesce(n_gt, 0) THEN '_LIKELY_FP' ELSE '' END AS tag FROM fx_images i LEFT JOIN g USING (image_id) LEFT JOIN p USING (image_id))"""
+
+
+@query(f"WITH {_TAGS} SELECT tag, count(*) AS images FROM k GROUP BY tag")
+def tag_summary(spark, sf):
+    return evaluate.tag_summary(gt_pred_tags(spark, sf))
+
+
+@query(f"WITH {_TAGS} SELECT tag, file_name, stem || tag || '.jpg' AS drawn_name FROM k WHERE tag <> ''")
+def flagged_images(spark, sf):
+    """Images with fewer or more predictions than truth: the lists to look through."""
+    return evaluate.flagged(gt_pred_tags(spark, sf), fx.images(spark, sf))
+
+
+_NUMBER = r"^[+-]?((\d+(\.\d*)?|\.\d+)(e[+-]?\d+)?|nan|inf|infinity)$"
+DRAW_SQL = rf"""{fx.IMAGES_SQL}, {fx.LABELS_SQL}, {fx.DETECTIONS_SQL},
+ch AS (SELECT image_id, file_name FROM fx_images ORDER BY md5('42:' || file_name), file_name LIMIT 25),
+ln AS (SELECT image_id, width, height, regexp_split_to_array(trim(unnest(string_split({_STRIPPED}, chr(10)))), '\s+') AS tok FROM fx_labels JOIN fx_images USING (split, stem)),
+bx AS (SELECT image_id, width, height, try_cast(tok[2] AS double) AS xc, try_cast(tok[3] AS double) AS yc, try_cast(tok[4] AS double) AS w, try_cast(tok[5] AS double) AS h FROM ln
+  WHERE len(tok) = 5 AND regexp_matches(lower(tok[2]), '{_NUMBER}') AND regexp_matches(lower(tok[3]), '{_NUMBER}') AND regexp_matches(lower(tok[4]), '{_NUMBER}') AND regexp_matches(lower(tok[5]), '{_NUMBER}')),
+px AS (SELECT image_id, (xc - w / 2) * width AS x1, (yc - h / 2) * height AS y1, (xc + w / 2) * width AS x2, (yc + h / 2) * height AS y2 FROM bx),
+tr AS (SELECT image_id, 'truth' AS kind, trunc(x1)::int AS x1, trunc(y1)::int AS y1, trunc(x2)::int AS x2, trunc(y2)::int AS y2, '' AS caption FROM px WHERE isfinite(x1 + y1 + x2 + y2)),
+pd AS (SELECT image_id, 'predicted' AS kind, trunc(x1)::int AS x1, trunc(y1)::int AS y1, trunc(x2)::int AS x2, trunc(y2)::int AS y2, format('{{:.2f}}', confidence) AS caption FROM fx_detections WHERE confidence >= 0.35::double)"""
+
+
+@query(f"WITH {DRAW_SQL} SELECT tr.*, file_name FROM tr JOIN ch USING (image_id)")
+def overlay_boxes(spark, sf):
+    """Truth boxes to draw on a seeded sample of images."""
+    images = fx.images(spark, sf)
+    return evaluate.draw_list(images, evaluate.truth_boxes(images, fx.labels(spark, sf)))
+
+
+@query(f"WITH {DRAW_SQL} SELECT b.*, file_name FROM (SELECT * FROM tr UNION ALL SELECT * FROM pd) b JOIN ch USING (image_id)")
+def comparison_boxes(spark, sf):
+    """Truth and predicted boxes to draw side by side."""
+    images = fx.images(spark, sf)
+    return evaluate.draw_list(images, evaluate.truth_boxes(images, fx.labels(spark, sf)), evaluate.predicted_boxes(detect.confident(fx.detections(spark, sf))))
+
+
 def _matched(spark, sf, thresholds):
     det = fx.detections(spark, sf)
     truth = det.where("l_linenumber % 2 = 0").withColumn("gt_id", F.struct(*fx.LK))
     return evaluate.match(truth, backend_two(spark, sf), thresholds, fx.LK), truth.count()
 
 
-MATCH_SQL = f"""{fx.DETECTIONS_SQL}, g0 AS (SELECT *, row_number() OVER (PARTITION BY image_id ORDER BY {fx.LK_SQL}) AS rn FROM fx_detections WHERE l_linenumber % 2 = 0),
+def match_sql(thresholds: str) -> str:
+    """Greedy matching at each of the thresholds, a list in SQL."""
+    return f"""{fx.DETECTIONS_SQL}, g0 AS (SELECT *, row_number() OVER (PARTITION BY image_id ORDER BY {fx.LK_SQL}) AS rn FROM fx_detections WHERE l_linenumber % 2 = 0),
 g AS (SELECT image_id, list({_BOX} ORDER BY rn) AS gs FROM g0 GROUP BY image_id),
 two AS (SELECT * REPLACE (x1 + {_SHIFT} AS x1, y1 + {_SHIFT} AS y1, x2 + {_SHIFT} AS x2, y2 + {_SHIFT} AS y2, confidence + 0.001::double * (l_linenumber % 3) AS confidence) FROM fx_detections),
 b AS (SELECT image_id, confidence, {fx.LK_SQL}, {_BOX} AS box, rn FROM (SELECT *, row_number() OVER (PARTITION BY image_id ORDER BY confidence DESC, x1, y1, x2, y2, {fx.LK_SQL}) AS rn FROM two)),
-st AS (SELECT image_id, 0::bigint AS rn, []::bigint[] AS used, 0::bigint AS hit FROM b WHERE rn = 1
-  UNION ALL SELECT image_id, rn, CASE WHEN best.o >= 0.5::double THEN list_append(used, best.i) ELSE used END, (best.o >= 0.5::double)::bigint FROM (
-    SELECT b.image_id, b.rn, st.used, list_sort(list_transform(coalesce(g.gs, []), lambda k: {{'o': CASE WHEN list_contains(st.used, k.rn) THEN -1::double ELSE {iou_sql("b.box", "k")} END, 'ni': -k.rn, 'i': k.rn}}), 'DESC')[1] AS best
+th AS (SELECT unnest({thresholds}) AS threshold),
+st AS (SELECT threshold, image_id, 0::bigint AS rn, []::bigint[] AS used, 0::bigint AS hit FROM b, th WHERE rn = 1
+  UNION ALL SELECT threshold, image_id, rn, CASE WHEN best.o >= threshold THEN list_append(used, best.i) ELSE used END, (best.o >= threshold)::bigint FROM (
+    SELECT st.threshold, b.image_id, b.rn, st.used, list_sort(list_transform(coalesce(g.gs, []), lambda k: {{'o': CASE WHEN list_contains(st.used, k.rn) THEN -1::double ELSE {iou_sql("b.box", "k")} END, 'ni': -k.rn, 'i': k.rn}}), 'DESC')[1] AS best
     FROM st JOIN b ON b.image_id = st.image_id AND b.rn = st.rn + 1 LEFT JOIN g ON g.image_id = b.image_id)),
-tp AS (SELECT b.*, coalesce(st.hit, 0) AS tp FROM st JOIN b USING (image_id, rn) WHERE st.rn > 0)"""
+tp AS (SELECT threshold, b.*, coalesce(st.hit, 0) AS tp FROM st JOIN b USING (image_id, rn) WHERE st.rn > 0)"""
+
+
+MATCH_SQL = match_sql("[0.5::double]")
+GRID_SQL = match_sql("list_transform(range(10), lambda i: 0.5::double + 0.05::double * i)")
+AP_SQL = """s AS (SELECT threshold, confidence, count(*) AS n, sum(tp)::bigint AS t FROM tp GROUP BY threshold, confidence),
+c AS (SELECT threshold, sum(t) OVER w::double / sum(n) OVER w AS precision, floor(sum(t) OVER w * 100 / (SELECT count(*) FROM g0)::double)::int AS reach FROM s WINDOW w AS (PARTITION BY threshold ORDER BY confidence DESC)),
+r AS (SELECT threshold, i, coalesce((SELECT max(precision) FROM c WHERE c.threshold = th.threshold AND reach >= i), 0) AS p FROM th, range(101) t(i))"""
 
 
 @query(f"WITH RECURSIVE {MATCH_SQL} SELECT 0.5::double AS threshold, count(*) AS predictions, sum(tp)::bigint AS tp, sum(tp)::double / count(*) AS precision, sum(tp)::double / (SELECT count(*) FROM g0) AS recall FROM tp")
@@ -501,22 +572,31 @@ def precision_recall(spark, sf):
     return evaluate.precision_recall(matched, n)
 
 
-@query(
-    f"""WITH RECURSIVE {MATCH_SQL}, s AS (SELECT confidence, count(*) AS n, sum(tp)::bigint AS t FROM tp GROUP BY confidence),
-c AS (SELECT sum(t) OVER w::double / sum(n) OVER w AS precision, floor(sum(t) OVER w * 100 / (SELECT count(*) FROM g0)::double)::int AS reach FROM s WINDOW w AS (ORDER BY confidence DESC)),
-r AS (SELECT i, coalesce((SELECT max(precision) FROM c WHERE reach >= i), 0) AS p FROM range(101) t(i))
-SELECT 0.5::double AS threshold, round(sum(p) / 101, 6) AS ap FROM r"""
-)
+@query(f"WITH RECURSIVE {MATCH_SQL}, {AP_SQL} SELECT threshold, round(sum(p) / 101, 6) AS ap FROM r GROUP BY threshold")
 def average_precision(spark, sf):
     matched, n = _matched(spark, sf, [0.5])
     return evaluate.average_precision(matched, n).select("threshold", F.round("ap", 6).alias("ap"))
 
 
-@query()
+@query(f"WITH RECURSIVE {GRID_SQL}, {AP_SQL} SELECT threshold, round(sum(p) / 101, 6) AS ap FROM r GROUP BY threshold")
 def mean_average_precision(spark, sf):
     """AP at ten overlaps from 0.50 to 0.95; their mean is the averaged metric."""
     matched, n = _matched(spark, sf, evaluate.IOU_GRID)
-    return evaluate.average_precision(matched, n)
+    return evaluate.average_precision(matched, n).select("threshold", F.round("ap", 6).alias("ap"))
+
+
+@query(
+    f"""WITH RECURSIVE {GRID_SQL}, {AP_SQL}, {fx.REQUESTS_SQL},
+aps AS (SELECT threshold, sum(p) / 101 AS ap FROM r GROUP BY threshold),
+pr AS (SELECT sum(tp)::double / count(*) AS precision, sum(tp)::double / (SELECT count(*) FROM g0) AS recall FROM tp WHERE threshold = 0.5::double AND confidence >= 0.35::double),
+la AS (SELECT count(*) AS latency_sample, round(avg(elapsed_ms), 6) AS avg_ms, round(1000 / avg(elapsed_ms), 6) AS fps FROM fx_requests)
+SELECT 0.35::double AS confidence_threshold, round(precision, 6) AS precision, round(recall, 6) AS recall, (SELECT round(max(ap) FILTER (WHERE threshold = 0.5::double), 6) FROM aps) AS map50,
+  (SELECT round(avg(ap), 6) FROM aps) AS map50_95, latency_sample, avg_ms, fps FROM pr, la"""
+)
+def evaluation_report(spark, sf):
+    matched, n = _matched(spark, sf, evaluate.IOU_GRID)
+    row = evaluate.report(matched, n, fx.requests(spark, sf))
+    return row.select("confidence_threshold", "latency_sample", *[F.round(x, 6).alias(x) for x in ("precision", "recall", "map50", "map50_95", "avg_ms", "fps")])
 
 
 @query(f"WITH {fx.REQUESTS_SQL} SELECT count(*) AS n, round(avg(elapsed_ms), 6) AS avg_ms, round(1000 / avg(elapsed_ms), 6) AS fps FROM fx_requests")

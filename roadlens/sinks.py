@@ -69,3 +69,20 @@ def run_metadata(spark: SparkSession, counts: DataFrame, parameters: dict | None
         },
         indent=2,
     )
+
+
+#: Fixed value: what every evaluation report says.
+NOTE = "mAP is not sufficient sign-off. Manually review false positives/negatives (see --fp-fn-dir) before recommending deployment."
+
+
+def evaluation_report(row: DataFrame, weights: str, split: str) -> str:
+    """JSON of the one row of ``evaluate.report``, with the weights and the split it was made with."""
+    r = row.first()
+    names = {"confidence_threshold": "confidence_threshold", "precision": "precision", "recall": "recall", "map50": "mAP50", "map50_95": "mAP50-95", "avg_ms": "avg_inference_latency_ms", "fps": "fps_estimate", "latency_sample": "latency_sample_size"}
+    return json.dumps({"weights": weights, "split": split, **{out: r[c] for c, out in names.items()}, "note": NOTE}, indent=2)
+
+
+def with_contents(items: DataFrame, root: str) -> DataFrame:
+    """``items`` with the bytes of their files as ``content``, read from below ``root``: a dataset that holds its images, in any store."""
+    files = items.sparkSession.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select("path", "content")
+    return items.join(files, "path")

@@ -16,7 +16,8 @@ def _named(df: DataFrame) -> DataFrame:
 def list_images(spark: SparkSession, path: str) -> DataFrame:
     """(path, length, file_name, stem, ext, split) of image files below a folder, or of one file.
 
-    Suffixes count in any case. Contents aren't read: the column is pruned.
+    Suffixes count in any case. Contents aren't read: the column is pruned. Rows have no
+    order; ``in_name_order`` gives them one where it is wanted.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", "length")
     return _named(files).where(is_image(F.col("file_name")))
@@ -33,3 +34,8 @@ def decode_images(spark: SparkSession, path: str) -> DataFrame:
     raw = spark.read.format("image").option("dropInvalid", False).option("recursiveFileLookup", True).load(path)
     flat = raw.select(F.col("image.origin").alias("path"), "image.height", "image.width", "image.nChannels", "image.data", (F.col("image.height") > 0).alias("readable"))
     return _named(flat)
+
+
+def in_name_order(images: DataFrame) -> DataFrame:
+    """By split, then file name, then path."""
+    return images.orderBy("split", "file_name", "path")

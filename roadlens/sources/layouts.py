@@ -9,6 +9,7 @@ from roadlens.functions.text import sequence_of, stem
 from roadlens.operators import negatives
 from roadlens.operators.sampling import seeded_fraction
 from roadlens.sources import voc, yolo
+from roadlens.sources.images import list_images
 
 ITEM = ["source", "path", "file_name", "stem", "lines", "seq_id"]
 
@@ -26,12 +27,19 @@ def annotated_set(images: DataFrame, xmls: DataFrame, tag: str, keep_negatives_f
 
 
 def labelled_set(images: DataFrame, labels: DataFrame, tag: str, manifest: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """(items, one row with missing_labels) of images joined with label texts (stem, body) by stem."""
-    own = labels.select("stem", "body").dropDuplicates(["stem"])
+    """(items, one row with missing_labels and duplicate_labels) of images joined with label texts (stem, body) by stem.
+
+    Of several labels of a stem the one of the smallest path stays, or without paths of the smallest text.
+    """
+    order = F.col("path" if "path" in labels.columns else "body")
+    own = labels.groupBy("stem").agg(F.min_by("body", F.struct(order, "body")).alias("body"), F.count(F.lit(1)).alias("__n"))
+    dropped = own.agg(F.coalesce(F.sum(F.col("__n") - 1), F.lit(0)).alias("duplicate_labels"))
+    own = own.drop("__n")
     each = yolo.boxes(own).groupBy("stem").agg(F.transform(F.sort_array(F.collect_list(F.struct("line_no", F.array_join("tokens", " ").alias("l")))), lambda s: s["l"]).alias("lines"))
     joined = images.join(own.select("stem"), "stem").join(each, "stem", "left").withColumn("lines", F.coalesce("lines", F.array().cast("array<string>")))
     items = yolo.with_sequence(joined, manifest, tag).withColumn("source", F.lit(tag)).select(*ITEM)
-    return items, images.join(own, "stem", "left_anti").agg(F.count(F.lit(1)).alias("missing_labels"))
+    missing = images.join(own, "stem", "left_anti").agg(F.count(F.lit(1)).alias("missing_labels"))
+    return items, missing.join(dropped)  # a row each
 
 
 def mined_negatives(os_v1: DataFrame | None = None, ws_v1: DataFrame | None = None, ws_v2: DataFrame | None = None) -> DataFrame:
@@ -61,3 +69,27 @@ def read_texts(spark: SparkSession, root: str, suffix: str, column: str) -> Data
     """(path, stem, column) of whole text files with a suffix below a folder."""
     raw = spark.read.text(root, wholetext=True, recursiveFileLookup=True, pathGlobFilter=f"*{suffix}")
     return raw.select(F.input_file_name().alias("path"), stem(F.input_file_name()).alias("stem"), F.col("value").alias(column))
+
+
+#: The folders of the three layouts.
+OS_V1, WS_V1, WS_V2 = "Attain_SMP_OS_V1.0", "Attain_SMP_WS_V1.0", "Attain_SMP_WS_V2.0"
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path is there, in whatever store it is."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
+
+
+def read_layouts(spark: SparkSession, root: str) -> DataFrame:
+    """The negatives mined from the layouts below ``root``; layouts that aren't there are skipped.
+
+    Images without a label text or annotation are left out where the layout has these.
+    """
+    found: dict[str, DataFrame] = {}
+    for name, folder, suffix, column in (("os_v1", OS_V1, None, None), ("ws_v1", WS_V1, ".txt", "body"), ("ws_v2", WS_V2, ".xml", "xml")):
+        if exists(spark, f"{root}/{folder}"):
+            found[name] = list_images(spark, f"{root}/{folder}/Images").select("file_name", "stem")
+            if suffix:
+                found[name] = found[name].join(read_texts(spark, f"{root}/{folder}/Labels", suffix, column).select("stem", column), "stem")
+    return mined_negatives(**found)

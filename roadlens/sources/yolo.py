@@ -27,15 +27,19 @@ def first_class_ids(labels: DataFrame) -> DataFrame:
 
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
-    """(filename, sequence_id); of several rows of a file the last in order stays."""
-    return spark.read.csv(path, header=True, schema="filename string, sequence_id string")
+    """(filename, sequence_id, place): place is where a row stands, by file, block and line, whatever the tasks."""
+    rows = spark.read.csv(path, header=True, schema="filename string, sequence_id string")
+    return rows.select("filename", "sequence_id", F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("line")).alias("place"))
 
 
 def with_sequence(images: DataFrame, manifest: DataFrame | None, tag: str) -> DataFrame:
-    """Adds seq_id: the manifest's, or else what the name tells, behind the source's tag."""
+    """Adds seq_id: the manifest's, or else what the name tells, behind the source's tag.
+
+    Of several rows of a file the last by ``place`` counts, or without one the greatest sequence_id.
+    """
     guess = F.concat(F.lit(f"{tag}_"), sequence_of(F.col("stem")))
     if manifest is None:
         return images.withColumn("seq_id", guess)
-    numbered = manifest.select(F.col("filename").alias("file_name"), F.struct(F.monotonically_increasing_id().alias("i"), "sequence_id").alias("s"))
+    numbered = manifest.select(F.col("filename").alias("file_name"), F.struct(*["place"] * ("place" in manifest.columns), "sequence_id").alias("s"))
     last = numbered.groupBy("file_name").agg(F.max("s")["sequence_id"].alias("__seq"))
     return images.join(last, "file_name", "left").withColumn("seq_id", F.coalesce(F.concat(F.lit(f"{tag}_"), "__seq"), guess)).drop("__seq")

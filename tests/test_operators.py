@@ -201,3 +201,74 @@ def test_augmentation(spark):
     grey = np.full((2, 2, 3), 100, np.uint8)
     assert augment.lighten_and_warm(grey, 30, 5).tolist()[0][0] == [128, 130, 135]
     assert augment.lighten_and_warm(np.full((1, 1, 3), 250, np.uint8), 30, 5).max() == 255
+
+
+@pytest.mark.parametrize("together", [1, 2, 3, 4])
+def test_near_prints_by_any_number_of_bands(spark, together):
+    rng = random.Random(together)
+    fps = {0, -1, 1 << 62}
+    for f in [rng.getrandbits(63) for _ in range(12)]:
+        for n in (0, 1, 5, 6, 7):
+            fps.add(f ^ sum(1 << b for b in rng.sample(range(63), n)))
+    fps = sorted(fps)
+    bits = lambda x: bin(x & (1 << 64) - 1).count("1")
+    got = sorted(tuple(r) for r in similarity.near_prints(spark.createDataFrame([(f,) for f in fps], "fp long"), 6, together).collect())
+    assert got == sorted((a, b, bits(a ^ b)) for a in fps for b in fps if a < b and bits(a ^ b) <= 6)
+
+
+def test_equal_prints_are_linked_in_a_star(spark):
+    df = spark.createDataFrame([(i, 5 if i < 400 else 7 + (i << 20)) for i in range(410)] + [(999, None)], "id long, fp long")
+    edges = similarity.near_edges(df, 6).collect()
+    assert len(edges) < 500
+    cluster = {r["id"]: r["cluster"] for r in dedupe.clusters(df).collect()}
+    assert all(cluster[i] == 0 for i in range(400)) and cluster[999] == 999
+
+
+def test_exact_only_clusters_need_no_graph(spark):
+    df = spark.createDataFrame([("p1", "m"), ("p0", "m"), ("p2", None), ("p3", None), ("p4", "n")], "path string, md5 string")
+    assert {r["path"]: r["cluster"] for r in dedupe.clusters(df, "path", exact_only=True).collect()} == {"p0": "p0", "p1": "p0", "p2": "p2", "p3": "p3", "p4": "p4"}
+
+
+def test_large_samples_take_whole_cells(spark, monkeypatch):
+    df = spark.range(3000).selectExpr("concat('f', id) AS file_name")
+    want = [r[0] for r in df.orderBy(sampling.seeded_key(42, df["file_name"]), "file_name").collect()]
+    monkeypatch.setattr(sampling, "SORTED_ROWS", 10)
+    monkeypatch.setattr(sampling, "CELL_DIGITS", 1)
+    for n in (11, 1500, 2999, 3000, 4000):
+        assert sorted(r[0] for r in sampling.seeded_sample(df, n, "file_name").collect()) == sorted(want[:n])
+
+
+def test_group_split_against_a_loop(spark):
+    import hashlib
+
+    sizes = {f"g{i}": 1 + i * i % 13 for i in range(200)}
+    total, done, taken, want = sum(sizes.values()), 0, 0, {}
+    for g in sorted(sizes, key=lambda g: (hashlib.md5(f"42:{g}".encode()).hexdigest(), g)):
+        if done < 0.7 * total:
+            want[g], taken = "train", taken + sizes[g]
+        else:
+            want[g] = "val" if done - taken < 0.2 * total else "test"
+        done += sizes[g]
+    got = split.assign_groups(spark.createDataFrame(list(sizes.items()), "seq_id string, n long")).collect()
+    assert {r["seq_id"]: r["split"] for r in got} == want
+
+
+def test_validation_tells_of_parts_duplicates_and_leaks(spark, monkeypatch):
+    images = spark.createDataFrame([("train", "a", "a.jpg"), ("train", "a", "a.png"), ("train", "b", "b.jpg"), ("val", "c", "c.jpg")], "split string, stem string, file_name string")
+    labels = spark.createDataFrame([("train", "a", "0 0.5 0.5 0.2 0.2\n1 0.5"), ("train", "z", ""), ("test", "t", "x")], "split string, stem string, body string")
+    files = spark.createDataFrame([("train", "p1", "m", 1), ("train", "p2", "m", 1), ("train", "p3", "m", 9), ("val", "p4", "n", 3)], "split string, path string, md5 string, fp long")
+    got = sorted((r["rule"], r["split"] or "", r["file"] or "", r["line_no"] or 0) for r in validate.validate(images, labels, files=files, splits=validate.SPLITS).collect())
+    assert got == sorted([("V1", "test", "", 0), ("V1", "val", "", 0), ("V11", "train", "z.txt", 0), ("V12", "train", "", 0), ("V13", "", "", 0), ("V13", "", "", 0), ("V13", "", "", 0), ("V3", "train", "b.jpg", 0), ("V5", "train", "a.txt", 2)])
+    told = {r["message"] for r in validate.leaked_images(files).collect()}
+    assert "possible cross-split leakage: p1 (train) ~= p4 (val) (phash distance 1)" in told
+    assert not validate.verdict(validate.validate(images.limit(0), labels.limit(0), files=files)).first()["passed"]
+    monkeypatch.setattr(validate, "NAMED_PATHS", 1)
+    assert sum(r["message"].count("p") - r["message"].split("(")[0].count("p") for r in validate.duplicate_images(files).collect()) == 3
+
+
+def test_report_of_a_perfect_detector(spark):
+    truth = spark.createDataFrame([(1, 0, 0.0, 0.0, 10.0, 10.0), (1, 1, 50.0, 50.0, 60.0, 60.0)], "image_id long, gt_id int, x1 double, y1 double, x2 double, y2 double")
+    found = truth.selectExpr("image_id", "0.9D AS confidence", "x1", "y1", "x2", "y2")
+    runs = spark.createDataFrame([(10.0,), (30.0,)], "elapsed_ms double")
+    row = evaluate.report(evaluate.match(truth, found, evaluate.IOU_GRID), 2, runs).first()
+    assert (row["precision"], row["recall"], round(row["map50"], 9), round(row["map50_95"], 9), row["avg_ms"], row["fps"], row["latency_sample"]) == (1, 1, 1, 1, 20, 50, 2)

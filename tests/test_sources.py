@@ -123,3 +123,79 @@ def test_streaming_scores_like_batch(spark, sf, tmp_path):
     got = []
     score_stream(spark, str(tmp_path / "in"), lambda df, _: got.append({r["severity"]: r["count"] for r in df.groupBy("severity").count().collect()}), str(tmp_path / "cp")).awaitTermination()
     assert got == [{r["severity"]: r["count"] for r in score_frames(rows).groupBy("severity").count().collect()}]
+
+
+def test_scoring_from_pixels_to_answers(spark, root):
+    def load():
+        # One box over the middle where the picture is light enough, and its double of less confidence.
+        return lambda batch: np.array([[[320.0, 321.0], [320.0, 320.0], [64.0, 64.0], [64.0, 64.0], [0.9 if batch.mean() > 0.3 else 0.1, 0.5 if batch.mean() > 0.3 else 0.1]]])
+
+    decoded = images.decode_images(spark, f"{root}/images")
+    rows = {r["path"].rsplit("/", 1)[1]: json.loads(r["response"]) for r in detect.score_images(decoded, load, "v7").collect()}
+    assert set(rows) == {"s1_1.png", "s1_2.PNG", "s2_1.png"}
+    for r in rows.values():
+        assert r["success"] and r["model_version"] == "v7" and r["inference_time_ms"] >= 0 and len(r["detections"]) <= 1
+    some = [r["detections"][0] for r in rows.values() if r["detections"]]
+    assert some and all(d["confidence"] == 0.9 and d["severity"]["label"] in ("minor", "moderate", "severe") for d in some)
+
+
+def test_frames_without_detections_are_answered(spark):
+    from roadlens.functions.severity import score_frames
+
+    found = spark.createDataFrame([(1, 0.9, 1.0, 1.0, 5.0, 5.0, 10.0, 10.0)], "image_id long, confidence double, x1 double, y1 double, x2 double, y2 double, width double, height double")
+    frames = spark.createDataFrame([(1, 2.345), (2, 1.0)], "image_id long, elapsed_ms double")
+    rows = {r["image_id"]: json.loads(r["response"]) for r in detect.responses(score_frames(found), frames=frames).collect()}
+    assert rows[2]["detections"] == [] and rows[2]["success"] and rows[1]["inference_time_ms"] in (2.34, 2.35) and len(rows[1]["detections"]) == 1
+    ids = [r["request_id"] for r in detect.with_request_id(frames, "image_id").collect()]
+    assert len(set(ids)) == 2 and all(len(i) == 8 for i in ids)
+
+
+def test_augmented_pixels(spark, root):
+    from roadlens.operators import augment
+
+    rows = augment.augmented(images.decode_images(spark, f"{root}/images")).collect()
+    assert len(rows) == 9 and {r["target_name"] for r in rows} >= {"aug0_s1_1.png", "aug2_s2_1.png"}
+    assert all(len(r["data"]) == r["height"] * r["width"] * 3 for r in rows)
+
+
+def test_layouts_that_are_there(spark, tmp_path):
+    png(tmp_path / layouts.OS_V1 / "Images/o.png", 4, 4)
+    png(tmp_path / layouts.WS_V1 / "Images/w.png", 4, 4)
+    png(tmp_path / layouts.WS_V1 / "Images/none.png", 4, 4)
+    (tmp_path / layouts.WS_V1 / "Labels").mkdir()
+    (tmp_path / layouts.WS_V1 / "Labels/w.txt").write_text("10 0 0 1 1\n")
+    assert {r["file_name"]: r["category"] for r in layouts.read_layouts(spark, str(tmp_path)).collect()} == {"o.png": "generic", "w.png": "priority"}
+    with pytest.raises(ValueError, match="no layout"):
+        layouts.read_layouts(spark, str(tmp_path / "nowhere"))
+
+
+def test_one_label_of_a_stem_stays(spark):
+    own = spark.createDataFrame([("b/s.txt", "s", "0 2 2 2 2"), ("a/s.txt", "s", "0 1 1 1 1")], "path string, stem string, body string")
+    files = spark.createDataFrame([("i/s.jpg", "s.jpg", "s")], "path string, file_name string, stem string")
+    items, told = layouts.labelled_set(files, own, "t")
+    assert items.first()["lines"] == ["0 1 1 1 1"] and told.first()["duplicate_labels"] == 1 and told.first()["missing_labels"] == 0
+
+
+def test_more_settings():
+    s = Settings.from_environment({"ML_BACKEND": "onnx", "ML_HF_MODEL_REPO": "own/repo"})
+    assert s.model_file == "best.onnx" and s.weights() == ("repository", "own/repo/best.onnx", "best")
+    assert Settings().weights() == ("path", "models/best.pt", "best")
+
+
+def test_report_and_contents(spark, root):
+    row = spark.createDataFrame([(0.35, 0.5, 0.25, 0.4, 0.2, 45.0, 22.2, 50)], "confidence_threshold double, precision double, recall double, map50 double, map50_95 double, avg_ms double, fps double, latency_sample long")
+    told = json.loads(sinks.evaluation_report(row, "w.pt", "val"))
+    assert told["mAP50-95"] == 0.2 and told["split"] == "val" and told["note"] == sinks.NOTE
+    listed = images.list_images(spark, f"{root}/images")
+    assert sinks.with_contents(listed.select("path", "file_name"), f"{root}/images").where("length(content) > 0").count() == 4
+    assert [r["file_name"] for r in images.in_name_order(listed).collect()] == ["s1_1.png", "s1_2.PNG", "bad.png", "s2_1.png"]
+
+
+def test_scratch_tables_can_be_discarded(spark):
+    from roadlens.session import discard, materialize
+
+    one, two = materialize(spark.range(5)), materialize(spark.range(6))
+    discard(one, spark.range(2))
+    assert two.count() == 6
+    with pytest.raises(Exception, match="(?i)not.exist|not found|no such"):
+        one.count()
