@@ -18,14 +18,15 @@ components that can still reach the threshold are verified.
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from roadlens.llm.bounded import STRETCH, bound_batches, maybe_among, stretches
 from roadlens.operators.components import connected_components
 from roadlens.session import materialize
 
@@ -35,13 +36,13 @@ BANDS, ROWS = 25, 5
 REGISTERS = BANDS * ROWS
 #: Registers agree on J_P with a standard deviation of 0.036 at the threshold: five of them are left as room.
 ESTIMATE = THRESHOLD - 0.18
-#: Members of a block when a bucket is compared block by block.
-BLOCK = 256
-#: Rounds of tests against one member of each bucket, and bits of the bitmap of candidates at most.
-PIVOT_ROUNDS, MOST_BITS = 2, 1 << 27
-PAIR = "a long, b long, ca long, cb long"
-#: Bytes of text handled at once; a longer text is handled alone.
-STRETCH = 1 << 21
+#: Members that one task holds against a pivot; members of a block when a bucket's registers are compared, and when its shingles are.
+FAN, BLOCK, FINE = 512, 2048, 256
+#: Rounds of tests against one member of each bucket.
+PIVOT_ROUNDS = 2
+#: Shingles whose arrivals are drawn at once.
+ELEMENTS = 1 << 17
+PAIR = "a long, b long, ca long, cb long, n long"
 
 _M = (1 << 64) - 1
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -69,6 +70,32 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS["up"], _POWERS["down"]
 
 
+def _words(buffer: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(hash of every word, its first byte's place): a word's hash doesn't depend on where it stands."""
+    up, down = _powers(len(buffer) + 1)
+    total = np.cumsum(_BYTES[buffer] * up[: len(buffer)])
+    space = _SPACE[buffer]
+    first = np.flatnonzero(~space & np.concatenate([[True], space[:-1]]))
+    last = np.flatnonzero(~space & np.concatenate([space[1:], [True]]))
+    word = total[last] - np.where(first > 0, total[np.maximum(first, 1) - 1], np.uint64(0))
+    return _mix(word * down[first] + (last - first).astype(np.uint64)), first
+
+
+def _spans(buffer: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Spans of about STRETCH bytes that end at white space, so that no word is cut."""
+    begin, n = 0, len(buffer)
+    while begin < n:
+        end = min(n, begin + STRETCH)
+        while end < n:
+            spaces = np.flatnonzero(_SPACE[buffer[begin:end]])
+            if len(spaces):
+                end = begin + int(spaces[-1]) + 1
+                break
+            end = min(n, end + STRETCH)
+        yield begin, end
+        begin = end
+
+
 def shingles(texts: list[str | None], words: int = WORDS) -> list[tuple[np.ndarray, np.ndarray]]:
     """(sorted distinct shingle hashes, times each occurs) of every text; a text of fewer words is one shingle, of none is none."""
     data = [(t or "").lower().encode("utf-8", "surrogatepass") for t in texts]
@@ -76,16 +103,9 @@ def shingles(texts: list[str | None], words: int = WORDS) -> list[tuple[np.ndarr
     empty = (np.zeros(0, np.uint64), np.zeros(0, np.int64))
     if not len(buffer):
         return [empty] * len(texts)
-    ends_at = np.cumsum([len(d) + 1 for d in data])
-    up, down = _powers(len(buffer) + 1)
-    total = np.cumsum(_BYTES[buffer] * up[: len(buffer)])
-    space = _SPACE[buffer]
-    before = np.concatenate([[True], space[:-1]])
-    first = np.flatnonzero(~space & before)
-    last = np.flatnonzero(~space & np.concatenate([space[1:], [True]]))
-    word = total[last] - np.where(first > 0, total[np.maximum(first, 1) - 1], np.uint64(0))
-    word = _mix(word * down[first] + (last - first).astype(np.uint64))
-    bounds = np.searchsorted(first, ends_at)
+    parts = [(_words(buffer[b:e]), b) for b, e in _spans(buffer)]
+    word, first = np.concatenate([w for (w, _), _ in parts]), np.concatenate([f + b for (_, f), b in parts])
+    bounds = np.searchsorted(first, np.cumsum([len(d) + 1 for d in data]))
     run = np.zeros(max(0, len(word) - words + 1), dtype=np.uint64)
     for k in range(words):
         run += word[k : k + len(run)] * _PLACES[k]
@@ -112,11 +132,17 @@ def signatures(sets: list[tuple[np.ndarray, np.ndarray]], registers: int = REGIS
     size = np.array([len(h) for h, _ in sets], dtype=np.int64)
     earliest = np.full(len(sets) * registers, np.inf)
     holder = np.zeros(len(sets) * registers, dtype=np.uint64)
-    if not size.sum():
-        return holder.reshape(len(sets), registers)
-    element = np.concatenate([h for h, _ in sets])
-    rate = weights(np.concatenate([n for _, n in sets]))
-    owner = np.repeat(np.arange(len(sets)), size)
+    if size.sum():
+        every, times = np.concatenate([h for h, _ in sets]), np.concatenate([n for _, n in sets])
+        owners = np.repeat(np.arange(len(sets)), size)
+        for k in range(0, len(every), ELEMENTS):  # registers carry over: later shingles of a long text stop early
+            part = slice(k, k + ELEMENTS)
+            _arrive(every[part], weights(times[part]), owners[part], registers, earliest, holder)
+    return holder.reshape(len(sets), registers)
+
+
+def _arrive(element: np.ndarray, rate: np.ndarray, owner: np.ndarray, registers: int, earliest: np.ndarray, holder: np.ndarray) -> None:
+    """The Poisson arrivals of the elements, each put in its register where it is the earliest so far."""
     at = np.zeros(len(element))
     k = 0
     while len(element):
@@ -131,7 +157,6 @@ def signatures(sets: list[tuple[np.ndarray, np.ndarray]], registers: int = REGIS
         on = at < latest[owner]
         element, rate, owner, at = element[on], rate[on], owner[on], at[on]
         k += 1
-    return holder.reshape(len(sets), registers)
 
 
 def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
@@ -158,67 +183,85 @@ def _general(x: np.ndarray, y: np.ndarray, xi: np.ndarray, yi: np.ndarray) -> fl
     return float((1 / inner).sum())
 
 
-def _stretches(column: pa.Array) -> Iterator[tuple[int, list[str | None]]]:
-    """(first row, texts) of runs of rows of about STRETCH bytes: a batch never stands in Python as a whole."""
-    size = np.asarray(pc.fill_null(pc.binary_length(column), 0))
-    begin, room = 0, 0
-    for i, n in enumerate(size.tolist()):
-        if i > begin and room + n > STRETCH:
-            yield begin, column.slice(begin, i - begin).to_pylist()
-            begin, room = i, 0
-        room += n
-    if len(size) > begin:
-        yield begin, column.slice(begin).to_pylist()
-
-
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for b, texts in _stretches(batch.column(1)):
+        for b, texts in stretches(batch.column(1)):
             sets, e = shingles(texts), b + len(texts)
-            held = signatures(sets)
-            some = np.array([len(h) > 0 for h, _ in sets])
-            rows = held.reshape(len(sets), BANDS, ROWS)
+            held = (_mix(signatures(sets)) & np.uint64(0xFFFF)).astype("<u2")
+            some = [len(h) > 0 for h, _ in sets]
+            rows = held.reshape(len(sets), BANDS, ROWS).astype(np.uint64)
             keys = np.zeros((len(sets), BANDS), dtype=np.uint64)
             for r in range(ROWS):
                 keys = _mix(keys + rows[:, :, r] * _PLACES[r] + np.arange(BANDS, dtype=np.uint64))
-            small = (_mix(held) & np.uint64(0xFFFF)).astype("<u2")
             yield pa.record_batch(
                 [
                     batch.column(0).slice(b, e - b),
                     pa.array([hashlib.md5(h.tobytes() + n.tobytes()).digest() if len(h) else None for h, n in sets], pa.binary()),
                     pa.array([k if s else None for k, s in zip(keys.view(np.int64), some, strict=True)], pa.list_(pa.int64())),
-                    pa.array([x.tobytes() if s else None for x, s in zip(small, some, strict=True)], pa.binary()),
+                    pa.array([x.tobytes() if s else None for x, s in zip(held, some, strict=True)], pa.binary()),
                 ],
-                names=["doc_id", "same", "keys", "registers"],
+                names=["doc_id", "same", "keys", "held"],
             )
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for b, texts in _stretches(batch.column(1)):
+        for b, texts in stretches(batch.column(1)):
             sets, e = shingles(texts), b + len(texts)
-            yield pa.record_batch(
-                [batch.column(0).slice(b, e - b), pa.array([h.tobytes() for h, _ in sets], pa.binary()), pa.array([n.astype("<i4").tobytes() for _, n in sets], pa.binary())],
-                names=["doc_id", "hashes", "times"],
-            )
+            yield pa.record_batch([batch.column(0).slice(b, e - b), pa.array([h.tobytes() + n.astype("<i4").tobytes() for h, n in sets], pa.binary())], names=["doc_id", "held"])
 
 
-def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        a, b = batch.column("a"), batch.column("b")
-        sims = []
-        for ah, at, bh, bt in zip(*(batch.column(c) for c in ("ah", "at", "bh", "bt")), strict=True):
-            one = tuple(np.frombuffer(x.as_buffer(), t) for x, t in ((ah, np.uint64), (at, "<i4")))
-            two = tuple(np.frombuffer(x.as_buffer(), t) for x, t in ((bh, np.uint64), (bt, "<i4")))
-            sims.append(similarity(one, two))
-        yield pa.record_batch([a, b, batch.column("ca"), batch.column("cb"), pa.array(sims, pa.float64())], names=["a", "b", "ca", "cb", "sim"])
+def _registers(held: bytes) -> np.ndarray:
+    return np.frombuffer(held, "<u2")
 
 
-def _agreement(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u2").reshape(-1, REGISTERS) for c in ("ar", "br"))
-        keep = pa.array(np.flatnonzero((x == y).mean(axis=1) >= ESTIMATE))
-        yield batch.select(["a", "b", "ca", "cb"]).take(keep)
+def _shingle_set(held: bytes) -> tuple[np.ndarray, np.ndarray]:
+    n = len(held) // 12
+    return np.frombuffer(held, "<u8", n), np.frombuffer(held, "<i4", n, 8 * n)
+
+
+def _agree(x: np.ndarray, y: np.ndarray) -> bool:
+    return np.count_nonzero(x == y) >= ESTIMATE * REGISTERS
+
+
+def _similar(x: tuple, y: tuple) -> bool:
+    return similarity(x, y) >= THRESHOLD
+
+
+def _against(read, test):
+    """Pairs whose test holds, of rows that come sorted by (task, side): pivots first, then what they are tested with."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, pivots = None, {}
+        for batch in batches:
+            keep = []
+            for i, (t, side, a) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("task", "side", "a")), strict=True)):
+                if t != task:
+                    task, pivots = t, {}
+                held = batch.column("held")[i].as_py()
+                if side == 0:
+                    pivots[a] = read(held)
+                elif test(pivots[a], read(held)):
+                    keep.append(i)
+            yield batch.select(["a", "b", "ca", "cb", "n"]).take(pa.array(keep, pa.int64()))
+
+    return run
+
+
+def _tested(pairs: DataFrame, held: DataFrame, read, test) -> DataFrame:
+    """The pairs (a, b, ca, cb, n) whose ``held`` of both, by doc_id, passes the test.
+
+    A pivot a is sent once to each of n / FAN tasks, not to each of its pairs: neither
+    it nor a bucket of any size is a hot key.
+    """
+    many = F.greatest(F.lit(1), F.ceil(F.col("n") / FAN))
+    dealt = pairs.withColumn("task", F.xxhash64("a", many, F.pmod(F.xxhash64("b", F.lit("task")), many)))
+    fields = ["task", "side", "a", "b", "ca", "cb", "n", "held"]
+    members = dealt.join(held.withColumnRenamed("doc_id", "b"), "b").withColumn("side", F.lit(1)).select(*fields)
+    ones = dealt.select("task", "a").distinct().join(held.withColumnRenamed("doc_id", "a"), "a")
+    none = F.lit(None).cast("long")
+    pivots = ones.select("task", F.lit(0).alias("side"), "a", *(none.alias(c) for c in ("b", "ca", "cb", "n")), "held")
+    return pivots.unionByName(members).repartition("task").sortWithinPartitions("task", "side").mapInArrow(_against(read, test), PAIR)
 
 
 def _tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[dict], list[dict]]]:
@@ -237,30 +280,36 @@ def _tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[dict],
 
 def _plausible(left: list[dict], right: list[dict]) -> Iterator[tuple[int, np.ndarray]]:
     """For each left row: the right rows of other components whose registers agree enough, each pair in its first common band only."""
-    keys = [np.array([r["keys"] for r in side], dtype=np.int64) for side in (left, right)]
     held = [np.frombuffer(b"".join(r["registers"] for r in side), "<u2").reshape(-1, REGISTERS) for side in (left, right)]
     comps, reps = (np.array([r[c] for r in right], dtype=np.int64) for c in ("comp", "rep"))
     for i, row in enumerate(left):
-        at = np.flatnonzero(comps != row["comp"])
-        at = at[(held[1][at] == held[0][i]).mean(axis=1) >= ESTIMATE]
-        common = keys[1][at] == keys[0][i]
-        at = at[keys[0][i][common.argmax(axis=1)] == row["key"]]
-        yield i, at[reps[at] != row["rep"]]
+        at = np.flatnonzero((comps != row["comp"]) & (reps != row["rep"]))
+        at = at[np.count_nonzero(held[1][at] == held[0][i], axis=1) >= ESTIMATE * REGISTERS]
+        if len(at):
+            common = (held[1][at] == held[0][i]).reshape(-1, BANDS, ROWS).all(axis=2)
+            at = at[common.any(axis=1) & (common.argmax(axis=1) == row["band"])]
+        yield i, at
+
+
+def _part(rep: int, task: int) -> int:
+    """Which of the BLOCK / FINE parts of its block a member is in."""
+    return zlib.crc32(f"{rep}:{task}".encode()) % max(1, BLOCK // FINE)
 
 
 def _survivors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The members of each block that have a plausible partner in it: rows grow with the members, not with the pairs."""
+    """The members of each block that have a plausible partner in it, dealt to the parts where it stands: rows grow with the members, not with the pairs."""
     for task, left, right in _tasks(batches):
-        ls, rs = set(), set()
+        own, other = [_part(r["rep"], task) for r in left], np.array([_part(r["rep"], task) for r in right])
+        found = set()
         for i, at in _plausible(left, right):
-            if len(at):
-                ls.add(i)
-                rs.update(at.tolist())
-        rows = [(0, left[i]) for i in sorted(ls)] + [(1, right[j]) for j in sorted(rs)]
+            for j in np.unique(other[at]).tolist():
+                found.add((own[i], j, 0, i))
+            found.update((own[i], int(other[j]), 1, j) for j in at.tolist())
+        rows = [(zlib.crc32(f"{p}:{q}:{task}".encode()) | (task & 0x7FFFFFFF) << 32, side, (right if side else left)[k]) for p, q, side, k in sorted(found)]
         if rows:
             yield pa.record_batch(
-                [pa.array([task] * len(rows), pa.int64()), pa.array([s for s, _ in rows], pa.int32()), *(pa.array([r[c] for _, r in rows], pa.int64()) for c in ("key", "rep", "comp"))],
-                names=["task", "side", "key", "rep", "comp"],
+                [pa.array([t for t, _, _ in rows], pa.int64()), pa.array([s for _, s, _ in rows], pa.int32()), *(pa.array([r[c] for _, _, r in rows], pa.int64()) for c in ("band", "rep", "comp"))],
+                names=["task", "side", "band", "rep", "comp"],
             )
 
 
@@ -274,12 +323,12 @@ def _verify_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
                 c = parent[c]
             return c
 
-        sets = [[(np.frombuffer(r["hashes"], np.uint64), np.frombuffer(r["times"], "<i4")) for r in side] for side in (left, right)]
+        sets = [[_shingle_set(r["held"]) for r in side] for side in (left, right)]
         links = []
         for i, at in _plausible(left, right):
             for j in at.tolist():
                 x, y = find(left[i]["comp"]), find(right[j]["comp"])
-                if x != y and similarity(sets[0][i], sets[1][j]) >= THRESHOLD:
+                if x != y and _similar(sets[0][i], sets[1][j]):
                     parent[max(x, y)] = min(x, y)
                     links.append((left[i]["comp"], right[j]["comp"]))
         if links:
@@ -294,118 +343,86 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     shingle. Repeated rows of a doc_id are one document, with a row each. An empty
     table gives no rows; other columns are ignored. Null doc_ids are alone.
     """
+    bound_batches(docs.sparkSession)
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    sketch = materialize(slim.mapInArrow(_sketch, "doc_id long, same binary, keys array<long>, registers binary"))
-    known = sketch.where("same IS NOT NULL AND doc_id IS NOT NULL")
+    sketch = materialize(slim.mapInArrow(_sketch, "doc_id long, same binary, keys array<long>, held binary"))
+    has_set = F.col("same").isNotNull() & F.col("doc_id").isNotNull()
+    known = sketch.where(has_set)
     first = materialize(known.groupBy("same").agg(F.min("doc_id").alias("rep")))
     reps = known.join(first.select(F.col("rep").alias("doc_id"), "same"), ["doc_id", "same"], "left_semi").dropDuplicates(["doc_id", "same"])
 
-    members = reps.select(F.col("doc_id").alias("rep"), F.explode("keys").alias("key"))
-    buckets = members.groupBy("key").agg(F.min("rep").alias("pivot"), F.max("rep").alias("top")).where("pivot < top").select("key", "pivot")
-    members = materialize(members.join(buckets, "key"))
+    members = materialize(reps.select(F.col("doc_id").alias("rep"), F.posexplode("keys").alias("band", "key")))
+    shared = members.groupBy("key").agg(F.min("rep").alias("pivot"), F.max("rep").alias("top"), F.count(F.lit(1)).alias("n")).where("pivot < top")
+    members = materialize(members.join(materialize(shared.select("key", "pivot", "n")), "key"))
     candidates = materialize(members.select(F.col("rep").alias("doc_id")).distinct())
-    registers = materialize(reps.join(candidates, "doc_id", "left_semi").select("doc_id", "registers", "keys"))
-    sets = materialize(_sets_of(slim, candidates))
+    registers = materialize(known.join(candidates, "doc_id", "left_semi").select("doc_id", "held").dropDuplicates(["doc_id"]))
+    # Texts that are no candidate's neither cross a shuffle nor reach a worker.
+    found = maybe_among(slim.where("doc_id IS NOT NULL"), F.col("doc_id"), candidates).where("maybe").select("doc_id", "text").mapInArrow(_sets, "doc_id long, held binary")
+    sets = materialize(found.join(candidates, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
 
     # First every member against the smallest of its bucket, then against one drawn anew in each bucket that holds several components.
-    tested = members.where("rep <> pivot").select(F.col("pivot").alias("a"), F.col("rep").alias("b"), F.col("pivot").alias("ca"), F.col("rep").alias("cb")).distinct()
-    comps = _joined(candidates.select(F.col("doc_id").alias("rep"), F.col("doc_id").alias("comp")), _linked(_likely(tested, registers), sets))
-    for k in range(1, PIVOT_ROUNDS):
-        own = _open(members, comps, k)
-        tested = own.where("comp <> pc").select(F.col("pivot").alias("a"), F.col("rep").alias("b"), F.col("pc").alias("ca"), F.col("comp").alias("cb")).distinct()
-        comps = _joined(comps, _linked(_likely(tested, registers), sets))
-    comps = _joined(comps, _rest(_open(members, comps, PIVOT_ROUNDS), registers, sets))
+    comps = candidates.select(F.col("doc_id").alias("rep"), F.col("doc_id").alias("comp"))
+    own = members.withColumn("comp", F.col("rep")).withColumn("pc", F.col("pivot"))
+    for k in range(PIVOT_ROUNDS):
+        if k:
+            own = _open(members, comps, k)
+        pairs = own.where("comp <> pc").groupBy(F.col("pivot").alias("a"), F.col("rep").alias("b"), F.col("pc").alias("ca"), F.col("comp").alias("cb")).agg(F.max("n").alias("n"))
+        likely = _tested(pairs, registers, _registers, _agree)
+        comps = _joined(comps, _tested(materialize(likely), sets, _shingle_set, _similar).select("ca", "cb"))
+    own = _open(members, comps, PIVOT_ROUNDS)
+    if not own.isEmpty():
+        comps = _joined(comps, _rest(own, registers, sets))
 
     classes = first.join(comps, "rep", "left").select("same", F.coalesce("comp", "rep").alias("class_id"))
-    every = sketch.select("doc_id", "same")
-    return every.join(classes, "same", "left").select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(True)))
-
-
-def _sets_of(slim: DataFrame, candidates: DataFrame) -> DataFrame:
-    """(doc_id, hashes, times) of the candidates' texts.
-
-    A bitmap of the candidates' ids, of MOST_BITS at most however many there are,
-    spares other texts the shuffle; what it lets through by chance goes in the join.
-    """
-    bits = 1 << 20
-    n = candidates.count()
-    while bits < 16 * n and bits < MOST_BITS:
-        bits *= 2
-    place = F.pmod(F.xxhash64("doc_id", F.lit("bitmap")), F.lit(bits)) + 1
-    blocks = candidates.select(place.alias("p")).groupBy(F.bitmap_bucket_number("p").alias("block")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("bits")).collect()  # 4 KB for each 32768 bits
-    size = 32768
-    held = np.zeros((max(1, bits // size), size // 8), dtype=np.uint8)
-    for r in blocks:
-        held[r["block"] - 1] = np.frombuffer(r["bits"], np.uint8)
-    shared = slim.sparkSession.sparkContext.broadcast(held.ravel())
-
-    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        marks = shared.value
-        for batch in batches:
-            at = np.asarray(batch.column(2)) - 1
-            kept = batch.filter(pa.array((marks[at // size * (size // 8) + at % size // 8] >> (at % size % 8)).astype(np.uint8) & 1 == 1))
-            yield from _sets(iter([kept.select(["doc_id", "text"])]))
-
-    found = slim.where("doc_id IS NOT NULL").select("doc_id", "text", place.alias("p")).mapInArrow(pick, "doc_id long, hashes binary, times binary")
-    return found.join(candidates, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-
-
-def _likely(pairs: DataFrame, registers: DataFrame) -> DataFrame:
-    """The pairs whose registers agree enough to reach the threshold."""
-    side = lambda name: registers.select(F.col("doc_id").alias(name), F.col("registers").alias(f"{name}r"))
-    both = pairs.join(side("b"), "b").join(side("a"), "a").select("a", "b", "ca", "cb", "ar", "br")
-    return both.mapInArrow(_agreement, PAIR)
-
-
-def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """(ca, cb): components that a pair of exact similarity at the threshold or above links."""
-    one = sets.select(F.col("doc_id").alias("a"), F.col("hashes").alias("ah"), F.col("times").alias("at"))
-    two = sets.select(F.col("doc_id").alias("b"), F.col("hashes").alias("bh"), F.col("times").alias("bt"))
-    both = pairs.join(two, "b").join(one, "a").select("a", "b", "ca", "cb", "ah", "at", "bh", "bt")
-    return both.mapInArrow(_verify, f"{PAIR}, sim double").where(F.col("sim") >= THRESHOLD).select("ca", "cb")
+    out = sketch.where(has_set).select("doc_id", "same").join(classes, "same").select("doc_id", "class_id")
+    out = out.unionByName(sketch.where(~has_set).select("doc_id", F.col("doc_id").alias("class_id")))
+    return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(True)))
 
 
 def _joined(comps: DataFrame, links: DataFrame) -> DataFrame:
     """(rep, comp) after components are linked."""
+    links = materialize(links)
+    if links.isEmpty():
+        return comps
     groups = connected_components(links, "ca", "cb").select(F.col("node").alias("comp"), "component")
     return materialize(comps.join(groups, "comp", "left").select("rep", F.coalesce("component", "comp").alias("comp")))
 
 
 def _open(members: DataFrame, comps: DataFrame, turn: int) -> DataFrame:
-    """(key, rep, comp, pivot, pc) of the buckets that hold several components, with a member drawn by hash as pivot."""
-    own = members.select("key", "rep").join(comps, "rep")
+    """(key, band, n, rep, comp, pivot, pc) of the buckets that hold several components, with a member drawn by hash as pivot."""
+    own = members.select("key", "band", "n", "rep").join(comps, "rep")
     draw = F.min(F.struct(F.xxhash64("rep", "key", F.lit(turn)).alias("h"), "rep", "comp")).alias("p")
     several = own.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), draw).where("lo < hi").select("key", F.col("p.rep").alias("pivot"), F.col("p.comp").alias("pc"))
-    return materialize(own.join(several, "key"))
+    return materialize(own.join(materialize(several), "key"))
 
 
 def _rest(own: DataFrame, registers: DataFrame, sets: DataFrame) -> DataFrame:
     """(ca, cb): links within open buckets, where members outside the pivot's component meet all others, block by block.
 
-    The first pass compares registers and returns the members of each block that have
-    a plausible partner there; only these fetch their shingles for the second.
+    The first pass compares registers in blocks of BLOCK members and returns those that
+    have a plausible partner, dealt to parts of about FINE; only these fetch their
+    shingles for the second.
     """
     own = own.withColumn("inside", F.col("comp") == F.col("pc"))
-    counts = own.groupBy("key").agg(F.count_if(~F.col("inside")).alias("outs"), F.count_if("inside").alias("ins"))
+    counts = materialize(own.groupBy("key").agg(F.count_if(~F.col("inside")).alias("outs"), F.count_if("inside").alias("ins")))
     own = materialize(own.join(counts, "key"))
-    pick = lambda n: F.pmod(F.xxhash64("rep"), F.greatest(F.lit(1), F.ceil(n / BLOCK))).cast("int")
-    blocks = lambda n: F.greatest(F.lit(0), F.ceil(n / BLOCK)).cast("int")
+    blocks = lambda n: F.ceil(n / BLOCK).cast("int")
+    pick = lambda n: F.pmod(F.xxhash64("rep", F.lit("block")), F.greatest(F.lit(1), blocks(n))).cast("int")
     outs = own.where(~F.col("inside")).withColumn("block", pick(F.col("outs")))
     ins = own.where("inside").withColumn("block", pick(F.col("ins")))
     span = lambda n: F.when(blocks(n) > 0, F.sequence(F.lit(0), blocks(n) - 1)).otherwise(F.array().cast("array<int>"))
-    upto = F.sequence(F.lit(0), F.col("block"))
-    beyond = F.sequence(F.col("block"), blocks(F.col("outs")) - 1)
     task = lambda kind, x, y: F.xxhash64(F.col("key"), F.lit(kind), x, y)
-    base = ["key", "rep", "comp"]
-    parts = [
-        outs.withColumn("o", F.explode(beyond)).select(task("oo", F.col("block"), F.col("o")).alias("task"), F.lit(0).alias("side"), *base),
-        outs.withColumn("o", F.explode(upto)).select(task("oo", F.col("o"), F.col("block")).alias("task"), F.lit(1).alias("side"), *base),
-        outs.withColumn("o", F.explode(span(F.col("ins")))).select(task("oi", F.col("block"), F.col("o")).alias("task"), F.lit(0).alias("side"), *base),
-        ins.withColumn("o", F.explode(span(F.col("outs")))).select(task("oi", F.col("o"), F.col("block")).alias("task"), F.lit(1).alias("side"), *base),
-    ]
-    every = parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
-    held = registers.withColumnRenamed("doc_id", "rep")
-    fields = ["task", "side", "key", "rep", "comp", "registers", "keys"]
-    found = every.join(held, "rep").select(*fields).repartition("task").sortWithinPartitions("task", "side").mapInArrow(_survivors, "task long, side int, key long, rep long, comp long")
-    found = materialize(found).join(held, "rep").join(sets.withColumnRenamed("doc_id", "rep"), "rep")
-    return found.select(*fields, "hashes", "times").repartition("task").sortWithinPartitions("task", "side").mapInArrow(_verify_blocks, "ca long, cb long")
+    base = ["band", "rep", "comp"]
+
+    def side(rows: DataFrame, others: Column, kind: str, which: int) -> DataFrame:
+        pair = (F.col("block"), F.col("o")) if which == 0 else (F.col("o"), F.col("block"))
+        return rows.withColumn("o", F.explode(others)).select(task(kind, *pair).alias("task"), F.lit(which).alias("side"), *base)
+
+    every = side(outs, F.sequence(F.col("block"), blocks(F.col("outs")) - 1), "oo", 0).unionByName(side(outs, F.sequence(F.lit(0), F.col("block")), "oo", 1))
+    every = every.unionByName(side(outs, span(F.col("ins")), "oi", 0)).unionByName(side(ins, span(F.col("outs")), "oi", 1))
+    held = registers.select(F.col("doc_id").alias("rep"), F.col("held").alias("registers"))
+    fields = ["task", "side", *base, "registers"]
+    sent = lambda rows, *more: rows.select(*fields, *more).repartition("task").sortWithinPartitions("task", "side")
+    found = materialize(sent(every.join(held, "rep")).mapInArrow(_survivors, "task long, side int, band long, rep long, comp long"))
+    whole = found.join(held, "rep").join(sets.withColumnRenamed("doc_id", "rep"), "rep")
+    return sent(whole, "held").mapInArrow(_verify_blocks, "ca long, cb long")
