@@ -2,10 +2,11 @@
 
 A text without its ASCII white space is cut where a rolling hash of the last 32
 bytes has its low bits clear, so equal content is cut alike wherever it stands. Its
-recipe is the ordered list of its chunks' fingerprints. Only documents whose recipe
-another document has too send their chunks' bytes, and each distinct chunk once per
-task: chunks of one fingerprint are told apart by their bytes and so get verified
-identifiers. Texts are equal when their ordered lists of identifiers are.
+recipe is the ordered list of its chunks' fingerprints. No text crosses a shuffle: a
+bitmap tells, where the text is read, whether another document may have its recipe, and
+only then are its chunks sent, each distinct one once per task. Chunks of one
+fingerprint are told apart by their bytes and so get verified identifiers. Texts are
+equal when their ordered lists of identifiers are.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from roadlens.llm.bounded import bound_batches, maybe_among, stretches
 from roadlens.session import materialize
 
 #: Bytes that the comparison ignores.
@@ -63,30 +65,34 @@ def _normal(text: str | None) -> bytes:
 
 def _recipes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        rows: dict[str, list] = {"points": [], "text_sha256": [], "prints": []}
-        for text in batch.column("text").to_pylist():
-            data = _normal(text)
-            rows["points"].append(len(text or ""))
-            rows["text_sha256"].append(hashlib.sha256(data).hexdigest())
-            rows["prints"].append([_print(c) for c in chunks(data)])
-        yield pa.record_batch(
-            [batch.column("doc_id"), pa.array(rows["points"], pa.int64()), pa.array(rows["text_sha256"], pa.string()), pa.array(rows["prints"], pa.list_(pa.int64()))],
-            names=["doc_id", "points", "text_sha256", "prints"],
-        )
+        for b, texts in stretches(batch.column(1)):
+            rows: dict[str, list] = {"points": [], "text_sha256": [], "prints": []}
+            for text in texts:
+                data = _normal(text)
+                rows["points"].append(len(text or ""))
+                rows["text_sha256"].append(hashlib.sha256(data).hexdigest())
+                rows["prints"].append([_print(c) for c in chunks(data)])
+            yield pa.record_batch(
+                [batch.column(0).slice(b, len(texts)), pa.array(rows["points"], pa.int64()), pa.array(rows["text_sha256"], pa.string()), pa.array(rows["prints"], pa.list_(pa.int64()))],
+                names=["doc_id", "points", "text_sha256", "prints"],
+            )
 
 
 def _bodies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for ref, text in zip(batch.column("ref").to_pylist(), batch.column("text").to_pylist(), strict=True):
-            own = chunks(_normal(text))
-            yield pa.record_batch(
-                [pa.array([ref] * len(own), pa.int64()), pa.array(range(len(own)), pa.int32()), pa.array([_print(c) for c in own], pa.int64()), pa.array(own, pa.binary())],
-                names=["ref", "pos", "print", "body"],
-            )
+        for _, texts in stretches(batch.column(0)):
+            rows: list[tuple] = []
+            for text in texts:
+                data = _normal(text)
+                of = hashlib.sha256(data).hexdigest()
+                rows += [(of, i, _print(c), c) for i, c in enumerate(chunks(data))]
+            kinds = (pa.string(), pa.int32(), pa.int64(), pa.binary())
+            yield pa.record_batch([pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)], names=["of", "pos", "print", "body"])
 
 
 def recipes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, points, text_sha256 and prints, the ordered chunk fingerprints, of every document."""
+    bound_batches(docs.sparkSession)
     one = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     return one.mapInArrow(_recipes, "doc_id long, points long, text_sha256 string, prints array<long>")
 
@@ -96,17 +102,18 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     Of equal texts the row with the most code points, then the smallest doc_id, stays.
     Null counts as empty, and empty texts are equal. Repeated rows of a doc_id count
-    each in group_size and share one verdict. An empty table gives no rows; other
+    each in group_size and share one verdict. Rows without a doc_id come last; where no
+    other is as long, a single one of them stays. An empty table gives no rows; other
     columns are ignored.
     """
-    made = materialize(recipes(docs, id_col, text_col).withColumn("recipe", F.md5(F.concat_ws(",", F.col("prints").cast("array<string>")))).drop("prints"))
-    counted = made.groupBy("recipe").agg(F.count(F.lit(1)).alias("n"), F.max(F.struct("points", (-F.col("doc_id")).alias("neg"))).alias("best"))
-    shared = counted.where("n > 1").select("recipe")
-
-    # Members of shared recipes are read again; each distinct (fingerprint, bytes) crosses the shuffle once per task.
-    member_ids = made.join(shared, "recipe", "left_semi").select(F.col("doc_id").alias("ref")).distinct()
-    texts = docs.select(F.col(id_col).cast("long").alias("ref"), F.col(text_col).alias("text")).join(member_ids, "ref", "left_semi")
-    found = texts.mapInArrow(_bodies, "ref long, pos int, print long, body binary")
+    recipe = F.md5(F.concat_ws(",", F.col("prints").cast("array<string>")))
+    made = materialize(recipes(docs, id_col, text_col).withColumn("recipe", recipe).drop("prints").withColumn("row", F.monotonically_increasing_id()))
+    shared = materialize(made.groupBy("recipe").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("recipe"))
+
+    # Only texts that may have a shared recipe are read again; each distinct (fingerprint, bytes) crosses the shuffle once per task.
+    ids = materialize(made.where("doc_id IS NOT NULL").join(shared, "recipe", "left_semi").select("doc_id").distinct())
+    slim = docs.select(F.col(id_col).cast("long").alias("ref"), F.col(text_col).alias("text"))
+    found = maybe_among(slim, F.col("ref"), ids).where("maybe").select("text").mapInArrow(_bodies, "of string, pos int, print long, body binary")
     distinct = found.groupBy("print", "body").agg(F.lit(1).alias("one"))
     same_print = Window.partitionBy("print").orderBy("body")
     named = materialize(distinct.withColumn("nth", F.row_number().over(same_print)).where("nth > 1").select("print", "body", "nth"))
@@ -115,12 +122,12 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         verified = made.withColumn("recipe_id", F.col("recipe"))
     else:
         doubtful = found.join(named.select("print").distinct(), "print", "left_semi")
-        exact = doubtful.join(named.select("print", "body", "nth"), ["print", "body"], "left").select("ref", "pos", "print", F.coalesce("nth", F.lit(1)).alias("nth"))
-        lists = exact.where("nth > 1").groupBy("ref").agg(F.sort_array(F.collect_set(F.struct("pos", "print", "nth"))).alias("ids"))
-        told = lists.select("ref", F.md5(F.to_json("ids")).alias("told"))
-        verified = made.join(told, made["doc_id"] == told["ref"], "left").withColumn("recipe_id", F.concat_ws("/", "recipe", "told")).drop("ref", "told")
-    groups = verified.groupBy("recipe_id").agg(F.count(F.lit(1)).alias("group_size"), F.max(F.struct("points", (-F.col("doc_id")).alias("neg"))).alias("best"))
-    groups = groups.select("recipe_id", "group_size", (-F.col("best.neg")).alias("keep_id"))
-    return verified.join(groups, "recipe_id").select(
-        "doc_id", "keep_id", F.col("group_size").cast("long").alias("group_size"), F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256"
-    )
+        exact = doubtful.join(named.select("print", "body", "nth"), ["print", "body"], "left").select("of", "pos", "print", F.coalesce("nth", F.lit(1)).alias("nth"))
+        lists = exact.where("nth > 1").groupBy("of").agg(F.sort_array(F.collect_set(F.struct("pos", "print", "nth"))).alias("ids"))  # of one text
+        told = materialize(lists.select("of", F.md5(F.to_json("ids")).alias("told")))
+        verified = materialize(made.join(told, made["text_sha256"] == told["of"], "left").withColumn("recipe_id", F.concat_ws("/", "recipe", "told")).drop("of", "told"))
+    best = F.max(F.struct("points", (-F.col("doc_id")).alias("neg"), (-F.col("row")).alias("back"))).alias("best")
+    groups = materialize(verified.groupBy("recipe_id").agg(F.count(F.lit(1)).alias("group_size"), best))
+    groups = groups.select("recipe_id", "group_size", (-F.col("best.neg")).alias("keep_id"), (-F.col("best.back")).alias("keep_row"))
+    kept = F.when(F.col("keep_id").isNull(), F.col("row") == F.col("keep_row")).otherwise(F.col("doc_id").eqNullSafe(F.col("keep_id")))
+    return verified.join(groups, "recipe_id").select("doc_id", "keep_id", F.col("group_size").cast("long").alias("group_size"), kept.alias("kept"), "text_sha256")
