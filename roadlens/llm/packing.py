@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from roadlens.llm.bounded import bound_batches
 from roadlens.llm.ranking import rank_in_groups, salt_digits
 from roadlens.llm.wordtok import tokenizer
 from roadlens.session import materialize
@@ -31,7 +32,8 @@ PIECE = 512
 
 
 def token_pieces(docs: DataFrame, vocab_path: str, piece_len: int = PIECE, end_id: int = END_ID) -> DataFrame:
-    """doc_id, start, length, ids_crc32, doc_tokens of every piece; ids are little-endian unsigned 32-bit."""
+    """doc_id, start, length, ids_crc32, doc_tokens, doc_crc32 (of all its ids) of every piece; ids are little-endian unsigned 32-bit."""
+    bound_batches(docs.sparkSession)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = tokenizer(vocab_path)
@@ -39,9 +41,10 @@ def token_pieces(docs: DataFrame, vocab_path: str, piece_len: int = PIECE, end_i
             doc_ids, texts = batch.column(0), batch.column(1).to_pylist()
             for k in range(0, len(texts), 512):
                 part = [t or "" for t in texts[k : k + 512]]
-                row, start, length, crc, total = [], [], [], [], []
+                row, start, length, crc, total, whole = [], [], [], [], [], []
                 for i, ids in enumerate(own.encode_all(part)):
                     ids = np.append(ids, np.uint32(end_id)).astype("<u4")
+                    of_all = zlib.crc32(ids.tobytes())
                     for s in range(0, len(ids), piece_len):
                         piece = ids[s : s + piece_len]
                         row.append(k + i)
@@ -49,13 +52,14 @@ def token_pieces(docs: DataFrame, vocab_path: str, piece_len: int = PIECE, end_i
                         length.append(len(piece))
                         crc.append(zlib.crc32(piece.tobytes()))
                         total.append(len(ids))
+                        whole.append(of_all)
                 yield pa.record_batch(
-                    [doc_ids.take(pa.array(row, pa.int64())), *(pa.array(x, pa.int64()) for x in (start, length, crc, total))],
-                    names=["doc_id", "start", "length", "ids_crc32", "doc_tokens"],
+                    [doc_ids.take(pa.array(row, pa.int64())), *(pa.array(x, pa.int64()) for x in (start, length, crc, total, whole))],
+                    names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "doc_crc32"],
                 )
 
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return slim.mapInArrow(cut, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long")
+    return slim.mapInArrow(cut, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, doc_crc32 long")
 
 
 def price(duals: np.ndarray, room: int) -> tuple[float, np.ndarray]:
@@ -145,9 +149,9 @@ def pack(pieces: DataFrame, seq_len: int = SEQUENCE, step: int = STEP) -> DataFr
     repeated rows are packed each; an empty table gives no rows.
     """
     room = seq_len // step  # rounding lengths up to steps keeps every planned sequence within seq_len
-    pieces = materialize(
-        pieces.withColumn("class", F.ceil(F.col("length") / step).cast("int")).withColumn("digest", F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
-    )
+    # Pieces of a document are ranked side by side; documents without an id, or that share one, are told apart by all their ids.
+    digest = F.md5(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col("doc_crc32").cast("string")))
+    pieces = materialize(pieces.withColumn("class", F.ceil(F.col("length") / step).cast("int")).withColumn("digest", digest).drop("doc_crc32"))
     counts = {r["class"]: r["n"] for r in pieces.groupBy("class").agg(F.count(F.lit(1)).alias("n")).collect()}  # at most `room` rows
     demand = np.zeros(room, dtype=np.int64)
     for k, n in counts.items():
@@ -185,5 +189,10 @@ def pack(pieces: DataFrame, seq_len: int = SEQUENCE, step: int = STEP) -> DataFr
 
 
 def pack_documents(docs: DataFrame, vocab_path: str, seq_len: int = SEQUENCE, piece_len: int = PIECE, end_id: int = END_ID, step: int = STEP) -> DataFrame:
-    """Every piece of every document with its sequence and offset; null text counts as empty and is its end id alone."""
+    """Every piece of every document with its sequence and offset: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
+
+    Null text counts as empty and is its end id alone; documents of equal length are
+    ranked by a digest of their id and ids, so reruns agree; repeated rows are packed
+    each; an empty table gives no rows; other columns are ignored.
+    """
     return pack(token_pieces(docs, vocab_path, piece_len, end_id), seq_len, step)

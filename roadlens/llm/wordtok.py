@@ -2,8 +2,8 @@
 
 The ids of a text are those of the pieces that the vocabulary's pattern cuts, in
 order. Each worker keeps the ids of pieces it has met. New pieces are merged together,
-the lowest-ranked pair of each at a time, in numpy; texts beyond the Latin range and
-very long pieces go to the library itself.
+the lowest-ranked pair of each at a time, in numpy; texts beyond the Latin range, texts
+that hold one of the vocabulary's added tokens and very long pieces go to the library.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ import re
 import numpy as np
 
 #: Words kept at most; beyond that the cache starts anew.
-CACHE_WORDS = 700_000
+CACHE_WORDS = 250_000
 #: Characters whose lower case or normal form is not a matter of one character, and controls that regex engines sort differently.
 _BEYOND = re.compile("[\x1c-\x1f\u0130\u0250-\U0010ffff]")
 #: The vocabulary file's own pattern, with its letters and numbers written out for the Latin range.
@@ -32,15 +32,18 @@ def _byte_names() -> list[str]:
 
 
 class WordTokenizer:
-    """``encode_all(texts)`` gives uint32 arrays equal to the library's ids without special tokens."""
+    """``encode_all(texts)`` gives uint32 arrays equal to the library's ids with add_special_tokens=False."""
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self._lib = Tokenizer.from_file(path)
-        self._lib.encode_special_tokens = True
-        model = json.loads(self._lib.to_str())["model"]
+        told = json.loads(self._lib.to_str())
+        model = told["model"]
+        # The library gives an added token that stands in a text its own id, whatever its case where it matches normalised text.
+        added = [re.escape(t["content"].lower()) for t in told["added_tokens"]]
+        self._added = re.compile("|".join(added) or r"(?!)")
         vocab, end = model["vocab"], model["end_of_word_suffix"]
         names = _byte_names()
         self._inner = np.array([vocab[c] for c in names], dtype=np.int32)
@@ -151,7 +154,8 @@ class WordTokenizer:
             self._start()
         code = self._code
         # Lower case and normal forms of the Latin range are plain; texts beyond it go to the library whole.
-        split = [None if _BEYOND.search(t) else _PIECE.findall(t.lower()) for t in texts]
+        low = [None if _BEYOND.search(t) else t.lower() for t in texts]
+        split = [None if t is None or self._added.search(t) else _PIECE.findall(t) for t in low]
         new = set().union(*filter(None, split)).difference(code)
         if new:
             self._learn(sorted(new))
