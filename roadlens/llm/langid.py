@@ -18,14 +18,18 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
+
+from roadlens.llm.bounded import bound_batches
 
 BUCKETS = 1 << 13
-#: Labelled texts that the classifiers are fitted on: about this many in all, dealt evenly to the languages, LEAST_TEXTS each at least.
-FIT_TEXTS, LEAST_TEXTS = 2400, 24
+#: Labelled texts that the classifiers are fitted on: about this many in all, dealt evenly to the languages. Where that leaves
+#: less than LEAST_TEXTS for each, LEAST_TEXTS are taken, as long as that gives no more than MOST_TEXTS in all.
+FIT_TEXTS, LEAST_TEXTS, MOST_TEXTS = 2400, 24, 24_000
 #: Below this score the decision is flagged as ambiguous.
 CLEAR_SCORE = 0.6
 UNKNOWN = "und"
-#: Characters handled at once; longer texts are handled in stretches.
+#: Characters handled at once; longer texts are handled in stretches that overlap, so that no trigram is lost or added.
 STRETCH = 1 << 18
 
 
@@ -39,18 +43,27 @@ def _letters() -> np.ndarray:
     return table
 
 
-def trigrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(bucket of each trigram of every text end to end, where each text starts, letters of each text)."""
-    parts = [t.lower() for t in texts]
-    size = np.array([len(p) + 4 for p in parts], dtype=np.int64)
-    joined = "".join(f"  {p}  " for p in parts)
-    points = _letters()[np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)]
+def windows(text: str) -> Iterator[str]:
+    """The text in lower case between two spaces at either end, in stretches of STRETCH characters and the two that follow them."""
+    padded = f"  {text.lower()}  "
+    for k in range(0, len(padded), STRETCH):
+        n = min(STRETCH, len(padded) - k)
+        yield padded[k : k + n + 2].ljust(n + 2)
+
+
+def trigrams(parts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(bucket of each trigram of every window end to end, where each window starts, letters of each)."""
+    size = np.array([len(p) - 2 for p in parts], dtype=np.int64)
+    points = _letters()[np.frombuffer("".join(parts).encode("utf-32-le", "surrogatepass"), np.uint32)]
+    own = np.ones(len(points), dtype=bool)
+    ends = np.cumsum(size + 2)
+    own[ends - 1] = own[ends - 2] = False
     starts = np.cumsum(size) - size
-    letters = np.add.reduceat((points != 32).astype(np.int64), starts) if len(starts) else np.zeros(0, np.int64)
+    letters = np.add.reduceat((points[own] != 32).astype(np.int64), starts) if len(starts) else np.zeros(0, np.int64)
     h = points * np.uint32(0x9E3779B1)
     h[:-1] += points[1:] * np.uint32(0x85EBCA77)
     h[:-2] += points[2:] * np.uint32(0xC2B2AE3D)
-    return ((h ^ (h >> np.uint32(15))) * np.uint32(0x2C1B3C6D) >> np.uint32(19)).astype(np.int64), starts, letters
+    return ((h ^ (h >> np.uint32(15))) * np.uint32(0x2C1B3C6D) >> np.uint32(19)).astype(np.int64)[own], starts, letters
 
 
 def codewords(n: int) -> np.ndarray:
@@ -90,9 +103,9 @@ class LanguageModel:
                 np.add.at(letters, who, n)
 
         for i, text in enumerate(texts):
-            for k in range(0, max(1, len(text)), STRETCH):
-                todo.append((i, text[k : k + STRETCH]))
-                room += len(todo[-1][1]) + 4
+            for window in windows(text):
+                todo.append((i, window))
+                room += len(window)
                 if room >= STRETCH:
                     flush()
                     todo, room = [], 0
@@ -116,7 +129,7 @@ def fit_model(docs: DataFrame, fit_texts: int = FIT_TEXTS, seed: int = 11) -> La
     languages = sorted(counts)
     if not languages:
         return None
-    quota = max(LEAST_TEXTS, fit_texts // len(languages))
+    quota = max(1, fit_texts // len(languages), min(LEAST_TEXTS, MOST_TEXTS // len(languages)))
     rate = docs.sparkSession.createDataFrame([(k, float(quota / n)) for k, n in counts.items()], "lang string, rate double")
     draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
     drawn = labelled.join(F.broadcast(rate), "lang").where(draw < F.col("rate")).select("doc_id", "text", "lang")
@@ -124,7 +137,11 @@ def fit_model(docs: DataFrame, fit_texts: int = FIT_TEXTS, seed: int = 11) -> La
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for doc_id, text, lang in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-                at, n = np.unique(trigrams([text])[0], return_counts=True)
+                held = np.zeros(BUCKETS, dtype=np.int64)
+                for window in windows(text):
+                    held += np.bincount(trigrams([window])[0], minlength=BUCKETS)
+                at = np.flatnonzero(held)
+                n = held[at]
                 yield pa.record_batch([pa.array([doc_id], pa.int64()), pa.array([lang]), pa.array([at.astype(np.int32)]), pa.array([(n / n.sum()).astype(np.float32)])], names=["doc_id", "lang", "at", "share"])
 
     rows = drawn.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang").mapInArrow(count, "doc_id long, lang string, at array<int>, share array<float>").collect()
@@ -134,12 +151,23 @@ def fit_model(docs: DataFrame, fit_texts: int = FIT_TEXTS, seed: int = 11) -> La
     code = codewords(len(languages))
     if len(languages) == 1:
         return LanguageModel(languages, np.ones((1, 1), np.float32), np.zeros((BUCKETS, 1), np.float32), np.full(1, 20.0), np.ones(1))
-    x = np.zeros((len(rows), BUCKETS), dtype=np.float32)
-    for i, r in enumerate(rows):
-        x[i, r["at"]] = r["share"]
-    scale = 1 / (x.std(axis=0) + 0.1 / BUCKETS)
-    x *= scale
-    y = code[[languages.index(r["lang"]) for r in rows]]
+    held = [(np.array(r["at"]), np.array(r["share"], dtype=np.float32)) for r in rows]
+    total, squares = np.zeros(BUCKETS), np.zeros(BUCKETS)
+    for at, share in held:
+        total[at] += share
+        squares[at] += share.astype(np.float64) ** 2
+    spread = np.sqrt(np.maximum(squares / len(rows) - (total / len(rows)) ** 2, 0))
+    scale = (1 / (spread + 0.1 / BUCKETS)).astype(np.float32)
+
+    def dense(which) -> np.ndarray:
+        """The texts' scaled shares: only those of a step are ever held dense."""
+        x = np.zeros((len(which), BUCKETS), dtype=np.float32)
+        for i, k in enumerate(which):
+            x[i, held[k][0]] = held[k][1] * scale[held[k][0]]
+        return x
+
+    place = {k: i for i, k in enumerate(languages)}
+    y = code[[place[r["lang"]] for r in rows]]
     rng = np.random.default_rng(seed)
     bits = code.shape[1]
     w, b = np.zeros((BUCKETS, bits), np.float32), np.zeros(bits, np.float32)
@@ -147,7 +175,7 @@ def fit_model(docs: DataFrame, fit_texts: int = FIT_TEXTS, seed: int = 11) -> La
     for epoch in range(12):
         order = rng.permutation(len(rows))
         for k in range(0, len(rows), 128):
-            xs, ys = x[order[k : k + 128]], y[order[k : k + 128]]
+            xs, ys = dense(order[k : k + 128]), y[order[k : k + 128]]
             z = np.clip(ys * (xs @ w + b), -30, 30)
             g = -ys / (1 + np.exp(z)) / len(xs)
             t += 1
@@ -156,45 +184,78 @@ def fit_model(docs: DataFrame, fit_texts: int = FIT_TEXTS, seed: int = 11) -> La
             v = 0.999 * v + 0.001 * gw * gw
             w -= 0.01 / (1 + epoch) * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-6)
             b -= 0.05 * g.sum(axis=0)
-    right = ((x @ w + b) * y > 0).mean(axis=0)
+    right = np.zeros(bits)
+    for k in range(0, len(rows), 128):
+        which = np.arange(k, min(k + 128, len(rows)))
+        right += ((dense(which) @ w + b) * y[which] > 0).sum(axis=0)
+    right /= len(rows)
     trust = np.maximum(0.05, 2 * right - 1)
     return LanguageModel(languages, code, (w * scale[:, None]).astype(np.float32), b, trust)
 
 
+def predictions(model: LanguageModel | None, texts: list[str | None]) -> tuple[list, list, list, list]:
+    """(language, score, second language, whether it is ambiguous) of every text."""
+    names, score, second, unclear = [UNKNOWN] * len(texts), [0.0] * len(texts), [None] * len(texts), [True] * len(texts)
+    if model and texts:
+        p, letters = model.scores([t or "" for t in texts])
+        for i in np.flatnonzero(letters > 0).tolist():
+            order = np.argsort(-p[i], kind="stable")
+            names[i], score[i] = model.languages[order[0]], float(p[i, order[0]])
+            second[i] = model.languages[order[1]] if len(order) > 1 else None
+            unclear[i] = score[i] < CLEAR_SCORE
+    return names, score, second, unclear
+
+
 def predict_languages(docs: DataFrame, model: LanguageModel | None) -> DataFrame:
     """doc_id, lang_pred, score, lang_second, ambiguous of every whole text.
 
-    A text that is null or has no letter is ``und`` with score 0, as is every text
-    where nothing could be learned. Other columns are never read.
+    A text that is null, empty or has no letter is ``und`` with score 0, as is every
+    text where nothing could be learned. Of languages with the same score the first by
+    name is told. Repeated rows are predicted each, alike; an empty table gives no rows.
+    Other columns are never read.
     """
+    bound_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own: LanguageModel | None = shared.value
         for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            names, score, second, unclear = [UNKNOWN] * len(texts), [0.0] * len(texts), [None] * len(texts), [True] * len(texts)
-            if own and texts:
-                p, letters = own.scores(texts)
-                for i in np.flatnonzero(letters > 0).tolist():
-                    order = np.argsort(-p[i], kind="stable")
-                    names[i], score[i] = own.languages[order[0]], float(p[i, order[0]])
-                    second[i] = own.languages[order[1]] if len(order) > 1 else None
-                    unclear[i] = score[i] < CLEAR_SCORE
+            names, score, second, unclear = predictions(shared.value, batch.column(1).to_pylist())
             yield pa.record_batch(
-                [batch.column(0), pa.array(names), pa.array(score, pa.float64()), pa.array(second, pa.string()), pa.array(unclear)],
+                [batch.column(0), pa.array(names, pa.string()), pa.array(score, pa.float64()), pa.array(second, pa.string()), pa.array(unclear, pa.bool_())],
                 names=["doc_id", "lang_pred", "score", "lang_second", "ambiguous"],
             )
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(predict, "doc_id long, lang_pred string, score double, lang_second string, ambiguous boolean")
 
 
+def with_language(docs: DataFrame, out: str, fit_texts: int = FIT_TEXTS) -> DataFrame:
+    """``docs`` with a column ``out`` of the predicted language: rows are read once and never joined or shuffled.
+
+    Learns as ``identify`` does; the other columns pass through unread.
+    """
+    bound_batches(docs.sparkSession)
+    shared = docs.sparkSession.sparkContext.broadcast(fit_model(docs.where(~held_out()), fit_texts))
+    text = docs.columns.index("text")
+    names = [f"c{i}" for i in range(len(docs.columns))]
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.record_batch([*batch.columns, pa.array(predictions(shared.value, batch.column(text).to_pylist())[0], pa.string())], names=[*names, "found"])
+
+    schema = StructType([StructField(n, f.dataType) for n, f in zip(names, docs.schema, strict=True)] + [StructField("found", StringType())])
+    return docs.toDF(*names).mapInArrow(add, schema).toDF(*docs.columns, out)
+
+
 def held_out():
     """Whether a document is kept from learning: crc32 of its id as text, modulo 4, is 2."""
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
 def identify(docs: DataFrame, fit_texts: int = FIT_TEXTS) -> DataFrame:
-    """Learns from the labelled documents that aren't held out and predicts every document."""
+    """Learns from the labelled documents that aren't held out and predicts every document.
+
+    As ``predict_languages``, with held_out; a null doc_id isn't held out. Labels that
+    differ on equal texts are each learned from.
+    """
     model = fit_model(docs.where(~held_out()), fit_texts)
     return predict_languages(docs, model).withColumn("held_out", held_out())
