@@ -50,18 +50,20 @@ def shard_by_size(
     no rows; null ids are kept and ordered last among ties; other columns are ignored.
     """
     spark = docs.sparkSession
-    slim = materialize(text_sizes(docs, id_col, text_col).withColumn("digest", F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))))
+    # Rows without an id, or that share one, are told apart by their text's key: they have no common digest.
+    slim = materialize(text_sizes(docs, id_col, text_col).withColumn("digest", F.md5(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col("key").cast("string")))))
     total, n_rows = slim.agg(F.sum("size"), F.count(F.lit(1))).first()
     if not n_rows:
         return slim.select("doc_id", "size", "text_crc32", F.lit(0).alias("shard"), F.lit(0).cast("long").alias("slot"))
 
     n_ranges = n_shards * RANGES_PER_SHARD
     wanted = n_ranges * SAMPLES_PER_RANGE
-    # Poisson sampling: a row is drawn with a chance in proportion to its size, by a hash of its id: the same on every run.
+    # Poisson sampling: a row is drawn with a chance in proportion to its size, by a hash of its id and text: the same on every run.
+    # The chances add up to ``wanted`` at most, so that is what the driver gets, give or take its square root; equal rows are drawn as one.
     chance = F.least(F.lit(1.0), F.col("size") * F.lit(wanted / total))
-    draw = F.pmod(F.xxhash64("doc_id", F.lit("draw")), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    draw = F.pmod(F.xxhash64("doc_id", "key", F.lit("draw")), F.lit(1 << 30)) / F.lit(float(1 << 30))
     weight = F.col("size") / chance
-    sample = slim.where(draw < chance).groupBy("key").agg(F.sum(weight).alias("w")).orderBy("key").limit(4 * wanted).collect()
+    sample = slim.where(draw < chance).groupBy("key").agg(F.sum(weight).alias("w")).orderBy("key").collect()
 
     bounds, gone, step = [], 0.0, sum(r["w"] for r in sample) / n_ranges
     for r in sample:
