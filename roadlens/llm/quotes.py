@@ -17,9 +17,11 @@ from roadlens.session import materialize
 #: Turns of a bucket when the turn before is looked up; messages of a row of a conversation, on average at most.
 BUCKET, ROW_MESSAGES = 256, 512
 MAX_ROUNDS = 64
-_QUOTE = r"^[ \t]*((?:>[ \t]?)+)"
-#: Lines that announce a quotation, in the mail programs' usual wordings.
-_ANNOUNCE = r"^[ \t]*(?:On .{1,200} wrote|Am .{1,200} schrieb.{0,80}|Le .{1,200} a écrit|El .{1,200} escribió)[ \t]*:[ \t]*$"
+#: Possessive: the regex engine loops over quote marks where it would otherwise recurse, a stack frame for each.
+_QUOTE = r"^[ \t]*+((?:>[ \t]?+)++)"
+#: Lines that announce a quotation, in the mail programs' usual wordings, of any length and in time linear in it.
+_ANNOUNCE = r"(?d)^[ \t]*+(?:On .+ wrote|Am (?>.+? schrieb).*|Le .+ a écrit|El .+ escribió)[ \t]*+:[ \t]*+$"
+_SPACES = " \t\n\x0b\f\r"
 
 
 def level(line: Column) -> Column:
@@ -48,7 +50,7 @@ def unquoted(text: Column) -> Column:
     Markdown quotes and ``>>>`` code stand nowhere in the result.
     """
     own = F.filter(lines_of(text), lambda x: (level(x) == 0) & ~x.rlike(_ANNOUNCE))
-    return F.regexp_replace(F.regexp_replace(F.array_join(own, "\n"), r"\n\s*\n(\s*\n)*", "\n\n"), r"^\s+|\s+$", "")
+    return F.btrim(F.regexp_replace(F.array_join(own, "\n"), r"\n\s*\n", "\n\n"), F.lit(_SPACES))
 
 
 def messages(conversations: DataFrame) -> DataFrame:

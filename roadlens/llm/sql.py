@@ -23,7 +23,7 @@ FROM v JOIN c ON c.x = vec_id LEFT JOIN d ON d.x = vec_id
 """
 
 _QUOTE = r"^[ \t]*((?:>[ \t]?)+)"
-_ANNOUNCE = r"^[ \t]*(?:On .{1,200} wrote|Am .{1,200} schrieb.{0,80}|Le .{1,200} a écrit|El .{1,200} escribió)[ \t]*:[ \t]*$"
+_ANNOUNCE = r"^[ \t]*(?:On .+ wrote|Am .+ schrieb.*|Le .+ a écrit|El .+ escribió)[ \t]*:[ \t]*$"
 _WS = r"[ \t\n\x0B\f\r]"
 
 
@@ -80,10 +80,13 @@ WITH RECURSIVE m AS (
     '<|' || coalesce(m.role, 'unknown') || '|>' || chr(10) || c.content || '<|end|>' || chr(10) AS line
   FROM m JOIN c ON c.key = m.key AND c.turn IS NOT DISTINCT FROM m.turn AND c.id = m.id
   LEFT JOIN depths d ON d.key = m.key AND d.turn = m.turn LEFT JOIN quotes q ON q.key = m.key AND q.turn = m.turn
+), cut AS (
+  SELECT *, CASE WHEN count(*) OVER (PARTITION BY key, part) > 2048
+    THEN (row_number() OVER (PARTITION BY key, part ORDER BY depth NULLS FIRST, turn NULLS FIRST, r, line) - 1) // 512 ELSE 0 END AS piece FROM every
 )
-SELECT any_value(conv_id) AS conv_id, part, 0::bigint AS piece, count(*) AS n_messages, sum(n_quotes)::bigint AS n_quotes, sum(n_linked)::bigint AS n_linked,
+SELECT any_value(conv_id) AS conv_id, part, piece, count(*) AS n_messages, sum(n_quotes)::bigint AS n_quotes, sum(n_linked)::bigint AS n_linked,
   string_agg(line, '' ORDER BY depth NULLS FIRST, turn NULLS FIRST, r, line) AS chat
-FROM every GROUP BY key, part
+FROM cut GROUP BY key, part, piece
 """
 
 #: Holds for the test pages, which mark their main text by an article element and write only these references in it.
