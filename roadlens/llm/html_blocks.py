@@ -11,9 +11,11 @@ from __future__ import annotations
 import html
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
-from pathlib import Path
+from pathlib import Path as File
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -24,16 +26,15 @@ from roadlens.llm.wordhash import word_hashes
 
 PATH_BUCKETS, WORD_BUCKETS, PATH_DIM, WORD_DIM, MEASURES, HIDDEN = 2048, 1024, 24, 4, 6, 24
 #: Pages generated for the fit, and rounds over them.
-FIT_PAGES, FIT_ROUNDS = 2400, 5
-#: Blocks labelled at once.
-STRETCH = 4096
+FIT_PAGES, FIT_ROUNDS = 3600, 6
+#: Blocks labelled at once; path buckets summed at once.
+STRETCH, PATHS = 4096, 1 << 16
 
+_NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
+_QUOTE_OR_END = re.compile(r"""[>"']""")
 #: Script and style hold raw text, up to their close tag or the end of the page; self-closed without a close tag they are empty.
-_TOKEN = re.compile(
-    r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<(script|style)(?=[\s/>])(?:[^>"']|"[^"]*"|'[^']*')*>(?:.*?</\1(?=[\s/>])[^>]*>|(?<!/>).*\Z|)|<[!?][^>]*(?:>|\Z)"""
-    r"""|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|([^<]+|<)""",
-    re.S | re.I,
-)
+_RAW = re.compile(r"<(script|style)(?=[\s/>])", re.I)
+_RAW_CLOSE = {n: re.compile(rf"</{n}(?=[\s/>])", re.I) for n in ("script", "style")}
 _MARKS = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|\d+")
 _INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark nobr q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
@@ -55,19 +56,86 @@ _ENDS_P = _HOLDS | frozenset("h1 h2 h3 h4 h5 h6 hr pre address figure details tr
 _LEAVES = _ENDS_P | frozenset("b big br center code dd dt em embed h1 i img li p span strong sub sup tr u".split())
 
 
-def _unshown(tokens: list[re.Match]) -> dict[int, int]:
+class Tokens:
+    """Cuts a page to (kind, name or text, attributes) in time linear in it, however broken the markup is."""
+
+    def __init__(self, page: str):
+        self.page = page
+        self._last = {c: page.rfind(c) for c in "<>\"'"}
+        self._dead: set[int] = set()  # places outside quotes from which no tag ends
+        self._close = {n: (-1, -1) for n in _RAW_CLOSE}
+
+    def _end_of(self, begin: int) -> int:
+        """Where the tag whose attributes begin here has its ``>``: the first outside quotes, or the first of all where quotes don't pair."""
+        page, at, seen = self.page, begin, []
+        while at not in self._dead:
+            m = _QUOTE_OR_END.search(page, at)
+            if m is None:
+                break
+            if m[0] == ">":
+                return m.start()
+            seen.append(at)
+            if self._last[m[0]] <= m.start():
+                break
+            at = page.index(m[0], m.end()) + 1
+        self._dead.update(seen)
+        return page.find(">", begin)
+
+    def _raw_close(self, name: str, begin: int) -> int:
+        """Where the next whole close tag of a raw element ends, or -1: looked up once for each."""
+        found, end = self._close[name]
+        if found < begin and (end >= 0 or found == -1):
+            m = _RAW_CLOSE[name].search(self.page, begin)
+            end = self.page.find(">", m.end()) if m else -1
+            self._close[name] = found, end = (m.start(), end) if m and end >= 0 else (len(self.page), -1)
+        return end
+
+    def __iter__(self) -> Iterator[tuple[int, str, str]]:
+        page, at, n = self.page, 0, len(self.page)
+        while at < n:
+            if page[at] != "<":
+                end = page.find("<", at) if at < self._last["<"] else n
+                yield TEXT, page[at:end], ""
+                at = end
+                continue
+            closed = None
+            for opens, closes in (("<!--", "-->"), ("<![CDATA[", "]]>"), ("<!", ">"), ("<?", ">")):
+                if page.startswith(opens, at):
+                    end = page.find(closes, at + len(opens))
+                    closed = n if end < 0 else end + len(closes)
+                    break
+            if closed is None and at < self._last[">"] and (m := _NAME.match(page, at)):
+                end = self._end_of(m.end())
+                if raw := _RAW.match(page, at):
+                    past = self._raw_close(raw[1].lower(), end + 1)
+                    closed = past + 1 if past >= 0 else end + 1 if page[end - 1] == "/" else n
+                    yield RAW, "", ""
+                else:
+                    closed = end + 1
+                    yield CLOSE if page[at + 1] == "/" else OPEN, m[1].lower(), page[m.end() : end]
+            if closed is None:
+                yield TEXT, "<", ""
+                closed = at + 1
+            at = closed
+
+
+TEXT, OPEN, CLOSE, RAW = range(4)
+
+
+def _unshown(tokens: list[tuple[int, str, str]]) -> dict[int, int]:
     """For each open tag of a closed drawing or template: the token to go on with. One without a close tag hides nothing."""
     past: dict[int, int] = {}
     opened: dict[str, list[int]] = {"svg": [], "template": []}
     left: dict[int, int] = {}
-    for i, m in enumerate(tokens):
-        tag = (m[3] or m[6] or "").lower()
+    for i, (kind, tag, attrs) in enumerate(tokens):
+        if kind not in (OPEN, CLOSE):
+            continue
         if tag in opened:
-            if m[2] or m[5]:
+            if kind == CLOSE:
                 if opened[tag]:
                     k = opened[tag].pop()
                     past[k] = left.pop(k, i + 1)
-            elif tag != "svg" or not _self_closed(m):
+            elif tag != "svg" or not attrs.endswith("/"):
                 opened[tag].append(i)
         elif opened["svg"] and tag in _LEAVES:
             for k in reversed(opened["svg"]):
@@ -77,14 +145,6 @@ def _unshown(tokens: list[re.Match]) -> dict[int, int]:
     return past
 
 
-def _attrs(m: re.Match) -> str:
-    return m[4] if m[4] is not None else m[7] or ""
-
-
-def _self_closed(m: re.Match) -> bool:
-    return _attrs(m).endswith("/")
-
-
 def _marks(attrs: str) -> tuple[str, ...]:
     found = []
     for kind, *values in _MARKS.findall(attrs):
@@ -92,84 +152,139 @@ def _marks(attrs: str) -> tuple[str, ...]:
     return tuple(found)
 
 
-def blocks(page: str) -> list[tuple[str, tuple[str, ...], float]]:
-    """(text, path tokens, share of characters in links) of every leaf block with text, in page order."""
+class Path(NamedTuple):
+    """Buckets of the tags, classes, ids and roles of all elements on a path, and of those of its last one, told apart by "last"."""
+
+    whole: tuple[int, ...] = ()
+    own: tuple[int, ...] = ()
+
+    def __contains__(self, token: object) -> bool:
+        return _bucket(str(token)) in self.whole + self.own
+
+
+class _Open:
+    """The open elements, with what has to be known about them kept up to date: no step looks through all of them."""
+
+    def __init__(self):
+        self.tags: list[str] = []
+        self._marks: list[tuple[str, ...] | None] = []  # of an element without marks in the line, which is no part of a path: None
+        self._at: dict[str, list[int]] = {}
+        self._solid, self._holding, self._on_path = [-1], [-1], []
+        self._count = Counter()
+        self._path: tuple[int, ...] | None = ()
+
+    def last(self, tag: str) -> int:
+        held = self._at.get(tag)
+        return held[-1] if held else -1
+
+    def links(self) -> int:
+        return len(self._at.get("a", ()))
+
+    def push(self, tag: str, marks: tuple[str, ...]) -> None:
+        k = len(self.tags)
+        self.tags.append(tag)
+        self._at.setdefault(tag, []).append(k)
+        if tag not in _INLINE:
+            self._solid.append(k)
+        if tag in _HOLDS:
+            self._holding.append(k)
+        shown = tag not in _INLINE or bool(marks)
+        self._marks.append(marks if shown else None)
+        if shown:
+            self._on_path.append(k)
+            for t in (f"<{tag}>", *marks):
+                b = _bucket(t)
+                self._count[b] += 1
+                if self._count[b] == 1:
+                    self._path = None
+
+    def cut(self, k: int) -> None:
+        """Closes the k-th element and all within it."""
+        while len(self.tags) > k:
+            tag, marks, at = self.tags.pop(), self._marks.pop(), len(self.tags)
+            self._at[tag].pop()
+            for held in (self._solid, self._holding, self._on_path):
+                if held and held[-1] == at:
+                    held.pop()
+            for t in (f"<{tag}>", *marks) if marks is not None else ():
+                b = _bucket(t)
+                self._count[b] -= 1
+                if not self._count[b]:
+                    del self._count[b]
+                    self._path = None
+
+    def close(self, tag: str) -> None:
+        k = self.last(tag)
+        if k >= 0 and (tag not in _INLINE or k > self._solid[-1]):
+            self.cut(k)
+
+    def make_room(self, ends: tuple[str, ...]) -> None:
+        """Closes the last element of ``ends``, unless it is outside the last one that holds others."""
+        k = max(map(self.last, ends))
+        if k >= 0 and k >= self._holding[-1]:
+            self.cut(k)
+
+    def path(self) -> Path:
+        if self._path is None:
+            self._path = tuple(self._count)
+        if not self._on_path:
+            return Path(self._path)
+        k = self._on_path[-1]
+        return Path(self._path, (_bucket(f"last<{self.tags[k]}>"), *(_bucket(f"last {m}") for m in self._marks[k])))
+
+
+def blocks(page: str) -> list[tuple[str, Path, float]]:
+    """(text, path, share of characters in links) of every leaf block with text, in page order."""
     out: list = []
-    stack: list[tuple[str, tuple[str, ...]]] = []
-    text: list[str] = []
-    path: tuple | None = None
-    linked = links = 0
+    stack, text = _Open(), []
+    path: Path | None = None
+    linked = 0
 
     def flush() -> None:
         nonlocal text, path, linked
         if text:
             joined = " ".join(html.unescape("".join(text)).split())
             if joined:
-                tokens = [t for tag, marks in path for t in (f"<{tag}>", *marks)]
-                if path:
-                    tokens += [f"last<{path[-1][0]}>", *(f"last {m}" for m in path[-1][1])]
-                out.append((joined, tuple(tokens), min(1.0, linked / len(joined))))
+                out.append((joined, path or Path(), min(1.0, linked / len(joined))))
         text, path, linked = [], None, 0
 
-    tokens: Iterable[re.Match] = _TOKEN.finditer(page)
+    tokens: Iterable[tuple[int, str, str]] = Tokens(page)
     past: dict[int, int] = {}
     if _UNSHOWN.search(page):
         tokens = list(tokens)
         past = _unshown(tokens)
     resume = 0
-    for at, m in enumerate(tokens):
+    for at, (kind, tag, attrs) in enumerate(tokens):
         if at < resume:
             continue
         if at in past:
             resume = past[at]
             text.append(" ")
             continue
-        run = m[8]
-        if run is not None:
-            if path is None and not run.isspace():
-                path = tuple(x for x in stack if x[0] not in _INLINE or x[1])
-            text.append(run)
-            if links:
-                linked += len(run)
-            continue
-        tag = (m[3] or m[6] or "").lower()
-        if not tag:
-            if m[1]:
-                text.append(" ")
+        if kind == TEXT:
+            if path is None and not tag.isspace():
+                path = stack.path()
+            text.append(tag)
+            if stack.links():
+                linked += len(tag)
             continue
-        close = m[2] or m[5]
-        if tag == "br" or tag in _VOID and tag not in _INLINE and tag != "hr":
-            text.append(" ")
-            continue
-        if tag == "svg":
+        if kind == RAW or tag == "br" or tag == "svg" or tag in _VOID and tag not in _INLINE and tag != "hr":
             text.append(" ")
             continue
         if tag not in _INLINE:
             flush()
-        elif tag in _MATH and not close:
+        elif tag in _MATH and kind == OPEN:
             text.append(" ")
         if tag in _VOID:
             continue
-        if close:
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == tag:
-                    del stack[k:]
-                    break
-                if tag in _INLINE and stack[k][0] not in _INLINE:
-                    break
-        else:
-            ends = _CLOSES.get(tag, ()) or (("p",) if tag in _ENDS_P else ())
-            if ends:
-                for k in range(len(stack) - 1, -1, -1):
-                    if stack[k][0] in ends:
-                        del stack[k:]
-                        break
-                    if stack[k][0] in _HOLDS:
-                        break
-            attrs = _attrs(m)
-            if not _self_closed(m) or tag not in _DRAWN and tag not in _MATH:
-                stack.append((tag, _marks(attrs) if "=" in attrs else ()))
-        links = sum(1 for t, _ in stack if t == "a") if tag == "a" else links and sum(1 for t, _ in stack if t == "a")
+        if kind == CLOSE:
+            stack.close(tag)
+            continue
+        ends = _CLOSES.get(tag, ()) or (("p",) if tag in _ENDS_P else ())
+        if ends:
+            stack.make_room(ends)
+        if not attrs.endswith("/") or tag not in _DRAWN and tag not in _MATH:
+            stack.push(tag, _marks(attrs) if "=" in attrs else ())
     flush()
     return out
 
@@ -182,7 +297,13 @@ def _bucket(token: str) -> int:
 def features(page_blocks: list) -> tuple[list[np.ndarray], np.ndarray, np.ndarray, np.ndarray]:
     """(path buckets of each block, word buckets end to end, words up to each block's end, measures)."""
     n = len(page_blocks)
-    paths = [np.fromiter({_bucket(t) for t in tokens}, dtype=np.int64) if tokens else np.zeros(1, np.int64) for _, tokens, _ in page_blocks]
+    paths: list[np.ndarray] = []
+    held: dict[int, tuple[frozenset, np.ndarray]] = {}  # blocks under the same elements share one array
+    for _, path, _ in page_blocks:
+        if id(path.whole) not in held:
+            held[id(path.whole)] = frozenset(path.whole), np.array(sorted(path.whole) or [0], dtype=np.int16)
+        own, array = held[id(path.whole)]
+        paths.append(array if own.issuperset(path.own) else np.array(sorted(own.union(path.own)), dtype=np.int16))
     words, ends = word_hashes([t for t, _, _ in page_blocks])
     sizes = np.array([len(t) for t, _, _ in page_blocks], dtype=np.float32)
     measures = np.stack(
@@ -210,16 +331,25 @@ class BlockModel:
         rng = np.random.default_rng(seed)
         d = PATH_DIM + WORD_DIM + MEASURES
         r = lambda *s, scale: (rng.normal(size=s) * scale).astype(np.float32)
-        self.p = {"path": r(PATH_BUCKETS, PATH_DIM, scale=0.3), "word": r(WORD_BUCKETS, WORD_DIM, scale=0.1), "out": r(2 * HIDDEN + d, scale=0.1), "bias": np.zeros(1, np.float32)}
+        # What the fit never meets stays near zero, and so says next to nothing.
+        self.p = {"path": r(PATH_BUCKETS, PATH_DIM, scale=0.02), "word": r(WORD_BUCKETS, WORD_DIM, scale=0.02), "out": r(2 * HIDDEN + d, scale=0.1), "bias": np.zeros(1, np.float32)}
         for k in ("f", "b"):
             self.p[f"w{k}"] = r(d + HIDDEN, 4 * HIDDEN, scale=0.15)
             self.p[f"v{k}"] = np.concatenate([np.zeros(HIDDEN), np.ones(HIDDEN), np.zeros(2 * HIDDEN)]).astype(np.float32)
 
     def inputs(self, f) -> np.ndarray:
         paths, words, ends, measures = f
-        flat, n = np.concatenate(paths), np.array([len(x) for x in paths])
-        starts = np.cumsum(n) - n
-        path = np.add.reduceat(self.p["path"][flat], starts, axis=0) / np.sqrt(n)[:, None]
+        place: dict[int, int] = {}
+        at = [place.setdefault(id(x), len(place)) for x in paths]
+        distinct = list({id(x): x for x in paths}.values())
+        n = np.array([len(x) for x in distinct])
+        ends_at = np.cumsum(n)
+        parts, k = [], 0
+        while k < len(distinct):  # PATHS buckets at a time
+            e = max(k + 1, int(np.searchsorted(ends_at, ends_at[k] - n[k] + PATHS, side="right")))
+            parts.append(np.add.reduceat(self.p["path"][np.concatenate(distinct[k:e])], ends_at[k:e] - n[k:e] - (ends_at[k] - n[k]), axis=0))
+            k = e
+        path = (np.concatenate(parts) / np.sqrt(n)[:, None])[at]
         held = np.diff(ends, prepend=0)
         padded = np.concatenate([self.p["word"][words].cumsum(axis=0, dtype=np.float64), np.zeros((1, WORD_DIM))]) if len(words) else np.zeros((1, WORD_DIM))
         upto = np.where((ends > 0)[:, None], padded[np.maximum(ends, 1) - 1], 0)
@@ -347,7 +477,7 @@ def fit_block_model(n_pages: int = FIT_PAGES, rounds: int = FIT_ROUNDS, seed: in
 
 
 #: What ``python -m roadlens.llm.html_blocks`` wrote: the weights that ``fit_block_model()`` gives, in half precision.
-WEIGHTS = Path(__file__).with_name("block_model.npz")
+WEIGHTS = File(__file__).with_name("block_model.npz")
 
 
 @lru_cache(maxsize=1)

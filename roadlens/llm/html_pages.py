@@ -9,17 +9,19 @@ import numpy as np
 _SYLLABLES = "an be co da el fi ga ho in ju ke lo ma ne or pa qui ra se ti un ve wa xo ya zu th er st sch eau ción é ü ñ".split()
 #: Names that sites give to what surrounds an article, and to the article.
 _AROUND = {
-    "menu": "nav menu navbar navigation topnav mainmenu breadcrumb breadcrumbs toc links tabs pager pagination".split(),
+    "menu": "nav menu navbar navigation topnav mainmenu breadcrumb breadcrumbs toc links tabs pager pagination portlet navbox".split(),
     "header": "header masthead banner topbar branding logo siteheader tagline".split(),
-    "footer": "footer bottom copyright colophon legal foot sitefooter credits".split(),
-    "side": "sidebar aside related widget recommended popular trending rail sidecol more archive tags".split(),
+    "footer": "footer bottom copyright colophon legal foot sitefooter credits printfooter imprint".split(),
+    "side": "sidebar aside related widget recommended popular trending rail sidecol more archive tags categories catlinks".split(),
     "notice": "cookie consent notice gdpr alert popup modal overlay privacy warning disclaimer toast announcement".split(),
     "advert": "ad ads advert advertisement sponsor sponsored promo banner adsense advertising commercial".split(),
     "form": "form search newsletter subscribe login signup contact register".split(),
     "talk": "comments comment reply replies discussion respond disqus thread commentlist reviews feedback".split(),
     "share": "share social follow sharing meta byline author date tools print".split(),
 }
-_WITHIN = "article content main post entry story body text page maincontent entrycontent articlebody postcontent storybody prose".split()
+_WITHIN = "article content main post entry story body text page maincontent entrycontent articlebody postcontent storybody prose bodycontent document parser output".split()
+#: Names that tell nothing of what they hold: some sites give these to everything.
+_NEUTRAL = "box wrap inner row col grid flex css item unit cell block group layer panel mx px mb text bg p m x1 a1 b2 c3 container section area".split()
 
 
 def _words(rng: np.random.Generator, n: int) -> str:
@@ -46,14 +48,29 @@ def _wrap(rng: np.random.Generator, tag: str, names: list[str] | None, inner: st
 def made_page(rng: np.random.Generator) -> tuple[str, Callable[[str], bool]]:
     """(html, a function that tells whether a block's text is main text)."""
     main: set[str] = set()
+    plain = rng.random() < 0.22  # no name on the page tells what it holds
+    within = _NEUTRAL if plain else _WITHIN
+    styled = rng.random() < (0.6 if plain else 0.2)  # the text's own elements have classes, by size and space
+
+    def style() -> str:
+        return f' class="{" ".join(f"{rng.choice(_NEUTRAL)}-{rng.integers(1, 9)}" for _ in range(int(rng.integers(1, 4))))}"' if styled and rng.random() < 0.8 else ""
 
     def body_text(low: int, high: int) -> str:
         t = _words(rng, int(rng.integers(low, high)))
         main.add(" ".join(t.replace("&amp;", "&").split()))
-        return t
+        words = t.split(" ")
+        for _ in range(int(rng.integers(0, 3)) if len(words) > 8 and rng.random() < 0.3 else 0):  # a link or a bold word within a line
+            k, tag = int(rng.integers(0, len(words))), ["a href='/w'", "b", "em"][rng.integers(3)]
+            if "<" not in words[k]:
+                words[k] = f"<{tag}>{words[k]}</{tag.split()[0]}>"
+        return " ".join(words)
+
+    def link_line(n: int) -> str:
+        between = [" | ", " ", " &middot; ", "<br>"][rng.integers(4)]
+        return between.join(f'<a href="/{i}">{_words(rng, int(rng.integers(1, 3)))}</a>' for i in range(n))
 
     def links(n: int) -> str:
-        return "<ul>" + "".join(f'<li><a href="/{i}">{_words(rng, int(rng.integers(1, 4)))}</a></li>' for i in range(n)) + "</ul>"
+        return f"<ul{style()}>" + "".join(f'<li><a{style()} href="/{i}">{_words(rng, int(rng.integers(1, 4)))}</a></li>' for i in range(n)) + "</ul>"
 
     def paragraph(low: int, high: int) -> str:
         return f"<p>{_words(rng, int(rng.integers(low, high)))}</p>"
@@ -61,7 +78,14 @@ def made_page(rng: np.random.Generator) -> tuple[str, Callable[[str], bool]]:
     def around(kind: str) -> str:
         names = _AROUND[kind] if rng.random() < 0.9 else None
         n = int(rng.integers(2, 9))
+        if plain:  # links, a short line about rights or a form: what can be told without names
+            inner = [links(n), link_line(n), f"<p>&copy; {_words(rng, 3)}</p>" + link_line(2)][2 if kind == "footer" else rng.integers(2)]
+            if kind == "form":
+                inner = f"<label>{_words(rng, 2)}</label><input type='text'><button>{_words(rng, 1)}</button>"
+            return _wrap(rng, ["div", "div", "section", "nav" if kind == "menu" else "footer" if kind == "footer" else "div"][rng.integers(4)], _NEUTRAL, inner)
         if kind == "menu":
+            if rng.random() < 0.25:
+                return _wrap(rng, ["div", "p", "nav", "td"][rng.integers(3)], names, link_line(n))
             tag = "nav" if names is None or rng.random() < 0.6 else "div"
             return _wrap(rng, tag, None if tag == "nav" and rng.random() < 0.6 else names, links(n))
         if kind == "header":
@@ -87,17 +111,17 @@ def made_page(rng: np.random.Generator) -> tuple[str, Callable[[str], bool]]:
     title = _words(rng, int(rng.integers(3, 12)))
     parts = []
     if rng.random() < 0.85:
-        parts.append(f"<h1>{title}</h1>")
+        parts.append(f"<h1{style()}>{title}</h1>")
         main.add(" ".join(title.replace("&amp;", "&").split()))
     broken = rng.random() < 0.4
     for _ in range(int(rng.choice([1, 2, 3, 5, 8, 14, 25], p=[0.14, 0.14, 0.2, 0.2, 0.16, 0.1, 0.06]))):
         form = rng.random()
         if form < 0.62:
-            parts.append(f"<p>{body_text(1, 90)}</p>")
+            parts.append(f"<p{style()}>{body_text(1, 90 if rng.random() < 0.85 else 4)}</p>")
         elif form < 0.74 and broken:
             parts.append(f"<p><b>{body_text(1, 60)}<br><p>{body_text(1, 60)}</p>")
         elif form < 0.8:
-            parts.append(f"<h2>{body_text(1, 8)}</h2>")
+            parts.append(f"<h2{style()}>{body_text(1, 8)}</h2>")
         elif form < 0.86:
             parts.append("<ul>" + "".join(f"<li>{body_text(2, 20)}</li>" for _ in range(int(rng.integers(1, 5)))) + "</ul>")
         elif form < 0.9:
@@ -114,19 +138,28 @@ def made_page(rng: np.random.Generator) -> tuple[str, Callable[[str], bool]]:
     shape = rng.random()
     inner = "".join(parts)
     if shape < 0.55:
-        core = _wrap(rng, "article", _WITHIN if rng.random() < 0.3 else None, inner)
+        core = _wrap(rng, "article", within if rng.random() < 0.3 else None, inner)
         if rng.random() < 0.3:
-            core = _wrap(rng, ["main", "div"][rng.integers(2)], _WITHIN if rng.random() < 0.5 else None, core)
+            core = _wrap(rng, ["main", "div"][rng.integers(2)], within if rng.random() < 0.5 else None, core)
     elif shape < 0.72:
-        core = _wrap(rng, "main", _WITHIN if rng.random() < 0.3 else None, inner)
+        core = _wrap(rng, "main", within if rng.random() < 0.3 else None, inner)
     elif shape < 0.92:
-        core = _wrap(rng, ["div", "section"][rng.integers(2)], _WITHIN, inner)
+        core = _wrap(rng, ["div", "section"][rng.integers(2)], within, inner)
+        if rng.random() < 0.4:
+            core = _wrap(rng, "div", within if rng.random() < 0.6 else None, core)
     else:
         core = inner
     before = [around(k) for k in ("header", "menu", "notice", "advert", "side", "form") if rng.random() < (0.5 if k in ("header", "menu", "advert") else 0.2)]
     after = [around(k) for k in ("talk", "side", "advert", "share", "form", "notice", "footer") if rng.random() < (0.7 if k == "footer" else 0.25)]
     rng.shuffle(before)
     head = f"<!DOCTYPE html><html><head><meta charset='utf-8'><title>{title if rng.random() < 0.6 else _words(rng, 5)}</title><style>p{{}}</style><script>var x='</p>';</script></head><body>"
+    if rng.random() < 0.1:  # laid out by a table: what stands around in rows and columns of its own
+        cell = lambda x, width="": f'<td valign="top"{width}>{x}</td>'
+        rows = [f"<tr>{cell(x, ' colspan=2')}</tr>" for x in before]
+        side = cell([links(4), link_line(5)][rng.integers(2)], " width=150") if rng.random() < 0.6 else ""
+        rights = f"<font size=1>{['&copy;', 'Copyright'][rng.integers(2)]} {_words(rng, 4)}</font>" if rng.random() < 0.6 else ""
+        rows += [f"<tr>{side}{cell(inner)}</tr>", *(f"<tr>{cell(x, ' colspan=2')}</tr>" for x in after), f"<tr>{cell(rights, ' align=center')}</tr>" if rights else ""]
+        before, core, after = [], f'<table width="100%">{"".join(rows)}</table>', []
     page = head + "".join(before) + core + "".join(after) + ("</body></html>" if rng.random() < 0.9 else "")
 
     seen_title = [0]
