@@ -159,11 +159,12 @@ def _in_cells(reps: DataFrame, dim: int, n: int, threshold: float, cell: int) ->
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = centres.value
         for batch in batches:
-            if batch.num_rows:
-                x = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.float64).reshape(-1, dim)
+            for at in range(0, batch.num_rows, 512):  # at most 512 x MOST_CELLS products at once
+                part = batch.slice(at, 512)
+                x = np.frombuffer(b"".join(part.column(2).to_pylist()), np.float64).reshape(-1, dim)
                 p = x @ c.T
                 home = p.argmax(axis=1)
-                yield pa.record_batch([*batch.columns, pa.array(home, pa.int32()), pa.array(p[np.arange(len(p)), home])], names=["rep", "n", "unit", "cell", "near"])
+                yield pa.record_batch([*part.columns, pa.array(home, pa.int32()), pa.array(p[np.arange(len(p)), home])], names=["rep", "n", "unit", "cell", "near"])
 
     home = materialize(reps.select("rep", "n", "unit").mapInArrow(settle, "rep long, n long, unit binary, cell int, near double"))
     radius = np.full(k, -np.inf)  # of each cell, as an angle
