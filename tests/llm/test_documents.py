@@ -166,7 +166,6 @@ def test_word_tokenizer_equals_library():
     from tokenizers import Tokenizer
 
     lib = Tokenizer.from_file(PATH)
-    lib.encode_special_tokens = True
     own = wordtok.WordTokenizer(PATH)
     rng = random.Random(8)
     odd = "aZ09 .,!é ßŉǅİ́ \u0085\x1c😀漢²½'sLL<|endoftext|>\n\t"

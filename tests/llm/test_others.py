@@ -1,9 +1,12 @@
 import random
+import re
 
 import numpy as np
+from pyspark.sql import functions as F
 
-from roadlens.llm import embed_dedup, html_blocks, quotes
+from roadlens.llm import embed_dedup, html_blocks, quotes, sql
 from roadlens.llm.html_pages import made_page
+from tests.conftest import same_rows
 from tests.llm.conftest import rows_of
 
 # Embeddings
@@ -189,9 +192,6 @@ def test_quotes_equal_sql(spark):
     import duckdb
     import pandas as pd
 
-    from roadlens.llm import sql
-    from tests.conftest import same_rows
-
     rng = random.Random(21)
     rows = []
     for conv in range(30):
@@ -227,3 +227,27 @@ def test_pieces_keep_the_reply_order(spark):
     got = sorted((r for r in rows_of(quotes.chat_rows(quotes.link_messages(df), row_messages=4)) if r["conv_id"] == 9), key=lambda r: (r["part"], r["piece"]))
     assert "".join(r["chat"] for r in got) == "<|user|>\nroot<|end|>\n" + "".join(f"<|assistant|>\nanswer {i % 7} {i}<|end|>\n" for i in range(1, 300))
     assert [r["n_messages"] for r in got] == [4] * 75 and [r["piece"] for r in got] == list(range(75))
+
+
+def test_long_lines_of_quote_marks_and_announcements(spark):
+    marks, spaced = ">" * 1_000_000, "> " * 300_000
+    texts = ["hello there", f"{marks}hello there\nyes", f"{spaced}\n\n\n{' ' * 100_000}no{' ' * 100_000}", f"On {'x' * 5000} wrote:\n> yes\nok", f"Am {'x schrieb ' * 20_000}\nfin", f"Am {'x schrieb ' * 20_000} : \nend"]
+    df = spark.createDataFrame([(1, i, "user", t) for i, t in enumerate(texts)], "conv_id long, turn int, role string, text string")
+    got = {r["turn"]: r for r in quotes.link_messages(df).collect()}
+    assert [got[i]["content"] for i in (0, 1, 2, 3, 5)] == ["hello there", "yes", "no", "ok", "end"] and got[4]["content"] == texts[4]
+    assert got[1]["n_quotes"] == 1 and got[3]["parent_turn"] == 1
+    assert spark.createDataFrame([(marks,)], "t string").select(quotes.level(F.col("t"))).head()[0] == 1_000_000
+
+
+def test_crowded_conversation_equals_sql(spark):
+    import duckdb
+
+    rows = [(1, i, "user", f"branch {i % 6} says {i}" if i < 6 else f"> branch {i % 6} says {i - 6}\nbranch {i % 6} says {i}") for i in range(3600)]
+    df = spark.createDataFrame(rows, "conv_id long, turn int, role string, text string")
+    con = duckdb.connect()
+    con.register("conversations", df.toArrow())
+    same_rows(quotes.format_chats(df), con.sql(sql.OP3))
+    got = sorted(rows_of(quotes.format_chats(df)), key=lambda r: (r["part"], r["piece"]))
+    assert len(got) > 6 and {r["part"] for r in got} == {0, 1}
+    said = [int(x) for x in re.findall(r"says (\d+)\n?<\|end", "".join(r["chat"] for r in got))]
+    assert all(said.index(i) > said.index(i - 6) for i in range(6, 3600, 7))
