@@ -46,20 +46,45 @@ def clusters(items: DataFrame, key: str = "id", threshold: int = 6, exact_only:
     return items.select(key).distinct().join(found, key, "left").select(key, F.coalesce("component", key).alias("cluster"))
 
 
+def usual_order() -> list:
+    """Split priority, name, path: the evaluation splits keep theirs."""
+    return [split_priority(F.col("split")), F.col("name"), F.col("path")]
+
+
+def merge_order() -> list:
+    """Name, source, path: the rule for merging sources."""
+    return [F.col("name"), F.col("source"), F.col("path")]
+
+
+def kept_members(members: DataFrame, order: list | None = None) -> DataFrame:
+    """The member of each ``cluster`` that ranks first: one aggregate with partial ones before the shuffle, however large a cluster is."""
+    first = members.groupBy("cluster").agg(F.min_by(F.struct(*members.columns), F.struct(*(order or usual_order()))).alias("k"))
+    return first.select("k.*")
+
+
+def lost_members(members: DataFrame, order: list | None = None) -> DataFrame:
+    """The members that ``kept_members`` leaves out, by path."""
+    return members.join(kept_members(members, order).select("path"), "path", "left_anti")
+
+
 def keepers(members: DataFrame, order: list | None = None) -> DataFrame:
-    """Adds rank (1 keeps) within ``cluster``: by split priority, name and path, or as ``order`` says."""
-    order = order or [split_priority(F.col("split")), F.col("name"), F.col("path")]
+    """Adds rank (1 keeps) within ``cluster``, as ``order`` says; a cluster is ranked in one task, ``kept_members`` needs none."""
+    order = order or usual_order()
     return members.withColumn("rank", F.row_number().over(Window.partitionBy("cluster").orderBy(*order)))
 
 
 def merge_keepers(members: DataFrame) -> DataFrame:
     """As ``keepers``, by name alone with source and path as ties: the rule for merging sources."""
-    return keepers(members, [F.col("name"), F.col("source"), F.col("path")])
+    return keepers(members, merge_order())
 
 
 def removals(ranked: DataFrame, corrupted: DataFrame | None = None) -> DataFrame:
-    """(split, path, reason): losers of clusters, and corrupted files; a file is removed once."""
-    lost = ranked.where("rank > 1").select("split", "path", F.lit("duplicate").alias("reason"))
+    """(split, path, reason): losers of clusters, and corrupted files; a file is removed once.
+
+    ``ranked`` is of ``keepers``, or without a rank of ``lost_members``.
+    """
+    lost = ranked.where("rank > 1") if "rank" in ranked.columns else ranked
+    lost = lost.select("split", "path", F.lit("duplicate").alias("reason"))
     if corrupted is None:
         return lost
     bad = corrupted.select("split", "path", F.lit("corrupted").alias("reason"))

@@ -102,7 +102,8 @@ def match(truth: DataFrame, predicted: DataFrame, thresholds: list[float] | None
     """(threshold, image_id, confidence, *ties, tp): greedy matching of a frame's predictions by falling confidence.
 
     Each takes the unused truth box of most overlap, if that reaches the threshold.
-    ``truth`` has x1..y2 and a total order ``gt_id`` within its frame.
+    ``truth`` has x1..y2 and a total order ``gt_id`` within its frame. The boxes of one
+    frame are gathered in one row: hundreds as detectors give them.
     """
     ties = ties or []
     gt = truth.groupBy("image_id").agg(F.array_sort(F.collect_list(F.struct("gt_id", "x1", "y1", "x2", "y2"))).alias("g"))

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadlens.operators.dedupe import clusters, merge_keepers
+from roadlens.operators.dedupe import clusters, kept_members, merge_order
 from roadlens.operators.split import split_by_sequence
 
 
@@ -22,8 +22,8 @@ def merge_sources(sources: list[DataFrame], fingerprints: DataFrame | None = Non
     if fingerprints is not None:
         own = items.join(fingerprints, "path", "left")
         cluster = clusters(fingerprints, "path", threshold, exact_only)
-        ranked = merge_keepers(own.join(cluster, "path", "left").withColumn("cluster", F.coalesce("cluster", "path")).withColumn("name", F.col("file_name")))
-        items = ranked.where("rank = 1").select(*items.columns)
+        members = own.join(cluster, "path", "left").withColumn("cluster", F.coalesce("cluster", "path")).withColumn("name", F.col("file_name"))
+        items = kept_members(members, merge_order()).select(*items.columns)
     return split_by_sequence(items, train, val, seed).withColumn("target_name", F.concat("seq_id", F.lit("__"), "file_name"))
 
 

@@ -206,13 +206,13 @@ def dedupe_keepers(spark, sf):
 
 @query(f"WITH {KEEP_SQL} SELECT cluster, path FROM (SELECT *, row_number() OVER (PARTITION BY cluster ORDER BY name, source, path) AS r2 FROM k) WHERE r2 = 1")
 def merge_keepers(spark, sf):
-    return dedupe.merge_keepers(_clustered(spark, sf)).where("rank = 1").select("cluster", "path")
+    return dedupe.kept_members(_clustered(spark, sf), dedupe.merge_order()).select("cluster", "path")
 
 
 @query(f"WITH {KEEP_SQL} SELECT split, count(*) AS before, count(*) FILTER (WHERE rank > 1) AS removed, count(*) FILTER (WHERE rank = 1) AS after FROM k GROUP BY split")
 def dedupe_removals(spark, sf):
     files = fx.hashed_files(spark, sf)
-    return dedupe.removal_summary(files, dedupe.removals(dedupe.keepers(_clustered(spark, sf))))
+    return dedupe.removal_summary(files, dedupe.removals(dedupe.lost_members(_clustered(spark, sf))))
 
 
 @query(f"WITH {PAIRS_SQL} SELECT id_a, id_b, distance FROM p")
@@ -279,13 +279,13 @@ def dedupe_keepers_combined(spark, sf):
 
 @query(f"WITH RECURSIVE {COMBINED_SQL} SELECT cluster, path FROM (SELECT *, row_number() OVER (PARTITION BY cluster ORDER BY name, source, path) AS r2 FROM k) WHERE r2 = 1")
 def merge_keepers_combined(spark, sf):
-    return dedupe.merge_keepers(_clustered_combined(spark, sf)).where("rank = 1").select("cluster", "path")
+    return dedupe.kept_members(_clustered_combined(spark, sf), dedupe.merge_order()).select("cluster", "path")
 
 
 @query(f"WITH RECURSIVE {COMBINED_SQL} SELECT split, count(*) AS before, count(*) FILTER (WHERE rank > 1) AS removed, count(*) FILTER (WHERE rank = 1) AS after FROM k GROUP BY split")
 def dedupe_removals_combined(spark, sf):
     files = fx.hashed_prints(spark, sf)
-    return dedupe.removal_summary(files, dedupe.removals(dedupe.keepers(_clustered_combined(spark, sf))))
+    return dedupe.removal_summary(files, dedupe.removals(dedupe.lost_members(_clustered_combined(spark, sf))))
 
 
 # Splits, backgrounds and samples --------------------------------------------------------------------------------------
