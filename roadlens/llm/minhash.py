@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from roadlens.llm.bounded import STRETCH, bound_batches, maybe_among, stretches
 from roadlens.operators.components import connected_components
-from roadlens.session import materialize
+from roadlens.session import discard, materialize
 
 WORDS, THRESHOLD = 5, 0.8
 #: A pair at the threshold shares no band with a chance of (1 - 0.8^5)^25 = 5e-5.
@@ -37,7 +37,7 @@ REGISTERS = BANDS * ROWS
 #: Registers agree on J_P with a standard deviation of 0.036 at the threshold: five of them are left as room.
 ESTIMATE = THRESHOLD - 0.18
 #: Members that one task holds against a pivot; members of a block when a bucket's registers are compared, and when its shingles are.
-FAN, BLOCK, FINE = 512, 2048, 256
+FAN, BLOCK, FINE = 128, 1024, 512
 #: Rounds of tests against one member of each bucket.
 PIVOT_ROUNDS = 2
 #: Shingles whose arrivals are drawn at once.
@@ -348,14 +348,20 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     sketch = materialize(slim.mapInArrow(_sketch, "doc_id long, same binary, keys array<long>, held binary"))
     has_set = F.col("same").isNotNull() & F.col("doc_id").isNotNull()
     known = sketch.where(has_set)
-    first = materialize(known.groupBy("same").agg(F.min("doc_id").alias("rep")))
-    reps = known.join(first.select(F.col("rep").alias("doc_id"), "same"), ["doc_id", "same"], "left_semi").dropDuplicates(["doc_id", "same"])
-
-    members = materialize(reps.select(F.col("doc_id").alias("rep"), F.posexplode("keys").alias("band", "key")))
-    shared = members.groupBy("key").agg(F.min("rep").alias("pivot"), F.max("rep").alias("top"), F.count(F.lit(1)).alias("n")).where("pivot < top")
-    members = materialize(members.join(materialize(shared.select("key", "pivot", "n")), "key"))
+    first = materialize(known.groupBy("same").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("n")))
+    # Most sketches are alone with their shingles: these need no shuffle, as a bitmap of the others' ids tells.
+    shared = materialize(known.select("doc_id", "same").join(first.where("n > 1").select("same"), "same", "left_semi").select("doc_id").distinct())
+    marked = maybe_among(known, F.col("doc_id"), shared)
+    alone, doubtful = marked.where("NOT maybe").drop("maybe"), marked.where("maybe").drop("maybe")
+    reps = alone.unionByName(doubtful.join(first.select(F.col("rep").alias("doc_id"), "same"), ["doc_id", "same"], "left_semi").dropDuplicates(["doc_id", "same"]))
+
+    members = reps.select(F.col("doc_id").alias("rep"), F.posexplode("keys").alias("band", "key"))
+    buckets = members.groupBy("key").agg(F.min("rep").alias("pivot"), F.max("rep").alias("top"), F.count(F.lit(1)).alias("n")).where("pivot < top")
+    buckets = materialize(buckets.select("key", "pivot", "n"))
+    members = materialize(maybe_among(members, F.col("key"), buckets.select("key")).where("maybe").drop("maybe").join(buckets, "key"))
     candidates = materialize(members.select(F.col("rep").alias("doc_id")).distinct())
-    registers = materialize(known.join(candidates, "doc_id", "left_semi").select("doc_id", "held").dropDuplicates(["doc_id"]))
+    wanted = maybe_among(known.select("doc_id", "held"), F.col("doc_id"), candidates).where("maybe").drop("maybe")
+    registers = materialize(wanted.join(candidates, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
     # Texts that are no candidate's neither cross a shuffle nor reach a worker.
     found = maybe_among(slim.where("doc_id IS NOT NULL"), F.col("doc_id"), candidates).where("maybe").select("doc_id", "text").mapInArrow(_sets, "doc_id long, held binary")
     sets = materialize(found.join(candidates, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
@@ -372,6 +378,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     own = _open(members, comps, PIVOT_ROUNDS)
     if not own.isEmpty():
         comps = _joined(comps, _rest(own, registers, sets))
+    discard(members, registers, sets, buckets)  # what is returned reads sketch, first, candidates and comps
 
     classes = first.join(comps, "rep", "left").select("same", F.coalesce("comp", "rep").alias("class_id"))
     out = sketch.where(has_set).select("doc_id", "same").join(classes, "same").select("doc_id", "class_id")
