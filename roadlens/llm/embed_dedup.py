@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from roadlens.llm.bounded import bound_batches
 from roadlens.operators.components import connected_components
 from roadlens.session import materialize
 
@@ -120,9 +121,11 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, id_col: str =
     ``probes`` is kept for callers and has no effect: which cells are visited depends on
     the vectors. Vectors that are null, empty, zero or hold null or non-finite components
     link with nothing, nor do vectors of different lengths with each other. Repeated
-    rows count each. An empty table gives no rows; other columns are ignored.
+    rows count each; different vectors of one vec_id share their links; rows without a
+    vec_id link with nothing. An empty table gives no rows; other columns are ignored.
     """
     spark = vectors.sparkSession
+    bound_batches(spark)
     slim = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vec_col).cast("array<double>").alias("v"))
     clean = materialize(slim.mapInArrow(_clean, "vec_id long, dim int, same binary, unit binary"))
     valid = clean.where("same IS NOT NULL AND vec_id IS NOT NULL")
@@ -138,7 +141,7 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, id_col: str =
     groups = connected_components(sums.select(F.col("rep").alias("src"), F.col("to").alias("dst")))
     per_rep = reps.select("same", "rep", "n").join(sums.groupBy("rep").agg(F.sum("links").alias("links")), "rep", "left").join(groups.withColumnRenamed("node", "rep"), "rep", "left")
     per_rep = per_rep.select("same", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.coalesce("component", "rep").alias("component_id"))
-    out = clean.select("vec_id", "same").join(per_rep, "same", "left")
+    out = clean.select("vec_id", F.when(F.col("vec_id").isNotNull(), F.col("same")).alias("same")).join(per_rep, "same", "left")
     component = F.coalesce("component_id", "vec_id")
     return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(F.col("vec_id") == component, F.lit(True)).alias("kept"))
 
