@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from roadlens.llm.bounded import bound_batches
 from roadlens.llm.wordhash import word_hashes
 
 PATH_BUCKETS, WORD_BUCKETS, PATH_DIM, WORD_DIM, MEASURES, HIDDEN = 2048, 1024, 24, 4, 6, 24
@@ -502,6 +503,7 @@ def extract(pages: DataFrame, model: BlockModel | None = None, id_col: str = "pa
     text, give an empty text. Repeated rows are returned each, an empty table gives
     none; other columns are ignored.
     """
+    bound_batches(pages.sparkSession)
     shared = pages.sparkSession.sparkContext.broadcast(model or default_model())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
