@@ -9,9 +9,16 @@ the target by little more than the source's longest document.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
+from roadlens.llm.bounded import bound_batches
 from roadlens.llm.ranking import salt_digits
 from roadlens.session import materialize
 
@@ -21,10 +28,36 @@ SHARE = 1.5
 CEILING = 2
 
 
-def word_count(text: Column) -> Column:
-    """Number of maximal runs of characters other than ASCII white space; 0 for null."""
-    squeezed = F.trim(F.regexp_replace(text, r"[\x20\x09-\x0D]+", " "))
-    return F.coalesce(F.when(squeezed == "", 0).otherwise(F.length(squeezed) - F.length(F.translate(squeezed, " ", "")) + 1), F.lit(0)).cast("long")
+_SPACE = np.zeros(256, dtype=bool)
+_SPACE[[9, 10, 11, 12, 13, 32]] = True
+
+
+def word_counts(texts: pa.Array) -> np.ndarray:
+    """Number of maximal runs of characters other than ASCII white space of each text, counted in its bytes; 0 for null."""
+    texts = pc.fill_null(texts.cast(pa.string()), "")
+    if not len(texts):
+        return np.zeros(0, np.int64)
+    ends = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1]
+    data = texts.buffers()[2]
+    space = _SPACE[np.frombuffer(data, np.uint8)[ends[0] : ends[-1]]] if data else np.zeros(0, dtype=bool)
+    begins = ~space
+    begins[1:] &= space[:-1]
+    at = ends[:-1][ends[1:] > ends[:-1]] - ends[0]
+    begins[at] = ~space[at]  # a text's first character follows on another text's last
+    upto = np.searchsorted(np.flatnonzero(begins), ends - ends[0])
+    return np.diff(upto).astype(np.int64)
+
+
+def sized_documents(docs: DataFrame) -> DataFrame:
+    """doc_id, source and size, the words of the text."""
+    bound_batches(docs.sparkSession)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.record_batch([batch.column(0), batch.column(1), pa.array(word_counts(batch.column(2)))], names=["doc_id", "source", "size"])
+
+    slim = docs.select("doc_id", "source", F.col("text").cast("string").alias("text"))
+    return slim.mapInArrow(count, StructType([*slim.schema.fields[:2], StructField("size", LongType())]))
 
 
 def source_targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, ceiling: int = CEILING) -> DataFrame:
@@ -33,7 +66,8 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, ceil
     Targets rise together in proportion to their weights until they share ``share``
     of all sizes; one that meets ``ceiling`` times its source's size stops there. The
     level at which that ends is found by one pass over the sources in the order in
-    which they stop.
+    which they stop. Its windows run over one row for each source, in one task: sources
+    are taken to be few, thousands at most.
     """
     by_name = Window.orderBy(F.col("source").asc_nulls_last())
     every = Window.partitionBy()
@@ -62,7 +96,7 @@ def mix_sources(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, ceiling:
     rows count each; an empty table gives no rows. Other columns are ignored.
     """
     sized = materialize(
-        docs.select("doc_id", "source", word_count(F.col("text")).alias("size")).withColumn("digest", F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
+        sized_documents(docs).withColumn("digest", F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
     )
     per_size = sized.groupBy("source", "size").agg(F.count(F.lit(1)).alias("n"))
     sources = per_size.groupBy("source").agg(F.sum(F.col("n") * F.col("size")).alias("source_size"))
