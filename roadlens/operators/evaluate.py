@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from roadlens.functions.geometry import centre_to_corners, iou, pixel
 from roadlens.functions.text import is_float, stripped_lines, to_float, tokens
+from roadlens.session import materialize
 
 #: IoU thresholds of the averaged metric.
 IOU_GRID = [0.5 + 0.05 * i for i in range(10)]
@@ -63,6 +64,7 @@ def report(matched: DataFrame, n_truth: int, runs: DataFrame, confidence: float
     ``matched`` is over IOU_GRID; average precision reads all predictions, the others
     those of the confidence threshold or above.
     """
+    matched = materialize(matched.select("threshold", "confidence", "tp"))  # read by several aggregates
     ap = average_precision(matched, n_truth)
     means = ap.agg(F.max(F.when(F.col("threshold") == IOU_GRID[0], F.col("ap"))).alias("map50"), F.avg("ap").alias("map50_95"))
     confident = matched.where((F.col("threshold") == IOU_GRID[0]) & (F.col("confidence") >= confidence))
@@ -109,9 +111,11 @@ def match(truth: DataFrame, predicted: DataFrame, thresholds: list[float] | None
     gt = truth.groupBy("image_id").agg(F.array_sort(F.collect_list(F.struct("gt_id", "x1", "y1", "x2", "y2"))).alias("g"))
     pred = predicted.groupBy("image_id").agg(F.array_sort(F.collect_list(F.struct((-F.col("confidence")).alias("neg"), "x1", "y1", "x2", "y2", *ties))).alias("p"))
     both = pred.join(gt, "image_id", "left").withColumn("g", F.coalesce("g", F.expr("cast(array() as array<struct<gt_id:int,x1:double,y1:double,x2:double,y2:double>>)") if dict(truth.dtypes)["gt_id"] == "int" else F.slice("g", 1, 0)))
+    # Overlaps are worked out once, whatever the number of thresholds.
+    both = both.select("image_id", "p", F.transform("p", lambda x: F.transform(F.coalesce("g", F.array()), lambda b: iou(x, b))).alias("rows"))
     both = both.withColumn("threshold", F.explode(F.array(*[F.lit(float(t)) for t in (thresholds or [0.5])])))
     empty = F.struct(F.array().cast("array<int>").alias("used"), F.array().cast("array<int>").alias("hits"))
-    overlaps = lambda s, x: F.transform(F.coalesce("g", F.array()), lambda b, i: F.struct(F.when(F.array_contains(s["used"], i + 1), F.lit(-1.0)).otherwise(iou(x, b)).alias("o"), (-i).alias("ni")))
+    overlaps = lambda s, x: F.transform(x, lambda v, i: F.struct(F.when(F.array_contains(s["used"], i + 1), F.lit(-1.0)).otherwise(v).alias("o"), (-i).alias("ni")))
 
     def step(s, x):
         best = F.array_max(overlaps(s, x))
@@ -121,7 +125,7 @@ def match(truth: DataFrame, predicted: DataFrame, thresholds: list[float] | None
             F.concat(s["hits"], F.array(hit.cast("int"))).alias("hits"),
         )
 
-    folded = both.withColumn("hits", F.aggregate("p", empty, step)["hits"])
+    folded = both.withColumn("hits", F.aggregate("rows", empty, step)["hits"])
     rows = folded.select("threshold", "image_id", F.explode(F.arrays_zip("p", "hits")).alias("z"))
     return rows.select("threshold", "image_id", (-F.col("z.p.neg")).alias("confidence"), *[F.col(f"z.p.{t}").alias(t) for t in ties], F.col("z.hits").alias("tp"))
 
