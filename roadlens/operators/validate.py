@@ -40,19 +40,23 @@ def missing_split_parts(splits: list[str], found: DataFrame) -> DataFrame:
     return _pairless(gone, F.lit(None).cast("string"), "E", "V1", MISSING_PART)
 
 
-def _line_rules(line: Column, number: Column, min_box_frac: float) -> list[Column]:
-    """V5 to V10 of one line; null where a rule holds.
+def _with_numbers(units: DataFrame) -> DataFrame:
+    """Adds the tokens and numbers of lines, step by step: what several rules read is worked out once."""
+    out = units.withColumn("tok", F.when(F.col("kind") == "line", tokens(F.col("line")))).withColumn("five", F.size("tok") == 5)
+    # get() gives null beyond the end: lines of fewer tokens are caught by V5 before their numbers matter.
+    out = out.withColumn("numeric", F.col("five") & is_integer(F.get("tok", F.lit(0))) & F.forall(F.slice("tok", 2, 4), is_float))
+    value = lambda i: F.when(F.col("numeric"), to_float(F.get("tok", F.lit(i))))
+    return out.select("*", F.when(F.col("numeric"), F.get("tok", F.lit(0)).try_cast("bigint")).alias("cls"), *[value(i + 1).alias(n) for i, n in enumerate(("xc", "yc", "bw", "bh"))])
+
+
+def _line_rules(min_box_frac: float) -> list[Column]:
+    """V5 to V10 of a line with its numbers; null where a rule holds.
 
     A line that has not five tokens (V5) or holds a non-number (V6) is not checked
     further; the other rules are independent. NaN lies outside [0, 1] and violates no
     other rule.
     """
-    tok = tokens(line)
-    five = F.size(tok) == 5
-    # get() gives null beyond the end: lines of fewer tokens are caught by V5 before their numbers matter.
-    numeric = five & is_integer(F.get(tok, F.lit(0))) & F.forall(F.slice(tok, 2, 4), is_float)
-    xc, yc, bw, bh = (F.when(numeric, to_float(F.get(tok, F.lit(i)))) for i in range(1, 5))
-    cls = F.when(numeric, F.get(tok, F.lit(0)).try_cast("bigint"))
+    tok, five, numeric, cls, xc, yc, bw, bh = (F.col(n) for n in ("tok", "five", "numeric", "cls", "xc", "yc", "bw", "bh"))
     within = lambda x: (x >= 0.0) & (x <= 1.0) & ~F.isnan(x)
     less = lambda x, y: (x < y) & ~F.isnan(x)
     more = lambda x, y: (x > y) & ~F.isnan(x)
@@ -84,15 +88,15 @@ def _told(units: DataFrame, min_box_frac: float) -> DataFrame:
     u = units.select("split", c("unit.kind").alias("kind"), c("unit.line_no").alias("line_no"), c("unit.file").alias("file"), c("unit.line").alias("line"))
     whole = {"empty": ("W", "V4", EMPTY), "missing": ("E", "V3", NO_LABEL), "orphan": ("E", "V11", ORPHAN), "unreadable": ("E", "V2", UNREADABLE)}
     rules = [F.when(c("kind") == kind, _finding(*what)) for kind, what in whole.items()]
-    lines = F.when(c("kind") == "line", F.array_compact(F.array(*_line_rules(c("line"), c("line_no"), min_box_frac)))).otherwise(F.array_compact(F.array(*rules)))
-    found = u.select("split", "file", "line_no", F.explode(lines).alias("f"))
+    lines = F.when(c("kind") == "line", F.array_compact(F.array(*_line_rules(min_box_frac)))).otherwise(F.array_compact(F.array(*rules)))
+    found = _with_numbers(u).select("split", "file", "line_no", F.explode(lines).alias("f"))
     return found.select("f.level", "f.rule", "split", "file", "line_no", "f.message")
 
 
 def check_lines(labels: DataFrame, min_box_frac: float = 0.0005) -> DataFrame:
     """V4 to V10 over (split, stem, body); an empty body is V4."""
-    units = _looked_at(stripped_lines(F.col("body")), F.concat("stem", F.lit(".txt")))
-    return _told(labels.select("split", F.explode(units).alias("unit")), min_box_frac)
+    lines = labels.select("split", "stem", stripped_lines(F.col("body")).alias("lines"))
+    return _told(lines.select("split", F.explode(_looked_at(F.col("lines"), F.concat("stem", F.lit(".txt")))).alias("unit")), min_box_frac)
 
 
 def _pairless(df: DataFrame, file: Column, level: str, rule: str, message: str) -> DataFrame:
@@ -149,17 +153,17 @@ def validate(images: DataFrame, labels: DataFrame, min_box_frac: float = 0.0005,
     c = F.col
     readable = c("readable") if "readable" in images.columns else F.lit(True)
     own = images.groupBy("split", "stem").agg(F.collect_list(F.struct("file_name", readable.alias("readable"))).alias("__files"))  # the few suffixes of a stem
-    both = own.join(labels.select("split", "stem", F.coalesce("body", F.lit("")).alias("body")), ["split", "stem"], "full")
+    both = own.join(labels.select("split", "stem", stripped_lines(F.col("body")).alias("lines")), ["split", "stem"], "full")
     names = lambda want: F.transform(F.filter("__files", lambda f: f["readable"] == want), lambda f: f["file_name"])
     file = F.concat("stem", F.lit(".txt"))
     some = F.size(names(True)) > 0
     units = F.concat(
         F.when(c("__files").isNull(), _units("orphan", F.array(file))).otherwise(_units("unreadable", names(False))),
-        F.when(c("__files").isNull() | ~some, _units("missing", F.array().cast("array<string>"))).when(c("body").isNull(), _units("missing", names(True))).otherwise(_looked_at(stripped_lines(c("body")), file)),
+        F.when(c("__files").isNull() | ~some, _units("missing", F.array().cast("array<string>"))).when(c("lines").isNull(), _units("missing", names(True))).otherwise(_looked_at(c("lines"), file)),
     )
     out = None
     if splits is not None:
-        found = both.groupBy("split").agg(F.count("__files").alias("images"), F.count("body").alias("labels"))
+        found = both.groupBy("split").agg(F.count("__files").alias("images"), F.count("lines").alias("labels"))
         parts = found.select("split", F.explode(F.array_compact(F.array(F.when(c("images") > 0, "images"), F.when(c("labels") > 0, "labels")))).alias("part"))
         out = missing_split_parts(list(splits), parts)
         both = both.join(F.broadcast(out.select("split")), "split", "left_anti")  # a row for each of ``splits`` at most
