@@ -78,9 +78,30 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_groups(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "kept")
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from roadlens.llm.filter_audit import audit
+
+    return audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from roadlens.llm.hard_negatives import hard_negatives, quantised
+
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(quantised(table(spark, sf_dir, "embeddings"), label), F.col("vec_id") % 50 == 0)
+
+
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from roadlens.llm.line_dedup import drop_common_lines
+
+    return drop_common_lines(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "n_lines", "n_dropped", "kept_sha256")
+
+
 def llm_queries() -> dict:
-    return {f.__name__: f for f in (op1_embedding_dedup, op2_exact_dedup, op3_chat_formatting, op4_token_counts, op5_language_id, op6_sharding, op7_packing, op8_html_extraction, op9_mixing, op10_near_dedup)}
+    ops = (op1_embedding_dedup, op2_exact_dedup, op3_chat_formatting, op4_token_counts, op5_language_id, op6_sharding, op7_packing, op8_html_extraction, op9_mixing, op10_near_dedup)
+    return {f.__name__: f for f in (*ops, op11_filter_audit, op12_hard_negatives, op13_line_dedup)}
 
 
 def llm_oracles() -> dict[str, str]:
-    return {"op1_embedding_dedup": sql.OP1, "op2_exact_dedup": sql.OP2, "op3_chat_formatting": sql.OP3, "op8_html_extraction": sql.OP8, "op9_mixing": sql.OP9}
+    first = {"op1_embedding_dedup": sql.OP1, "op2_exact_dedup": sql.OP2, "op3_chat_formatting": sql.OP3, "op8_html_extraction": sql.OP8, "op9_mixing": sql.OP9}
+    return first | {"op11_filter_audit": sql.OP11, "op12_hard_negatives": sql.OP12, "op13_line_dedup": sql.OP13}

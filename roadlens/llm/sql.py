@@ -142,3 +142,61 @@ WITH z AS (
 )
 SELECT doc_id, size, source_size, target, (least(2, floor((rank + 1) * rate + u) - floor(rank * rate + u)) * size)::bigint AS taken FROM r
 """
+
+OP11 = r"""
+WITH f AS (
+  SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x
+), o AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM f a, f b, f c, f d, f e
+  WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5
+), t AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS words FROM documents
+), g AS (
+  SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id
+), d AS (
+  SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic, [
+      len(words) < 50, 100 * len(list_distinct(words)) < 65 * len(words), 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 5 * length(t), regexp_matches(t, '[#$%&*|]'),
+      coalesce(t.doc_id > min(t.doc_id) OVER (PARTITION BY t), false)] AS fails
+  FROM t LEFT JOIN g ON g.doc_id = t.doc_id
+), x AS (
+  SELECT *, coalesce(list_min(list_filter([1, 2, 3, 4, 5], lambda k: fails[ascii(substr(filter_order, k, 1)) - 64])), 6) AS first FROM d, o
+), s AS (
+  SELECT *, fails[ascii(substr(filter_order, step, 1)) - 64] AS failed FROM x, (SELECT unnest([1, 2, 3, 4, 5]) AS step)
+), c AS (
+  SELECT part, filter_order, step, count(*) FILTER (WHERE first > step) AS kept, count(*) FILTER (WHERE first = step) AS removed, count(*) FILTER (WHERE failed AND first < step) AS redundant,
+    count(*) FILTER (WHERE failed AND len(list_filter(fails, lambda y: y)) = 1) AS unique_fails,
+    count(*) FILTER (WHERE first = step AND good) AS good_lost, count(*) FILTER (WHERE first = step AND toxic) AS toxic_lost
+  FROM s GROUP BY ALL
+)
+SELECT *, (sum(removed) OVER (PARTITION BY part, substr(filter_order, step, 1)))::bigint AS shapley FROM c
+"""
+
+OP12 = """
+WITH q AS (
+  SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding::double[], lambda x: floor(256 * x)) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT a.r, a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same, list_dot_product(a.e, b.e)::bigint AS score
+  FROM q a JOIN q b ON len(a.e) = len(b.e) AND (a.vec_id <> b.vec_id OR a.label <> b.label) WHERE a.vec_id % 50 = 0
+), p AS (
+  SELECT r, anchor_id, id AS positive_id, score AS positive_score, row_number() OVER (PARTITION BY r ORDER BY score DESC, id) AS nth FROM s WHERE same QUALIFY nth <= 5
+)
+SELECT anchor_id, positive_id, row_number() OVER (PARTITION BY p.r, nth ORDER BY score DESC, id)::int AS rank, id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (r, anchor_id) WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY rank <= 3
+"""
+
+OP13 = """
+WITH d AS (
+  SELECT row_number() OVER () AS row, doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents
+), l AS (
+  SELECT row, unnest(ls) AS line, generate_subscripts(ls, 1) AS nth FROM d
+), k AS (
+  SELECT *, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l
+), f AS (
+  SELECT key FROM k WHERE key <> '' GROUP BY key HAVING count(DISTINCT row) >= 10
+), s AS (
+  SELECT row, count(f.key) AS n_dropped, coalesce(string_agg(line, chr(10) ORDER BY nth) FILTER (WHERE f.key IS NULL), '') AS kept FROM k LEFT JOIN f ON f.key = k.key GROUP BY row
+)
+SELECT doc_id, len(ls)::bigint AS n_lines, n_dropped, sha256(kept) AS kept_sha256 FROM d JOIN s ON s.row = d.row
+"""
