@@ -141,7 +141,10 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, id_col: str =
     groups = connected_components(sums.select(F.col("rep").alias("src"), F.col("to").alias("dst")))
     per_rep = reps.select("same", "rep", "n").join(sums.groupBy("rep").agg(F.sum("links").alias("links")), "rep", "left").join(groups.withColumnRenamed("node", "rep"), "rep", "left")
     per_rep = per_rep.select("same", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.coalesce("component", "rep").alias("component_id"))
-    out = clean.select("vec_id", F.when(F.col("vec_id").isNotNull(), F.col("same")).alias("same")).join(per_rep, "same", "left")
+    # Only vectors that may have links are joined: the others have no key in common.
+    linked = valid.select("vec_id", "same").join(per_rep, "same", "left").select("vec_id", "n_links", "component_id")
+    none = F.lit(None).cast("long")
+    out = linked.unionByName(clean.where("same IS NULL OR vec_id IS NULL").select("vec_id", none.alias("n_links"), none.alias("component_id")))
     component = F.coalesce("component_id", "vec_id")
     return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(F.col("vec_id") == component, F.lit(True)).alias("kept"))
 

@@ -24,7 +24,8 @@ from roadlens.session import materialize
 
 #: Bytes that the comparison ignores.
 SPACES = b" \t\n\x0b\x0c\r"
-WINDOW, MEAN_CHUNK, LEAST_CHUNK = 32, 2048, 256
+#: Chunks have LEAST_CHUNK to MOST_CHUNK bytes, but for a text's last: content without cut points is cut all the same.
+WINDOW, MEAN_CHUNK, LEAST_CHUNK, MOST_CHUNK = 32, 2048, 256, 1 << 16
 _GEAR = np.random.default_rng(20240229).integers(0, 1 << 32, 256, dtype=np.uint32)
 
 
@@ -40,7 +41,10 @@ def cut_points(data: bytes) -> np.ndarray:
         h, span = wide, 2 * span
     marks = np.flatnonzero((h >> np.uint32(20)) & np.uint32(MEAN_CHUNK - 1) == 0) + 1
     ends, last = [], 0
-    for m in marks.tolist():
+    for m in [*marks.tolist(), n]:
+        while m - last > MOST_CHUNK:
+            last += MOST_CHUNK
+            ends.append(last)
         if m - last >= LEAST_CHUNK and n - m >= LEAST_CHUNK:
             ends.append(m)
             last = m
@@ -126,8 +130,8 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         lists = exact.where("nth > 1").groupBy("of").agg(F.sort_array(F.collect_set(F.struct("pos", "print", "nth"))).alias("ids"))  # of one text
         told = materialize(lists.select("of", F.md5(F.to_json("ids")).alias("told")))
         verified = materialize(made.join(told, made["text_sha256"] == told["of"], "left").withColumn("recipe_id", F.concat_ws("/", "recipe", "told")).drop("of", "told"))
-    best = F.max(F.struct("points", (-F.col("doc_id")).alias("neg"), (-F.col("row")).alias("back"))).alias("best")
+    best = F.min(F.struct((-F.col("points")).alias("short"), F.col("doc_id").isNull().alias("last"), "doc_id", "row")).alias("best")
     groups = materialize(verified.groupBy("recipe_id").agg(F.count(F.lit(1)).alias("group_size"), best))
-    groups = groups.select("recipe_id", "group_size", (-F.col("best.neg")).alias("keep_id"), (-F.col("best.back")).alias("keep_row"))
+    groups = groups.select("recipe_id", "group_size", F.col("best.doc_id").alias("keep_id"), F.col("best.row").alias("keep_row"))
     kept = F.when(F.col("keep_id").isNull(), F.col("row") == F.col("keep_row")).otherwise(F.col("doc_id").eqNullSafe(F.col("keep_id")))
     return verified.join(groups, "recipe_id").select("doc_id", "keep_id", F.col("group_size").cast("long").alias("group_size"), kept.alias("kept"), "text_sha256")

@@ -78,9 +78,11 @@ def document_flags(docs: DataFrame, labels: DataFrame, part_col: str = "source")
     bound_batches(docs.sparkSession)
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col(part_col).cast("string"), F.lit("")).alias("part"), F.col("text").cast("string").alias("text"))
     made = materialize(slim.mapInArrow(_own_flags, "doc_id long, part string, flags int, digest binary"))
-    # Only texts that several rows have are joined again. A hot one is a single row on the other side.
-    first = made.groupBy("digest").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").select("digest", "first")
-    told = labels.where("doc_id IS NOT NULL AND (quality = 1 OR toxic = 1)").groupBy(F.col("doc_id").cast("long").alias("of")).agg(F.max(F.coalesce(F.col("quality") == 1, F.lit(False))).alias("good"), F.max(F.coalesce(F.col("toxic") == 1, F.lit(False))).alias("toxic"))
+    # Texts that several rows have. Written first, a hot one is a plain row of a join whose other side Spark can split.
+    first = materialize(made.groupBy("digest").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").select("digest", "first"))
+    is_one = lambda c: F.max(F.coalesce(F.col(c) == 1, F.lit(False)))
+    marked = labels.where("doc_id IS NOT NULL AND (quality = 1 OR toxic = 1)").groupBy(F.col("doc_id").cast("long").alias("of"))
+    told = materialize(marked.agg(is_one("quality").alias("good"), is_one("toxic").alias("toxic")))
     joined = made.join(first, "digest", "left").join(told, F.col("doc_id") == F.col("of"), "left")
     copy = F.coalesce(F.col("doc_id") > F.col("first"), F.lit(False))
     no = F.lit(False)

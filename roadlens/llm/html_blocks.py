@@ -44,8 +44,9 @@ _MATH = frozenset("annotation maction math menclose merror mfenced mfrac mi mmul
 _INLINE |= _MATH
 #: Drawings and their parts have no content where they are self-closed.
 _DRAWN = frozenset("animate circle ellipse g image line path polygon polyline rect stop svg symbol text tspan use".split())
-#: Elements with a close tag whose content isn't shown as text.
-_UNSHOWN = re.compile(r"<(?:svg|template)[\s/>]", re.I)
+#: Elements with a close tag whose content isn't text of the page: drawings, templates, and form fields with what they suggest.
+_HIDDEN = ("svg", "template", "textarea", "select", "datalist")
+_UNSHOWN = re.compile(rf"<(?:{'|'.join(_HIDDEN)})[\s/>]", re.I)
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements that a new one of the kind closes, up to the element that holds them.
 _CLOSES = {"p": ("p",), "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
@@ -124,9 +125,9 @@ TEXT, OPEN, CLOSE, RAW = range(4)
 
 
 def _unshown(tokens: list[tuple[int, str, str]]) -> dict[int, int]:
-    """For each open tag of a closed drawing or template: the token to go on with. One without a close tag hides nothing."""
+    """For each open tag of a closed drawing, template or form field: the token to go on with. One without a close tag hides nothing."""
     past: dict[int, int] = {}
-    opened: dict[str, list[int]] = {"svg": [], "template": []}
+    opened: dict[str, list[int]] = {tag: [] for tag in _HIDDEN}
     left: dict[int, int] = {}
     for i, (kind, tag, attrs) in enumerate(tokens):
         if kind not in (OPEN, CLOSE):

@@ -16,16 +16,19 @@ from itertools import product
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from roadlens.llm.bounded import bound_batches
+from roadlens.session import materialize
 
 BUCKETS = 1 << 13
-#: Labelled texts that the classifiers are fitted on: about this many in all, dealt evenly to the languages. Where that leaves
+#: Labelled texts that the classifiers are fitted on: so many in all, dealt evenly to the languages. Where that leaves
 #: less than LEAST_TEXTS for each, LEAST_TEXTS are taken, as long as that gives no more than MOST_TEXTS in all.
 FIT_TEXTS, LEAST_TEXTS, MOST_TEXTS = 2400, 24, 24_000
+#: Languages that are learned at most: the most frequent ones.
+MOST_LANGUAGES = 512
 #: Below this score the decision is flagged as ambiguous.
 CLEAR_SCORE = 0.6
 UNKNOWN = "und"
@@ -118,40 +121,63 @@ class LanguageModel:
         return p / p.sum(axis=1, keepdims=True), letters
 
 
-def fit_model(docs: DataFrame, fit_texts: int = FIT_TEXTS, seed: int = 11) -> LanguageModel | None:
-    """Learns from the non-null ``lang`` of ``docs`` (doc_id, text, lang); None if there is none.
+def fit_sample(docs: DataFrame, fit_texts: int = FIT_TEXTS, most_languages: int = MOST_LANGUAGES) -> DataFrame:
+    """(lang, digest) of the texts that are fitted: of each learned language those of the least hashes, equal ones once.
 
-    The texts fitted are a sample by a hash of doc_id, evenly over the languages and
-    of a bounded expected size; their whole texts count.
+    The most frequent ``most_languages`` languages are learned, ties by name, from an even
+    share of ``fit_texts`` each; where that is less than LEAST_TEXTS, from so many, as
+    long as MOST_TEXTS allow it. So there are at most the greatest of ``fit_texts``,
+    MOST_TEXTS and ``most_languages`` rows, whatever the ids, texts and languages.
     """
-    labelled = docs.where("lang IS NOT NULL AND text IS NOT NULL").select("doc_id", "text", "lang")
-    counts = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
-    languages = sorted(counts)
-    if not languages:
-        return None
-    quota = max(1, fit_texts // len(languages), min(LEAST_TEXTS, MOST_TEXTS // len(languages)))
-    rate = docs.sparkSession.createDataFrame([(k, float(quota / n)) for k, n in counts.items()], "lang string, rate double")
-    draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    drawn = labelled.join(F.broadcast(rate), "lang").where(draw < F.col("rate")).select("doc_id", "text", "lang")
+    labelled = _labelled(docs)
+    counts = materialize(labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(most_languages))
+    n_languages = max(1, counts.count())
+    quota = max(1, fit_texts // n_languages, min(LEAST_TEXTS, MOST_TEXTS // n_languages))
+    # Hashes beyond eight times the share that is needed are left where they are; the rest is counted exactly.
+    share = F.pmod("digest", F.lit(1 << 30)) / F.lit(float(1 << 30))
+    drawn = labelled.join(F.broadcast(counts), "lang").where(share * F.col("n") < 8 * quota)
+    distinct = drawn.groupBy("lang", "digest").agg(F.lit(1).alias("one"))
+    least = Window.partitionBy("lang").orderBy(F.pmod("digest", F.lit(1 << 30)), "digest")
+    return distinct.withColumn("nth", F.row_number().over(least)).where(F.col("nth") <= quota).select("lang", "digest")
+
+
+def _labelled(docs: DataFrame) -> DataFrame:
+    own = docs.select(F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang")).where("lang IS NOT NULL AND text IS NOT NULL")
+    return own.withColumn("digest", F.xxhash64("text", F.lit("fit")))
+
+
+def fit_model(docs: DataFrame, fit_texts: int = FIT_TEXTS, seed: int = 11, most_languages: int = MOST_LANGUAGES) -> LanguageModel | None:
+    """Learns from the non-null ``lang`` of ``docs`` (text, lang); None if there is none.
+
+    The texts fitted are those of ``fit_sample``; their whole texts count, ids don't.
+    """
+    sample = materialize(fit_sample(docs, fit_texts, most_languages))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[tuple] = set()  # of the sample's digests: a text that is repeated is counted once a task
         for batch in batches:
-            for doc_id, text, lang in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+            for lang, digest, text in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+                if (lang, digest) in seen:
+                    continue
+                seen.add((lang, digest))
                 held = np.zeros(BUCKETS, dtype=np.int64)
                 for window in windows(text):
                     held += np.bincount(trigrams([window])[0], minlength=BUCKETS)
                 at = np.flatnonzero(held)
-                n = held[at]
-                yield pa.record_batch([pa.array([doc_id], pa.int64()), pa.array([lang]), pa.array([at.astype(np.int32)]), pa.array([(n / n.sum()).astype(np.float32)])], names=["doc_id", "lang", "at", "share"])
+                packed = [at.astype("<i4").tobytes(), (held[at] / held.sum()).astype("<f4").tobytes()]
+                yield pa.record_batch([pa.array([lang]), pa.array([digest], pa.int64()), *(pa.array([x], pa.binary()) for x in packed)], names=["lang", "digest", "at", "share"])
 
-    rows = drawn.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang").mapInArrow(count, "doc_id long, lang string, at array<int>, share array<float>").collect()
-    rows.sort(key=lambda r: (r["doc_id"] is None, r["doc_id"] or 0, r["lang"]))
-    if len({r["lang"] for r in rows}) < len(languages) or len(languages) == 1:
-        languages = sorted({r["lang"] for r in rows}) or languages
+    # As many rows as the sample has, at most, are broadcast and collected.
+    chosen = _labelled(docs).join(F.broadcast(sample), ["lang", "digest"]).select("lang", "digest", "text")
+    rows = chosen.mapInArrow(count, "lang string, digest long, at binary, share binary").dropDuplicates(["lang", "digest"]).collect()
+    if not rows:
+        return None
+    rows.sort(key=lambda r: (r["lang"], r["digest"]))
+    languages = sorted({r["lang"] for r in rows})
     code = codewords(len(languages))
     if len(languages) == 1:
         return LanguageModel(languages, np.ones((1, 1), np.float32), np.zeros((BUCKETS, 1), np.float32), np.full(1, 20.0), np.ones(1))
-    held = [(np.array(r["at"]), np.array(r["share"], dtype=np.float32)) for r in rows]
+    held = [(np.frombuffer(r["at"], "<i4"), np.frombuffer(r["share"], "<f4")) for r in rows]
     total, squares = np.zeros(BUCKETS), np.zeros(BUCKETS)
     for at, share in held:
         total[at] += share
@@ -231,7 +257,8 @@ def predict_languages(docs: DataFrame, model: LanguageModel | None) -> DataFrame
 def with_language(docs: DataFrame, out: str, fit_texts: int = FIT_TEXTS) -> DataFrame:
     """``docs`` with a column ``out`` of the predicted language: rows are read once and never joined or shuffled.
 
-    Learns as ``identify`` does; the other columns pass through unread.
+    Learns as ``identify`` does; where nothing could be learned, a text with letters has
+    null. The other columns pass through unread.
     """
     bound_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(fit_model(docs.where(~held_out()), fit_texts))
@@ -240,7 +267,9 @@ def with_language(docs: DataFrame, out: str, fit_texts: int = FIT_TEXTS) -> Data
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.record_batch([*batch.columns, pa.array(predictions(shared.value, batch.column(text).to_pylist())[0], pa.string())], names=[*names, "found"])
+            texts = batch.column(text).to_pylist()
+            found = predictions(shared.value, texts)[0] if shared.value else [None if any(map(str.isalpha, t or "")) else UNKNOWN for t in texts]
+            yield pa.record_batch([*batch.columns, pa.array(found, pa.string())], names=[*names, "found"])
 
     schema = StructType([StructField(n, f.dataType) for n, f in zip(names, docs.schema, strict=True)] + [StructField("found", StringType())])
     return docs.toDF(*names).mapInArrow(add, schema).toDF(*docs.columns, out)

@@ -38,6 +38,8 @@ REGISTERS = BANDS * ROWS
 ESTIMATE = THRESHOLD - 0.18
 #: Members that one task holds against a pivot; members of a block when a bucket's registers are compared, and when its shingles are.
 FAN, BLOCK, FINE = 128, 1024, 512
+#: Bytes of shingles that a task of the last comparison holds; a longer member is held alone.
+PART_BYTES = 32 << 20
 #: Rounds of tests against one member of each bucket.
 PIVOT_ROUNDS = 2
 #: Shingles whose arrivals are drawn at once.
@@ -291,15 +293,23 @@ def _plausible(left: list[dict], right: list[dict]) -> Iterator[tuple[int, np.nd
         yield i, at
 
 
-def _part(rep: int, task: int) -> int:
-    """Which of the BLOCK / FINE parts of its block a member is in."""
-    return zlib.crc32(f"{rep}:{task}".encode()) % max(1, BLOCK // FINE)
+def _parts(rows: list[dict], fine: int, room: int | None) -> list[int]:
+    """Which part of its side each row is in: at most ``fine`` rows and, where told, ``room`` bytes of shingles, a longer one alone."""
+    out, part, n, held = [0] * len(rows), 0, 0, 0
+    for i in sorted(range(len(rows)), key=lambda i: rows[i]["rep"]):
+        if n and (n >= fine or room is not None and held + rows[i]["bytes"] > room):
+            part, n, held = part + 1, 0, 0
+        out[i], n, held = part, n + 1, held + rows[i]["bytes"]
+    return out
 
 
 def _survivors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The members of each block that have a plausible partner in it, dealt to the parts where it stands: rows grow with the members, not with the pairs."""
+    """The members of each block that have a plausible partner in it, dealt to the parts where it stands: rows grow with the members, not with the pairs.
+
+    The left side's parts are bounded by bytes, as their shingles are held together; the right side is read row by row.
+    """
     for task, left, right in _tasks(batches):
-        own, other = [_part(r["rep"], task) for r in left], np.array([_part(r["rep"], task) for r in right])
+        own, other = _parts(left, FINE, PART_BYTES), np.array(_parts(right, FINE, None))
         found = set()
         for i, at in _plausible(left, right):
             for j in np.unique(other[at]).tolist():
@@ -314,23 +324,34 @@ def _survivors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _verify_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Links of components by exact similarity within each block; pairs of components linked already aren't tested again."""
-    for _, left, right in _tasks(batches):
-        parent: dict[int, int] = {}
+    """Links of components by exact similarity within each block; pairs of components linked already aren't tested again.
 
-        def find(c: int) -> int:
-            while parent.setdefault(c, c) != c:
-                c = parent[c]
-            return c
+    Rows come sorted by (task, side): the left side is held, its shingles as they came, the right one passes by.
+    """
+    task, left, sets, parent = None, [], [], {}
 
-        sets = [[_shingle_set(r["held"]) for r in side] for side in (left, right)]
+    def find(c: int) -> int:
+        while parent.setdefault(c, c) != c:
+            c = parent[c]
+        return c
+
+    for batch in batches:
         links = []
-        for i, at in _plausible(left, right):
-            for j in at.tolist():
-                x, y = find(left[i]["comp"]), find(right[j]["comp"])
-                if x != y and _similar(sets[0][i], sets[1][j]):
+        columns = [batch.column(c).to_pylist() for c in ("task", "side", "band", "rep", "comp")]
+        for n, (t, side, band, rep, comp) in enumerate(zip(*columns, strict=True)):
+            if t != task:
+                task, left, sets, parent = t, [], [], {}
+            row = {"band": band, "rep": rep, "comp": comp, "registers": batch.column("registers")[n].as_py()}
+            own = _shingle_set(batch.column("held")[n].as_py())
+            if side == 0:
+                left.append(row)
+                sets.append(own)
+                continue
+            for j in np.concatenate([at for _, at in _plausible([row], left)]).tolist() if left else ():
+                x, y = find(left[j]["comp"]), find(comp)
+                if x != y and _similar(sets[j], own):
                     parent[max(x, y)] = min(x, y)
-                    links.append((left[i]["comp"], right[j]["comp"]))
+                    links.append((left[j]["comp"], comp))
         if links:
             yield pa.record_batch([pa.array(c, pa.int64()) for c in zip(*links, strict=True)], names=["ca", "cb"])
 
@@ -428,8 +449,9 @@ def _rest(own: DataFrame, registers: DataFrame, sets: DataFrame) -> DataFrame:
     every = side(outs, F.sequence(F.col("block"), blocks(F.col("outs")) - 1), "oo", 0).unionByName(side(outs, F.sequence(F.lit(0), F.col("block")), "oo", 1))
     every = every.unionByName(side(outs, span(F.col("ins")), "oi", 0)).unionByName(side(ins, span(F.col("outs")), "oi", 1))
     held = registers.select(F.col("doc_id").alias("rep"), F.col("held").alias("registers"))
+    sizes = sets.select(F.col("doc_id").alias("rep"), F.octet_length("held").alias("bytes"))
     fields = ["task", "side", *base, "registers"]
     sent = lambda rows, *more: rows.select(*fields, *more).repartition("task").sortWithinPartitions("task", "side")
-    found = materialize(sent(every.join(held, "rep")).mapInArrow(_survivors, "task long, side int, band long, rep long, comp long"))
+    found = materialize(sent(every.join(materialize(held.join(sizes, "rep")), "rep"), "bytes").mapInArrow(_survivors, "task long, side int, band long, rep long, comp long"))
     whole = found.join(held, "rep").join(sets.withColumnRenamed("doc_id", "rep"), "rep")
     return sent(whole, "held").mapInArrow(_verify_blocks, "ca long, cb long")

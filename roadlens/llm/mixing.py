@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from roadlens.llm.bounded import bound_batches
-from roadlens.llm.ranking import salt_digits
+from roadlens.llm.ranking import rank_in_groups, salt_digits
 from roadlens.session import materialize
 
 #: Weights given to the sources in code-point order, repeating.
@@ -96,23 +96,17 @@ def mix_sources(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, ceiling:
     rows count each; an empty table gives no rows. Other columns are ignored.
     """
     sized = materialize(
-        sized_documents(docs).withColumn("digest", F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
+        sized_documents(docs).withColumn("digest", F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))).withColumn("row", F.monotonically_increasing_id())
     )
     per_size = sized.groupBy("source", "size").agg(F.count(F.lit(1)).alias("n"))
     sources = per_size.groupBy("source").agg(F.sum(F.col("n") * F.col("size")).alias("source_size"))
     targets = source_targets(sources, weights, share, ceiling)
 
-    # Rank within source by (size, digest, doc_id): sizes, then digest prefixes within a size, then rows of a prefix.
-    digits = salt_digits(sized.count())
-    cells = sized.groupBy("source", "size", F.substring("digest", 1, digits).alias("cell")).agg(F.count(F.lit(1)).alias("n"))
-    upto = lambda w: F.coalesce(F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    size_starts = per_size.select(F.col("source").alias("s2"), F.col("size").alias("z2"), upto(Window.partitionBy("source").orderBy("size")).alias("size_start"))
-    cell_starts = cells.select("source", "size", "cell", upto(Window.partitionBy("source", "size").orderBy("cell")).alias("cell_start"))
-    starts = cell_starts.join(size_starts, F.col("source").eqNullSafe(F.col("s2")) & (F.col("size") == F.col("z2")))
-    starts = starts.select(F.col("source").alias("s3"), F.col("size").alias("z3"), F.col("cell").alias("c3"), (F.col("size_start") + F.col("cell_start")).alias("start"))
-    own = Window.partitionBy("source", "size", "cell").orderBy("digest", F.col("doc_id").asc_nulls_last())
-    ranked = sized.withColumn("cell", F.substring("digest", 1, digits)).withColumn("rn", F.row_number().over(own) - 1)
-    placed = ranked.join(starts, F.col("source").eqNullSafe(F.col("s3")) & (F.col("size") == F.col("z3")) & (F.col("cell") == F.col("c3")))
+    # Rank within source by (size, digest, doc_id): the rows of smaller sizes, and the rank within a size.
+    before = Window.partitionBy("source").orderBy("size").rowsBetween(Window.unboundedPreceding, -1)
+    starts = per_size.select(F.col("source").alias("s3"), F.col("size").alias("z3"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    ranked = rank_in_groups(sized, ["source", "size"], "digest", ["doc_id"], "rn", salt_digits(sized.count()), "row")
+    placed = ranked.join(starts, F.col("source").eqNullSafe(F.col("s3")) & (F.col("size") == F.col("z3")))
     offset = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("source"), F.lit("")))), 1, 8), 16, 10).cast("long") / F.lit(float(1 << 32))
     per_source = targets.select(
         F.col("source").alias("s4"), "source_size", "target", F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0)).alias("rate"), offset.alias("offset")

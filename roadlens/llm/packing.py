@@ -151,7 +151,7 @@ def pack(pieces: DataFrame, seq_len: int = SEQUENCE, step: int = STEP) -> DataFr
     room = seq_len // step  # rounding lengths up to steps keeps every planned sequence within seq_len
     # Pieces of a document are ranked side by side; documents without an id, or that share one, are told apart by all their ids.
     digest = F.md5(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col("doc_crc32").cast("string")))
-    pieces = materialize(pieces.withColumn("class", F.ceil(F.col("length") / step).cast("int")).withColumn("digest", digest).drop("doc_crc32"))
+    pieces = materialize(pieces.withColumn("class", F.ceil(F.col("length") / step).cast("int")).withColumn("digest", digest).withColumn("row", F.monotonically_increasing_id()).drop("doc_crc32"))
     counts = {r["class"]: r["n"] for r in pieces.groupBy("class").agg(F.count(F.lit(1)).alias("n")).collect()}  # at most `room` rows
     demand = np.zeros(room, dtype=np.int64)
     for k, n in counts.items():
@@ -181,7 +181,7 @@ def pack(pieces: DataFrame, seq_len: int = SEQUENCE, step: int = STEP) -> DataFr
                 place[at] = row[:, 3] + (ranks[at] - row[:, 0]) % row[:, 1]
             yield f.drop(columns=["class", "rank"]).assign(sequence_id=seq, place=place)
 
-    ranked = rank_in_groups(pieces, ["class"], "digest", ["doc_id", "start", "ids_crc32"], "rank", salt_digits(int(demand.sum())))
+    ranked = rank_in_groups(pieces, ["class"], "digest", ["doc_id", "start", "ids_crc32"], "rank", salt_digits(int(demand.sum())), "row")
     fields = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
     dealt = ranked.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "class", "rank").mapInPandas(deal, f"{fields}, sequence_id long, place long")
     earlier = Window.partitionBy("sequence_id").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)

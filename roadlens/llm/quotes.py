@@ -59,9 +59,14 @@ def messages(conversations: DataFrame) -> DataFrame:
     return slim.withColumn("key", F.coalesce(F.col("conv_id").cast("string"), F.lit("null")))
 
 
+def _id() -> Column:
+    """What tells the messages of a turn apart; a null role isn't an empty one."""
+    return F.md5(F.concat_ws("\u0001", F.coalesce(F.concat(F.lit("r"), "role"), F.lit("n")), "text"))
+
+
 def quotations(msgs: DataFrame) -> DataFrame:
-    """One row per quoted passage: key, turn, passage, level, passage_hash, n_lines, original_turn (null if not found)."""
-    quoted = msgs.where(F.col("text").rlike(r"(?m)^[ \t]*>")).withColumn("id", F.md5(F.concat_ws("\u0001", F.coalesce("role", F.lit("")), "text")))
+    """One row per quoted passage: key, turn, id (of the message), passage, level, passage_hash, n_lines, original_turn (null if not found)."""
+    quoted = msgs.where(F.col("text").rlike(r"(?m)^[ \t]*>")).withColumn("id", _id())
     each = quoted.select("key", "turn", "id", F.posexplode(lines_of(F.col("text"))).alias("nth", "line")).select("key", "turn", "id", "nth", level(F.col("line")).alias("level"), bare(F.col("line")).alias("line"))
     w = Window.partitionBy("key", "turn", "id").orderBy("nth")  # the lines of one message
     runs = each.withColumn("new", (F.col("level") != F.coalesce(F.lag("level").over(w), F.lit(-1))).cast("int")).withColumn("passage", F.sum("new").over(w)).where("level > 0")
@@ -79,7 +84,7 @@ def quotations(msgs: DataFrame) -> DataFrame:
     votes = units.join(first, ["key", "hash"]).where("original_turn < turn").groupBy("key", "turn", "id", "passage", "original_turn").agg(F.sum("weight").alias("weight"))
     best = votes.groupBy("key", "turn", "id", "passage").agg(F.max(F.struct("weight", "original_turn")).alias("b"))
     return whole.join(best, ["key", "turn", "id", "passage"], "left").select(
-        "key", "turn", "passage", "level", F.md5(normalised(F.col("body"))).alias("passage_hash"), "n_lines", F.col("b.original_turn").alias("original_turn"), F.col("b.weight").alias("weight")
+        "key", "turn", "id", "passage", "level", F.md5(normalised(F.col("body"))).alias("passage_hash"), "n_lines", F.col("b.original_turn").alias("original_turn"), F.col("b.weight").alias("weight")
     )
 
 
@@ -108,17 +113,18 @@ def link_messages(conversations: DataFrame) -> DataFrame:
     """One row per distinct message: conv_id, turn, role, content, parent_turn, depth, n_quotes, n_linked, copies.
 
     Null text has no content; a null conv_id is one conversation; messages of a null
-    turn have neither parent nor depth; several messages of one turn share its
-    parent. Repeated rows are one message, counted in copies. An empty table gives no
+    turn have neither parent nor depth, and no quotes are counted; several messages of
+    one turn share its parent, each with quotes of its own. Repeated rows are one message, counted in copies. An empty table gives no
     rows; other columns are ignored.
     """
     msgs = materialize(messages(conversations))
     found = materialize(quotations(msgs))
     chain = replies(msgs, found)
-    quotes = found.groupBy("key", "turn").agg(F.count(F.lit(1)).alias("n_quotes"), F.count("original_turn").alias("n_linked"))
+    quotes = found.groupBy("key", "turn", "id").agg(F.count(F.lit(1)).alias("n_quotes"), F.count("original_turn").alias("n_linked"))
     return (
-        msgs.join(chain, ["key", "turn"], "left")
-        .join(quotes, ["key", "turn"], "left")
+        msgs.withColumn("id", _id())
+        .join(chain, ["key", "turn"], "left")
+        .join(quotes, ["key", "turn", "id"], "left")
         .select("key", "conv_id", "turn", "role", unquoted(F.col("text")).alias("content"), F.col("parent").alias("parent_turn"), "depth", F.coalesce("n_quotes", F.lit(0)).alias("n_quotes"), F.coalesce("n_linked", F.lit(0)).alias("n_linked"), "copies")
     )
 

@@ -51,7 +51,7 @@ def shard_by_size(
     """
     spark = docs.sparkSession
     # Rows without an id, or that share one, are told apart by their text's key: they have no common digest.
-    slim = materialize(text_sizes(docs, id_col, text_col).withColumn("digest", F.md5(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col("key").cast("string")))))
+    slim = materialize(text_sizes(docs, id_col, text_col).withColumn("digest", F.md5(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col("key").cast("string")))).withColumn("row", F.monotonically_increasing_id()))
     total, n_rows = slim.agg(F.sum("size"), F.count(F.lit(1))).first()
     if not n_rows:
         return slim.select("doc_id", "size", "text_crc32", F.lit(0).alias("shard"), F.lit(0).cast("long").alias("slot"))
@@ -99,7 +99,7 @@ def shard_by_size(
         heapq.heappush(load, (b + r["bytes"], s))
     dealt = spark.createDataFrame([(a, b, s) for (a, b), s in cells.items()], "range int, part int, shard int")
     placed = celled.join(F.broadcast(dealt), ["range", "part"])
-    ranked = rank_in_groups(placed.select("doc_id", "size", "text_crc32", "shard", "digest"), ["shard"], "digest", ["doc_id", "text_crc32"], "slot", salt_digits(n_rows))
+    ranked = rank_in_groups(placed.select("doc_id", "size", "text_crc32", "shard", "digest", "row"), ["shard"], "digest", ["doc_id", "text_crc32"], "slot", salt_digits(n_rows), "row")
     return ranked.select("doc_id", "size", "text_crc32", "shard", "slot")
 
 

@@ -33,7 +33,7 @@ def _norm(x: str) -> str:
 
 OP3 = rf"""
 WITH RECURSIVE m AS (
-  SELECT conv_id, turn, role, text, coalesce(conv_id::varchar, 'null') AS key, md5(concat_ws(chr(1), coalesce(role, ''), text)) AS id FROM conversations GROUP BY ALL
+  SELECT conv_id, turn, role, text, coalesce(conv_id::varchar, 'null') AS key, md5(concat_ws(chr(1), coalesce('r' || role, 'n'), text)) AS id FROM conversations GROUP BY ALL
 ), a AS (
   SELECT key, turn, id, regexp_split_to_array(coalesce(text, ''), '\r\n|\r|\n') AS ls FROM m
 ), l AS (
@@ -62,7 +62,7 @@ WITH RECURSIVE m AS (
 ), best AS (
   SELECT * FROM votes QUALIFY row_number() OVER (PARTITION BY key, turn, id, passage ORDER BY weight DESC, original DESC) = 1
 ), found AS (
-  SELECT w.key, w.turn, w.level, b.original, b.weight FROM w LEFT JOIN best b ON w.key = b.key AND w.turn = b.turn AND w.id = b.id AND w.passage = b.passage
+  SELECT w.key, w.turn, w.id, w.level, b.original, b.weight FROM w LEFT JOIN best b ON w.key = b.key AND w.turn = b.turn AND w.id = b.id AND w.passage = b.passage
 ), answered AS (
   SELECT key, turn, original FROM (SELECT key, turn, original, sum(weight) AS weight FROM found WHERE level = 1 AND original IS NOT NULL GROUP BY ALL)
   QUALIFY row_number() OVER (PARTITION BY key, turn ORDER BY weight DESC, original DESC) = 1
@@ -74,12 +74,12 @@ WITH RECURSIVE m AS (
   SELECT key, turn, 0::bigint FROM links WHERE parent IS NULL
   UNION ALL SELECT x.key, x.turn, d.depth + 1 FROM depths d JOIN links x ON x.key = d.key AND x.parent = d.turn
 ), quotes AS (
-  SELECT key, turn, count(*) AS n_quotes, count(original) AS n_linked FROM found GROUP BY ALL
+  SELECT key, turn, id, count(*) AS n_quotes, count(original) AS n_linked FROM found GROUP BY ALL
 ), every AS (
   SELECT m.conv_id, m.key, m.turn, coalesce(m.role, '') AS r, d.depth, coalesce(floor(d.depth / 512), -1)::bigint AS part, coalesce(n_quotes, 0) AS n_quotes, coalesce(n_linked, 0) AS n_linked,
     '<|' || coalesce(m.role, 'unknown') || '|>' || chr(10) || c.content || '<|end|>' || chr(10) AS line
   FROM m JOIN c ON c.key = m.key AND c.turn IS NOT DISTINCT FROM m.turn AND c.id = m.id
-  LEFT JOIN depths d ON d.key = m.key AND d.turn = m.turn LEFT JOIN quotes q ON q.key = m.key AND q.turn = m.turn
+  LEFT JOIN depths d ON d.key = m.key AND d.turn = m.turn LEFT JOIN quotes q ON q.key = m.key AND q.turn = m.turn AND q.id = m.id
 ), cut AS (
   SELECT *, CASE WHEN count(*) OVER (PARTITION BY key, part) > 2048
     THEN (row_number() OVER (PARTITION BY key, part ORDER BY depth NULLS FIRST, turn NULLS FIRST, r, line) - 1) // 512 ELSE 0 END AS piece FROM every

@@ -18,10 +18,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from roadlens.llm.bounded import bound_batches, stretches
 from roadlens.session import materialize
 
 #: Tokens of a block, and blocks of a run (the unit of the scan's first level).
 BLOCK_TOKENS, RUN_BLOCKS = 1 << 20, 4096
+#: Bytes of a file up to which Spark's reader gives it as a row; longer ones are read by ranges of about so many.
+WHOLE_FILE = 64 << 20
 
 
 def flat_blocks(docs: DataFrame, ranks_path: str, eod_id: int, dtype: str = "<u2", block_tokens: int = BLOCK_TOKENS) -> DataFrame:
@@ -45,28 +48,41 @@ def flat_blocks(docs: DataFrame, ranks_path: str, eod_id: int, dtype: str = "<u2
         def row(tokens: np.ndarray, block: int, put: list) -> pa.RecordBatch:
             return pa.record_batch([pa.array([name]), pa.array([block], pa.int64()), pa.array([tokens.tobytes()], pa.binary()), pa.array([put], pa.list_(pa.int64()))], names=["file", "block", "tokens", "doc_ids"])
 
-        for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                ids = np.array([*coder.encode_ordinary(text or ""), eod_id], dtype=dtype)
-                held.append(ids)
-                size += len(ids)
-                put.append(doc_id)
-                if size >= block_tokens:
-                    flat = np.concatenate(held)
-                    while len(flat) >= block_tokens:
-                        yield row(flat[:block_tokens], block, put)
-                        flat, block, put = flat[block_tokens:], block + 1, []
-                    held, size = [flat], len(flat)
+        def documents() -> Iterator[tuple[int | None, str | None]]:
+            for batch in batches:
+                for b, texts in stretches(batch.column(1)):
+                    yield from zip(batch.column(0).slice(b, len(texts)).to_pylist(), texts, strict=True)
+
+        for doc_id, text in documents():
+            ids = np.array([*coder.encode_ordinary(text or ""), eod_id], dtype=dtype)
+            held.append(ids)
+            size += len(ids)
+            put.append(doc_id)
+            if size >= block_tokens:
+                flat = np.concatenate(held)
+                while len(flat) >= block_tokens:
+                    yield row(flat[:block_tokens], block, put)
+                    flat, block, put = flat[block_tokens:], block + 1, []
+                held, size = [flat], len(flat)
         if size or put:
             yield row(np.concatenate(held), block, put)
 
-    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    bound_batches(docs.sparkSession)
+    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return slim.mapInArrow(encode, "file string, block long, tokens binary, doc_ids array<long>")
 
 
-def read_flat_files(spark: SparkSession, path: str, dtype: str = "<u2", block_tokens: int = BLOCK_TOKENS) -> DataFrame:
-    """(file, block, tokens) of flat token files on any store that Spark reads; a file may hold up to 2 GB."""
+def read_flat_files(spark: SparkSession, path: str, dtype: str = "<u2", block_tokens: int = BLOCK_TOKENS, whole_file: int = WHOLE_FILE) -> DataFrame:
+    """(file, block, tokens) of the flat token files of a folder, or of one file.
+
+    Files of up to ``whole_file`` bytes come from Spark's binary reader, in any store that
+    it reads. Longer ones are cut in ranges of whole blocks, a row each, which tasks read
+    by themselves, however long a file is, from any store that pyarrow opens by its URI.
+    """
+    bound_batches(spark)
     width = np.dtype(dtype).itemsize * block_tokens
+    span = max(1, whole_file // width) * width
+    files = spark.read.format("binaryFile").load(path)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -75,7 +91,22 @@ def read_flat_files(spark: SparkSession, path: str, dtype: str = "<u2", block_to
                 for k in range(0, len(whole), width):
                     yield pa.record_batch([pa.array([name]), pa.array([k // width], pa.int64()), pa.array([bytes(whole[k : k + width])], pa.binary())], names=["file", "block", "tokens"])
 
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(cut, "file string, block long, tokens binary")
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+
+        for batch in batches:
+            for name, begin, end in zip(*(batch.column(c).to_pylist() for c in range(3)), strict=True):
+                store, where = fs.FileSystem.from_uri(name)
+                with store.open_input_file(where) as f:
+                    for k in range(begin, end, width):
+                        yield pa.record_batch([pa.array([name]), pa.array([k // width], pa.int64()), pa.array([f.read_at(min(width, end - k), k)], pa.binary())], names=["file", "block", "tokens"])
+
+    kind = "file string, block long, tokens binary"
+    small = files.where(F.col("length") <= whole_file).select("path", "content").mapInArrow(cut, kind)
+    begins = F.explode(F.sequence(F.lit(0).cast("long"), F.col("length") - 1, F.lit(span).cast("long")))
+    ranges = files.where(F.col("length") > whole_file).select(F.regexp_replace("path", "^file:/+", "file:///").alias("path"), begins.alias("begin"), "length")
+    ranges = ranges.select("path", "begin", F.least(F.col("begin") + span, "length").alias("end")).repartition("path", "begin")
+    return small.unionByName(ranges.mapInArrow(read, kind))
 
 
 def _summaries(eod_id: int, dtype: str):

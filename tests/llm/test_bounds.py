@@ -8,7 +8,7 @@ import zlib
 import numpy as np
 from pyspark.sql import functions as F
 
-from roadlens.llm import bounded, exact_dedup, html_blocks, langid, minhash, packing, queries, sharding, wordtok
+from roadlens.llm import bounded, exact_dedup, html_blocks, langid, minhash, packing, queries, ranking, sharding, token_scan, wordtok
 from tests.llm.conftest import prose, rows_of
 from tests.llm.handmade import PAGES
 
@@ -149,3 +149,74 @@ def test_handmade_pages_without_an_article_element():
         kept = model.label([own])[0]
         right, n = right + sum(bool(k) == (t in want) for (t, _, _), k in zip(own, kept, strict=True)), n + len(own)
     assert right / n >= 0.95
+
+
+# Hot digests, repeated rows, odd names
+
+
+def test_equal_digests_are_numbered_by_counts(spark):
+    """One digest of a third of the rows, others of a few: ranks are gapless, in the order of digests, and no piece is large."""
+    rows = [(i, "g" if i % 5 else None, "aa00" if i % 3 == 0 else f"{'aa' if i % 2 else 'b'}{i % 40:02d}", i % 4 or None) for i in range(3000)]
+    df = spark.createDataFrame(rows, "row long, g string, d string, t int")
+    want = None
+    for cell in (10, 20_000):
+        for digits in (1, 2):
+            got = [(r["g"], r["rank"], r["d"]) for r in ranking.rank_in_groups(df, ["g"], "d", ["t"], "rank", digits, "row", cell_rows=cell).collect()]
+            assert len(got) == 3000
+            for g in ("g", None):
+                mine = sorted((k, d) for h, k, d in got if h == g)
+                assert [k for k, _ in mine] == list(range(len(mine))) and [d for _, d in mine] == sorted(d for _, d in mine)
+            want = want or sorted(got, key=repr)
+            assert sorted(got, key=repr) == want
+
+
+def test_the_fit_is_bounded_whatever_the_ids_and_languages(spark):
+    prose_of = F.concat_ws(" ", *[F.md5(F.concat(F.col("id").cast("string"), F.lit(str(k)))) for k in range(3)])
+    null_ids = spark.range(20_000).select(F.lit(None).cast("long").alias("doc_id"), prose_of.alias("text"), F.when(F.col("id") % 2 == 0, "en").otherwise("de").alias("lang"))
+    assert langid.fit_sample(null_ids, fit_texts=300).groupBy("lang").count().collect() == langid.fit_sample(null_ids.withColumn("doc_id", F.lit(7).cast("long")), fit_texts=300).groupBy("lang").count().collect()
+    assert [r["count"] for r in langid.fit_sample(null_ids, fit_texts=300).groupBy("lang").count().collect()] == [150, 150]
+    same = null_ids.withColumn("text", F.lit("one text over and over"))
+    assert langid.fit_sample(same).count() == 2 and langid.fit_model(same).languages == ["de", "en"]
+    many = spark.range(20_000).select("id", prose_of.alias("text"), F.concat(F.lit("l"), F.col("id") % 5000).alias("lang"))
+    assert langid.fit_sample(many, most_languages=100).groupBy("lang").count().count() == 100
+    most = max(langid.FIT_TEXTS, langid.MOST_TEXTS, langid.MOST_LANGUAGES)
+    assert langid.fit_sample(many).count() <= most and langid.fit_sample(many, fit_texts=10, most_languages=40).groupBy("lang").count().agg(F.max("count")).first()[0] <= langid.LEAST_TEXTS
+
+
+def test_chunks_have_a_greatest_size():
+    for text in (b"a" * 500_000, b"ab" * 300_000 + bytes(range(256)) * 40):
+        cut = exact_dedup.chunks(text)
+        assert b"".join(cut) == text and max(map(len, cut[:-1])) <= exact_dedup.MOST_CHUNK and len(cut[-1]) <= exact_dedup.MOST_CHUNK + exact_dedup.LEAST_CHUNK
+
+
+def test_texts_without_cut_points_and_the_least_id(spark):
+    rows = [(-(1 << 63), "z" * 300_000), (5, "z" * 300_000), (6, "z" * 300_001), (None, "z z"), (-(1 << 63), "zz")]
+    got = {(r["doc_id"], r["keep_id"], r["group_size"], r["kept"]) for r in exact_dedup.exact_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {(-(1 << 63), -(1 << 63), 2, True), (5, -(1 << 63), 2, False), (6, 6, 1, True), (None, None, 2, True), (-(1 << 63), None, 2, False)}
+
+
+def test_long_token_files_are_read_by_ranges(spark, tmp_path):
+    rng = np.random.default_rng(2)
+    ids = rng.integers(0, 9, 5000).astype("<u2")
+    ids.tofile(tmp_path / "long.bin")
+    np.array([1, 0, 2], "<u2").tofile(tmp_path / "short.bin")
+    whole = token_scan.read_flat_files(spark, str(tmp_path), block_tokens=64)
+    parts = token_scan.read_flat_files(spark, str(tmp_path), block_tokens=64, whole_file=1000)
+    blocks = lambda df: sorted((r["file"].rsplit("/", 1)[1], r["block"], bytes(r["tokens"])) for r in df.collect())
+    assert blocks(parts) == blocks(whole) and parts.count() == -(-5000 // 64) + 1
+    count = lambda df: sorted((r["file"].rsplit("/", 1)[1], r["ordinal"], r["n_tokens"]) for r in token_scan.count_tokens(df, 0).collect())
+    assert count(parts) == count(whole)
+
+
+def test_form_fields_are_no_text():
+    page = "<html><body><article><p>First words of the story.</p><textarea name=c>Write your comment here</textarea><select><option>Pick one</option></select><p>Last words.</p></article><textarea>open"
+    assert [t for t, _, _ in html_blocks.blocks(page)] == ["First words of the story.", "Last words.", "open"]
+
+
+def test_parts_of_a_block_are_bounded_by_bytes():
+    rows = [{"rep": i, "bytes": 100 if i % 10 else 5000} for i in range(60)]
+    parts = minhash._parts(rows, 8, 1000)
+    for p in set(parts):
+        own = [r for r, q in zip(rows, parts) if q == p]
+        assert len(own) <= 8 and (sum(r["bytes"] for r in own) <= 1000 or len(own) == 1)
+    assert minhash._parts(rows, 1000, None) == [0] * 60

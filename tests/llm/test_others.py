@@ -188,6 +188,20 @@ def test_quotes_are_linked_and_removed(spark):
     assert quotes.format_chats(df.limit(0)).count() == 0
 
 
+def test_messages_of_one_turn_count_their_own_quotes(spark):
+    import duckdb
+    import pandas as pd
+
+    rows = [(1, 0, "user", "first\nsecond\nthird"), (1, 1, "user", "> first\nyes"), (1, 1, "assistant", "> second\n>> nowhere\nno"), (1, 1, None, "> third"), (1, 1, "", "> third"), (1, 1, "user", "plain")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = {(r["turn"], r["role"], r["content"]): (r["n_quotes"], r["n_linked"]) for r in quotes.link_messages(df).collect()}
+    assert got == {(0, "user", "first\nsecond\nthird"): (0, 0), (1, "user", "yes"): (1, 1), (1, "assistant", "no"): (2, 1), (1, None, ""): (1, 1), (1, "", ""): (1, 1), (1, "user", "plain"): (0, 0)}
+    assert [(r["n_messages"], r["n_quotes"], r["n_linked"]) for r in quotes.format_chats(df).collect()] == [(6, 5, 4)]
+    con = duckdb.connect()
+    con.register("conversations", pd.DataFrame(rows, columns=["conv_id", "turn", "role", "text"]))
+    same_rows(quotes.format_chats(df), con.sql(sql.OP3))
+
+
 def test_quotes_equal_sql(spark):
     import duckdb
     import pandas as pd

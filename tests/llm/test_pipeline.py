@@ -79,3 +79,14 @@ def test_rows_without_an_id_of_their_own_have_their_own_decisions(spark, sf):
             assert set(got) <= set(want) and max(got.count(x) for x in got) <= 2
         else:
             assert got == (lettered if name == "language_id" else want), name
+
+
+def test_columns_of_any_name_pass_through(spark, sf):
+    rows = [(i, f"document {i % 5} tells of thing{i % 5} and place{i % 5}", None, "a", 3, {"x": i}, i, f"`{i}`", i, i) for i in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, `meta.n` map<string,int>, `a b` int, `quo``te` string, _row int, _LANG int")
+    names, n = docs.columns, []
+    for name, stage in corpus_pipeline.STAGES:
+        docs = materialize(stage(spark, docs, sf))
+        n.append(docs.count())
+        assert name == "packing" or docs.columns == names, name
+    assert n[:2] == [12, 5] and n[-1] >= 1
