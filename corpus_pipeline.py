@@ -13,6 +13,9 @@ can't rule out.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,6 +29,22 @@ from roadlens.llm.queries import tokenizer_path
 from roadlens.session import materialize, table
 
 
+#: The columns of documents that stages read.
+KNOWN = ("doc_id", "text", "lang", "source", "n_chars")
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def _any_names(stage: Stage) -> Stage:
+    """The stage with other columns renamed by position while it works, so that names with dots, quotes or in another case are nothing to it."""
+
+    @wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        names = docs.columns
+        return stage(spark, docs.toDF(*[c if c in KNOWN else f"extra_{i}" for i, c in enumerate(names)]), sf_dir).toDF(*names)
+
+    return run
+
+
 def _free(docs: DataFrame, name: str) -> str:
     """``name``, with as many marks added as it takes to be no column of ``docs``."""
     while name.lower() in {c.lower() for c in docs.columns}:
@@ -84,11 +103,11 @@ def _keep(docs: DataFrame, groups) -> DataFrame:
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops what has no letter; the other documents stay, whatever language they are in.
 
-    A null lang is filled with the prediction. Null and empty texts have no letter;
+    A null lang is filled with the prediction, if any language could be learned. Null and empty texts have no letter;
     repeated rows are predicted alike.
     """
     found = _free(docs, "_lang")
-    named = with_language(docs, found).where(F.col(found) != UNKNOWN)
+    named = with_language(docs, found).where(~F.col(found).eqNullSafe(UNKNOWN))
     return named.select(*[F.coalesce(F.col(c), F.col(found)).alias(c) if c == "lang" else F.col(c) for c in docs.columns])
 
 
@@ -126,7 +145,7 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return pack_documents(docs, tokenizer_path("word_bpe_49k.json"))
 
 
-STAGES = [("language_id", language_id), ("exact_dedup", exact_dedup), ("near_dedup", near_dedup), ("mixing", mixing), ("packing", packing)]
+STAGES = [("language_id", _any_names(language_id)), ("exact_dedup", _any_names(exact_dedup)), ("near_dedup", _any_names(near_dedup)), ("mixing", _any_names(mixing)), ("packing", packing)]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
