@@ -34,6 +34,23 @@ def _equal_bands(x: Column, y: Column, own: list[tuple[int, int]]) -> Column:
     return out
 
 
+def band_keys(items: DataFrame, threshold: int, together: int) -> DataFrame:
+    """``items`` once for each choice of ``together`` of threshold + together bands: bands (bits of the choice), value, below (bits of the bands that would make an earlier choice)."""
+    own = bands(threshold + together)
+    keys = []
+    for chosen in combinations(range(len(own)), together):
+        bits = sum(1 << i for i in chosen)
+        below = ((1 << chosen[-1]) - 1) & ~bits
+        value = F.col("fp").bitwiseAND(F.lit(sum(_mask(*own[i]) for i in chosen)))
+        keys.append(F.struct(F.lit(bits).alias("bands"), value.alias("value"), F.lit(below).alias("below")))
+    return items.select("*", F.explode(F.array(*keys)).alias("k")).select(*items.columns, "k.bands", "k.value", "k.below")
+
+
+def first_choice(a: Column, b: Column, below: Column, threshold: int, together: int) -> Column:
+    """Whether no earlier choice of bands is common to both fingerprints: each pair is told once."""
+    return _equal_bands(a, b, bands(threshold + together)).bitwiseAND(below) == 0
+
+
 def near_prints(distinct: DataFrame, threshold: int, together: int | None = None) -> DataFrame:
     """(fa, fb, distance) with fa < fb of distinct fingerprints ``fp`` within the threshold.
 
@@ -44,18 +61,11 @@ def near_prints(distinct: DataFrame, threshold: int, together: int | None = None
     common bands alone.
     """
     k = together or 1 + sum(distinct.count() > most for most in KEYED_UP_TO)
-    own = bands(threshold + k)
-    keys = []
-    for chosen in combinations(range(len(own)), k):
-        bits = sum(1 << i for i in chosen)
-        below = ((1 << chosen[-1]) - 1) & ~bits  # bands that would make an earlier choice
-        value = F.col("fp").bitwiseAND(F.lit(sum(_mask(*own[i]) for i in chosen)))
-        keys.append(F.struct(F.lit(bits).alias("bands"), value.alias("value"), F.lit(below).alias("below")))
-    keyed = distinct.select("fp", F.explode(F.array(*keys)).alias("k")).select("fp", "k.bands", "k.value", "k.below")
+    keyed = band_keys(distinct.select("fp"), threshold, k)
     left, right = keyed.withColumnRenamed("fp", "fa"), keyed.withColumnRenamed("fp", "fb").drop("below")
     a, b = F.col("fa"), F.col("fb")
     pairs = left.join(right, ["bands", "value"]).where((a < b) & (hamming(a, b) <= threshold))
-    return pairs.where(_equal_bands(a, b, own).bitwiseAND(F.col("below")) == 0).select("fa", "fb", hamming(a, b).alias("distance"))
+    return pairs.where(first_choice(a, b, F.col("below"), threshold, k)).select("fa", "fb", hamming(a, b).alias("distance"))
 
 
 def near_pairs(items: DataFrame, threshold: int = 6, across: str | None = None, together: int | None = None) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,9 +10,10 @@ from pyspark.sql import functions as F
 
 from roadlens.functions.severity import SeverityScorer, score_frames
 from roadlens.functions.text import sequence_of
-from roadlens.operators import augment, dedupe, detect, evaluate, negatives, sampling, similarity, split, stats, validate
+from roadlens.operators import augment, chains, dedupe, detect, evaluate, forest, near_index, negatives, sampling, similarity, split, stats, validate
 from roadlens.plans import fixtures as fx
-from roadlens.sources import voc
+from roadlens.session import materialize, scratch_dir
+from roadlens.sources import file_tree, headers, voc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -622,3 +624,93 @@ FROM fx_images, range(3) t(v)"""
 )
 def augmentation_plan(spark, sf):
     return augment.plan(fx.images(spark, sf).select("file_name"))
+
+
+# Headers, layouts -----------------------------------------------------------------------------------------------------
+
+
+@query(
+    f"""WITH {fx.IMAGES_SQL}, {fx.PICTURES_SQL} SELECT image_id, CASE WHEN ext = '.png' THEN 'png' ELSE 'jpeg' END AS format, CASE WHEN readable THEN width ELSE -1 END::int AS width,
+CASE WHEN readable THEN height ELSE -1 END::int AS height, orientation::int AS orientation, readable, CASE WHEN NOT readable THEN -1 WHEN orientation >= 5 THEN height ELSE width END::int AS shown_width,
+CASE WHEN NOT readable THEN -1 WHEN orientation >= 5 THEN width ELSE height END::int AS shown_height FROM fx_pictures"""
+)
+def image_headers(spark, sf):
+    """Size and EXIF orientation of every image by its header alone."""
+    return headers.shown_size(headers.probe_contents(fx.picture_files(spark, sf), "image_id")).drop("bytes_read")
+
+
+@query(f"WITH {fx.IMAGES_SQL}, {fx.PICTURES_SQL} SELECT split, file_name AS file FROM fx_pictures WHERE NOT readable")
+def unreadable_images(spark, sf):
+    files = fx.picture_files(spark, sf)
+    return validate.unreadable_images(files.select("image_id", "split", "file_name").join(headers.probe_contents(files, "image_id"), "image_id")).select("split", "file")
+
+
+LAYOUT_SQL = f"""{fx.IMAGES_SQL}, {fx.LABELS_SQL}, i AS (SELECT split, seq_id || '__' || file_name AS target_name, seq_id || '__' || stem AS t, octet_length(body::blob) AS n FROM fx_images JOIN fx_labels USING (split, stem)),
+w AS (SELECT 'images/' || split || '/' || target_name AS target, NULL::bigint AS bytes FROM i UNION ALL SELECT 'labels/' || split || '/' || t || '.txt', n + (n > 0)::int FROM i)"""
+
+
+@query(f"WITH {LAYOUT_SQL} SELECT target, bytes FROM w")
+def layout_plan(spark, sf):
+    """The files that writing the labelled images as a layout would give, with the bytes of the label texts."""
+    own = fx.images(spark, sf).join(fx.labels(spark, sf), ["split", "stem"])
+    text = F.col("body")
+    items = own.select("split", F.concat("seq_id", F.lit("__"), "file_name").alias("target_name"), F.lit(b"").alias("content"), F.when(text == "", F.array().cast("array<string>")).otherwise(F.split(text, "\n")).alias("lines"))
+    files = file_tree.layout_files(items)
+    return files.select("target", F.when(F.col("target").startswith("labels/"), F.octet_length("content").cast("long")).alias("bytes"))
+
+
+# Chains, and clusters and pairs by batches ---------------------------------------------------------------------------
+
+#: A pair is a link of the forest where no path of smaller pairs (by distance, then ids) joins its ends.
+FOREST_SQL = (
+    CLUSTERS_SQL
+    + """, o AS (SELECT *, row_number() OVER (ORDER BY distance, id_a, id_b) AS nth FROM p),
+way(nth, id) AS (SELECT nth, id_a FROM o UNION SELECT way.nth, CASE WHEN o.id_a = way.id THEN o.id_b ELSE o.id_a END FROM way JOIN o ON o.nth < way.nth AND (o.id_a = way.id OR o.id_b = way.id)),
+link AS (SELECT cluster, id_a, id_b, distance FROM o JOIN m ON m.id = id_a WHERE (nth, id_b) NOT IN (SELECT (nth, id) FROM way))"""
+)
+
+
+@query(f"WITH RECURSIVE {FOREST_SQL} SELECT cluster, id_a, id_b, distance FROM link")
+def chain_links(spark, sf):
+    """The links that hold every cluster of near duplicates together: the minimum spanning forest of the pairs."""
+    prints = fx.fingerprinted(spark, sf)
+    return chains.cluster_links(chains.spanning_forest(similarity.near_pairs(prints)), dedupe.clusters(prints))
+
+
+CUT = 5
+
+
+@query(
+    f"""WITH RECURSIVE {FOREST_SQL}, c AS (SELECT id_a AS x, id_b AS y FROM link WHERE distance <= {CUT} UNION ALL SELECT id_b, id_a FROM link WHERE distance <= {CUT}),
+held(id, r) AS (SELECT id, id FROM fx_fp UNION SELECT held.id, c.y FROM held JOIN c ON c.x = held.r),
+q AS (SELECT cluster, piece, count(*) AS n FROM (SELECT id, min(r) AS piece FROM held GROUP BY id) JOIN m USING (id) GROUP BY ALL),
+z AS (SELECT cluster, sum(n)::bigint AS size, count(*) AS pieces, max(n) AS largest_piece FROM q GROUP BY cluster),
+t AS (SELECT cluster, count(*) AS links, max(distance) AS weakest, count(*) FILTER (WHERE distance > {CUT}) AS weak_links FROM link GROUP BY cluster)
+SELECT cluster, size, links, weakest, weak_links, pieces, largest_piece FROM z JOIN t USING (cluster)"""
+)
+def chain_inspection(spark, sf):
+    prints = fx.fingerprinted(spark, sf)
+    return chains.inspect_chains(chains.spanning_forest(similarity.near_pairs(prints)), dedupe.clusters(prints), CUT)
+
+
+@query(f"WITH RECURSIVE {CLUSTERS_SQL} SELECT id, cluster FROM m")
+def incremental_clusters(spark, sf):
+    """The clusters again, from a forest that meets the pairs in three batches."""
+    prints = fx.fingerprinted(spark, sf)
+    edges = materialize(similarity.near_edges(prints).withColumn("batch", F.pmod(F.xxhash64("id_a", "id_b"), F.lit(3))))
+    kept = forest.forest_of(prints, "id")
+    for k in range(3):
+        kept = forest.merged(kept, edges.where(F.col("batch") == k), "id_a", "id_b")
+    return kept.labels().select(F.col("node").alias("id"), F.col("component").alias("cluster"))
+
+
+@query(f"WITH {PAIRS_SQL} SELECT id_a, id_b, distance FROM p")
+def incremental_pairs(spark, sf):
+    """All near pairs again, found as two halves of the documents are put into a bucketed index one after the other."""
+    prints = fx.fingerprinted(spark, sf).select("id", "fp")
+    name = f"near_{uuid.uuid4().hex}"
+    index = near_index.NearIndex(spark, name, f"{scratch_dir(spark)}/roadlens/{spark.sparkContext.applicationId}/{name}", buckets=16).create()
+    halves = [prints.where(F.pmod(F.xxhash64("id"), F.lit(2)) == k) for k in range(2)]  # together the whole table
+    first, second = (index.ingest(h) for h in halves)
+    spark.sql(f"DROP TABLE {name}")
+    return first.unionByName(second)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadlens.functions.text import sequence_of, stem
+from roadlens.functions.text import sequence_of
 from roadlens.operators import negatives
 from roadlens.operators.sampling import seeded_fraction
 from roadlens.sources import voc, yolo
@@ -66,9 +66,8 @@ def mined_negatives(os_v1: DataFrame | None = None, ws_v1: DataFrame | None = No
 
 
 def read_texts(spark: SparkSession, root: str, suffix: str, column: str) -> DataFrame:
-    """(path, stem, column) of whole text files with a suffix below a folder."""
-    raw = spark.read.text(root, wholetext=True, recursiveFileLookup=True, pathGlobFilter=f"*{suffix}")
-    return raw.select(F.input_file_name().alias("path"), stem(F.input_file_name()).alias("stem"), F.col("value").alias(column))
+    """(path, stem, column) of whole text files with a suffix below a folder; an empty file is a label without a line."""
+    return yolo.read_texts(spark, root, suffix).select("path", "stem", F.col("body").alias(column))
 
 
 #: The folders of the three layouts.

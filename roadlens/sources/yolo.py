@@ -2,16 +2,55 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.datasource import DataSource
+
+from roadlens.functions.text import sequence_of, stripped_lines, tokens
+from roadlens.sources.folders import Files, FolderReader
+
+
+class LabelReader(FolderReader):
+    suffixes = (".txt",)
+
+    def read(self, partition: Files) -> Iterator[tuple]:
+        for path, length, f in self.opened_files(partition):
+            name = path.rpartition("/")[2]
+            yield path, partition.split, name[: name.rindex(".")] or name, f.read(length).decode("utf-8", "replace")
+
+
+class LabelTexts(DataSource):
+    """Label files, empty ones too, which Spark's own readers pass over: an empty label is a background, none is an error."""
 
-from roadlens.functions.text import sequence_of, stem, stripped_lines, tokens
+    @classmethod
+    def name(cls) -> str:
+        return "label_texts"
+
+    def schema(self) -> str:
+        return "path string, split string, stem string, body string"
+
+    def reader(self, schema) -> LabelReader:
+        reader = LabelReader(self.options["path"], flat="suffix" in self.options)
+        reader.suffixes = (self.options.get("suffix", ".txt"),)
+        return reader
+
+
+def read_texts(spark: SparkSession, root: str, suffix: str) -> DataFrame:
+    """(path, split, stem, body) of whole text files with a suffix anywhere below ``root``, empty ones too; split is empty."""
+    spark.dataSource.register(LabelTexts)
+    return spark.read.format("label_texts").option("suffix", suffix).load(root)
 
 
 def read_labels(spark: SparkSession, root: str) -> DataFrame:
-    """(path, split, stem, body) of root/labels/<split>/*.txt."""
-    raw = spark.read.text(root, wholetext=True, recursiveFileLookup=True, pathGlobFilter="*.txt").select(F.input_file_name().alias("path"), F.col("value").alias("body"))
-    return raw.select("path", F.regexp_extract("path", r"/labels/([^/]+)/", 1).alias("split"), stem(F.col("path")).alias("stem"), "body")
+    """(path, split, stem, body) of root/<split>/*.txt, ``root`` being the labels folder; filters on split are pushed down.
+
+    Empty files have an empty body. The folder is in a store that pyarrow opens by its URI.
+    """
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    spark.dataSource.register(LabelTexts)
+    return spark.read.format("label_texts").load(root)
 
 
 def boxes(labels: DataFrame) -> DataFrame:
