@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from roadlens.operators.components import connected_components
+from roadlens.operators.ranks import ranked
 from roadlens.operators.similarity import near_edges
 
 #: Which split's member a cluster keeps: the evaluation splits stay whole.
@@ -68,9 +69,8 @@ def lost_members(members: DataFrame, order: list | None = None) -> DataFrame:
 
 
 def keepers(members: DataFrame, order: list | None = None) -> DataFrame:
-    """Adds rank (1 keeps) within ``cluster``, as ``order`` says; a cluster is ranked in one task, ``kept_members`` needs none."""
-    order = order or usual_order()
-    return members.withColumn("rank", F.row_number().over(Window.partitionBy("cluster").orderBy(*order)))
+    """Adds rank (1 keeps) within ``cluster``, as ``order`` says; a large cluster is ranked range by range."""
+    return ranked(members, ["cluster"], order or usual_order())
 
 
 def merge_keepers(members: DataFrame) -> DataFrame:

@@ -14,8 +14,6 @@ from roadlens.functions.geometry import iou, letterbox, unletterbox
 
 #: The service's thresholds of confidence and overlap, and the side of the detector's square.
 CONFIDENCE, IOU, SIZE = 0.35, 0.45, 640
-#: Images whose output a worker holds before it is sent on.
-OUTPUTS = 16
 
 
 def confident(detections: DataFrame, threshold: float = CONFIDENCE) -> DataFrame:
@@ -87,11 +85,14 @@ def preprocess(square: np.ndarray) -> np.ndarray:
     return (square[..., ::-1].transpose(2, 0, 1)[None] / 255.0).astype(np.float32)
 
 
-def run_detector(images: DataFrame, load: Callable[[], Callable[[np.ndarray], np.ndarray]], size: int = SIZE, key: str = "path") -> DataFrame:
+def run_detector(images: DataFrame, load: Callable[[], Callable[[np.ndarray], np.ndarray]], size: int = SIZE, key: str = "path", conf: float | None = None, batch: int = 1) -> DataFrame:
     """(key, output, scale, pad_left, pad_top, width, height, elapsed_ms) of decodable images.
 
-    ``load`` runs once for each worker and returns the model: a function from a batch
-    of one to an array of [1, 5, anchors].
+    ``load`` runs once for each worker and returns the model: a function from [n, 3, size,
+    size] to [n, 5, anchors], n being ``batch`` at most; what is left of a worker's
+    images is a smaller batch. With ``conf`` only anchors that reach it leave the worker,
+    in their order: without, every image sends its whole tensor. elapsed_ms is an image's
+    share of its batch.
     """
     held: dict = {}
 
@@ -99,14 +100,18 @@ def run_detector(images: DataFrame, load: Callable[[], Callable[[np.ndarray], np
         if "model" not in held:
             held["model"] = load()
         for f in frames:
-            for k in range(0, len(f), OUTPUTS):
-                rows = []
-                for p, h, w, c, data in f[k : k + OUTPUTS][[key, "height", "width", "nChannels", "data"]].itertuples(index=False):
-                    if h > 0:
-                        began = time.perf_counter()
-                        square, scale, left, top = letterbox_pixels(np.frombuffer(data, np.uint8).reshape(int(h), int(w), int(c))[..., :3], size)
-                        output = [r.tolist() for r in np.asarray(held["model"](preprocess(square)))[0].astype(float)]
-                        rows.append((p, output, scale, left, top, float(w), float(h), (time.perf_counter() - began) * 1000))
+            readable = f[f["height"] > 0]
+            for k in range(0, len(readable), max(batch, 1)):
+                rows, inputs = [], []
+                began = time.perf_counter()
+                for p, h, w, c, data in readable[k : k + max(batch, 1)][[key, "height", "width", "nChannels", "data"]].itertuples(index=False):
+                    square, scale, left, top = letterbox_pixels(np.frombuffer(data, np.uint8).reshape(int(h), int(w), int(c))[..., :3], size)
+                    inputs.append(preprocess(square))
+                    rows.append((p, scale, left, top, float(w), float(h)))
+                outputs = np.asarray(held["model"](np.concatenate(inputs))).astype(float)
+                took = (time.perf_counter() - began) * 1000 / len(rows)
+                kept = [o if conf is None else o[:, o[4] >= conf] for o in outputs]
+                rows = [(r[0], [x.tolist() for x in o], *r[1:], took) for r, o in zip(rows, kept, strict=True)]
                 yield pd.DataFrame(rows, columns=[key, "output", "scale", "pad_left", "pad_top", "width", "height", "elapsed_ms"])
 
     return images.mapInPandas(run, f"{key} string, output array<array<double>>, scale double, pad_left int, pad_top int, width double, height double, elapsed_ms double")
@@ -152,15 +157,18 @@ def responses(scored: DataFrame, model_version: Column | None = None, frame: str
     return grouped.select(frame, F.to_json(F.struct(*answer, version.alias("model_version"))).alias("response"))
 
 
-def score_images(images: DataFrame, load: Callable[[], Callable[[np.ndarray], np.ndarray]], model_version: str | None = None, conf: float = CONFIDENCE, iou_threshold: float = IOU, size: int = SIZE) -> DataFrame:
+def score_images(
+    images: DataFrame, load: Callable[[], Callable[[np.ndarray], np.ndarray]], model_version: str | None = None, conf: float = CONFIDENCE, iou_threshold: float = IOU, size: int = SIZE, batch: int = 1
+) -> DataFrame:
     """(path, response) of rows of the image source: decoding, detector, suppression, boxes in the image's pixels, severity and answer.
 
-    Images that can't be decoded have no row here; ``gates`` refuses them.
+    Images that can't be decoded have no row here; ``gates`` refuses them. Only anchors
+    of enough confidence leave the workers; the answers don't depend on ``batch``.
     """
     from roadlens.functions.severity import score_frames
     from roadlens.session import materialize
 
-    run = materialize(run_detector(images, load, size))  # the detector runs once, whatever reads its output
+    run = materialize(run_detector(images, load, size, conf=conf, batch=batch))  # the detector runs once, whatever reads its output
     found = decode_tensor(run.withColumnRenamed("path", "image_id"), conf)
     kept = suppress(found, iou_threshold, conf, ties=["anchor_id"], strict=False).withColumnRenamed("image_id", "path")
     placed = to_image_pixels(kept.join(run.drop("output", "elapsed_ms"), "path"))

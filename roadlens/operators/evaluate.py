@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from roadlens.functions.geometry import centre_to_corners, iou, pixel
 from roadlens.functions.text import is_float, stripped_lines, to_float, tokens
+from roadlens.operators.ranks import running
 from roadlens.session import materialize
 
 #: IoU thresholds of the averaged metric.
@@ -140,12 +141,12 @@ def average_precision(matched: DataFrame, n_truth: int) -> DataFrame:
     """(threshold, ap): mean over 101 recall points of the greatest precision at that recall or beyond.
 
     Predictions are ranked by confidence through counts: predictions of one confidence
-    form one step of the curve, so ties don't depend on order and the global window
-    runs over distinct confidences, not predictions.
+    form one step of the curve, so ties don't depend on order. The steps of a threshold
+    are summed range by range of confidence: no task holds all of them.
     """
     steps = matched.groupBy("threshold", "confidence").agg(F.count(F.lit(1)).alias("n"), F.sum("tp").alias("t"))
-    upto = Window.partitionBy("threshold").orderBy(F.desc("confidence")).rowsBetween(Window.unboundedPreceding, 0)
-    curve = steps.select("threshold", "confidence", F.sum("n").over(upto).alias("n"), F.sum("t").over(upto).alias("t"))
+    steps = steps.select("threshold", (-F.col("confidence")).alias("neg"), F.col("n").alias("own_n"), F.col("t").alias("own_t"))
+    curve = running(steps, ["threshold"], [F.col("neg")], {"n": F.col("own_n"), "t": F.col("own_t")})
     curve = curve.select("threshold", (F.col("t").cast("double") / F.col("n")).alias("precision"), F.floor(F.col("t") * 100 / F.lit(n_truth)).cast("int").alias("reach"))
     points = curve.groupBy("threshold", "reach").agg(F.max("precision").alias("p"))
     later = Window.partitionBy("threshold").orderBy(F.desc("reach"))

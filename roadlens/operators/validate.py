@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from roadlens.functions.text import is_float, is_integer, stripped_lines, to_float, tokens
-from roadlens.operators.similarity import near_pairs
+from roadlens.operators.similarity import near_pairs, near_prints
 from roadlens.session import materialize
 
 FINDING = ["level", "rule", "split", "file", "line_no", "message"]
@@ -143,6 +143,28 @@ def leaked_images(files: DataFrame, threshold: int = 6) -> DataFrame:
     return pairs.select(F.lit("W").alias("level"), F.lit("V13").alias("rule"), none.alias("split"), none.alias("file"), F.lit(None).cast("int").alias("line_no"), message.alias("message"))
 
 
+def leaked_classes(files: DataFrame, threshold: int = 6) -> DataFrame:
+    """V13 without its pairs: one row per pair of near or equal fingerprints and of different splits they are found in.
+
+    fp_a, fp_b, distance, split_a, split_b (split_a < split_b where the fingerprints are
+    equal), n_a, n_b (images of that fingerprint and split), path_a, path_b (the smallest
+    of each). Their products are the pairs that ``leaked_images`` would list: one blank
+    frame copied a million times is a row for each two splits.
+    """
+    held = materialize(files.where("fp IS NOT NULL").groupBy("fp", "split").agg(F.count(F.lit(1)).alias("n"), F.min("path").alias("path")))
+    distinct = materialize(held.select("fp").distinct())
+    near = near_prints(distinct, threshold).unionByName(distinct.select(F.col("fp").alias("fa"), F.col("fp").alias("fb"), F.lit(0).alias("distance")))
+    side = lambda s: held.select(F.col("fp").alias(f"f{s}"), *[F.col(c).alias(f"{c}_{s}") for c in ("split", "n", "path")])
+    both = near.join(side("a"), "fa").join(side("b"), "fb").where((F.col("split_a") != F.col("split_b")) & ((F.col("fa") != F.col("fb")) | (F.col("split_a") < F.col("split_b"))))
+    return both.select(F.col("fa").alias("fp_a"), F.col("fb").alias("fp_b"), "distance", "split_a", "split_b", "n_a", "n_b", "path_a", "path_b")
+
+
+def leak_counts(classes: DataFrame) -> DataFrame:
+    """The row of ``summary`` that V13 has, from ``leaked_classes``; no row without leaks."""
+    n = classes.agg(F.sum(F.col("n_a") * F.col("n_b")).cast("long").alias("n")).where("n > 0")
+    return n.select(F.lit("W").alias("level"), F.lit("V13").alias("rule"), F.lit(None).cast("string").alias("split"), "n")
+
+
 def validate(images: DataFrame, labels: DataFrame, min_box_frac: float = 0.0005, files: DataFrame | None = None, splits: tuple | None = None, threshold: int = 6) -> DataFrame:
     """V2 to V11 in one pass over images and labels, with V1 where ``splits`` names those wanted.
 
@@ -163,9 +185,9 @@ def validate(images: DataFrame, labels: DataFrame, min_box_frac: float = 0.0005,
     )
     out = None
     if splits is not None:
-        found = both.groupBy("split").agg(F.count("__files").alias("images"), F.count("lines").alias("labels"))
-        parts = found.select("split", F.explode(F.array_compact(F.array(F.when(c("images") > 0, "images"), F.when(c("labels") > 0, "labels")))).alias("part"))
-        out = missing_split_parts(list(splits), parts)
+        # From the splits' names alone: neither side's texts are read for it.
+        parts = [df.select("split").distinct().withColumn("part", F.lit(name)) for df, name in ((images, "images"), (labels, "labels"))]
+        out = materialize(missing_split_parts(list(splits), parts[0].unionByName(parts[1])))
         both = both.join(F.broadcast(out.select("split")), "split", "left_anti")  # a row for each of ``splits`` at most
     told = _told(both.select("split", F.explode(units).alias("unit")), min_box_frac)
     out = told if out is None else told.unionByName(out)
@@ -176,11 +198,13 @@ def validate(images: DataFrame, labels: DataFrame, min_box_frac: float = 0.0005,
     return out
 
 
-def summary(findings: DataFrame) -> DataFrame:
-    """Findings by level, rule and split."""
-    return findings.groupBy("level", "rule", "split").agg(F.count(F.lit(1)).alias("n"))
+def summary(findings: DataFrame, leaks: DataFrame | None = None) -> DataFrame:
+    """Findings by level, rule and split. ``leaks``, of ``leaked_classes``, adds V13's number where findings don't list its pairs."""
+    out = findings.groupBy("level", "rule", "split").agg(F.count(F.lit(1)).alias("n"))
+    return out if leaks is None else out.unionByName(leak_counts(leaks))
 
 
-def verdict(findings: DataFrame) -> DataFrame:
-    """V14: errors, warnings and whether the dataset passes; warnings never fail it."""
-    return findings.agg(F.count_if(F.col("level") == "E").alias("errors"), F.count_if(F.col("level") == "W").alias("warnings")).withColumn("passed", F.col("errors") == 0)
+def verdict(findings: DataFrame, leaks: DataFrame | None = None) -> DataFrame:
+    """V14: errors, warnings and whether the dataset passes; warnings never fail it. ``leaks`` as for ``summary``."""
+    of = lambda level: F.coalesce(F.sum(F.when(F.col("level") == level, F.col("n"))), F.lit(0)).cast("long")
+    return summary(findings, leaks).agg(of("E").alias("errors"), of("W").alias("warnings")).withColumn("passed", F.col("errors") == 0)

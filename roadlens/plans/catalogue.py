@@ -146,8 +146,9 @@ f AS (
     FROM p JOIN fx_files a ON a.doc_id = id_a JOIN fx_files b ON b.doc_id = id_b WHERE sa <> sb)"""
 
 
-def _findings(spark, sf):
-    return validate.validate(fx.images(spark, sf), fx.labels(spark, sf), files=fx.hashed_prints(spark, sf), splits=(*validate.SPLITS, "holdout"))
+def _findings(spark, sf, leaks: bool = True):
+    files = fx.hashed_prints(spark, sf) if leaks else fx.hashed_files(spark, sf)
+    return validate.validate(fx.images(spark, sf), fx.labels(spark, sf), files=files, splits=(*validate.SPLITS, "holdout"))
 
 
 @query(f"WITH {FINDINGS_SQL} SELECT level, rule, split, file, line_no::int AS line_no, message FROM f")
@@ -157,12 +158,22 @@ def validate_findings(spark, sf):
 
 @query(f"WITH {FINDINGS_SQL} SELECT level, rule, split, count(*) AS n FROM f GROUP BY level, rule, split")
 def validate_summary(spark, sf):
-    return validate.summary(_findings(spark, sf))
+    return validate.summary(_findings(spark, sf, leaks=False), validate.leaked_classes(fx.hashed_prints(spark, sf)))
 
 
 @query(f"WITH {FINDINGS_SQL} SELECT count(*) FILTER (WHERE level = 'E') AS errors, count(*) FILTER (WHERE level = 'W') AS warnings, count(*) FILTER (WHERE level = 'E') = 0 AS passed FROM f")
 def validate_verdict(spark, sf):
-    return validate.verdict(_findings(spark, sf))
+    return validate.verdict(_findings(spark, sf, leaks=False), validate.leaked_classes(fx.hashed_prints(spark, sf)))
+
+
+@query(
+    f"""WITH {PAIRS_SQL}, d AS (SELECT fp, split, count(*) AS n, min(id) AS first FROM fx_fp GROUP BY fp, split)
+SELECT a.fp AS fp_a, b.fp AS fp_b, bit_count(xor(a.fp, b.fp))::int AS distance, a.split AS split_a, b.split AS split_b, a.n AS n_a, b.n AS n_b, a.first AS path_a, b.first AS path_b
+FROM d a JOIN d b ON a.split <> b.split AND (a.fp < b.fp OR (a.fp = b.fp AND a.split < b.split)) WHERE bit_count(xor(a.fp, b.fp)) <= 6"""
+)
+def leakage_classes(spark, sf):
+    """Leakage across splits by classes of equal fingerprints, with their counts."""
+    return validate.leaked_classes(fx.fingerprinted(spark, sf).withColumnRenamed("id", "path"))
 
 
 @query(f"WITH {fx.IMAGES_SQL}, {fx.LABELS_SQL} SELECT split, file_name AS file FROM fx_images ANTI JOIN fx_labels USING (split, stem)")
