@@ -13,7 +13,7 @@ from roadlens.functions.text import sequence_of
 from roadlens.operators import augment, chains, dedupe, detect, evaluate, forest, near_index, negatives, sampling, similarity, split, stats, validate
 from roadlens.plans import fixtures as fx
 from roadlens.session import materialize, scratch_dir
-from roadlens.sources import file_tree, headers, voc
+from roadlens.sources import file_tree, headers, layouts, voc, yolo
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -725,3 +725,85 @@ def incremental_pairs(spark, sf):
     first, second = (index.ingest(h) for h in halves)
     spark.sql(f"DROP TABLE {name}")
     return first.unionByName(second)
+
+
+# Collectors, label lines, tensors ------------------------------------------------------------------------------------
+
+LINES_SQL = rf"""{fx.IMAGES_SQL}, {fx.LABELS_SQL}, s AS (SELECT split, stem, {_STRIPPED} AS b FROM fx_labels),
+l AS (SELECT split, stem, unnest(string_split(b, chr(10))) AS line, generate_subscripts(string_split(b, chr(10)), 1)::int AS line_no FROM s WHERE b <> ''),
+t AS (SELECT *, regexp_split_to_array(regexp_replace(line, '^\s+|\s+$', '', 'g'), '\s+') AS tok FROM l)"""
+
+
+@query(f"WITH {LINES_SQL} SELECT split, stem, line_no, '0 ' || array_to_string(tok[2:5], ' ') AS line FROM t WHERE len(tok) = 5")
+def merged_label_lines(spark, sf):
+    """Label lines as sources are merged: five tokens, class 0 forced, others dropped."""
+    return yolo.boxes(fx.labels(spark, sf)).select("split", "stem", "line_no", F.array_join("tokens", " ").alias("line"))
+
+
+@query(f"WITH {fx.TENSORS_SQL} SELECT image_id, anchor_id, score AS confidence, cx - w / 2 AS x1, cy - h / 2 AS y1, cx + w / 2 AS x2, cy + h / 2 AS y2 FROM fx_anchors WHERE score >= 0.35::double")
+def decoded_tensors(spark, sf):
+    return detect.decode_tensor(fx.tensors(spark, sf)).select("image_id", "anchor_id", "confidence", "x1", "y1", "x2", "y2")
+
+
+@query(
+    f"""WITH {fx.CLASSES_SQL}, {fx.ANNOTATIONS_SQL} SELECT image_id, array_to_string(list_sort(list_distinct(list_transform(class_ids, lambda i: 'D' || CASE WHEN i % 4 = 0 THEN '40' ELSE i::varchar END))), ';') AS names
+FROM fx_annotated WHERE image_id % 19 <> 0"""
+)
+def voc_class_names(spark, sf):
+    """The distinct stripped class names of every annotation that can be parsed."""
+    return voc.class_names(fx.annotations(spark, sf), "image_id").select("image_id", F.array_join("class_names", ";").alias("names"))
+
+
+_LINE_SQL = "list_sort(list_transform(list_filter(class_ids, lambda i: i % 4 = 0), lambda i: printf('0 %.6f %.6f %.6f %.6f', ((i * 10 + (i * 10 + 64))::double / 2) / 640, ((i * 5 + (i * 5 + 48))::double / 2) / 480, 64 / 640::double, 48 / 480::double)))"
+
+
+@query(
+    f"""WITH {fx.CLASSES_SQL}, {fx.ANNOTATIONS_SQL}, k AS (SELECT file_name, stem, {_LINE_SQL} AS lines FROM fx_annotated WHERE image_id % 19 <> 0),
+e AS (SELECT * FROM k WHERE len(lines) = 0 ORDER BY md5('42:' || file_name), file_name LIMIT (SELECT floor(count(*) * 0.3::double)::bigint FROM k WHERE len(lines) = 0))
+SELECT 'rdd' AS source, file_name, 'rdd_' || regexp_replace(stem, '_[^_]*$', '') AS seq_id, array_to_string(lines, chr(10)) AS lines FROM (SELECT * FROM k WHERE len(lines) > 0 UNION ALL SELECT * FROM e)"""
+)
+def annotated_items(spark, sf):
+    """Items of an annotated source: all with a target box, three tenths of the others in seeded order."""
+    xmls = fx.annotations(spark, sf).where("image_id % 19 <> 0").select("stem", F.regexp_replace("xml", "<name> D", "<name>D").alias("xml"))
+    shown = fx.annotations(spark, sf).select("stem", "file_name", F.col("file_name").alias("path"))
+    return layouts.annotated_set(shown, xmls, "rdd", 0.3).select("source", "file_name", "seq_id", F.array_join("lines", "\n").alias("lines"))
+
+
+SOURCE_SQL = f"""{LINES_SQL}, b AS (SELECT stem, min(b) AS body, count(*) AS n FROM fx_labels JOIN s USING (split, stem) GROUP BY stem)"""
+
+
+@query(f"WITH {SOURCE_SQL} SELECT (SELECT count(*) FROM fx_images ANTI JOIN fx_labels USING (stem)) AS missing_labels, (SELECT sum(n - 1)::bigint FROM b) AS duplicate_labels")
+def source_counts(spark, sf):
+    """What the collector of a labelled source drops: images without a label, further labels of a stem."""
+    return layouts.labelled_set(fx.images(spark, sf).withColumn("path", F.col("file_name")), fx.labels(spark, sf), "own")[1]
+
+
+@query(
+    f"""WITH {LINES_SQL}, g AS (SELECT stem, string_agg('0 ' || array_to_string(tok[2:5], ' '), chr(10) ORDER BY line_no) AS lines FROM t WHERE len(tok) = 5 GROUP BY stem)
+SELECT i.file_name, 'own_' || regexp_replace(i.stem, '_[^_]*$', '') AS seq_id, coalesce(g.lines, '') AS lines FROM fx_images i JOIN (SELECT DISTINCT stem FROM fx_labels) USING (stem) LEFT JOIN g USING (stem)"""
+)
+def source_items(spark, sf):
+    """Items of a labelled source with the lines that survive."""
+    items, _ = layouts.labelled_set(fx.images(spark, sf).withColumn("path", F.col("file_name")), fx.labels(spark, sf), "own")
+    return items.select("file_name", "seq_id", F.array_join("lines", "\n").alias("lines"))
+
+
+@query(
+    f"""WITH {KEEP_SQL}, bad AS (SELECT split, path FROM fx_files WHERE doc_id % 13 = 0)
+SELECT split, path, 'corrupted' AS reason FROM bad UNION ALL SELECT split, path, 'duplicate' FROM k WHERE rank > 1 AND path NOT IN (SELECT path FROM bad)"""
+)
+def removed_files(spark, sf):
+    """Losers of clusters and corrupted files together, each once."""
+    bad = fx.hashed_files(spark, sf).where("doc_id % 13 = 0")
+    return dedupe.removals(dedupe.lost_members(_clustered(spark, sf)), bad)
+
+
+@query(
+    f"""WITH {CATEGORY_SQL}, {fx.NEGATIVES_SQL} SELECT file_name, 'OS_V1' AS subrepo, 'generic' AS category FROM fx_negatives
+UNION ALL SELECT 'part' || image_id || '.jpg', 'WS_V1', category FROM k WHERE category <> 'excluded'"""
+)
+def mined_layouts(spark, sf):
+    """Negatives of an unlabelled and of a labelled layout in one list."""
+    body = F.array_join(F.transform("class_ids", lambda i: F.concat(i.cast("string"), F.lit(" 0.5 0.5 0.1 0.1 0.2 0.2"))), "\n")
+    labelled = fx.class_sets(spark, sf).select(F.concat(F.lit("part"), "image_id", F.lit(".jpg")).alias("file_name"), body.alias("body"))
+    return layouts.mined_negatives(os_v1=fx.negatives(spark, sf), ws_v1=labelled).where("category <> 'excluded'").select("file_name", "subrepo", "category")

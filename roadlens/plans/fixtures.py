@@ -179,3 +179,32 @@ def picture_files(spark: SparkSession, sf: str) -> DataFrame:
 
 PICTURES_SQL = """fx_pictures AS (
   SELECT *, image_id % 17 <> 0 AS readable, CASE WHEN ext = '.png' OR image_id % 17 = 0 THEN 1 ELSE image_id % 8 + 1 END AS orientation FROM fx_images)"""
+
+
+def annotations(spark: SparkSession, sf: str) -> DataFrame:
+    """(image_id, file_name, stem, xml): the class sets as annotation documents, D40 where the id is a multiple of 4; names are padded, and every 19th document is cut off."""
+    one = lambda i: F.concat(
+        F.lit("<object><name> D"), F.when(i % 4 == 0, "40").otherwise(i.cast("string")), F.lit("</name><bndbox><xmin>"), (i * 10).cast("string"), F.lit("</xmin><ymin>"), (i * 5).cast("string"),
+        F.lit("</ymin><xmax>"), (i * 10 + 64).cast("string"), F.lit("</xmax><ymax>"), (i * 5 + 48).cast("string"), F.lit("</ymax></bndbox></object>"),
+    )
+    whole = F.concat(F.lit("<annotation><size><width>640</width><height>480</height></size>"), F.array_join(F.transform("class_ids", one), ""), F.lit("</annotation>"))
+    cut = F.when(F.col("image_id") % 19 == 0, F.lit("<annotation><object><name>D40")).otherwise(whole)
+    return class_sets(spark, sf).select("image_id", F.concat(F.lit("road"), F.col("image_id") % 50, F.lit("_"), "image_id", F.lit(".jpg")).alias("file_name"), F.concat(F.lit("road"), F.col("image_id") % 50, F.lit("_"), "image_id").alias("stem"), cut.alias("xml"))
+
+
+ANNOTATIONS_SQL = """fx_annotated AS (
+  SELECT image_id, class_ids, 'road' || image_id % 50 || '_' || image_id AS stem, 'road' || image_id % 50 || '_' || image_id || '.jpg' AS file_name FROM fx_classes)"""
+
+
+def tensors(spark: SparkSession, sf: str) -> DataFrame:
+    """(image_id, output): line items as a detector's raw output of five rows by anchor, in the order of ``LK``."""
+    own = table(spark, sf, "lineitem").selectExpr("l_orderkey AS image_id", *LK, "cast(l_partkey % 577 as double) AS cx", "cast((l_suppkey * 37) % 431 as double) AS cy", "2 * l_quantity + 8 AS w", "1000 * l_tax + 8 AS h", "10 * l_discount AS score")
+    rows = own.groupBy("image_id").agg(F.sort_array(F.collect_list(F.struct(*LK, "cx", "cy", "w", "h", "score"))).alias("a"))
+    of = lambda n: F.col(f"a.{n}")  # noqa: E731  a field of an array of rows is an array
+    return rows.select("image_id", F.array(*map(of, ("cx", "cy", "w", "h", "score"))).alias("output"))
+
+
+TENSORS_SQL = f"""fx_anchors AS (
+  SELECT l_orderkey AS image_id, (row_number() OVER (PARTITION BY l_orderkey ORDER BY {LK_SQL}) - 1)::int AS anchor_id,
+    (l_partkey % 577)::double AS cx, ((l_suppkey * 37) % 431)::double AS cy, 2 * l_quantity + 8 AS w, 1000 * l_tax + 8 AS h, 10 * l_discount AS score
+  FROM lineitem)"""
