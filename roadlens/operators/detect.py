@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadlens.functions.geometry import iou, letterbox, unletterbox
@@ -117,6 +117,19 @@ def run_detector(images: DataFrame, load: Callable[[], Callable[[np.ndarray], np
     return images.mapInPandas(run, f"{key} string, output array<array<double>>, scale double, pad_left int, pad_top int, width double, height double, elapsed_ms double")
 
 
+def from_file(spark: SparkSession, path: str, read: Callable[[str], Callable[[np.ndarray], np.ndarray]]) -> Callable[[], Callable[[np.ndarray], np.ndarray]]:
+    """What ``run_detector`` takes to load a model: ``path``, in any store, is sent to every executor once, and ``read`` makes the model of its copy in a worker."""
+    spark.sparkContext.addFile(path)
+    name = path.rstrip("/").rpartition("/")[2]
+
+    def load() -> Callable[[np.ndarray], np.ndarray]:
+        from pyspark import SparkFiles
+
+        return read(SparkFiles.get(name))
+
+    return load
+
+
 def gates(requests: DataFrame, max_mb: float = 10.0, timeout_ms: float = 30000.0, types: tuple = ("image/jpeg", "image/png")) -> DataFrame:
     """Adds status_code (503, 415, 413, 400 or 200, in this order) and slow (told, never refused)."""
     c = F.col

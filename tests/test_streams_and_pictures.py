@@ -210,3 +210,29 @@ def test_answers_do_not_depend_on_the_batch(spark, tmp_path):
     assert len(rows[1]) == 7 and rows[1] == rows[3] == rows[64]
     kept = detect.run_detector(own, load, 320, conf=0.35).select(F.size(F.col("output")[0]).alias("n")).collect()
     assert all(3 <= r["n"] <= 4 for r in kept) and detect.run_detector(own, load, 320).select(F.size(F.col("output")[0]).alias("n")).first()["n"] == 6
+
+
+def test_weights_are_sent_as_a_file(spark, tmp_path):
+    """A model of one weight, read in the worker, and read once there."""
+    for k in range(5):
+        png(tmp_path / f"in/{k}.png", 30 + k, 30)
+    np.save(tmp_path / "weights.npy", np.array([0.75]))
+    marks = tmp_path / "marks"
+    marks.mkdir()
+
+    def read(path):
+        weight = float(np.load(path)[0])
+        (marks / str(id(path))).write_text("read")
+
+        def model(x):
+            out = np.zeros((len(x), 5, 2))
+            out[:, :4] = 50
+            out[:, 4] = weight
+            return out
+
+        return model
+
+    own = images.decode_images(spark, str(tmp_path / "in")).coalesce(1)
+    load = detect.from_file(spark, str(tmp_path / "weights.npy"), read)
+    rows = detect.run_detector(own, load, 320, batch=2).collect()
+    assert len(rows) == 5 and all(r["output"][4] == [0.75, 0.75] for r in rows) and len(list(marks.iterdir())) == 1
