@@ -1,13 +1,19 @@
-"""What data source readers of <root>/<split>/ folders share: listing, pushed filters on split, partitions planned by bytes."""
+"""What data source readers of <root>/<split>/ folders share: listing, pushed filters on split, partitions planned by bytes.
+
+A dataset that ``file_tree`` wrote isn't listed: its manifest's parts are the partitions,
+however many files there are. Other folders are listed by the driver, which holds a name
+and a length for each file.
+"""
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 from pyspark.sql.datasource import DataSourceReader, EqualTo, In, InputPartition, IsNotNull
 
-from roadlens.sources.file_tree import opened
+from roadlens.sources.file_tree import MANIFEST, opened
 
 #: Bytes that a partition reads, about; what opening a file is worth.
 PART_BYTES, OPEN_COST = 32 << 20, 16 << 10
@@ -15,10 +21,11 @@ PART_BYTES, OPEN_COST = 32 << 20, 16 << 10
 
 @dataclass
 class Files(InputPartition):
-    """Files of one split, each with its length."""
+    """Files of one split, each with its length, or those that a part of a manifest names."""
 
     split: str
     files: list[tuple[str, int]]
+    part: str | None = None
 
 
 class FolderReader(DataSourceReader):
@@ -48,6 +55,9 @@ class FolderReader(DataSourceReader):
         from pyarrow import fs
 
         store, root = opened(self.root)
+        manifest = f"{root.rpartition('/')[0]}/{MANIFEST}"
+        if not self.flat and store.get_file_info(manifest).type == fs.FileType.Directory:
+            return [Files("", [], i.path) for i in store.get_file_info(fs.FileSelector(manifest)) if i.type == fs.FileType.File] or [Files("", [])]
         folders = [""] if self.flat else [i.base_name for i in store.get_file_info(fs.FileSelector(root, allow_not_found=True)) if i.type == fs.FileType.Directory]
         out = []
         for split in sorted(folders):
@@ -66,9 +76,20 @@ class FolderReader(DataSourceReader):
                 out.append(Files(split, own))
         return out or [Files("", [])]
 
-    def opened_files(self, partition: Files) -> Iterator[tuple[str, int, object]]:
-        """(path, length, open file) of each file of a partition, one at a time."""
-        store, _ = opened(self.root)
-        for path, length in partition.files:
+    def _named(self, store, root: str, part: str) -> Iterator[tuple[str, str, int]]:
+        """(split, path, length) of the files of this folder that a part of the manifest names and filters leave."""
+        head, _, folder = root.rpartition("/")
+        with store.open_input_stream(part) as f:
+            for line in f.read().splitlines():
+                told = json.loads(line)
+                top, split, *rest = told["target"].split("/")
+                if top == folder and rest and (self.splits is None or split in self.splits) and rest[-1].lower().endswith(self.suffixes):
+                    yield split, f"{head}/{told['target']}", told["bytes"]
+
+    def opened_files(self, partition: Files) -> Iterator[tuple[str, str, int, object]]:
+        """(split, path, length, open file) of each file of a partition, one at a time."""
+        store, root = opened(self.root)
+        listed = ((partition.split, path, length) for path, length in partition.files)
+        for split, path, length in listed if partition.part is None else self._named(store, root, partition.part):
             with store.open_input_file(path) as f:
-                yield path, length, f
+                yield split, path, length, f

@@ -154,11 +154,11 @@ class HeaderReader(FolderReader):
         return min(length, HEAD + TAIL)
 
     def read(self, partition: Files) -> Iterator[tuple]:
-        for path, length, f in self.opened_files(partition):
+        for split, path, length, f in self.opened_files(partition):
             kind, width, height, turned, readable, read = probe(lambda at, n, f=f: f.read_at(n, at), length)
             name = path.rpartition("/")[2]
             stem, dot, suffix = name.rpartition(".")
-            yield path, partition.split, name, stem if stem else name, dot + suffix if stem else "", length, kind, width, height, turned, readable, read
+            yield path, split, name, stem if stem else name, dot + suffix if stem else "", length, kind, width, height, turned, readable, read
 
 
 class ImageHeaders(DataSource):

@@ -16,9 +16,9 @@ class LabelReader(FolderReader):
     suffixes = (".txt",)
 
     def read(self, partition: Files) -> Iterator[tuple]:
-        for path, length, f in self.opened_files(partition):
+        for split, path, length, f in self.opened_files(partition):
             name = path.rpartition("/")[2]
-            yield path, partition.split, name[: name.rindex(".")] or name, f.read(length).decode("utf-8", "replace")
+            yield path, split, name[: name.rindex(".")] or name, f.read(length).decode("utf-8", "replace")
 
 
 class LabelTexts(DataSource):

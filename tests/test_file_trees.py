@@ -87,6 +87,30 @@ def test_an_attempt_that_was_lost_is_not_published(spark, tmp_path):
     assert tree(tmp_path / "set") == {"images/train/a.png": b"whole"}
 
 
+def test_a_written_dataset_is_read_by_its_manifest(spark, tmp_path):
+    """No folder is listed: what isn't in the manifest isn't there, and filters on split reach its parts."""
+    png(tmp_path / "one.png", 12, 8)
+    content = (tmp_path / "one.png").read_bytes()
+    df = spark.createDataFrame([("train" if i % 2 else "val", f"i{i}.png", content, []) for i in range(9)], ITEMS).repartition(3)
+    file_tree.write_layout(df, str(tmp_path / "set"))
+    (tmp_path / "set/images/train/stray.png").write_bytes(content)
+    reader = headers.HeaderReader(f"{tmp_path}/set/images")
+    assert [p.files for p in reader.partitions()] == [[]] * 3 and all(p.part.endswith(".json") for p in reader.partitions())
+    own = headers.read_headers(spark, f"{tmp_path}/set")
+    assert sorted((r["split"], r["file_name"], r["width"], r["length"]) for r in own.collect()) == sorted(("train" if i % 2 else "val", f"i{i}.png", 12, len(content)) for i in range(9))
+    assert own.where("split = 'train'").count() == 4 and yolo.read_labels(spark, f"{tmp_path}/set/labels").where("split = 'val' AND body = ''").count() == 5
+
+
+def test_a_name_that_is_taken_is_told_by_the_task(tmp_path):
+    store, job = file_tree.opened(str(tmp_path))
+    for name, data in (("a", b"same"), ("b", b"same"), ("c", b"else"), ("d", b"sane")):
+        (tmp_path / name).write_bytes(data)
+    file_tree.FileTreeWriter._placed(store, f"{job}/a", f"{job}/b")
+    assert sorted(os.listdir(tmp_path)) == ["b", "c", "d"]
+    with pytest.raises(ValueError, match="several files"):
+        file_tree.FileTreeWriter._placed(store, f"{job}/d", f"{job}/b")
+
+
 def test_collisions_are_findings(spark, tmp_path):
     rows = [("train", "a.jpg", b"1", []), ("train", "a.png", b"2", ["0 0 0 0 0"]), ("val", "a.png", b"3", []), ("val", "b.png", b"3", []), ("val", "b.png", b"4", None)]
     df = spark.createDataFrame(rows, ITEMS)
@@ -95,7 +119,7 @@ def test_collisions_are_findings(spark, tmp_path):
     with pytest.raises(ValueError, match="labels/train/a.txt"):
         file_tree.write_layout(df.where("split = 'train'"), str(tmp_path / "set"))
     # Past the check, the commit itself counts the files.
-    with pytest.raises(Exception, match="are there"):
+    with pytest.raises(Exception, match="are there|several files have"):
         file_tree.write_tree(file_tree.layout_files(df), str(tmp_path / "set"))
     assert not seen(tmp_path)
 
