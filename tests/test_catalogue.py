@@ -34,3 +34,18 @@ def test_near_copies_are_removed_with_exact_ones(spark, sf):
 def test_every_image_is_in_the_histogram(spark, sf):
     counted = sum(r["n"] for r in catalogue.QUERIES["resolution_histogram_all"](spark, sf).collect())
     assert counted == catalogue.fx.images(spark, sf).count() > 300
+
+
+@pytest.mark.parametrize(("missing", "absent"), [("roadlens.llm", True), ("roadlens.llm.queries", True), ("roadlens.llm.sql", False), ("numpy", False)])
+def test_only_the_subpackage_itself_may_be_absent(missing, absent, monkeypatch):
+    import __spark_entry__ as entry
+
+    def gone(name):
+        raise ModuleNotFoundError(missing, name=missing)
+
+    monkeypatch.setattr(entry.importlib, "import_module", gone)
+    if absent:
+        assert entry._optional("roadlens.llm.queries") is None
+    else:
+        with pytest.raises(ModuleNotFoundError):
+            entry._optional("roadlens.llm.queries")
