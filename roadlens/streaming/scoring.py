@@ -14,6 +14,6 @@ DETECTION_SCHEMA = "image_id long, confidence double, x1 double, y1 double, x2 d
 
 
 def score_stream(spark: SparkSession, path: str, sink: Callable[[DataFrame, int], None], checkpoint: str, schema: str = DETECTION_SCHEMA) -> StreamingQuery:
-    """Scores each arriving file of detections once; a frame's detections must come in one file."""
+    """Scores each arriving file of detections once; a frame's detections must come in one file, ``frames.score_frame_stream`` takes any."""
     arriving = spark.readStream.schema(schema).format("parquet").load(path)
     return arriving.writeStream.foreachBatch(lambda df, epoch: sink(score_frames(df), epoch)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
