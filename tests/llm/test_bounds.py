@@ -6,6 +6,7 @@ import time
 import zlib
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from roadlens.llm import bounded, exact_dedup, html_blocks, langid, minhash, packing, queries, ranking, sharding, token_scan, wordtok
@@ -122,6 +123,24 @@ def test_special_tokens_in_texts_get_the_librarys_ids(spark):
     assert {p["doc_id"]: p["doc_tokens"] for p in pieces} == {i: len(lib.encode(t, add_special_tokens=False).ids) + 1 for i, t in enumerate(texts)}
 
 
+@pytest.mark.parametrize("small", [False, True])
+def test_pieces_cut_as_arrays_equal_the_librarys(small, monkeypatch):
+    from tokenizers import Tokenizer
+
+    if small:  # stretches end within texts, the cache starts anew, its table grows
+        for name, n in (("STRETCH", 64), ("CACHE_WORDS", 50), ("SLOTS", 4)):
+            monkeypatch.setattr(wordtok, name, n)
+    path = queries.tokenizer_path("word_bpe_49k.json")
+    lib, own = Tokenizer.from_file(path), wordtok.WordTokenizer(path)
+    rng = random.Random(21)
+    alphabets = ("''sstmdrevl '!x ", "'S'T'RE'VE'M'LL'D a1", "ab'é²1. ", "ȺȾɏÀÿ×÷ªµ a\xa0\0", "abcdefghijklmnopqrst'-_ ", "aZ09 .,é ßŉǅİ́\u0085\x1c😀漢½\n\t")
+    texts = ["", " ", "'", "'s", "x" * 16 + " " + "y" * 17, *("".join(rng.choice(a) for _ in range(rng.choice([1, 3, 17, 60, 400]))) for a in alphabets for _ in range(150))]
+    for a, t in zip(own.encode_all(texts), texts, strict=True):
+        assert a.tolist() == lib.encode(t, add_special_tokens=False).ids, t
+    own.encode_all(["aa bb cc dd ee ff gg hh ii jj kk ll"])
+    assert len(own._slot) >= 2 * own._known
+
+
 def test_little_padding(spark, sf):
     pieces = packing.pack_documents(spark.read.parquet(f"{sf}/documents.parquet"), queries.tokenizer_path("word_bpe_49k.json")).collect()
     held = sum(p["length"] for p in pieces)
