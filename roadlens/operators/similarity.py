@@ -46,6 +46,14 @@ def band_keys(items: DataFrame, threshold: int, together: int) -> DataFrame:
     return items.select("*", F.explode(F.array(*keys)).alias("k")).select(*items.columns, "k.bands", "k.value", "k.below")
 
 
+def _below(bands: Column) -> Column:
+    """``below`` of ``band_keys``, from the bits of a choice: those under its highest that aren't its own."""
+    upto = bands
+    for n in (1, 2, 4, 8):
+        upto = upto.bitwiseOR(F.shiftright(upto, n))
+    return F.shiftright(upto, 1).bitwiseAND(F.bitwise_not(bands))
+
+
 def first_choice(a: Column, b: Column, below: Column, threshold: int, together: int) -> Column:
     """Whether no earlier choice of bands is common to both fingerprints: each pair is told once."""
     return _equal_bands(a, b, bands(threshold + together)).bitwiseAND(below) == 0
@@ -61,11 +69,12 @@ def near_prints(distinct: DataFrame, threshold: int, together: int | None = None
     common bands alone.
     """
     k = together or 1 + sum(distinct.count() > most for most in KEYED_UP_TO)
-    keyed = band_keys(distinct.select("fp"), threshold, k)
-    left, right = keyed.withColumnRenamed("fp", "fa"), keyed.withColumnRenamed("fp", "fb").drop("below")
+    keyed = band_keys(distinct.select("fp"), threshold, k).drop("below")
+    # Spark sizes the keys as if there were one a fingerprint, and would broadcast all 7 to 210 of each. Both sides are the same rows, shuffled once.
+    left, right = keyed.withColumnRenamed("fp", "fa").hint("merge"), keyed.withColumnRenamed("fp", "fb")
     a, b = F.col("fa"), F.col("fb")
     pairs = left.join(right, ["bands", "value"]).where((a < b) & (hamming(a, b) <= threshold))
-    return pairs.where(first_choice(a, b, F.col("below"), threshold, k)).select("fa", "fb", hamming(a, b).alias("distance"))
+    return pairs.where(first_choice(a, b, _below(F.col("bands")), threshold, k)).select("fa", "fb", hamming(a, b).alias("distance"))
 
 
 def near_pairs(items: DataFrame, threshold: int = 6, across: str | None = None, together: int | None = None) -> DataFrame:

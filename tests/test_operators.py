@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from roadlens.functions.severity import SeverityScorer, score_frames
 from roadlens.operators import augment, components, dedupe, detect, evaluate, merge, negatives, sampling, similarity, split, stats, validate
+from roadlens.session import materialize
 
 
 def test_severity_of_two_boxes(spark):
@@ -272,3 +273,16 @@ def test_report_of_a_perfect_detector(spark):
     runs = spark.createDataFrame([(10.0,), (30.0,)], "elapsed_ms double")
     row = evaluate.report(evaluate.match(truth, found, evaluate.IOU_GRID), 2, runs).first()
     assert (row["precision"], row["recall"], round(row["map50"], 9), round(row["map50_95"], 9), row["avg_ms"], row["fps"], row["latency_sample"]) == (1, 1, 1, 1, 20, 50, 2)
+
+
+@pytest.mark.parametrize("together", [1, 2, 3, 4])
+def test_keys_of_fingerprints_are_never_broadcast(spark, together):
+    """Not even of a small table: its size says nothing of the keys that each fingerprint has. Both sides read one shuffle."""
+    prints = materialize(spark.range(400).selectExpr("xxhash64(id) AS fp"))
+    near = similarity.near_prints(prints, 6, together)
+    assert "Broadcast" not in near._jdf.queryExecution().executedPlan().toString()
+    near.collect()
+    done = near._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in done and "Broadcast" not in done and "ReusedExchange" in done
+    keys = similarity.band_keys(prints, 6, together)
+    assert keys.where(similarity._below(F.col("bands")) != F.col("below")).isEmpty()
