@@ -4,10 +4,13 @@ Equal vectors are collapsed first. Cells, about ``CELL`` vectors each, come from
 spherical k-means on a bounded sample; every vector has the nearest centre's cell for
 its home and is a guest in every later cell that can hold a partner of it, by the
 cell's border and radius. So no link is missed, and each is met once: in a common home
-or in the later home of the two. Within a cell, home vectors are multiplied block by
-block with its home vectors and guests, in double precision. A block returns sums of
-links and a spanning forest, not pairs. One representative of each linked group is
-kept: its smallest id.
+or in the later home of the two. A cell's vectors are packed in blocks, a row each, and
+blocks are joined with blocks of their own and of later cells that their vectors visit.
+The join reads the packed table where it lies: no vector is written once for each cell
+that it visits. Products in single precision, with their error as slack, leave the pairs
+that are multiplied in double precision. A pair of blocks returns sums of links and a
+spanning forest, not pairs. One representative of each linked group is kept: its
+smallest id.
 """
 
 from __future__ import annotations
@@ -22,11 +25,11 @@ from pyspark.sql import functions as F
 
 from roadlens.llm.bounded import bound_batches
 from roadlens.operators.components import connected_components
-from roadlens.session import materialize
+from roadlens.session import discard, materialize
 
 THRESHOLD = 0.9
-#: Vectors aimed at for a cell, home vectors of a block, guests of a block.
-CELL, BLOCK, GUESTS = 1024, 1024, 4096
+#: Vectors aimed at for a cell; vectors and bytes of a block; rows multiplied at once.
+CELL, BLOCK, BLOCK_BYTES, TILE = 2048, 2048, 4 << 20, 512
 #: Slack of the bounds, above the rounding of double-precision products.
 SLACK = 1e-6
 #: Bounds of the fit: cells, sampled vectors for each, and bytes of the sample.
@@ -34,22 +37,41 @@ MOST_CELLS, SAMPLE_PER_CELL, SAMPLE_BYTES = 8192, 24, 64 << 20
 
 
 def _clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """vec_id, dim, same (digest of the unit vector) and raw: the vector as given, in single precision where that is exact."""
     for batch in batches:
-        units, digests, dims = [], [], []
-        for v in batch.column(1).to_pylist():
-            x = np.array([np.nan if c is None else c for c in v], dtype=np.float64) if v else np.zeros(0)
+        raws, digests, dims = [], [], []
+        lists = batch.column(1)
+        given, starts = lists.is_valid().to_numpy(zero_copy_only=False), lists.offsets.to_numpy()
+        values = lists.values.to_numpy(zero_copy_only=False).astype(np.float64)  # null components are NaN
+        for k in range(len(lists)):
+            x = values[starts[k] : starts[k + 1]] if given[k] else values[:0]
             top = np.abs(x).max() if len(x) and np.isfinite(x).all() else 0.0
             if top > 0:
                 unit = x / top  # scaled first: squares of very small or large components stay in range
                 unit = unit / np.sqrt(unit @ unit)
-                units.append(unit.tobytes())
+                with np.errstate(over="ignore"):
+                    short = x.astype(np.float32)
+                raws.append((short if (short == x).all() else x).tobytes())
                 digests.append(hashlib.md5((unit + 0.0).tobytes()).digest())
                 dims.append(len(x))
             else:
-                units.append(None)
+                raws.append(None)
                 digests.append(None)
                 dims.append(None)
-        yield pa.record_batch([batch.column(0), pa.array(dims, pa.int32()), pa.array(digests, pa.binary()), pa.array(units, pa.binary())], names=["vec_id", "dim", "same", "unit"])
+        yield pa.record_batch([batch.column(0), pa.array(dims, pa.int32()), pa.array(digests, pa.binary()), pa.array(raws, pa.binary())], names=["vec_id", "dim", "same", "raw"])
+
+
+def _matrix(raws: list[bytes], dim: int) -> np.ndarray:
+    """Rows of raw vectors of one length, in single precision if all are."""
+    if all(len(r) == 4 * dim for r in raws):
+        return np.frombuffer(b"".join(raws), np.float32).reshape(-1, dim)
+    return np.array([np.frombuffer(r, np.float32 if len(r) == 4 * dim else np.float64) for r in raws], dtype=np.float64).reshape(-1, dim)
+
+
+def _units(x: np.ndarray) -> np.ndarray:
+    x = x.astype(np.float64)
+    x /= np.abs(x).max(axis=1, keepdims=True)
+    return x / np.sqrt(np.einsum("ij,ij->i", x, x))[:, None]
 
 
 def spherical_kmeans(x: np.ndarray, k: int, rounds: int = 6, seed: int = 3) -> np.ndarray:
@@ -65,51 +87,89 @@ def spherical_kmeans(x: np.ndarray, k: int, rounds: int = 6, seed: int = 3) -> n
     return centres
 
 
-def _forest(linked: np.ndarray, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For each left and right vector: the smallest id that links within the block reach."""
-    big = np.iinfo(np.int64).max
-    a, b = left.copy(), right.copy()
+def _linked(x: np.ndarray, y: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Row numbers of x and y with a product of ``threshold`` in double precision. Single precision rules out first: ``slack`` is beyond its error for unit vectors."""
+    slack = 2e-7 * (x.shape[1] + 4)
+    x4, y4 = x.astype(np.float32), y.astype(np.float32)
+    left, right = [np.zeros(0, np.int32)], [np.zeros(0, np.int32)]
+    for at in range(0, len(x), TILE):
+        hits = np.flatnonzero((x4[at : at + TILE] @ y4.T >= np.float32(threshold - slack)).ravel())
+        if len(hits) > TILE * len(y) >> 6:
+            hits = np.flatnonzero((x[at : at + TILE] @ y.T >= threshold).ravel())
+            sure = True
+        else:
+            sure = False
+        i, j = np.divmod(hits, len(y))
+        i += at
+        if not sure and len(hits):
+            held = np.einsum("ij,ij->i", x[i], y[j]) >= threshold
+            i, j = i[held], j[held]
+        left.append(i.astype(np.int32))
+        right.append(j.astype(np.int32))
+    return np.concatenate(left), np.concatenate(right)
+
+
+def _forest(a: np.ndarray, b: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """For each id: the smallest one that links a[k] - b[k] between row numbers reach."""
+    to = ids.copy()
     while True:
-        na = np.minimum(a, np.where(linked, b[None, :], big).min(axis=1)) if linked.shape[1] else a
-        nb = np.minimum(b, np.where(linked, na[:, None], big).min(axis=0)) if linked.shape[0] else b
-        if (na == a).all() and (nb == b).all():
-            return a, b
-        a, b = na, nb
+        before = to.copy()
+        np.minimum.at(to, a, before[b])
+        np.minimum.at(to, b, to[a])
+        if (to == before).all():
+            return to
+
+
+def _visited(x: np.ndarray, own: np.ndarray, c: np.ndarray, rad: np.ndarray, cells: np.ndarray, reach: float) -> np.ndarray:
+    """Which of ``cells`` may hold a vector within ``reach`` of each of x, whose homes are ``own``: their radius comes near enough, and so does the border to them, where both centres are equally far."""
+    p, near = x @ c[cells].T, np.einsum("ij,ij->i", x, c[own])[:, None]
+    apart = np.sqrt(np.maximum(2 - 2 * (c[own] @ c[cells].T), 0))  # of the centres; beyond a right angle every border is in reach
+    border = near - p <= np.sin(min(reach, np.pi / 2)) * apart + SLACK
+    return border & (np.arccos(np.clip(p, -1, 1)) <= rad[cells] + reach + np.sqrt(SLACK))
 
 
-def _products(threshold: float):
+def _products(threshold: float, dim: int, centres, bounds, reach: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows come sorted by (task, side). Side -1: home vectors, among themselves; 0: home vectors, with 1: others of the cell, or 2: guests."""
-        task, rows = None, []
+        """A row is a pair of blocks, of one cell or of two; a block with itself is met once."""
+        c, rad = centres.value, bounds.value
 
-        def block() -> pa.RecordBatch:
-            left, right = [r for r in rows if r[0] <= 0], [r for r in rows if r[0] > 0]
-            same = rows[0][0] < 0
-            right = left if same else right
-            x = np.frombuffer(b"".join(r[3] for r in left), np.float64).reshape(len(left), -1)
-            y = x if same else np.frombuffer(b"".join(r[3] for r in right), np.float64).reshape(len(right), -1)
-            lid, rid = (np.array([r[1] for r in side], dtype=np.int64) for side in (left, right))
-            linked = x @ y.T >= threshold if len(left) and len(right) else np.zeros((len(left), len(right)), dtype=bool)
-            if same:
-                np.fill_diagonal(linked, False)
-            ln, rn = (np.array([r[2] for r in side], dtype=np.int64) for side in (left, right))
-            la, rb = _forest(linked, lid, rid)
-            ids, sums, tos = [lid], [linked @ rn], [la]
-            if not same:
-                ids, sums, tos = [lid, rid], [linked @ rn, linked.T @ ln], [la, rb]
-            got = [np.concatenate(c) for c in (ids, sums, tos)]
-            keep = got[1] > 0
-            return pa.record_batch([pa.array(c[keep], pa.int64()) for c in got], names=["rep", "links", "to"])
+        def side(row: dict, s: str) -> tuple:
+            reps, ns = (np.frombuffer(row[f"{n}_{s}"], np.int64) for n in ("reps", "ns"))
+            raw = row[f"raw_{s}"]
+            return reps, ns, _units(np.frombuffer(raw, np.float32 if len(raw) == 4 * dim * len(reps) else np.float64).reshape(-1, dim))
 
+        def guests(own: tuple, home: int, cell: int) -> tuple:
+            may = _visited(own[2], np.full(len(own[0]), home), c, rad, np.array([cell]), reach)[:, 0]
+            return own if may.all() else tuple(v[may] for v in own)
+
+        last, left = None, None
         for batch in batches:
-            for t, *row in zip(*(batch.column(c).to_pylist() for c in ("task", "side", "rep", "n", "unit")), strict=True):
-                if t != task:
-                    if rows:
-                        yield block()
-                    task, rows = t, []
-                rows.append(row)
-        if rows:
-            yield block()
+            out = []
+            for row in (batch.slice(k, 1).to_pylist()[0] for k in range(batch.num_rows)):
+                if (key := (row["cell_a"], row["b_a"])) != last:
+                    last, left = key, side(row, "a")
+                same = key == (row["cell_b"], row["b_b"])
+                one, two = left, left if same else side(row, "b")
+                if row["cell_a"] != row["cell_b"]:
+                    one, two = guests(one, row["cell_a"], row["cell_b"]), guests(two, row["cell_b"], row["cell_a"])
+                if not len(one[0]) or not len(two[0]):
+                    continue
+                i, j = _linked(one[2], two[2], threshold)
+                if same:
+                    apart = i != j
+                    i, j = i[apart], j[apart]
+                if not len(i):
+                    continue
+                ids = one[0] if same else np.concatenate([one[0], two[0]])
+                at = j if same else j + np.int32(len(one[0]))
+                links = np.zeros(len(ids), np.int64)
+                np.add.at(links, i, two[1][j])
+                if not same:
+                    np.add.at(links, at, one[1][i])
+                keep = links > 0
+                out.append((ids[keep], links[keep], _forest(i, at, ids)[keep]))
+            if out:
+                yield pa.record_batch([pa.array(np.concatenate(col), pa.int64()) for col in zip(*out, strict=True)], names=["rep", "links", "to"])
 
     return run
 
@@ -127,15 +187,16 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, id_col: str =
     spark = vectors.sparkSession
     bound_batches(spark)
     slim = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vec_col).cast("array<double>").alias("v"))
-    clean = materialize(slim.mapInArrow(_clean, "vec_id long, dim int, same binary, unit binary"))
-    valid = clean.where("same IS NOT NULL AND vec_id IS NOT NULL")
-    reps = materialize(valid.groupBy("dim", "same").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("n"), F.first("unit").alias("unit")))
+    told = slim.mapInArrow(_clean, "vec_id long, dim int, same binary, raw binary")
+    clean = materialize(told.drop("raw"))
+    usable = "same IS NOT NULL AND vec_id IS NOT NULL"
+    valid = clean.where(usable)
+    reps = materialize(told.where(usable).groupBy("dim", "same").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("n"), F.first("raw").alias("raw")))
     found = [_in_cells(reps.where(F.col("dim") == r["dim"]), r["dim"], r["count"], threshold, cell) for r in reps.groupBy("dim").count().collect()]
     if found:
         sums = found[0]
         for more in found[1:]:
             sums = sums.unionByName(more)
-        sums = materialize(sums)
     else:
         sums = spark.createDataFrame([], "rep long, links long, to long")
     groups = connected_components(sums.select(F.col("rep").alias("src"), F.col("to").alias("dst")))
@@ -156,10 +217,10 @@ def _in_cells(reps: DataFrame, dim: int, n: int, threshold: float, cell: int) ->
     if k > 1:
         wanted = max(k, min(k * SAMPLE_PER_CELL, SAMPLE_BYTES // (8 * dim)))
         draw = F.pmod(F.xxhash64("rep", F.lit("sample")), F.lit(1 << 30)) / F.lit(float(1 << 30))
-        drawn = reps.where(draw < F.lit(min(1.0, wanted / n))).select("rep", "unit").collect()
+        drawn = reps.where(draw < F.lit(min(1.0, wanted / n))).select("rep", "raw").collect()
         drawn.sort(key=lambda r: r["rep"])
         k = min(k, len(drawn))
-    sample = np.frombuffer(b"".join(r["unit"] for r in drawn), np.float64).reshape(-1, dim) if k > 1 else np.ones((1, dim))
+    sample = _units(_matrix([r["raw"] for r in drawn], dim)) if k > 1 else np.ones((1, dim))
     centres = spark.sparkContext.broadcast(spherical_kmeans(sample, k) if k > 1 else sample)
 
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -167,56 +228,58 @@ def _in_cells(reps: DataFrame, dim: int, n: int, threshold: float, cell: int) ->
         for batch in batches:
             for at in range(0, batch.num_rows, 512):  # at most 512 x MOST_CELLS products at once
                 part = batch.slice(at, 512)
-                x = np.frombuffer(b"".join(part.column(2).to_pylist()), np.float64).reshape(-1, dim)
-                p = x @ c.T
+                p = _units(_matrix(part.column(2).to_pylist(), dim)) @ c.T
                 home = p.argmax(axis=1)
-                yield pa.record_batch([*part.columns, pa.array(home, pa.int32()), pa.array(p[np.arange(len(p)), home])], names=["rep", "n", "unit", "cell", "near"])
+                yield pa.record_batch([*part.columns, pa.array(home, pa.int32()), pa.array(p[np.arange(len(p)), home])], names=["rep", "n", "raw", "cell", "near"])
 
-    home = materialize(reps.select("rep", "n", "unit").mapInArrow(settle, "rep long, n long, unit binary, cell int, near double"))
+    # Vectors are settled twice, rather than written once more.
+    home = reps.select("rep", "n", "raw").mapInArrow(settle, "rep long, n long, raw binary, cell int, near double")
+    per = max(1, min(BLOCK, BLOCK_BYTES // (8 * dim)))
+    cells = materialize(home.groupBy("cell").agg(F.min("near").alias("least"), F.ceil(F.count(F.lit(1)) / per).cast("int").alias("blocks")))  # MOST_CELLS rows at most
     radius = np.full(k, -np.inf)  # of each cell, as an angle
-    for r in home.groupBy("cell").agg(F.min("near").alias("least")).collect() if k > 1 else ():
+    for r in cells.collect():
         radius[r["cell"]] = np.arccos(np.clip(r["least"], -1, 1))
     bounds = spark.sparkContext.broadcast(radius)
     reach = float(np.arccos(np.clip(threshold, -1, 1)))
 
-    def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The later cells that may hold a vector within ``reach``: their radius comes near enough, and so does the border to them, where both centres are equally far."""
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows come sorted by (cell, b): a row for each such block, with the later cells that one of its vectors visits."""
         c, rad = centres.value, bounds.value
+        held, parts = None, []
+
+        def block() -> pa.RecordBatch:
+            raw = _matrix([r for p in parts for r in p.column(2).to_pylist()], dim)
+            reps, ns = (np.concatenate([p.column(i).to_numpy() for p in parts]).astype(np.int64) for i in (0, 1))
+            later = np.arange(held[0] + 1, k)
+            meets = np.zeros(len(later), dtype=bool)
+            for at in range(0, len(raw), TILE):
+                x = _units(raw[at : at + TILE])
+                meets |= _visited(x, np.full(len(x), held[0]), c, rad, later, reach).any(axis=0)
+            row = [[held[0]], [held[1]], [reps.tobytes()], [ns.tobytes()], [raw.tobytes()], [later[meets].tolist()]]
+            return pa.record_batch([pa.array(v, t) for v, t in zip(row, (pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.list_(pa.int32())), strict=True)], names=["cell", "b", "reps", "ns", "raw", "visits"])
+
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
-                x = np.frombuffer(b"".join(part.column(2).to_pylist()), np.float64).reshape(-1, dim)
-                own = np.asarray(part.column(3))
-                p = x @ c.T
-                near = p[np.arange(len(p)), own][:, None]
-                apart = np.sqrt(np.maximum(2 - 2 * (c[own] @ c.T), 0))  # of the centres; beyond a right angle every border is in reach
-                border = near - p <= np.sin(min(reach, np.pi / 2)) * apart + SLACK
-                meets = border & (np.arccos(np.clip(p, -1, 1)) <= rad + reach + np.sqrt(SLACK)) & (np.arange(k) > own[:, None])
-                rows, cells = np.nonzero(meets)
-                starts = np.concatenate([[0], np.cumsum(meets.sum(axis=1))])
-                yield pa.record_batch([*part.columns[:3], pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(cells, pa.int32()))], names=["rep", "n", "unit", "cells"])
-
-    guests = materialize(home.mapInArrow(visit, "rep long, n long, unit binary, cells array<int>")).withColumn("cell", F.explode("cells")).drop("cells") if k > 1 else None
-    homes = home.groupBy("cell").agg(F.count(F.lit(1)).alias("h"))
-    counts = homes if guests is None else homes.join(guests.groupBy("cell").agg(F.count(F.lit(1)).alias("g")), "cell", "left")
-    counts = counts.select("cell", F.ceil(F.col("h") / BLOCK).cast("int").alias("hb"), (F.lit(0) if guests is None else F.ceil(F.coalesce("g", F.lit(0)) / GUESTS).cast("int")).alias("gb"))
-    counts = F.broadcast(materialize(counts))  # a row for each cell: MOST_CELLS at most
-    block = lambda n: F.pmod(F.xxhash64("rep", F.lit("block")), n).cast("int")
-    task = lambda kind, x, y: F.xxhash64(F.col("cell"), F.lit(kind), x, y).alias("task")
-    rest = ["rep", "n", "unit"]
-    h = home.join(counts, "cell").withColumn("b", block(F.col("hb")))
-    parts = [
-        h.withColumn("o", F.explode(F.sequence(F.col("b"), F.col("hb") - 1))).select(task("hh", F.col("b"), F.col("o")), F.when(F.col("b") == F.col("o"), -1).otherwise(0).alias("side"), *rest),
-        h.where("b > 0").withColumn("o", F.explode(F.sequence(F.lit(0), F.col("b") - 1))).select(task("hh", F.col("o"), F.col("b")), F.lit(1).alias("side"), *rest),
-    ]
-    if guests is not None:
-        g = guests.join(counts, "cell").withColumn("b", block(F.col("gb")))
-        parts += [
-            h.where("gb > 0").withColumn("o", F.explode(F.sequence(F.lit(0), F.col("gb") - 1))).select(task("hg", F.col("b"), F.col("o")), F.lit(0).alias("side"), *rest),
-            g.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("hb") - 1))).select(task("hg", F.col("o"), F.col("b")), F.lit(2).alias("side"), *rest),
-        ]
-    every = parts[0]
-    for more in parts[1:]:
-        every = every.unionByName(more)
-    dealt = every.repartition("task").sortWithinPartitions("task", "side")
-    return dealt.mapInArrow(_products(threshold), "rep long, links long, to long")
+            if not batch.num_rows:
+                continue
+            keys = np.stack([batch.column(i).to_numpy() for i in (3, 4)])
+            cuts = [0, *(np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1), batch.num_rows]
+            for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
+                key = tuple(int(v) for v in keys[:, lo])
+                if key != held:
+                    if parts:
+                        yield block()
+                    held, parts = key, []
+                parts.append(batch.slice(lo, hi - lo))
+        if parts:
+            yield block()
+
+    dealt = home.join(F.broadcast(cells.select("cell", "blocks")), "cell").select("rep", "n", "raw", "cell", F.pmod(F.xxhash64("rep", F.lit("block")), F.col("blocks")).cast("int").alias("b"))
+    dealt = dealt.repartition("cell", "b").sortWithinPartitions("cell", "b")
+    blocks = materialize(dealt.mapInArrow(pack, "cell int, b int, reps binary, ns binary, raw binary, visits array<int>"))
+    one, two = ([F.col(c).alias(f"{c}_{s}") for c in ("cell", "b", "reps", "ns", "raw")] for s in "ab")
+    own = (F.col("cell_a") == F.col("cell_b")) & (F.col("b_a") <= F.col("b_b"))
+    later = (F.col("cell_a") < F.col("cell_b")) & F.array_contains("visits", F.col("cell_b"))
+    met = blocks.select(*one, "visits").hint("shuffle_replicate_nl").crossJoin(blocks.select(*two)).where(own | later).drop("visits")
+    found = materialize(met.mapInArrow(_products(threshold, dim, centres, bounds, reach), "rep long, links long, to long"))
+    discard(blocks, cells)
+    return found

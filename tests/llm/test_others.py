@@ -72,6 +72,26 @@ def test_no_link_is_lost_among_many_cells(spark):
     assert got == {i: (int(linked[i].sum()) - 1, int(label[i])) for i in range(len(x))} and linked.sum() > 8000
 
 
+def shuffled(spark) -> int:
+    """Rows that the session's stages have written to shuffles so far."""
+    sc = spark.sparkContext
+    stages = sc._jsc.sc().statusStore().stageList(None, False, False, sc._gateway.new_array(sc._jvm.double, 0), None)
+    return sum(stages.apply(i).shuffleWriteRecords() for i in range(stages.size()))
+
+
+def test_vectors_are_not_shuffled_once_for_each_cell_they_visit(spark, monkeypatch):
+    """Vectors without structure come within reach of about all 60 cells; cells of several blocks lose no link either."""
+    x = np.random.default_rng(8).normal(size=(1200, 64))
+    x[1::2] = x[::2] + np.random.default_rng(9).normal(size=(600, 64)) * 0.3
+    want = brute(list(enumerate(x.tolist())))
+    df = spark.createDataFrame(list(enumerate(x.tolist())), "vec_id long, embedding array<double>")
+    monkeypatch.setattr(embed_dedup, "BLOCK", 8)
+    before = shuffled(spark)
+    got = {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in embed_dedup.near_vectors(df, cell=20).collect()}
+    assert got == want and sum(n for n, _, _ in want.values()) > 1000
+    assert shuffled(spark) - before < 20 * len(x)
+
+
 def test_hot_vector(spark):
     rng = np.random.default_rng(3)
     hot = rng.normal(size=16)
