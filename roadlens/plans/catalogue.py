@@ -552,10 +552,10 @@ def comparison_boxes(spark, sf):
     return evaluate.draw_list(images, evaluate.truth_boxes(images, fx.labels(spark, sf)), evaluate.predicted_boxes(detect.confident(fx.detections(spark, sf))))
 
 
-def _matched(spark, sf, thresholds):
+def _matched(spark, sf, thresholds, by=evaluate.match):
     det = fx.detections(spark, sf)
     truth = det.where("l_linenumber % 2 = 0").withColumn("gt_id", F.struct(*fx.LK))
-    return evaluate.match(truth, backend_two(spark, sf), thresholds, fx.LK), truth.count()
+    return by(truth, backend_two(spark, sf), thresholds, fx.LK), truth.count()
 
 
 def match_sql(thresholds: str) -> str:
@@ -587,14 +587,14 @@ def precision_recall(spark, sf):
 
 @query(f"WITH RECURSIVE {MATCH_SQL}, {AP_SQL} SELECT threshold, round(sum(p) / 101, 6) AS ap FROM r GROUP BY threshold")
 def average_precision(spark, sf):
-    matched, n = _matched(spark, sf, [0.5])
+    matched, n = _matched(spark, sf, [0.5], evaluate.match_steps)
     return evaluate.average_precision(matched, n).select("threshold", F.round("ap", 6).alias("ap"))
 
 
 @query(f"WITH RECURSIVE {GRID_SQL}, {AP_SQL} SELECT threshold, round(sum(p) / 101, 6) AS ap FROM r GROUP BY threshold")
 def mean_average_precision(spark, sf):
     """AP at ten overlaps from 0.50 to 0.95; their mean is the averaged metric."""
-    matched, n = _matched(spark, sf, evaluate.IOU_GRID)
+    matched, n = _matched(spark, sf, evaluate.IOU_GRID, evaluate.match_steps)
     return evaluate.average_precision(matched, n).select("threshold", F.round("ap", 6).alias("ap"))
 
 
@@ -607,7 +607,7 @@ SELECT 0.35::double AS confidence_threshold, round(precision, 6) AS precision, r
   (SELECT round(avg(ap), 6) FROM aps) AS map50_95, latency_sample, avg_ms, fps FROM pr, la"""
 )
 def evaluation_report(spark, sf):
-    matched, n = _matched(spark, sf, evaluate.IOU_GRID)
+    matched, n = _matched(spark, sf, evaluate.IOU_GRID, evaluate.match_steps)
     row = evaluate.report(matched, n, fx.requests(spark, sf))
     return row.select("confidence_threshold", "latency_sample", *[F.round(x, 6).alias(x) for x in ("precision", "recall", "map50", "map50_95", "avg_ms", "fps")])
 

@@ -286,3 +286,41 @@ def test_keys_of_fingerprints_are_never_broadcast(spark, together):
     assert "SortMergeJoin" in done and "Broadcast" not in done and "ReusedExchange" in done
     keys = similarity.band_keys(prints, 6, together)
     assert keys.where(similarity._below(F.col("bands")) != F.col("below")).isEmpty()
+
+
+def greedy(truth, found, t):
+    """(confidence, tp) of a frame's predictions (confidence, box) against boxes, by a plain loop."""
+    used, out = set(), []
+    for confidence, a in sorted(found, key=lambda f: (-f[0], f[1])):
+        best = (-1.0, 0)
+        for k, b in enumerate(truth):
+            w, h = max(0.0, min(a[2], b[2]) - max(a[0], b[0])), max(0.0, min(a[3], b[3]) - max(a[1], b[1]))
+            union = sum((x[2] - x[0]) * (x[3] - x[1]) for x in (a, b)) - w * h
+            best = max(best, (-1.0 if k in used else w * h / union if union > 0 else 0.0, -k))
+        if truth and best[0] >= t:
+            used.add(-best[1])
+        out.append((confidence, int(bool(truth) and best[0] >= t)))
+    return out
+
+
+def test_steps_of_contended_and_plain_frames(spark):
+    """Frames where boxes compete and frames where none do, against a plain loop, by rows and summed side by side."""
+    rng = random.Random(11)
+    box = lambda s: (lambda x, y: (x, y, x + rng.choice([8.0, 10.0]), y + 10.0))(rng.randrange(s) / 2, rng.randrange(s) / 2)
+    frames = {i: ([box(6 if i % 2 else 200) for _ in range(rng.randrange(4))], [(rng.randrange(1, 6) / 8, box(6 if i % 2 else 200)) for _ in range(rng.randrange(1, 5))]) for i in range(60)}
+    for i in range(0, 60, 2):
+        frames[i][1].extend((0.9, b) for b in frames[i][0])
+    truth = spark.createDataFrame([(i, k, *b) for i, (g, _) in frames.items() for k, b in enumerate(g)], "image_id long, gt_id int, x1 double, y1 double, x2 double, y2 double")
+    found = spark.createDataFrame([(i, c, *b) for i, (_, p) in frames.items() for c, b in p], "image_id long, confidence double, x1 double, y1 double, x2 double, y2 double")
+    for grid in (evaluate.IOU_GRID, [0.0, 0.3]):
+        want = {}
+        for t in grid:
+            for g, p in frames.values():
+                for c, tp in greedy(g, p, t):
+                    n, m = want.get((t, c), (0, 0))
+                    want[t, c] = (n + 1, m + tp)
+        own = evaluate.match_steps(truth, found, grid)
+        assert {(r["threshold"], r["confidence"]): (r["n"], r["t"]) for r in own.collect()} == want
+        rows = evaluate.steps(evaluate.match(truth, found, grid))
+        assert sorted(map(tuple, rows.collect())) == sorted(map(tuple, own.collect()))
+        assert sum(t for _, t in want.values()) > 100
