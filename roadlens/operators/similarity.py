@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from roadlens.functions.fingerprint import hamming
-from roadlens.session import materialize
+from roadlens.session import materialize, shuffled
 
 #: Distinct fingerprints up to which 1, 2, 3 bands make a key; beyond the last, 4.
 KEYED_UP_TO = (1 << 14, 1 << 22, 1 << 28)
@@ -71,9 +71,9 @@ def near_prints(distinct: DataFrame, threshold: int, together: int | None = None
     k = together or 1 + sum(distinct.count() > most for most in KEYED_UP_TO)
     keyed = band_keys(distinct.select("fp"), threshold, k).drop("below")
     # Spark sizes the keys as if there were one a fingerprint, and would broadcast all 7 to 210 of each. Both sides are the same rows, shuffled once.
-    left, right = keyed.withColumnRenamed("fp", "fa").hint("merge"), keyed.withColumnRenamed("fp", "fb")
+    left, right = keyed.withColumnRenamed("fp", "fa"), keyed.withColumnRenamed("fp", "fb")
     a, b = F.col("fa"), F.col("fb")
-    pairs = left.join(right, ["bands", "value"]).where((a < b) & (hamming(a, b) <= threshold))
+    pairs = left.join(shuffled(right), ["bands", "value"]).where((a < b) & (hamming(a, b) <= threshold))
     return pairs.where(first_choice(a, b, _below(F.col("bands")), threshold, k)).select("fa", "fb", hamming(a, b).alias("distance"))
 
 
@@ -89,7 +89,7 @@ def near_pairs(items: DataFrame, threshold: int = 6, across: str | None = None,
     every = near_prints(distinct, threshold, together).unionByName(distinct.select(F.col("fp").alias("fa"), F.col("fp").alias("fb"), F.lit(0).alias("distance")))
     item = F.struct("id", *[F.col(across)] if across else [])
     a, b = known.select(F.col("fp").alias("fa"), item.alias("a")), known.select(F.col("fp").alias("fb"), item.alias("b"))
-    joined = every.join(a, "fa").join(b, "fb").where((F.col("fa") != F.col("fb")) | (F.col("a.id") < F.col("b.id")))
+    joined = every.join(shuffled(a), "fa").join(shuffled(b), "fb").where((F.col("fa") != F.col("fb")) | (F.col("a.id") < F.col("b.id")))
     ordered = joined.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "distance")
     out = ["id"] if not across else ["id", across]
     if across:
@@ -102,5 +102,5 @@ def near_edges(items: DataFrame, threshold: int = 6, together: int | None = None
     known = items.where("fp IS NOT NULL").select("id", "fp")
     first = materialize(known.groupBy("fp").agg(F.min("id").alias("first")))
     one, two = first.select(F.col("fp").alias("fa"), F.col("first").alias("id_a")), first.select(F.col("fp").alias("fb"), F.col("first").alias("id_b"))
-    between = near_prints(first.select("fp"), threshold, together).join(one, "fa").join(two, "fb").select("id_a", "id_b")
-    return between.unionByName(known.join(first, "fp").where("id <> first").select(F.col("first").alias("id_a"), F.col("id").alias("id_b")))
+    between = near_prints(first.select("fp"), threshold, together).join(shuffled(one), "fa").join(shuffled(two), "fb").select("id_a", "id_b")
+    return between.unionByName(known.join(shuffled(first), "fp").where("id <> first").select(F.col("first").alias("id_a"), F.col("id").alias("id_b")))
