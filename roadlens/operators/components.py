@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadlens.session import discard, materialize
+from roadlens.session import discard, materialize, shuffled
 
 
 def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", max_rounds: int = 200) -> DataFrame:
@@ -34,7 +34,7 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
         pointers.append(pointer)
         left = pointer.select(F.col("node").alias("u"), F.col("to").alias("p"))
         right = pointer.select(F.col("node").alias("v"), F.col("to").alias("q"))
-        moved = current.join(left, "u").join(right, "v").where("p <> q")
+        moved = current.join(shuffled(left), "u").join(shuffled(right), "v").where("p <> q")
         done, current = current, materialize(moved.select(F.least("p", "q").alias("u"), F.greatest("p", "q").alias("v")).distinct())
         discard(done)
     else:
@@ -44,8 +44,8 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
     roots = pointers[0]
     for pointer in pointers[1:]:
         nxt = pointer.select(F.col("node").alias("to"), F.col("to").alias("__next"))
-        roots = roots.join(nxt, "to", "left").select("node", F.coalesce("__next", "to").alias("to"))
+        roots = roots.join(shuffled(nxt), "to", "left").select("node", F.coalesce("__next", "to").alias("to"))
     roots = materialize(roots)
     discard(current, *pointers)
-    smallest = roots.groupBy("to").agg(F.min("node").alias("component"))
-    return roots.join(smallest, "to").select("node", "component")
+    smallest = materialize(roots.groupBy("to").agg(F.min("node").alias("component")))  # Spark splits the rows of a large one between two plain shuffles only
+    return roots.join(shuffled(smallest), "to").select("node", "component")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from roadlens.operators.components import connected_components
 from roadlens.operators.ranks import ranked
 from roadlens.operators.similarity import near_edges
+from roadlens.session import materialize, shuffled
 
 #: Which split's member a cluster keeps: the evaluation splits stay whole.
 SPLIT_PRIORITY = {"test": 0, "val": 1, "train": 2}
@@ -24,8 +25,8 @@ def exact_groups(files: DataFrame) -> DataFrame:
 
 def exact_edges(files: DataFrame, key: str = "path") -> DataFrame:
     """(id_a, id_b): every copy to the smallest of its content; linear in the group's size."""
-    first = files.where("md5 IS NOT NULL").groupBy("md5").agg(F.min(key).alias("id_a"))
-    return files.join(first, "md5").where(F.col(key) != F.col("id_a")).select("id_a", F.col(key).alias("id_b"))
+    first = materialize(files.where("md5 IS NOT NULL").groupBy("md5").agg(F.min(key).alias("id_a")))
+    return files.join(shuffled(first), "md5").where(F.col(key) != F.col("id_a")).select("id_a", F.col(key).alias("id_b"))
 
 
 def clusters(items: DataFrame, key: str = "id", threshold: int = 6, exact_only: bool = False) -> DataFrame:
@@ -44,7 +45,7 @@ def clusters(items: DataFrame, key: str = "id", threshold: int = 6, exact_only:
         near = near_edges(items.select(F.col(key).alias("id"), "fp"), threshold)
         edges = near if edges is None else edges.unionByName(near)
     found = connected_components(edges, "id_a", "id_b").select(F.col("node").alias(key), "component")
-    return items.select(key).distinct().join(found, key, "left").select(key, F.coalesce("component", key).alias("cluster"))
+    return items.select(key).distinct().join(shuffled(found), key, "left").select(key, F.coalesce("component", key).alias("cluster"))
 
 
 def usual_order() -> list:
@@ -65,7 +66,7 @@ def kept_members(members: DataFrame, order: list | None = None) -> DataFrame:
 
 def lost_members(members: DataFrame, order: list | None = None) -> DataFrame:
     """The members that ``kept_members`` leaves out, by path."""
-    return members.join(kept_members(members, order).select("path"), "path", "left_anti")
+    return members.join(shuffled(kept_members(members, order).select("path")), "path", "left_anti")
 
 
 def keepers(members: DataFrame, order: list | None = None) -> DataFrame:
@@ -88,12 +89,12 @@ def removals(ranked: DataFrame, corrupted: DataFrame | None = None) -> DataFrame
     if corrupted is None:
         return lost
     bad = corrupted.select("split", "path", F.lit("corrupted").alias("reason"))
-    return lost.join(bad, ["split", "path"], "left_anti").unionByName(bad.distinct())
+    return lost.join(shuffled(bad), ["split", "path"], "left_anti").unionByName(bad.distinct())
 
 
 def removal_summary(files: DataFrame, removed: DataFrame) -> DataFrame:
     """Files before, removed and after, by split."""
-    marked = files.select("split", "path").join(removed.select("split", "path", F.lit(1).alias("gone")), ["split", "path"], "left")
+    marked = files.select("split", "path").join(shuffled(removed.select("split", "path", F.lit(1).alias("gone"))), ["split", "path"], "left")
     out = marked.groupBy("split").agg(F.count(F.lit(1)).alias("before"), F.count("gone").alias("removed"))
     return out.withColumn("after", F.col("before") - F.col("removed"))
 
