@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roadlens.operators.components import connected_components
-from roadlens.session import discard, materialize
+from roadlens.session import discard, materialize, shuffled
 
 
 def spanning_forest(edges: DataFrame, src: str = "id_a", dst: str = "id_b", weight: str = "distance", max_rounds: int = 64) -> DataFrame:
@@ -34,7 +34,7 @@ def spanning_forest(edges: DataFrame, src: str = "id_a", dst: str = "id_b", weig
         taken.append(least.select("a", "b", "w"))
         groups = materialize(connected_components(least, "ca", "cb"))
         left, right = groups.select(F.col("node").alias("ca"), F.col("component").alias("na")), groups.select(F.col("node").alias("cb"), F.col("component").alias("nb"))
-        moved = current.join(left, "ca").join(right, "cb").where("na <> nb").select("a", "b", "w", F.col("na").alias("ca"), F.col("nb").alias("cb"))
+        moved = current.join(shuffled(left), "ca").join(shuffled(right), "cb").where("na <> nb").select("a", "b", "w", F.col("na").alias("ca"), F.col("nb").alias("cb"))
         done, current = current, materialize(moved)
         discard(done, groups)
     else:
@@ -47,7 +47,7 @@ def spanning_forest(edges: DataFrame, src: str = "id_a", dst: str = "id_b", weig
 
 def cluster_links(forest: DataFrame, clusters: DataFrame, src: str = "id_a", key: str = "id") -> DataFrame:
     """The forest's links with the ``cluster`` that they hold together."""
-    return forest.join(clusters.select(F.col(key).alias(src), "cluster"), src).select("cluster", *forest.columns)
+    return forest.join(shuffled(clusters.select(F.col(key).alias(src), "cluster")), src).select("cluster", *forest.columns)
 
 
 def inspect_chains(forest: DataFrame, clusters: DataFrame, cut: int, src: str = "id_a", dst: str = "id_b", weight: str = "distance", key: str = "id") -> DataFrame:
@@ -59,6 +59,6 @@ def inspect_chains(forest: DataFrame, clusters: DataFrame, cut: int, src: str =
     links = materialize(cluster_links(forest, clusters, src, key))
     told = links.groupBy("cluster").agg(F.count(F.lit(1)).alias("links"), F.max(weight).alias("weakest"), F.count_if(F.col(weight) > cut).alias("weak_links"))
     held = connected_components(links.where(F.col(weight) <= cut), src, dst).select(F.col("node").alias(key), "component")
-    pieces = clusters.join(held, key, "left").groupBy("cluster", F.coalesce("component", key).alias("piece")).agg(F.count(F.lit(1)).alias("n"))
+    pieces = clusters.join(shuffled(held), key, "left").groupBy("cluster", F.coalesce("component", key).alias("piece")).agg(F.count(F.lit(1)).alias("n"))
     sizes = pieces.groupBy("cluster").agg(F.sum("n").alias("size"), F.count(F.lit(1)).alias("pieces"), F.max("n").alias("largest_piece")).where("size > 1")
-    return sizes.join(told, "cluster").select("cluster", "size", "links", "weakest", "weak_links", "pieces", "largest_piece")
+    return sizes.join(shuffled(told), "cluster").select("cluster", "size", "links", "weakest", "weak_links", "pieces", "largest_piece")
