@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roadlens.operators.components import connected_components
-from roadlens.session import materialize
+from roadlens.session import materialize, shuffled
 
 
 @dataclass
@@ -40,7 +40,7 @@ class Forest:
 def _followed(rows: DataFrame, renamed: DataFrame) -> DataFrame:
     """``rows`` with their label as it is now: one step, as ``renamed`` always names the final one."""
     now = renamed.select(F.col("old").alias("__old"), F.col("label").alias("__now"))
-    joined = rows.join(now, F.col("label") == F.col("__old"), "left")
+    joined = rows.join(shuffled(now), F.col("label") == F.col("__old"), "left")
     return joined.select(*[F.coalesce("__now", "label").alias("label") if c == "label" else F.col(c) for c in rows.columns])
 
 
@@ -61,10 +61,10 @@ def merged(forest: Forest, edges: DataFrame, src: str = "src", dst: str = "dst")
     a, b = F.col(src), F.col(dst)
     pairs = materialize(edges.where(a.isNotNull() & b.isNotNull()).select(a.alias("a"), b.alias("b")).distinct())
     ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    known = ends.join(forest.base, "node", "left").select("node", F.col("label").isNull().alias("new"), F.coalesce("label", "node").alias("label"))
+    known = ends.join(shuffled(forest.base), "node", "left").select("node", F.col("label").isNull().alias("new"), F.coalesce("label", "node").alias("label"))
     told = materialize(_followed(known, forest.renamed))
     left, right = told.select(F.col("node").alias("a"), F.col("label").alias("la")), told.select(F.col("node").alias("b"), F.col("label").alias("lb"))
-    between = pairs.join(left, "a").join(right, "b").where("la <> lb").select("la", "lb")
+    between = pairs.join(shuffled(left), "a").join(shuffled(right), "b").where("la <> lb").select("la", "lb")
     found = connected_components(between, "la", "lb").where("node <> component").select(F.col("node").alias("old"), F.col("component").alias("label"))
     found = materialize(found)
     base = forest.base.unionByName(materialize(told.where("new").select("node", F.col("node").alias("label"))))
