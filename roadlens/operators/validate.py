@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from roadlens.functions.text import is_float, is_integer, stripped_lines, to_float, tokens
 from roadlens.operators.similarity import near_pairs, near_prints
-from roadlens.session import materialize
+from roadlens.session import materialize, shuffled
 
 FINDING = ["level", "rule", "split", "file", "line_no", "message"]
 SPLITS = ("train", "val", "test")
@@ -127,8 +127,8 @@ def duplicate_images(files: DataFrame, scope: str = "split") -> DataFrame:
     """
     keys = ["split", "md5"] if scope == "split" else ["md5"]
     held = materialize(files.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
-    own = files.join(held, keys).withColumn("part", F.pmod(F.xxhash64("path"), F.ceil(F.col("n") / NAMED_PATHS)))
-    groups = own.groupBy(*keys, "part").agg(F.array_sort(F.collect_set("path")).alias("paths"))
+    own = files.join(shuffled(held), keys).withColumn("part", F.pmod(F.xxhash64("path"), F.ceil(F.col("n") / NAMED_PATHS)))
+    groups = own.repartition(*keys, "part").groupBy(*keys, "part").agg(F.array_sort(F.collect_set("path")).alias("paths"))
     split = F.col("split") if scope == "split" else F.lit(None).cast("string").alias("split")
     message = F.concat(F.lit(DUPLICATE), F.substring("md5", 1, 8), F.lit("): "), F.array_join("paths", ", "))
     return groups.select(F.lit("E").alias("level"), F.lit("V12").alias("rule"), split, F.lit(None).cast("string").alias("file"), F.lit(None).cast("int").alias("line_no"), message.alias("message"))
@@ -155,7 +155,7 @@ def leaked_classes(files: DataFrame, threshold: int = 6) -> DataFrame:
     distinct = materialize(held.select("fp").distinct())
     near = near_prints(distinct, threshold).unionByName(distinct.select(F.col("fp").alias("fa"), F.col("fp").alias("fb"), F.lit(0).alias("distance")))
     side = lambda s: held.select(F.col("fp").alias(f"f{s}"), *[F.col(c).alias(f"{c}_{s}") for c in ("split", "n", "path")])
-    both = near.join(side("a"), "fa").join(side("b"), "fb").where((F.col("split_a") != F.col("split_b")) & ((F.col("fa") != F.col("fb")) | (F.col("split_a") < F.col("split_b"))))
+    both = near.join(shuffled(side("a")), "fa").join(shuffled(side("b")), "fb").where((F.col("split_a") != F.col("split_b")) & ((F.col("fa") != F.col("fb")) | (F.col("split_a") < F.col("split_b"))))
     return both.select(F.col("fa").alias("fp_a"), F.col("fb").alias("fp_b"), "distance", "split_a", "split_b", "n_a", "n_b", "path_a", "path_b")
 
 

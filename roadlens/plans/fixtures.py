@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadlens.session import table
+from roadlens.session import shuffled, table
 
 #: A total order of line items.
 LK = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate"]
@@ -75,7 +75,7 @@ def labels(spark: SparkSession, sf: str) -> DataFrame:
     line = F.coalesce(F.get(F.array(*[F.lit(x) for x in PLANTED]), residue.cast("int")), F.lit(USUAL))
     lines = table(spark, sf, "lineitem").select(*LK, line.alias("line"))
     bodies = lines.groupBy("l_orderkey").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct(*LK[1:], "line"))), lambda s: s["line"]), "\n").alias("body"))
-    own = images(spark, sf).where("image_id % 29 <> 0").join(bodies, F.col("image_id") == F.col("l_orderkey"), "left").select("split", "stem", F.coalesce("body", F.lit("")).alias("body"))
+    own = images(spark, sf).where("image_id % 29 <> 0").join(shuffled(bodies), F.col("image_id") == F.col("l_orderkey"), "left").select("split", "stem", F.coalesce("body", F.lit("")).alias("body"))
     orphans = spark.range(50).select(F.lit("train").alias("split"), F.concat(F.lit("orphan_"), "id").alias("stem"), F.lit(USUAL).alias("body"))
     return own.unionByName(orphans)
 
@@ -123,7 +123,7 @@ FP_SQL = f"""fx_fp AS (
 
 def hashed_prints(spark: SparkSession, sf: str) -> DataFrame:
     """``hashed_files`` with the fingerprint of each file next to its md5."""
-    return hashed_files(spark, sf).join(fingerprinted(spark, sf).select(F.col("id").alias("doc_id"), "fp"), "doc_id")
+    return hashed_files(spark, sf).join(shuffled(fingerprinted(spark, sf).select(F.col("id").alias("doc_id"), "fp")), "doc_id")
 
 
 def class_sets(spark: SparkSession, sf: str) -> DataFrame:
