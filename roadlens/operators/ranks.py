@@ -15,23 +15,30 @@ def in_ranges(df: DataFrame, group: list[str], order: list[Column]) -> DataFrame
     return materialize(keyed.repartitionByRange(*group, *names).withColumn("__cell", F.spark_partition_id()))
 
 
+def carried(cells: DataFrame, group: list[str], before: dict[str, Column]) -> DataFrame:
+    """``before`` of the ranges of groups that are in several, with the group as ``__g0``, ``__g1`` and so on and the range as ``__c``."""
+    spans = cells.select(*[F.col(g).alias(f"__g{i}") for i, g in enumerate(group)], F.col("__cell").alias("__c"), *[c.alias(n) for n, c in before.items()], F.count(F.lit(1)).over(Window.partitionBy(*group)).alias("__n"))
+    return spans.where("__n > 1").drop("__n")
+
+
 def running(df: DataFrame, group: list[str], order: list[Column], sums: dict[str, Column]) -> DataFrame:
     """``df`` with a column for each of ``sums``: its sum over the rows of the group up to this one, in ``order``, which must be total.
 
     Descending orders are given as ascending ones of the negative. A task holds a range
     of rows; only the ranges' sums, a row for each range that a group is in, are summed
-    together.
+    together. Those of groups in several ranges are broadcast: ranges ascend with the
+    groups, so that there are two for each range at most, however many groups there are.
     """
     dealt = in_ranges(df, group, order)
     cells = dealt.groupBy(*group, "__cell").agg(*[F.sum(c).alias(f"__s_{n}") for n, c in sums.items()])
     before = Window.partitionBy(*group).orderBy("__cell").rowsBetween(Window.unboundedPreceding, -1)
-    told = cells.select(*[F.col(g).alias(f"__g{i}") for i, g in enumerate(group)], F.col("__cell").alias("__c"), *[F.coalesce(F.sum(f"__s_{n}").over(before), F.lit(0)).alias(f"__b_{n}") for n in sums])
+    told = carried(cells, group, {f"__b_{n}": F.coalesce(F.sum(f"__s_{n}").over(before), F.lit(0)) for n in sums})
     own = Window.partitionBy(*group, "__cell").orderBy(*[f"__o{i}" for i in range(len(order))]).rowsBetween(Window.unboundedPreceding, 0)
     summed = dealt.select("*", *[F.sum(c).over(own).alias(f"__w_{n}") for n, c in sums.items()])
     on = F.col("__cell") == F.col("__c")
     for i, g in enumerate(group):
         on = on & F.col(g).eqNullSafe(F.col(f"__g{i}"))
-    return summed.join(told, on).select(*df.columns, *[(F.col(f"__b_{n}") + F.col(f"__w_{n}")).alias(n) for n in sums])
+    return summed.join(F.broadcast(told), on, "left").select(*df.columns, *[(F.coalesce(f"__b_{n}", F.lit(0)) + F.col(f"__w_{n}")).alias(n) for n in sums])
 
 
 def ranked(df: DataFrame, group: list[str], order: list[Column], out: str = "rank") -> DataFrame:

@@ -12,7 +12,7 @@ from roadlens.functions.severity import SeverityScorer, score_frames
 from roadlens.functions.text import sequence_of
 from roadlens.operators import augment, chains, dedupe, detect, evaluate, forest, near_index, negatives, sampling, similarity, split, stats, validate
 from roadlens.plans import fixtures as fx
-from roadlens.session import materialize, scratch_dir
+from roadlens.session import materialize, scratch_dir, shuffled
 from roadlens.sources import file_tree, headers, layouts, voc, yolo
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -282,7 +282,7 @@ k AS (SELECT *, row_number() OVER (PARTITION BY cluster ORDER BY {_PRIO}, name,
 
 def _clustered_combined(spark, sf):
     files = fx.hashed_prints(spark, sf)
-    return files.join(dedupe.clusters(files, "path"), "path")
+    return files.join(shuffled(dedupe.clusters(files, "path")), "path")
 
 
 @query(f"WITH RECURSIVE {COMBINED_SQL} SELECT cluster, path, split, rank FROM k")
