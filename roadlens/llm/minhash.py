@@ -8,11 +8,11 @@ the chance of their probability Jaccard similarity J_P. Registers are banded; pa
 that share a band are verified by their exact J_P.
 
 Buckets are never expanded to all their pairs. Documents with the same shingles are
-one; each bucket's members are first tested against its smallest member, then, where a
-bucket holds several components, against a member drawn by hash; buckets within one
-component are done. In the rest, members outside the drawn member's component are
-compared with all others in blocks by their registers, and pairs of different
-components that can still reach the threshold are verified.
+one; each bucket's members are first tested against its smallest member; buckets within
+one component are done. In the rest a member is drawn by hash, and members outside its
+component are compared with all others in blocks by their registers; pairs of different
+components that can still reach the threshold are verified. Where that would be many
+comparisons for each member, all are tested against the drawn member before.
 """
 
 from __future__ import annotations
@@ -38,10 +38,10 @@ REGISTERS = BANDS * ROWS
 ESTIMATE = THRESHOLD - 0.18
 #: Members that one task holds against a pivot; members of a block when a bucket's registers are compared, and when its shingles are.
 FAN, BLOCK, FINE = 128, 1024, 512
-#: Bytes of shingles that a task of the last comparison holds; a longer member is held alone.
-PART_BYTES = 32 << 20
-#: Rounds of tests against one member of each bucket.
-PIVOT_ROUNDS = 2
+#: Bytes of a shingle with its count, and of shingles that a task of the last comparison holds; a longer member is held alone.
+SHINGLE_BYTES, PART_BYTES = 12, 32 << 20
+#: Rounds of tests against one member of each bucket, and comparisons in blocks, for each member, from which a round after the first is worth it.
+PIVOT_ROUNDS, MANY = 2, 1024
 #: Shingles whose arrivals are drawn at once.
 ELEMENTS = 1 << 17
 PAIR = "a long, b long, ca long, cb long, n long"
@@ -191,18 +191,14 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sets, e = shingles(texts), b + len(texts)
             held = (_mix(signatures(sets)) & np.uint64(0xFFFF)).astype("<u2")
             some = [len(h) > 0 for h, _ in sets]
-            rows = held.reshape(len(sets), BANDS, ROWS).astype(np.uint64)
-            keys = np.zeros((len(sets), BANDS), dtype=np.uint64)
-            for r in range(ROWS):
-                keys = _mix(keys + rows[:, :, r] * _PLACES[r] + np.arange(BANDS, dtype=np.uint64))
             yield pa.record_batch(
                 [
                     batch.column(0).slice(b, e - b),
                     pa.array([hashlib.md5(h.tobytes() + n.tobytes()).digest() if len(h) else None for h, n in sets], pa.binary()),
-                    pa.array([k if s else None for k, s in zip(keys.view(np.int64), some, strict=True)], pa.list_(pa.int64())),
                     pa.array([x.tobytes() if s else None for x, s in zip(held, some, strict=True)], pa.binary()),
+                    pa.array([SHINGLE_BYTES * len(h) for h, _ in sets], pa.int64()),
                 ],
-                names=["doc_id", "same", "keys", "held"],
+                names=["doc_id", "same", "held", "bytes"],
             )
 
 
@@ -218,7 +214,7 @@ def _registers(held: bytes) -> np.ndarray:
 
 
 def _shingle_set(held: bytes) -> tuple[np.ndarray, np.ndarray]:
-    n = len(held) // 12
+    n = len(held) // SHINGLE_BYTES
     return np.frombuffer(held, "<u8", n), np.frombuffer(held, "<i4", n, 8 * n)
 
 
@@ -260,7 +256,8 @@ def _tested(pairs: DataFrame, held: DataFrame, read, test) -> DataFrame:
     dealt = pairs.withColumn("task", F.xxhash64("a", many, F.pmod(F.xxhash64("b", F.lit("task")), many)))
     fields = ["task", "side", "a", "b", "ca", "cb", "n", "held"]
     members = dealt.join(held.withColumnRenamed("doc_id", "b"), "b").withColumn("side", F.lit(1)).select(*fields)
-    ones = dealt.select("task", "a").distinct().join(held.withColumnRenamed("doc_id", "a"), "a")
+    # Grouped by a as the join is: no shuffle between them. A pivot has a task for FAN members, so that its list is short.
+    ones = dealt.groupBy("a").agg(F.collect_set("task").alias("tasks")).join(held.withColumnRenamed("doc_id", "a"), "a").withColumn("task", F.explode("tasks"))
     none = F.lit(None).cast("long")
     pivots = ones.select("task", F.lit(0).alias("side"), "a", *(none.alias(c) for c in ("b", "ca", "cb", "n")), "held")
     return pivots.unionByName(members).repartition("task").sortWithinPartitions("task", "side").mapInArrow(_against(read, test), PAIR)
@@ -366,39 +363,37 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """
     bound_batches(docs.sparkSession)
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    sketch = materialize(slim.mapInArrow(_sketch, "doc_id long, same binary, keys array<long>, held binary"))
+    sketch = materialize(slim.mapInArrow(_sketch, "doc_id long, same binary, held binary, bytes long"))
     has_set = F.col("same").isNotNull() & F.col("doc_id").isNotNull()
-    known = sketch.where(has_set)
-    first = materialize(known.groupBy("same").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("n")))
-    # Most sketches are alone with their shingles: these need no shuffle, as a bitmap of the others' ids tells.
-    shared = materialize(known.select("doc_id", "same").join(first.where("n > 1").select("same"), "same", "left_semi").select("doc_id").distinct())
-    marked = maybe_among(known, F.col("doc_id"), shared)
-    alone, doubtful = marked.where("NOT maybe").drop("maybe"), marked.where("maybe").drop("maybe")
-    reps = alone.unionByName(doubtful.join(first.select(F.col("rep").alias("doc_id"), "same"), ["doc_id", "same"], "left_semi").dropDuplicates(["doc_id", "same"]))
-
-    members = reps.select(F.col("doc_id").alias("rep"), F.posexplode("keys").alias("band", "key"))
+    # Registers go along with the smallest of equal documents: what follows reads them here, with no join back to the sketches.
+    smallest = sketch.where(has_set).groupBy("same").agg(F.min(F.struct("doc_id", "held", "bytes")).alias("s"))
+    first = materialize(smallest.select("same", F.col("s.doc_id").alias("rep"), "s.held", "s.bytes"))
+
+    members = first.select("rep", F.posexplode(_keys("held")).alias("band", "key"))
     buckets = members.groupBy("key").agg(F.min("rep").alias("pivot"), F.max("rep").alias("top"), F.count(F.lit(1)).alias("n")).where("pivot < top")
     buckets = materialize(buckets.select("key", "pivot", "n"))
     members = materialize(maybe_among(members, F.col("key"), buckets.select("key")).where("maybe").drop("maybe").join(buckets, "key"))
     candidates = materialize(members.select(F.col("rep").alias("doc_id")).distinct())
-    wanted = maybe_among(known.select("doc_id", "held"), F.col("doc_id"), candidates).where("maybe").drop("maybe")
+    wanted = maybe_among(first.select(F.col("rep").alias("doc_id"), "held", "bytes"), F.col("doc_id"), candidates).where("maybe").drop("maybe")
     registers = materialize(wanted.join(candidates, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
     # Texts that are no candidate's neither cross a shuffle nor reach a worker.
     found = maybe_among(slim.where("doc_id IS NOT NULL"), F.col("doc_id"), candidates).where("maybe").select("doc_id", "text").mapInArrow(_sets, "doc_id long, held binary")
     sets = materialize(found.join(candidates, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
 
-    # First every member against the smallest of its bucket, then against one drawn anew in each bucket that holds several components.
+    # First every member against the smallest of its bucket, then, if the rest is large, against one drawn anew in each bucket that holds several components.
     comps = candidates.select(F.col("doc_id").alias("rep"), F.col("doc_id").alias("comp"))
     own = members.withColumn("comp", F.col("rep")).withColumn("pc", F.col("pivot"))
-    for k in range(PIVOT_ROUNDS):
-        if k:
-            own = _open(members, comps, k)
+    for k in range(1, PIVOT_ROUNDS + 1):
         pairs = own.where("comp <> pc").groupBy(F.col("pivot").alias("a"), F.col("rep").alias("b"), F.col("pc").alias("ca"), F.col("comp").alias("cb")).agg(F.max("n").alias("n"))
-        likely = _tested(pairs, registers, _registers, _agree)
+        likely = _tested(pairs, registers.select("doc_id", "held"), _registers, _agree)
         comps = _joined(comps, _tested(materialize(likely), sets, _shingle_set, _similar).select("ca", "cb"))
-    own = _open(members, comps, PIVOT_ROUNDS)
-    if not own.isEmpty():
-        comps = _joined(comps, _rest(own, registers, sets))
+        own = _open(members, comps, k)
+        counts = _counted(own)
+        left = counts.agg(F.expr("sum(outs * (outs / 2 + ins))").alias("pairs"), F.expr("sum(outs + ins)").alias("rows")).first()
+        if not left["rows"] or left["pairs"] <= MANY * left["rows"]:
+            break
+    if left["rows"]:
+        comps = _joined(comps, _rest(own, counts, registers, sets))
     discard(members, registers, sets, buckets)  # what is returned reads sketch, first, candidates and comps
 
     classes = first.join(comps, "rep", "left").select("same", F.coalesce("comp", "rep").alias("class_id"))
@@ -407,11 +402,13 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(True)))
 
 
+def _keys(held: str) -> Column:
+    """The keys of a document's bands: hashes of their registers, each of two bytes."""
+    return F.array(*[F.xxhash64(F.substring(held, 2 * ROWS * b + 1, 2 * ROWS), F.lit(b)) for b in range(BANDS)])
+
+
 def _joined(comps: DataFrame, links: DataFrame) -> DataFrame:
     """(rep, comp) after components are linked."""
-    links = materialize(links)
-    if links.isEmpty():
-        return comps
     groups = connected_components(links, "ca", "cb").select(F.col("node").alias("comp"), "component")
     return materialize(comps.join(groups, "comp", "left").select("rep", F.coalesce("component", "comp").alias("comp")))
 
@@ -424,16 +421,19 @@ def _open(members: DataFrame, comps: DataFrame, turn: int) -> DataFrame:
     return materialize(own.join(materialize(several), "key"))
 
 
-def _rest(own: DataFrame, registers: DataFrame, sets: DataFrame) -> DataFrame:
+def _counted(own: DataFrame) -> DataFrame:
+    """(key, outs, ins): members of each open bucket outside and inside the pivot's component."""
+    return materialize(own.groupBy("key").agg(F.count_if(F.col("comp") != F.col("pc")).alias("outs"), F.count_if(F.col("comp") == F.col("pc")).alias("ins")))
+
+
+def _rest(own: DataFrame, counts: DataFrame, registers: DataFrame, sets: DataFrame) -> DataFrame:
     """(ca, cb): links within open buckets, where members outside the pivot's component meet all others, block by block.
 
     The first pass compares registers in blocks of BLOCK members and returns those that
     have a plausible partner, dealt to parts of about FINE; only these fetch their
     shingles for the second.
     """
-    own = own.withColumn("inside", F.col("comp") == F.col("pc"))
-    counts = materialize(own.groupBy("key").agg(F.count_if(~F.col("inside")).alias("outs"), F.count_if("inside").alias("ins")))
-    own = materialize(own.join(counts, "key"))
+    own = materialize(own.withColumn("inside", F.col("comp") == F.col("pc")).join(counts, "key"))
     blocks = lambda n: F.ceil(n / BLOCK).cast("int")
     pick = lambda n: F.pmod(F.xxhash64("rep", F.lit("block")), F.greatest(F.lit(1), blocks(n))).cast("int")
     outs = own.where(~F.col("inside")).withColumn("block", pick(F.col("outs")))
@@ -448,10 +448,9 @@ def _rest(own: DataFrame, registers: DataFrame, sets: DataFrame) -> DataFrame:
 
     every = side(outs, F.sequence(F.col("block"), blocks(F.col("outs")) - 1), "oo", 0).unionByName(side(outs, F.sequence(F.lit(0), F.col("block")), "oo", 1))
     every = every.unionByName(side(outs, span(F.col("ins")), "oi", 0)).unionByName(side(ins, span(F.col("outs")), "oi", 1))
-    held = registers.select(F.col("doc_id").alias("rep"), F.col("held").alias("registers"))
-    sizes = sets.select(F.col("doc_id").alias("rep"), F.octet_length("held").alias("bytes"))
+    held = registers.select(F.col("doc_id").alias("rep"), F.col("held").alias("registers"), "bytes")
     fields = ["task", "side", *base, "registers"]
     sent = lambda rows, *more: rows.select(*fields, *more).repartition("task").sortWithinPartitions("task", "side")
-    found = materialize(sent(every.join(materialize(held.join(sizes, "rep")), "rep"), "bytes").mapInArrow(_survivors, "task long, side int, band long, rep long, comp long"))
+    found = materialize(sent(every.join(held, "rep"), "bytes").mapInArrow(_survivors, "task long, side int, band long, rep long, comp long"))
     whole = found.join(held, "rep").join(sets.withColumnRenamed("doc_id", "rep"), "rep")
     return sent(whole, "held").mapInArrow(_verify_blocks, "ca long, cb long")

@@ -352,6 +352,27 @@ def test_blocks_find_what_pivots_miss(spark, monkeypatch):
     assert [got[i] for i in range(40)] == components(40, links)
 
 
+@pytest.mark.parametrize(("many", "tests"), [(1024, 2), (0, 4)])
+def test_another_pivot_is_tried_where_the_rest_is_large(spark, monkeypatch, many, tests):
+    """Few comparisons are left to the blocks: no round of tests, each a dozen shuffles, for them."""
+    rng = random.Random(13)
+    base = prose(rng, 150).split()
+    texts = []
+    for _ in range(40):
+        other = list(base)
+        for k in rng.sample(range(150), 3):
+            other[k] = "w" + str(rng.randrange(10**6))
+        texts.append(" ".join(other))
+    plain = [plain_shingles(t) for t in texts]
+    links = [(i, j) for i in range(40) for j in range(i) if plain_similarity(plain[i], plain[j]) >= 0.8]
+    calls, tested = [], minhash._tested
+    monkeypatch.setattr(minhash, "MANY", many, raising=False)
+    monkeypatch.setattr(minhash, "_tested", lambda *a: calls.append(1) or tested(*a))
+    got = {r["doc_id"]: r["class_id"] for r in minhash.near_groups(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert [got[i] for i in range(40)] == components(40, links)
+    assert len(calls) == tests
+
+
 def test_near_groups_of_messy_documents(messy, empty):
     got = [(r["doc_id"], r["class_id"], r["kept"]) for r in minhash.near_groups(messy).collect()]
     classes = {i: c for i, c, _ in got}

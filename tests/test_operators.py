@@ -40,6 +40,16 @@ def test_components_against_union_find(spark, seed):
     assert got == {x: smallest[find(x)] for x in parent}
 
 
+def test_components_of_stars_take_few_rounds(spark, monkeypatch):
+    """Members linked to the smallest of their group, as pivots link them, and groups linked to one another: no round for each halving."""
+    edges = [(100 * g, 100 * g + k) for g in range(8) for k in range(1, 100)] + [(100 * g + 7, 100 * g + 105) for g in range(0, 8, 2)]
+    calls = []
+    monkeypatch.setattr(components, "materialize", lambda df: calls.append(1) or materialize(df))
+    got = {r["node"]: r["component"] for r in components.connected_components(spark.createDataFrame(edges, "src long, dst long")).collect()}
+    assert got == {n: n // 200 * 200 for n in range(800)}
+    assert len(calls) <= 2 + 2 * 3  # the edges, three rounds of two tables, the roots
+
+
 def test_components_of_nothing(spark):
     assert components.connected_components(spark.createDataFrame([], "src string, dst string")).count() == 0
 
